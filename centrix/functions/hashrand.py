@@ -30,9 +30,10 @@ def stream(seed: int, *parts: int) -> int:
     return s
 
 
-def stream_sql(base: int, part_sql: str) -> str:
-    """SQL for ``stream(..., part)`` when the last part is a column/lambda."""
-    return f"pmod({int(base)} * {M_STREAM} + ({part_sql}) + 1, {P})"
+def stream_sql(base: int, part_sql: str, dialect: str = "spark") -> str:
+    """SQL for ``stream(..., part)`` when the last part (>= 0) is a column/lambda."""
+    v = f"CAST({int(base)} AS BIGINT) * {M_STREAM} + ({part_sql}) + 1"
+    return f"pmod({v}, {P})" if dialect == "spark" else f"(({v}) % {P})"
 
 
 def hash_uniform_sql(stream_sql: str, id_sql: str, dialect: str = "spark") -> str:

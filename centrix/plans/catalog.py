@@ -238,3 +238,85 @@ def q_nmi(spark, sf):
     res = fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=4)
     return M.nmi(M.join_truth(res.labels(), td.partition64(spark, sf))) \
         .select(F.col("nmi").cast("decimal(12,6)").alias("nmi"))
+
+
+# ---- seeding, sampling, order -----------------------------------------------
+
+from centrix.functions.hashrand import stream as _stream  # noqa: E402
+from centrix.operators import expand as X  # noqa: E402
+from centrix.operators import seed as S  # noqa: E402
+from centrix.session import scratch_path  # noqa: E402
+from centrix.sources.text import load_points, write_points  # noqa: E402
+
+SEED = 222
+
+
+@query("kmeanspp_points64", O.kmeanspp_sql(O.POINTS64, 3, SEED, 3))
+def q_kpp64(spark, sf):
+    return S.kmeanspp(td.points64(spark, sf), 3, seed=SEED)
+
+
+@query("kmeanspp_points2", O.kmeanspp_sql(O.POINTS2, 5, SEED, 3))
+def q_kpp2(spark, sf):
+    return S.kmeanspp(td.points2(spark, sf), 5, seed=SEED, checkpoint_every=2)
+
+
+@query("uniform_pick_points2",
+       f"SELECT point_id, coord FROM ({O.POINTS2}) ORDER BY {O.uniform_u(_stream(SEED, 0, 0), 'point_id')}, "
+       f"point_id LIMIT 1")
+def q_uniform(spark, sf):
+    return S.uniform_pick(td.points2(spark, sf), SEED)
+
+
+def _w2(spark, sf):
+    return td.points2(spark, sf).select("point_id", F.col("coord")[1].cast("double").alias("w"))
+
+
+_W2 = f"SELECT point_id, CAST(coord[2] AS DOUBLE) AS w FROM ({O.POINTS2})"
+
+
+@query("race_pick_points2", O.with_(
+    [f"w AS ({_W2})",
+     "r AS (SELECT tt.t AS trial, w.point_id, -ln(" + O.hash_uniform_sql("tt.st", "w.point_id", "duckdb") +
+     ") / w.w AS key FROM w, (VALUES " + ", ".join(f"({t}, {_stream(SEED, 1, t)})" for t in (1, 2, 3)) +
+     ") tt(t, st) WHERE w.w > 0)"],
+    "SELECT CAST(trial AS INTEGER) AS trial, point_id FROM (SELECT *, row_number() OVER "
+    "(PARTITION BY trial ORDER BY key, point_id) AS rn FROM r) WHERE rn = 1"))
+def q_race(spark, sf):
+    return S.weighted_pick_race(_w2(spark, sf), "w", SEED, 1, 3)
+
+
+@query("running_cdf_points2",
+       f"SELECT point_id, w, sum(w) OVER (ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+       f"AS cdf FROM ({_W2})")
+def q_cdf(spark, sf):
+    return S.running_cdf(_w2(spark, sf), "w").select("point_id", "w", "cdf")
+
+
+@query("shuffle_points2",
+       f"SELECT point_id, {O.uniform_u(_stream(SEED, 3), 'point_id')} AS shuffle_key FROM ({O.POINTS2})")
+def q_shuffle(spark, sf):
+    return X.shuffle_rows(td.points2(spark, sf), SEED).select("point_id", "shuffle_key")
+
+
+@query("true_centroids_points64", O.true_centroids_sql(O.POINTS64, O.PARTITION64, 64))
+def q_true64(spark, sf):
+    return X.true_centroids_from_labels(td.points64(spark, sf), td.partition64(spark, sf))
+
+
+@query("expand_points64", O.expand_sql(O.POINTS64, O.PARTITION64, 64, SEED))
+def q_expand(spark, sf):
+    pts, lab = td.points64(spark, sf), td.partition64(spark, sf)
+    n = pts.count()
+    out, out_lab = X.expand(pts, lab, X.true_centroids_from_labels(pts, lab), 2 * n, seed=SEED)
+    return out.join(out_lab, "point_id").select("point_id", "coord", "label")
+
+
+# ---- text files ---------------------------------------------------------------
+
+@query("text_roundtrip_points2",
+       f"SELECT row_number() OVER (ORDER BY point_id) AS point_id, coord FROM ({O.POINTS2})")
+def q_text(spark, sf):
+    path = scratch_path(spark, "points2-text")
+    write_points(td.points2(spark, sf), path)
+    return load_points(spark, path)

@@ -79,3 +79,55 @@ def lloyd_costs(points_sql: str, start_sql: str, iters: int, d: int) -> str:
     body = " UNION ALL ".join(
         f"SELECT {i} AS iter, sum(CAST(dist AS DECIMAL(38, 6))) AS cost FROM a{i}" for i in range(1, iters + 1))
     return with_(lloyd_ctes(points_sql, start_sql, iters, d), f"SELECT * FROM ({body})")
+
+
+def uniform_u(seed_stream: int, id_sql: str) -> str:
+    return hash_uniform_sql(str(seed_stream), id_sql, "duckdb")
+
+
+def kmeanspp_sql(points_sql: str, k: int, seed: int, trials: int) -> str:
+    """Greedy k-means++ unrolled for k centres (exponential-race draws)."""
+    ctes = [f"pts AS ({points_sql})",
+            f"c1 AS (SELECT point_id, coord FROM pts ORDER BY {uniform_u(stream(seed, 0, 0), 'point_id')}, "
+            f"point_id LIMIT 1)",
+            f"d1 AS (SELECT p.point_id, p.coord, {sq_dist('p.coord', 'c.coord')} AS dn FROM pts p, c1 c)"]
+    for c in range(2, k + 1):
+        vals = ", ".join(f"({t}, {stream(seed, c, t)})" for t in range(1, trials + 1))
+        u = hash_uniform_sql("tt.st", "d.point_id", "duckdb")
+        ctes += [
+            f"r{c} AS (SELECT tt.t, d.point_id, d.coord, -ln({u}) / d.dn AS key "
+            f"FROM d{c - 1} d, (VALUES {vals}) tt(t, st) WHERE d.dn > 0)",
+            f"k{c} AS (SELECT t, point_id, coord FROM (SELECT *, row_number() OVER "
+            f"(PARTITION BY t ORDER BY key, point_id) AS rn FROM r{c}) WHERE rn = 1)",
+            f"p{c} AS (SELECT k.t, sum(least(d.dn, {sq_dist('d.coord', 'k.coord')})) AS pot "
+            f"FROM d{c - 1} d, k{c} k GROUP BY k.t)",
+            f"c{c} AS (SELECT k.point_id, k.coord FROM k{c} k JOIN p{c} p USING (t) ORDER BY p.pot, k.t LIMIT 1)"]
+        if c < k:
+            ctes.append(f"d{c} AS (SELECT d.point_id, d.coord, least(d.dn, {sq_dist('d.coord', 'c.coord')}) AS dn "
+                        f"FROM d{c - 1} d, c{c} c)")
+    body = " UNION ALL ".join(
+        f"SELECT CAST({i} AS INTEGER) AS cluster_id, point_id, CAST(coord AS DOUBLE[]) AS coord FROM c{i}"
+        for i in range(1, k + 1))
+    return with_(ctes, f"SELECT * FROM ({body})")
+
+
+def true_centroids_sql(points_sql: str, partition_sql: str, d: int) -> str:
+    mean = "[" + ", ".join(f"CAST(trunc(sum(p.coord[{j + 1}]) / count(*)) AS BIGINT)" for j in range(d)) + "]"
+    return (f"SELECT CAST(t.label AS INTEGER) AS cluster_id, {mean} AS coord FROM ({points_sql}) p "
+            f"JOIN ({partition_sql}) t USING (point_id) GROUP BY t.label")
+
+
+def expand_sql(points_sql: str, partition_sql: str, d: int, seed: int, factor: int = 2) -> str:
+    from centrix.operators.expand import gaussian_coord_sql
+    ctes = [f"pts AS ({points_sql})", f"lab AS ({partition_sql})",
+            f"tc AS ({true_centroids_sql(points_sql, partition_sql, d)})",
+            "cents AS (SELECT CAST(row_number() OVER (ORDER BY cluster_id) AS INTEGER) AS label, "
+            "CAST(coord AS DOUBLE[]) AS centre FROM tc)",
+            f"par AS (SELECT count(*) AS n, max(point_id) AS mx, (SELECT count(*) FROM tc) AS k, "
+            f"({factor} * count(*) - count(*)) // (SELECT count(*) FROM tc) AS m FROM pts)",
+            "ids AS (SELECT unnest(range(k * m)) AS id, mx, m FROM par)",
+            "nw AS (SELECT mx + 1 + id AS point_id, id, CAST(id // m + 1 AS INTEGER) AS label FROM ids)"]
+    gen = gaussian_coord_sql(seed, "nw.id", "c.centre", d, "duckdb")
+    body = ("SELECT point_id, coord, CAST(label AS INTEGER) AS label FROM pts JOIN lab USING (point_id) "
+            f"UNION ALL SELECT nw.point_id, {gen} AS coord, nw.label FROM nw JOIN cents c USING (label)")
+    return with_(ctes, f"SELECT * FROM ({body})")
