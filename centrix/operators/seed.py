@@ -157,9 +157,34 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
             names=["t", "s", "pot", "key", "point_id", "coord"])
 
     part = state.select("point_id", "coord", "dn").mapInArrow(fn, RACE_SCHEMA)
-    return part.groupBy("t", "s").agg(
+    return part, bc
+
+
+# Per-partition race partials are at most T * (S + 1) rows; they are reduced
+# on the driver when partitions * rows stays under this bound, else by a
+# Spark aggregate keyed by (trial, next trial).
+MAX_DRIVER_RACE_ROWS = 2_000_000
+
+
+def _reduce_races(part: DataFrame, n_partitions: int, trials: int) -> list[dict]:
+    """Combine per-partition partials: potentials summed, race winners = the
+    lowest (key, point_id)."""
+    if n_partitions * trials * (trials + 1) <= MAX_DRIVER_RACE_ROWS:
+        out: dict = {}
+        for r in part.toArrow().to_pylist():
+            key = (r["t"], r["s"])
+            cur = out.setdefault(key, {"t": r["t"], "s": r["s"], "pot": 0.0, "w": None})
+            cur["pot"] += r["pot"] or 0.0
+            if r["point_id"] is not None:
+                cand = {"key": r["key"], "point_id": r["point_id"], "coord": r["coord"]}
+                w = cur["w"]
+                if w is None or (cand["key"], cand["point_id"]) < (w["key"], w["point_id"]):
+                    cur["w"] = cand
+        return list(out.values())
+    agg = part.groupBy("t", "s").agg(
         F.sum("pot").alias("pot"),
-        F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord"))).alias("w")), bc
+        F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord"))).alias("w"))
+    return [r.asDict(recursive=True) for r in agg.collect()]
 
 
 def _fold(state: DataFrame, pending: np.ndarray, d: int) -> DataFrame:
@@ -195,13 +220,15 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     if k < 1:
         raise ValueError("k must be >= 1")
     trials = n_trials or n_local_trials(k)
-    pts = points.select("point_id", "coord")
+    from centrix.plans.lloyd import spread_for_iterations
+    pts = spread_for_iterations(points.select("point_id", "coord"))
     d = int(pts.select(F.size("coord")).first()[0])
     first = uniform_pick(pts, seed).first()
     if first is None:
         raise ValueError("no points")
     chosen = [(int(first["point_id"]), [float(v) for v in first["coord"]])]
     state = pts.select("point_id", "coord", F.lit(float("inf")).alias("dn")).persist(StorageLevel.MEMORY_AND_DISK)
+    n_parts = state.rdd.getNumPartitions()
     pending = [chosen[0][1]]
     cands = None
     step = 2
@@ -211,8 +238,8 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
         nxt = step if (cands is None) else (step + 1 if step + 1 <= k else None)
         if cands is None and step > k:
             break
-        res, bc = _race_pass(state, pend, cand_arr, seed, nxt, trials, d)
-        rows = res.collect()
+        part, bc = _race_pass(state, pend, cand_arr, seed, nxt, trials, d)
+        rows = _reduce_races(part, n_parts, trials)
         bc.unpersist()
         pots = {r["t"]: r["pot"] for r in rows if r["s"] == -1}
         races = {(r["t"], r["s"]): r["w"] for r in rows if r["s"] >= 0 and r["w"] is not None}
@@ -242,6 +269,7 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
             state = new_state
             pending = []
     state.unpersist()
+    pts.unpersist()
     spark = points.sparkSession
     return spark.createDataFrame([(i + 1, pid, c) for i, (pid, c) in enumerate(chosen)],
                                  "cluster_id INT, point_id BIGINT, coord ARRAY<DOUBLE>")

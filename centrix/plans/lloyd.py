@@ -72,28 +72,55 @@ def _stats_sql(points: DataFrame, model: Model) -> DataFrame:
                     F.col("b.dist").alias("cost")), None
 
 
-def lloyd_step(points: DataFrame, model: Model, method: str = "arrow"):
+# Per-partition partials (k rows x d sums per partition) are summed on the
+# driver when their total size is under this many values; above it a Spark
+# aggregate keyed by (cluster_id, feature) reduces them first.
+MAX_DRIVER_PARTIALS = 4_000_000
+
+
+def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partitions: int | None = None):
     """One assignment pass: arrays (n[k], S[k, d], cost[k]) in model order."""
     part, bc = (_stats_arrow if method == "arrow" else _stats_sql)(points, model)
-    d = model.d
-    agg = part.groupBy("cluster_id").agg(
-        F.sum("n").alias("n"), F.sum("cost").alias("cost"),
-        *[F.sum(F.col("s")[j]).alias(f"s{j}") for j in range(d)])
-    rows = agg.collect()
+    d, k = model.d, model.k
+    pos = {int(c): i for i, c in enumerate(model.ids.tolist())}
+    n = np.zeros(k, dtype=np.int64)
+    S = np.zeros((k, d))
+    cost = np.zeros(k)
+    if method == "arrow" and n_partitions is not None and k * d * n_partitions <= MAX_DRIVER_PARTIALS:
+        tbl = part.toArrow()
+        cid = tbl.column("cluster_id").to_numpy()
+        idx = np.array([pos[int(c)] for c in cid], dtype=np.int64)
+        np.add.at(n, idx, tbl.column("n").to_numpy())
+        np.add.at(cost, idx, tbl.column("cost").to_numpy())
+        sums = np.asarray(tbl.column("s").combine_chunks().flatten().to_numpy(zero_copy_only=False),
+                          dtype=np.float64).reshape(-1, d)
+        np.add.at(S, idx, sums)
+    else:
+        ex = part.select("cluster_id", "n", "cost", F.posexplode("s").alias("pos", "x"))
+        agg = ex.groupBy("cluster_id", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"),
+                                                  F.sum("cost").alias("cost"))
+        for r in agg.toArrow().to_pylist():
+            i = pos[int(r["cluster_id"])]
+            S[i, r["pos"]] = r["x"]
+            n[i] = r["n"]
+            cost[i] = r["cost"]
     if bc is not None:
         bc.unpersist()
-    pos = {int(c): i for i, c in enumerate(model.ids.tolist())}
-    n = np.zeros(model.k, dtype=np.int64)
-    S = np.zeros((model.k, d))
-    cost = np.zeros(model.k)
-    for r in rows:
-        i = pos[int(r["cluster_id"])]
-        n[i] = r["n"]
-        cost[i] = r["cost"]
-        S[i] = [r[f"s{j}"] for j in range(d)]
     return n, S, cost
 
 
+def spread_for_iterations(pts: DataFrame, persist: bool = True) -> DataFrame:
+    """Input that will be scanned once per iteration: give it at least one
+    partition per core (a one-time round-robin shuffle, only when the input
+    has fewer partitions than the cluster has task slots) and persist it."""
+    if persist:
+        slots = pts.sparkSession.sparkContext.defaultParallelism
+        if pts.rdd.getNumPartitions() < slots:
+            pts = pts.repartition(slots)
+        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    return pts
+
+
 @dataclass
 class LloydResult:
     points: DataFrame
@@ -152,13 +179,12 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     if empty not in ("keep", "drop"):
         raise ValueError("empty must be 'keep' or 'drop'")
     spark = points.sparkSession
-    pts = points.select("point_id", "coord")
-    if persist:
-        pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
+    pts = spread_for_iterations(points.select("point_id", "coord"), persist)
     model = collect_model(start, spark)
     result = LloydResult(pts)
+    n_parts = pts.rdd.getNumPartitions()
     for it in range(1, max_iter + 1):
-        n, S, cost = lloyd_step(pts, model, method)
+        n, S, cost = lloyd_step(pts, model, method, n_parts)
         result.history.append((it, model, n, cost))
         if it == max_iter:
             break
@@ -170,7 +196,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         else:
             new = Model(model.ids.copy(), C)
         if tol is not None and new.k == model.k and float(np.max(np.sum((new.C - model.C) ** 2, axis=1))) <= tol:
-            n, S, cost = lloyd_step(pts, new, method)
+            n, S, cost = lloyd_step(pts, new, method, n_parts)
             result.history.append((it + 1, new, n, cost))
             break
         model = new
