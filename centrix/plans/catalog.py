@@ -320,3 +320,98 @@ def q_text(spark, sf):
     path = scratch_path(spark, "points2-text")
     write_points(td.points2(spark, sf), path)
     return load_points(spark, path)
+
+
+# ---- more projections, functions and histories -------------------------------
+
+from centrix.functions.text import parse_json_array  # noqa: E402
+from centrix.functions.vector import register_sql_functions, sq_norm  # noqa: E402
+from centrix.plans.runs import score_record  # noqa: E402
+
+
+@query("vector_length_points64", f"SELECT CAST(len(coord) AS INTEGER) AS d FROM ({O.POINTS64}) LIMIT 1")
+def q_veclen(spark, sf):
+    return P.vector_length(td.points64(spark, sf))
+
+
+@query("prefix_points64", f"SELECT point_id, coord[1:2] AS coord FROM ({O.POINTS64})")
+def q_prefix(spark, sf):
+    return P.prefix(td.points64(spark, sf), 2)
+
+
+@query("flatten_points2", _one_step(
+    O.POINTS2, O.START2, "SELECT coord[1] AS x_0, coord[2] AS x_1, CAST(cluster_id AS INTEGER) AS cluster_id FROM a1"))
+def q_flatten(spark, sf):
+    return P.flatten_assignment(A.assign(td.points2(spark, sf), td.start2(spark, sf), keep_coord=True), 2)
+
+
+@query("assign_blocked_points64", _assign_sql(O.POINTS64, O.START64))
+def q_assign_blocked(spark, sf):
+    return A.assign_blocked(td.points64(spark, sf), td.start64(spark, sf), block_rows=3)
+
+
+@query("sq_norm_points2",
+       f"SELECT point_id, list_reduce(list_transform(coord, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)), "
+       f"lambda acc, t: acc + t) AS norm2 FROM ({O.POINTS2})")
+def q_norm(spark, sf):
+    return td.points2(spark, sf).select("point_id", sq_norm("coord").alias("norm2"))
+
+
+@query("sq_dist_sql_function_points2",
+       f"SELECT point_id, {O.sq_dist('coord', 'list_reverse(coord)')} AS dist FROM ({O.POINTS2})")
+def q_sqdist_sql(spark, sf):
+    register_sql_functions(spark)
+    td.points2(spark, sf).createOrReplaceTempView("centrix_points2")
+    return spark.sql("SELECT point_id, sq_dist(CAST(coord AS ARRAY<DOUBLE>), CAST(reverse(coord) AS ARRAY<DOUBLE>)) "
+                     "AS dist FROM centrix_points2")
+
+
+@query("parse_json_points2", f"SELECT point_id, CAST(coord AS DOUBLE[]) AS coord FROM ({O.POINTS2})")
+def q_json(spark, sf):
+    text = td.points2(spark, sf).select(
+        "point_id", F.concat(F.lit("["), F.array_join("coord", ",\n "), F.lit("]")).alias("txt"))
+    return text.select("point_id", parse_json_array("txt").alias("coord"))
+
+
+@query("catalogue_fixtures", (
+    f"SELECT 'embeddings64' AS dataset, count(*) AS n_samples, CAST(max(len(coord)) AS INTEGER) AS n_features, "
+    f"(SELECT CAST(count(DISTINCT label) AS INTEGER) FROM ({O.PARTITION64})) AS n_clusters FROM ({O.POINTS64}) "
+    f"UNION ALL SELECT 'events2', count(*), CAST(max(len(coord)) AS INTEGER), "
+    f"(SELECT CAST(count(DISTINCT label) AS INTEGER) FROM ({O.PARTITION2})) FROM ({O.POINTS2})"))
+def q_catalogue(spark, sf):
+    a = M.dataset_info(td.points64(spark, sf), labels=td.partition64(spark, sf))
+    b = M.dataset_info(td.points2(spark, sf), labels=td.partition2(spark, sf))
+    return a.select(F.lit("embeddings64").alias("dataset"), "*").unionByName(
+        b.select(F.lit("events2").alias("dataset"), "*"))
+
+
+@query("labels_history_points2", O.with_(
+    O.lloyd_ctes(O.POINTS2, O.START2, 3, 2),
+    "SELECT * FROM (SELECT 1 AS iter, point_id, CAST(cluster_id AS INTEGER) AS cluster_id, dist FROM a1 "
+    "UNION ALL SELECT 3, point_id, CAST(cluster_id AS INTEGER), dist FROM a3)"))
+def q_label_hist(spark, sf):
+    res = fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=3)
+    return res.labels_at([1, 3]).select(F.col("iter").cast("int").alias("iter"), "point_id", "cluster_id", "dist")
+
+
+@query("centroid_history_points64", O.with_(
+    O.lloyd_ctes(O.POINTS64, O.START64, 3, 64),
+    "SELECT * FROM (" + " UNION ALL ".join(
+        f"SELECT {i} AS iter, CAST(c.cluster_id AS INTEGER) AS cluster_id, CAST(coalesce(m.n, 0) AS BIGINT) AS n, "
+        f"c.coord FROM c{i} c LEFT JOIN (SELECT cluster_id, count(*) AS n FROM a{i} GROUP BY cluster_id) m "
+        f"USING (cluster_id)" for i in (1, 2, 3)) + ")"))
+def q_cent_hist(spark, sf):
+    return fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=3).centroid_history()
+
+
+@query("score_record_points64", O.with_(
+    _scored64(4),
+    "SELECT 'embeddings64' AS dataset, (SELECT count(*) FROM pts) AS n_samples, "
+    "(SELECT CAST(max(len(coord)) AS INTEGER) FROM pts) AS n_features, "
+    f"(SELECT CAST(count(DISTINCT label) AS INTEGER) FROM ({O.PARTITION64})) AS n_clusters, "
+    "CAST(NULL AS DOUBLE) AS training_time_ms, nmi FROM (" + _NMI_BODY + ")"))
+def q_score(spark, sf):
+    pts, lab = td.points64(spark, sf), td.partition64(spark, sf)
+    res = fit(pts, td.start64(spark, sf), max_iter=4)
+    rec = score_record("embeddings64", pts, lab, res.labels())
+    return rec.withColumn("nmi", F.col("nmi").cast("decimal(12,6)"))
