@@ -29,9 +29,43 @@ def gaussian_coord_sql(seed: int, id_sql: str, centre_sql: str, d: int, dialect:
             f"CAST(trunc({centre_sql}[j + 1] + {z}) AS BIGINT))")
 
 
+def _new_rows_arrow(spark, model, m: int, mx: int, seed: int) -> DataFrame:
+    """The synthetic rows from a partition kernel over ``spark.range``: the
+    same counter-based uniforms and Box-Muller formula as the SQL form."""
+    import numpy as np
+    import pyarrow as pa
+
+    from centrix.functions.hashrand import np_hash_uniform
+    from centrix.session import ship_package
+    ship_package(spark)
+    d = model.d
+    streams = [(stream(stream(seed, 1), j), stream(stream(seed, 2), j)) for j in range(d)]
+    bc = spark.sparkContext.broadcast((model.C, streams))
+
+    def fn(batches):
+        C, st = bc.value
+        for b in batches:
+            ids = b.column(0).to_numpy()
+            lab = ids // m
+            out = np.empty((ids.shape[0], d), dtype=np.int64)
+            for j, (s1, s2) in enumerate(st):
+                u1, u2 = np_hash_uniform(s1, ids), np_hash_uniform(s2, ids)
+                z = np.sqrt(-2.0 * np.log(u1)) * np.cos(2.0 * np.pi * u2)
+                out[:, j] = np.trunc(C[lab, j] + z).astype(np.int64)
+            coord = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), d).cast(pa.list_(pa.int64()))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(ids + mx + 1), coord, pa.array((lab + 1).astype(np.int32))],
+                names=["point_id", "coord", "label"])
+
+    return spark.range(model.k * m).mapInArrow(fn, "point_id BIGINT, coord ARRAY<BIGINT>, label INT")
+
+
 def expand(points: DataFrame, partition: DataFrame, true_centroids: DataFrame,
-           target_n: int, seed: int = 0) -> tuple[DataFrame, DataFrame]:
-    """T7 + U1: ``(points, partition)`` with the synthetic rows appended."""
+           target_n: int, seed: int = 0, method: str = "arrow") -> tuple[DataFrame, DataFrame]:
+    """T7 + U1: ``(points, partition)`` with the synthetic rows appended.
+
+    ``method='sql'`` draws with SQL expressions, ``'arrow'`` (default) with a
+    NumPy kernel per partition of ``spark.range``; both use the same formula."""
     spark = points.sparkSession
     model = collect_model(true_centroids, spark)        # k x d, size-checked
     stats = points.agg(F.count(F.lit(1)).alias("n"), F.max("point_id").alias("mx")).first()
@@ -39,6 +73,14 @@ def expand(points: DataFrame, partition: DataFrame, true_centroids: DataFrame,
     m = per_cluster_rows(target_n, n, model.k)
     if m <= 0:
         return points, partition
+    if method == "arrow":
+        new = _new_rows_arrow(spark, model, m, mx, seed)
+        coord_type = points.schema["coord"].dataType
+        out_pts = points.select("point_id", "coord").unionByName(
+            new.select("point_id", F.col("coord").cast(coord_type).alias("coord")))
+        out_part = partition.select("point_id", F.col("label").cast("int")).unionByName(
+            new.select("point_id", "label"))
+        return out_pts, out_part
     cents = spark.createDataFrame([(i + 1, c) for i, (_, c) in enumerate(model.rows())],
                                   "label INT, centre ARRAY<DOUBLE>")
     new = (spark.range(model.k * m)

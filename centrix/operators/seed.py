@@ -63,7 +63,9 @@ def running_cdf(df: DataFrame, weight: str, order: str = "point_id", buckets: in
     broadcast back under a checked bound.
     """
     spark = df.sparkSession
-    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # at least one bucket per input partition, so one window task holds about
+    # one input split whatever the data size
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
     buckets = max(1, min(buckets, MAX_BUCKET_BOUNDS))
     probs = [i / buckets for i in range(1, buckets)]
     bounds = sorted(set(df.approxQuantile(order, probs, 0.001))) if probs else []

@@ -66,3 +66,13 @@ def test_expand_counts(spark):
     assert counts == {1: 8, 2: 8, 3: 4}
     again, _ = X.expand(p, lab, tc, 20, seed=3)
     assert sorted(map(tuple, out.collect())) == sorted(map(tuple, again.collect()))
+
+
+def test_expand_kernel_equals_sql(spark):
+    p, lab = td.points64(spark, SF), td.partition64(spark, SF)
+    tc = X.true_centroids_from_labels(p, lab)
+    a, al = X.expand(p, lab, tc, 1500, seed=5, method="arrow")
+    b, bl = X.expand(p, lab, tc, 1500, seed=5, method="sql")
+    assert sorted((r.point_id, tuple(r.coord)) for r in a.collect()) == \
+        sorted((r.point_id, tuple(r.coord)) for r in b.collect())
+    assert sorted(map(tuple, al.collect())) == sorted(map(tuple, bl.collect()))
