@@ -7,7 +7,7 @@ steps) are unrolled into CTE blocks.
 
 from __future__ import annotations
 
-from centrix.functions.hashrand import hash_uniform_sql, normal_sql, stream, stream_sql
+from centrix.functions.hashrand import hash_uniform_sql, stream
 
 POINTS64 = ("SELECT vec_id AS point_id, list_transform(embedding, lambda x: "
             "CAST(round(CAST(x AS DOUBLE) * 1000.0) AS BIGINT)) AS coord FROM embeddings")
