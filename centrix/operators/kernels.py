@@ -46,6 +46,25 @@ def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return idx, dist
 
 
+def nearest_fast(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """BLAS form for wide vectors: argmin of |x|^2 - 2 x.c + |c|^2, then the
+    chosen distance recomputed exactly.  Labels can differ from
+    :func:`nearest` only where two centroids are within rounding of a tie."""
+    n = X.shape[0]
+    idx = np.empty(n, dtype=np.int64)
+    c2 = np.einsum("ij,ij->i", C, C)
+    step = max(1, BLOCK_ELEMS // max(1, C.shape[0]))
+    for lo in range(0, n, step):
+        Xb = X[lo:lo + step]
+        D = c2[None, :] - 2.0 * (Xb @ C.T)
+        idx[lo:lo + step] = D.argmin(axis=1)
+    diff = X - C[idx]
+    acc = np.zeros(n)
+    for j in range(X.shape[1]):
+        acc += diff[:, j] * diff[:, j]
+    return idx, acc
+
+
 def group_sums(idx: np.ndarray, X: np.ndarray, k: int) -> np.ndarray:
     """(k, d) per-cluster vector sums."""
     S = np.zeros((k, X.shape[1]), dtype=np.float64)

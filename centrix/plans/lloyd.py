@@ -32,7 +32,7 @@ from centrix.operators.assign import SQ_DIST_LAMBDA
 STATS_SCHEMA = "cluster_id INT, n BIGINT, s ARRAY<DOUBLE>, cost DOUBLE"
 
 
-def _stats_arrow(points: DataFrame, model: Model) -> DataFrame:
+def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFrame:
     """Per-partition (cluster_id, n, sum vector, cost); one row per non-empty
     cluster per partition."""
     ship_package(points.sparkSession)
@@ -49,7 +49,7 @@ def _stats_arrow(points: DataFrame, model: Model) -> DataFrame:
             X = kernels.coords(b, d)
             if X.shape[0] == 0:
                 continue
-            idx, dist = kernels.nearest(X, C)
+            idx, dist = kernels.nearest(X, C) if exact else kernels.nearest_fast(X, C)
             n += np.bincount(idx, minlength=k)
             S += kernels.group_sums(idx, X, k)
             cost += np.bincount(idx, weights=dist, minlength=k)
@@ -78,9 +78,10 @@ def _stats_sql(points: DataFrame, model: Model) -> DataFrame:
 MAX_DRIVER_PARTIALS = 4_000_000
 
 
-def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partitions: int | None = None):
+def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partitions: int | None = None,
+               exact: bool = True):
     """One assignment pass: arrays (n[k], S[k, d], cost[k]) in model order."""
-    part, bc = (_stats_arrow if method == "arrow" else _stats_sql)(points, model)
+    part, bc = _stats_arrow(points, model, exact) if method == "arrow" else _stats_sql(points, model)
     d, k = model.d, model.k
     pos = {int(c): i for i, c in enumerate(model.ids.tolist())}
     n = np.zeros(k, dtype=np.int64)
@@ -170,10 +171,12 @@ class LloydResult:
 
 
 def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
-        tol: float | None = None, method: str = "arrow", persist: bool = True) -> LloydResult:
+        tol: float | None = None, method: str = "arrow", persist: bool = True,
+        exact: bool = True) -> LloydResult:
     """K1: Lloyd k-means from given start centroids, for a fixed number of
     iterations (optional ``tol``: stop once no centroid moves more than tol,
-    squared)."""
+    squared).  ``exact=False`` picks nearest centroids with BLAS products
+    (wide vectors); distances stay exact, ties within rounding may differ."""
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     if empty not in ("keep", "drop"):
@@ -184,7 +187,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     result = LloydResult(pts)
     n_parts = pts.rdd.getNumPartitions()
     for it in range(1, max_iter + 1):
-        n, S, cost = lloyd_step(pts, model, method, n_parts)
+        n, S, cost = lloyd_step(pts, model, method, n_parts, exact)
         result.history.append((it, model, n, cost))
         if it == max_iter:
             break
@@ -196,7 +199,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         else:
             new = Model(model.ids.copy(), C)
         if tol is not None and new.k == model.k and float(np.max(np.sum((new.C - model.C) ** 2, axis=1))) <= tol:
-            n, S, cost = lloyd_step(pts, new, method, n_parts)
+            n, S, cost = lloyd_step(pts, new, method, n_parts, exact)
             result.history.append((it + 1, new, n, cost))
             break
         model = new

@@ -101,3 +101,11 @@ def test_tol_stops_early(spark):
     c = cents(spark, [(0, 0), (10, 0)])
     res = fit(p, c, max_iter=50, tol=0.0)
     assert len(res.history) <= 3
+
+
+def test_fast_path_matches_exact_on_fixture(spark):
+    p, s = td.points64(spark, SF), td.start64(spark, SF)
+    a = fit(p, s, max_iter=4)
+    b = fit(p, s, max_iter=4, exact=False)
+    assert sorted((r.cluster_id, tuple(r.coord)) for r in a.centroids().collect()) == \
+        sorted((r.cluster_id, tuple(r.coord)) for r in b.centroids().collect())
