@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.operators import kernels
+from centrix.operators.blocks import iter_blocks, to_blocks
 from centrix.session import ship_package
 from centrix.operators.assign import assign
 from centrix.operators.model import Model, collect_model, model_sql
@@ -34,10 +35,19 @@ STATS_SCHEMA = "cluster_id INT, n BIGINT, s ARRAY<DOUBLE>, cost DOUBLE"
 
 def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFrame:
     """Per-partition (cluster_id, n, sum vector, cost); one row per non-empty
-    cluster per partition."""
+    cluster per partition.  ``points`` is a block table or ``(coord)`` rows."""
     ship_package(points.sparkSession)
     bc = points.sparkSession.sparkContext.broadcast((model.ids, model.C))
     d = model.d
+    blocked = "x" in points.columns
+
+    def matrices(batches):
+        if blocked:
+            for _, X in iter_blocks(batches, d):
+                yield X
+        else:
+            for b in batches:
+                yield kernels.coords(b, d)
 
     def fn(batches):
         ids, C = bc.value
@@ -45,8 +55,7 @@ def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFra
         n = np.zeros(k, dtype=np.int64)
         S = np.zeros((k, d), dtype=np.float64)
         cost = np.zeros(k, dtype=np.float64)
-        for b in batches:
-            X = kernels.coords(b, d)
+        for X in matrices(batches):
             if X.shape[0] == 0:
                 continue
             idx, dist = kernels.nearest(X, C) if exact else kernels.nearest_fast(X, C)
@@ -60,7 +69,8 @@ def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFra
                 [pa.array(ids[m]), pa.array(n[m]), sums, pa.array(cost[m])],
                 names=["cluster_id", "n", "s", "cost"])
 
-    return points.select("coord").mapInArrow(fn, STATS_SCHEMA), bc
+    src = points.select("x") if blocked else points.select("coord")
+    return src.mapInArrow(fn, STATS_SCHEMA), bc
 
 
 def _stats_sql(points: DataFrame, model: Model) -> DataFrame:
@@ -113,19 +123,36 @@ def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partiti
 def spread_for_iterations(pts: DataFrame, persist: bool = True) -> DataFrame:
     """Input that will be scanned once per iteration: give it at least one
     partition per core (a one-time round-robin shuffle, only when the input
-    has fewer partitions than the cluster has task slots) and persist it."""
+    has fewer partitions than the cluster has task slots), and persist it."""
+    slots = pts.sparkSession.sparkContext.defaultParallelism
+    if pts.rdd.getNumPartitions() < slots:
+        pts = pts.repartition(slots)
     if persist:
-        slots = pts.sparkSession.sparkContext.defaultParallelism
-        if pts.rdd.getNumPartitions() < slots:
-            pts = pts.repartition(slots)
         pts = pts.persist(StorageLevel.MEMORY_AND_DISK)
     return pts
 
 
+def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
+    """``(point_id, cluster_id, dist)`` for every point of a block table."""
+    ship_package(blocks.sparkSession)
+    bc = blocks.sparkSession.sparkContext.broadcast((model.ids, model.C))
+    d = model.d
+
+    def fn(batches):
+        ids_c, C = bc.value
+        for pid, X in iter_blocks(batches, d):
+            idx, dist = kernels.nearest(X, C)
+            yield pa.RecordBatch.from_arrays([pa.array(pid), pa.array(ids_c[idx]), pa.array(dist)],
+                                             names=["point_id", "cluster_id", "dist"])
+
+    return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
+
+
 @dataclass
 class LloydResult:
     points: DataFrame
     history: list = field(default_factory=list)   # (iter, Model, n, cost)
+    blocks: DataFrame | None = None
 
     @property
     def spark(self):
@@ -153,6 +180,8 @@ class LloydResult:
 
     def labels(self, method: str = "arrow") -> DataFrame:
         """``(point_id, cluster_id, dist)`` under the final centroids (lazy, distributed)."""
+        if method == "arrow" and self.blocks is not None:
+            return labels_from_blocks(self.blocks, self.final)
         return assign(self.points, self.final, method=method)
 
     def labels_at(self, iters, method: str = "arrow") -> DataFrame:
@@ -160,7 +189,9 @@ class LloydResult:
         out = None
         for it, model, _, _ in self.history:
             if it in set(iters):
-                df = assign(self.points, model, method=method).select(F.lit(it).alias("iter"), "*")
+                lab = labels_from_blocks(self.blocks, model) if (method == "arrow" and self.blocks is not None) \
+                    else assign(self.points, model, method=method)
+                df = lab.select(F.lit(it).alias("iter"), "*")
                 out = df if out is None else out.unionByName(df)
         if out is None:
             raise ValueError("no such iteration")
@@ -168,11 +199,13 @@ class LloydResult:
 
     def unpersist(self) -> None:
         self.points.unpersist()
+        if self.blocks is not None:
+            self.blocks.unpersist()
 
 
 def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         tol: float | None = None, method: str = "arrow", persist: bool = True,
-        exact: bool = True) -> LloydResult:
+        exact: bool = True, layout: str = "blocks") -> LloydResult:
     """K1: Lloyd k-means from given start centroids, for a fixed number of
     iterations (optional ``tol``: stop once no centroid moves more than tol,
     squared).  ``exact=False`` picks nearest centroids with BLAS products
@@ -182,12 +215,22 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     if empty not in ("keep", "drop"):
         raise ValueError("empty must be 'keep' or 'drop'")
     spark = points.sparkSession
-    pts = spread_for_iterations(points.select("point_id", "coord"), persist)
     model = collect_model(start, spark)
-    result = LloydResult(pts)
-    n_parts = pts.rdd.getNumPartitions()
+    if method == "arrow" and layout == "blocks":
+        # points are packed once into dense blocks; every pass scans the blocks
+        pts = spread_for_iterations(points.select("point_id", "coord"), persist=False)
+        blocks = to_blocks(pts, model.d)
+        if persist:
+            blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+        result = LloydResult(points.select("point_id", "coord"), blocks=blocks)
+        scan = blocks
+    else:
+        pts = spread_for_iterations(points.select("point_id", "coord"), persist)
+        result = LloydResult(pts)
+        scan = pts
+    n_parts = scan.rdd.getNumPartitions()
     for it in range(1, max_iter + 1):
-        n, S, cost = lloyd_step(pts, model, method, n_parts, exact)
+        n, S, cost = lloyd_step(scan, model, method, n_parts, exact)
         result.history.append((it, model, n, cost))
         if it == max_iter:
             break
@@ -199,7 +242,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         else:
             new = Model(model.ids.copy(), C)
         if tol is not None and new.k == model.k and float(np.max(np.sum((new.C - model.C) ** 2, axis=1))) <= tol:
-            n, S, cost = lloyd_step(pts, new, method, n_parts, exact)
+            n, S, cost = lloyd_step(scan, new, method, n_parts, exact)
             result.history.append((it + 1, new, n, cost))
             break
         model = new
