@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from centrix.functions.hashrand import hash_uniform_sql, np_hash_uniform, stream
 from centrix.functions.numeric import n_local_trials
 from centrix.operators import kernels
+from centrix.operators.blocks import to_blocks
 from centrix.session import ship_package
 
 RACE_SCHEMA = "t INT, s INT, pot DOUBLE, key DOUBLE, point_id BIGINT, coord ARRAY<DOUBLE>"
@@ -120,12 +121,9 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
         best_key = np.full((T, S), np.inf)
         best_id = np.full((T, S), -1, dtype=np.int64)
         best_x = np.zeros((T, S, d))
-        for b in batches:
-            X = kernels.coords(b, d)
+        for ids, X, dn in _state_blocks(batches, d):
             if X.shape[0] == 0:
                 continue
-            ids = b.column(b.schema.get_field_index("point_id")).to_numpy(zero_copy_only=False)
-            dn = b.column(b.schema.get_field_index("dn")).to_numpy(zero_copy_only=False).astype(np.float64)
             if pend.shape[0]:
                 dn = np.minimum(dn, kernels.sq_dists(X, pend).min(axis=1))
             logs = [np.log(np_hash_uniform(s, ids)) for s in strm]
@@ -158,7 +156,7 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
              pa.array(rows_x, pa.list_(pa.float64()))],
             names=["t", "s", "pot", "key", "point_id", "coord"])
 
-    part = state.select("point_id", "coord", "dn").mapInArrow(fn, RACE_SCHEMA)
+    part = state.select("ids", "x", "dn").mapInArrow(fn, RACE_SCHEMA)
     return part, bc
 
 
@@ -189,47 +187,65 @@ def _reduce_races(part: DataFrame, n_partitions: int, trials: int) -> list[dict]
     return [r.asDict(recursive=True) for r in agg.collect()]
 
 
+def _state_blocks(batches, d: int):
+    """``(ids, X, dn)`` per block row; a NULL ``dn`` means +inf (no centre yet)."""
+    for b in batches:
+        ids_col = b.column(b.schema.get_field_index("ids"))
+        x_col = b.column(b.schema.get_field_index("x"))
+        dn_col = b.column(b.schema.get_field_index("dn"))
+        for i in range(b.num_rows):
+            ids = np.frombuffer(ids_col[i].as_buffer(), dtype=np.int64)
+            X = np.frombuffer(x_col[i].as_buffer(), dtype=np.float64).reshape(-1, d)
+            if dn_col[i].is_valid:
+                dn = np.frombuffer(dn_col[i].as_buffer(), dtype=np.float64)
+            else:
+                dn = np.full(ids.shape[0], np.inf)
+            yield ids, X, dn
+
+
 def _fold(state: DataFrame, pending: np.ndarray, d: int) -> DataFrame:
-    """New state with the pending centres folded into ``dn`` (map-only)."""
+    """New state blocks with the pending centres folded into ``dn`` (map-only)."""
     spark = state.sparkSession
     ship_package(spark)
     bc = spark.sparkContext.broadcast(pending)
 
     def fn(batches):
         pend = bc.value
-        for b in batches:
-            X = kernels.coords(b, d)
-            dn = b.column(b.schema.get_field_index("dn")).to_numpy(zero_copy_only=False).astype(np.float64)
+        for ids, X, dn in _state_blocks(batches, d):
             if X.shape[0] and pend.shape[0]:
                 dn = np.minimum(dn, kernels.sq_dists(X, pend).min(axis=1))
             yield pa.RecordBatch.from_arrays(
-                [b.column(b.schema.get_field_index("point_id")), b.column(b.schema.get_field_index("coord")),
-                 pa.array(dn)], names=["point_id", "coord", "dn"])
+                [pa.array([len(ids)], pa.int32()), pa.array([d], pa.int32()),
+                 pa.array([ids.tobytes()], pa.binary()), pa.array([X.tobytes()], pa.binary()),
+                 pa.array([np.ascontiguousarray(dn).tobytes()], pa.binary())],
+                names=["n", "d", "ids", "x", "dn"])
 
-    coord_type = state.schema["coord"].dataType.simpleString()
-    return state.mapInArrow(fn, f"point_id BIGINT, coord {coord_type}, dn DOUBLE")
+    return state.select("ids", "x", "dn").mapInArrow(fn, "n INT, d INT, ids BINARY, x BINARY, dn BINARY")
 
 
 def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = None,
              checkpoint_every: int = 8) -> DataFrame:
     """Greedy k-means++ start centroids ``(cluster_id, point_id, coord)``.
 
-    One pass over the points per centre.  The nearest-distance state is a
-    column of a persisted table; every ``checkpoint_every`` centres it is
-    rewritten and checkpointed to the shared checkpoint folder, which bounds
-    both the lineage and the pending centres each pass folds in.
+    One pass over the points per centre.  The points are packed once into
+    dense blocks (see ``operators.blocks``) and the nearest-distance state is a
+    BINARY column beside each block; every ``checkpoint_every`` centres the
+    blocks are rewritten with the pending centres folded in and checkpointed
+    to the shared checkpoint folder, which bounds both the lineage and the
+    pending centres each pass folds in.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
     trials = n_trials or n_local_trials(k)
     from centrix.plans.lloyd import spread_for_iterations
-    pts = spread_for_iterations(points.select("point_id", "coord"))
-    d = int(pts.select(F.size("coord")).first()[0])
-    first = uniform_pick(pts, seed).first()
+    base = points.select("point_id", "coord")
+    pts = spread_for_iterations(base, persist=False)
+    d = int(base.select(F.size("coord")).first()[0])
+    first = uniform_pick(base, seed).first()
     if first is None:
         raise ValueError("no points")
     chosen = [(int(first["point_id"]), [float(v) for v in first["coord"]])]
-    state = pts.select("point_id", "coord", F.lit(float("inf")).alias("dn")).persist(StorageLevel.MEMORY_AND_DISK)
+    state = to_blocks(pts, d).withColumn("dn", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)
     n_parts = state.rdd.getNumPartitions()
     pending = [chosen[0][1]]
     cands = None
@@ -258,7 +274,7 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
         if any(w is None for w in nxt_c):
             # every remaining point sits on a chosen centre: lowest unused id
             used = [c[0] for c in chosen]
-            row = pts.filter(~F.col("point_id").isin(used)).agg(F.min(F.struct("point_id", "coord")).alias("m")).first()
+            row = base.filter(~F.col("point_id").isin(used)).agg(F.min(F.struct("point_id", "coord")).alias("m")).first()
             if row is None or row["m"] is None:
                 raise ValueError(f"k={k} exceeds the number of points")
             cands = [(int(row["m"]["point_id"]), [float(v) for v in row["m"]["coord"]])]
@@ -271,7 +287,6 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
             state = new_state
             pending = []
     state.unpersist()
-    pts.unpersist()
     spark = points.sparkSession
     return spark.createDataFrame([(i + 1, pid, c) for i, (pid, c) in enumerate(chosen)],
                                  "cluster_id INT, point_id BIGINT, coord ARRAY<DOUBLE>")
