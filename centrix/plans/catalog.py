@@ -415,3 +415,36 @@ def q_score(spark, sf):
     res = fit(pts, td.start64(spark, sf), max_iter=4)
     rec = score_record("embeddings64", pts, lab, res.labels())
     return rec.withColumn("nmi", F.col("nmi").cast("decimal(12,6)"))
+
+
+
+# ---- run history over data-derived sets (measured times: rows-only checks) -----
+
+from centrix.operators.history import combine_times  # noqa: E402
+from centrix.operators.report import by_sample_size  # noqa: E402
+from centrix.plans.runs import time_fits, train_many, write_dataset  # noqa: E402
+
+
+@query("run_history_fixtures")
+def q_run_history(spark, sf):
+    """K4 end to end: both fixture sets written as text data sets, one trained,
+    then the job resumes and trains only the one not yet recorded."""
+    root = scratch_path(spark, "datasets")
+    write_dataset(root, "embeddings64", td.points64(spark, sf), td.partition64(spark, sf),
+                  start=td.start64(spark, sf))
+    write_dataset(root, "events2", td.points2(spark, sf), td.partition2(spark, sf), start=td.start2(spark, sf))
+    hist = scratch_path(spark, "history")
+    train_many(spark, root, ["embeddings64"], hist, max_iter=5)
+    return train_many(spark, root, ["embeddings64", "events2"], hist, max_iter=5)
+
+
+@query("timing_report_fixtures")
+def q_timing_report(spark, sf):
+    """J7 + K6: per-system training times joined to the catalogue by name,
+    then one (family, system, n_samples, time_ms) series per family."""
+    sets = {"embeddings64": (td.points64(spark, sf), td.start64(spark, sf)),
+            "events2": (td.points2(spark, sf), td.start2(spark, sf))}
+    per_system = {m: spark.createDataFrame(time_fits(sets, 5, m), "dataset STRING, time DOUBLE")
+                  for m in ("arrow", "sql")}
+    combined = combine_times(q_catalogue(spark, sf), per_system)
+    return by_sample_size(combined, ["embeddings", "events"])

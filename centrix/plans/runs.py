@@ -45,6 +45,33 @@ def train_many(spark: SparkSession, root: str, names: list[str], history_path: s
     return history
 
 
+def write_dataset(root: str, name: str, points: DataFrame, partition: DataFrame | None = None,
+                  true_centroids: DataFrame | None = None, start: DataFrame | None = None) -> None:
+    """Write the roles of one data set as integer text files under ``root``
+    (``name.txt``, ``-pa``, ``-c``, ``-ic``), each in id order (S5)."""
+    from centrix.sources.text import write_points
+    base = f"{root.rstrip('/')}/{name}"
+    write_points(points, f"{base}.txt")
+    if partition is not None:
+        write_points(partition.select("point_id", F.array("label").alias("coord")), f"{base}-pa.txt")
+    if true_centroids is not None:
+        write_points(true_centroids.withColumnRenamed("cluster_id", "point_id"), f"{base}-c.txt")
+    if start is not None:
+        write_points(start.withColumnRenamed("cluster_id", "point_id"), f"{base}-ic.txt")
+
+
+def time_fits(named_sets: dict, max_iter: int, method: str) -> list[tuple[str, float]]:
+    """Wall time (ms, 3 decimals) of one fit per data set: ``{name: (points, start)}``."""
+    out = []
+    for name, (points, start) in named_sets.items():
+        t0 = time.time()
+        res = fit(points, start, max_iter=max_iter, method=method)
+        res.centroids().collect()
+        out.append((name, round((time.time() - t0) * 1000.0, 3)))
+        res.unpersist()
+    return out
+
+
 def score_record(name: str, points: DataFrame, partition: DataFrame, labels: DataFrame,
                  time_ms: float | None = None) -> DataFrame:
     """K8: one row ``(dataset, n_samples, n_features, n_clusters,
