@@ -184,8 +184,8 @@ def q_smoke(spark, sf):
 def exact_cost_curve(res) -> DataFrame:
     """(iter, cost DECIMAL) recomputed per iteration from the centroid history."""
     out = None
-    for it, model, _, _ in res.history:
-        df = COST.total_cost(A.assign(res.points, model, method="arrow")).select(
+    for it, _, _, _ in res.history:
+        df = COST.total_cost(A.assign(res.points, res.model_at(it), method="arrow")).select(
             F.lit(it).cast("int").alias("iter"), "cost")
         out = df if out is None else out.unionByName(df)
     return out

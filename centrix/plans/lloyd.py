@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 
 from centrix.operators import kernels
 from centrix.operators.blocks import iter_blocks, to_blocks
-from centrix.session import ship_package
+from centrix.session import scratch_path, ship_package
 from centrix.operators.assign import assign
 from centrix.operators.model import Model, collect_model, model_sql
 from centrix.operators.assign import SQ_DIST_LAMBDA
@@ -148,11 +148,39 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
 
 
+# Centroid history kept in driver memory up to this many bytes in total; past
+# it, each superseded model is appended to a Parquet table in the shared
+# checkpoint folder and only the table is kept.
+MAX_HISTORY_BYTES = 64 << 20
+
+
 @dataclass
 class LloydResult:
     points: DataFrame
-    history: list = field(default_factory=list)   # (iter, Model, n, cost)
+    history: list = field(default_factory=list)   # (iter, Model | None, n, cost)
     blocks: DataFrame | None = None
+    history_path: str | None = None                # spilled models, when any
+
+    def _spill(self) -> None:
+        """Write the second-to-last model to the history table and drop it
+        from memory (the last one is still needed)."""
+        if len(self.history) < 2 or self.history[-2][1] is None:
+            return
+        it, model, n, cost = self.history[-2]
+        if self.history_path is None:
+            self.history_path = scratch_path(self.spark, "centroid-history")
+        model.to_df(self.spark, n).select(F.lit(it).cast("int").alias("iter"), "*") \
+            .write.mode("append").parquet(self.history_path)
+        self.history[-2] = (it, None, n, cost)
+
+    def model_at(self, it: int) -> Model:
+        for i, model, _, _ in self.history:
+            if i == it:
+                if model is not None:
+                    return model
+                rows = self.spark.read.parquet(self.history_path).filter(F.col("iter") == it)
+                return collect_model(rows.select("cluster_id", "coord"), self.spark)
+        raise ValueError("no such iteration")
 
     @property
     def spark(self):
@@ -170,8 +198,12 @@ class LloydResult:
     def centroid_history(self) -> DataFrame:
         """K2: ``(iter, cluster_id, n, coord)`` for every iteration."""
         rows = [(it, int(i), int(m), [float(v) for v in c])
-                for it, model, n, _ in self.history for i, c, m in zip(model.ids, model.C, n)]
-        return self.spark.createDataFrame(rows, "iter INT, cluster_id INT, n BIGINT, coord ARRAY<DOUBLE>")
+                for it, model, n, _ in self.history if model is not None
+                for i, c, m in zip(model.ids, model.C, n)]
+        df = self.spark.createDataFrame(rows, "iter INT, cluster_id INT, n BIGINT, coord ARRAY<DOUBLE>")
+        if self.history_path is not None:
+            df = self.spark.read.parquet(self.history_path).select("iter", "cluster_id", "n", "coord").unionByName(df)
+        return df
 
     def costs(self) -> DataFrame:
         """K3: ``(iter, cost)`` cost curve (double; see cost.total_cost for exact decimals)."""
@@ -187,8 +219,9 @@ class LloydResult:
     def labels_at(self, iters, method: str = "arrow") -> DataFrame:
         """K2: ``(iter, point_id, cluster_id, dist)`` for the asked-for iterations."""
         out = None
-        for it, model, _, _ in self.history:
+        for it, _, _, _ in self.history:
             if it in set(iters):
+                model = self.model_at(it)
                 lab = labels_from_blocks(self.blocks, model) if (method == "arrow" and self.blocks is not None) \
                     else assign(self.points, model, method=method)
                 df = lab.select(F.lit(it).alias("iter"), "*")
@@ -229,9 +262,12 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         result = LloydResult(pts)
         scan = pts
     n_parts = scan.rdd.getNumPartitions()
+    spill = model.nbytes * max_iter > MAX_HISTORY_BYTES
     for it in range(1, max_iter + 1):
         n, S, cost = lloyd_step(scan, model, method, n_parts, exact)
         result.history.append((it, model, n, cost))
+        if spill:
+            result._spill()
         if it == max_iter:
             break
         keep = n > 0
@@ -244,6 +280,8 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         if tol is not None and new.k == model.k and float(np.max(np.sum((new.C - model.C) ** 2, axis=1))) <= tol:
             n, S, cost = lloyd_step(scan, new, method, n_parts, exact)
             result.history.append((it + 1, new, n, cost))
+            if spill:
+                result._spill()
             break
         model = new
     return result

@@ -109,3 +109,15 @@ def test_fast_path_matches_exact_on_fixture(spark):
     b = fit(p, s, max_iter=4, exact=False)
     assert sorted((r.cluster_id, tuple(r.coord)) for r in a.centroids().collect()) == \
         sorted((r.cluster_id, tuple(r.coord)) for r in b.centroids().collect())
+
+
+def test_history_spills_past_the_bound(spark, monkeypatch):
+    import centrix.plans.lloyd as L
+    p, s = td.points2(spark, SF), td.start2(spark, SF)
+    whole = L.fit(p, s, max_iter=4)
+    monkeypatch.setattr(L, "MAX_HISTORY_BYTES", 1)
+    spilled = L.fit(p, s, max_iter=4)
+    assert spilled.history_path is not None and spilled.history[0][1] is None
+    key = lambda df: sorted(tuple(r) for r in df.collect())
+    assert key(spilled.centroid_history()) == key(whole.centroid_history())
+    assert key(spilled.labels_at([1, 4])) == key(whole.labels_at([1, 4]))
