@@ -182,13 +182,12 @@ def q_smoke(spark, sf):
 
 
 def exact_cost_curve(res) -> DataFrame:
-    """(iter, cost DECIMAL) recomputed per iteration from the centroid history."""
-    out = None
-    for it, _, _, _ in res.history:
-        df = COST.total_cost(A.assign(res.points, res.model_at(it), method="arrow")).select(
-            F.lit(it).cast("int").alias("iter"), "cost")
-        out = df if out is None else out.unionByName(df)
-    return out
+    """(iter, cost DECIMAL) recomputed from the centroid history: one union
+    of per-iteration label passes over the persisted blocks, then one
+    aggregate keyed by iteration."""
+    labels = res.labels_at([it for it, _, _, _ in res.history])
+    return labels.groupBy(F.col("iter").cast("int").alias("iter")).agg(
+        F.sum(F.col("dist").cast(COST.COST_TYPE)).alias("cost"))
 
 
 @query("lloyd_cost_curve_points64", O.lloyd_costs(O.POINTS64, O.START64, 4, 64))
