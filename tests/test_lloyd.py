@@ -121,3 +121,13 @@ def test_history_spills_past_the_bound(spark, monkeypatch):
     key = lambda df: sorted(tuple(r) for r in df.collect())
     assert key(spilled.centroid_history()) == key(whole.centroid_history())
     assert key(spilled.labels_at([1, 4])) == key(whole.labels_at([1, 4]))
+
+
+def test_history_is_per_iteration_not_final_copies(spark):
+    p = pts(spark, [(0, 0), (0, 2), (10, 0), (10, 2)])
+    c = cents(spark, [(0, 0), (10, 0)])
+    res = fit(p, c, max_iter=3)
+    hist = {(r.iter, r.cluster_id): tuple(r.coord) for r in res.centroid_history().collect()}
+    assert hist[(1, 1)] == (0.0, 0.0) and hist[(2, 1)] == (0.0, 1.0) and hist[(3, 1)] == (0.0, 1.0)
+    costs = [r.cost for r in res.costs().orderBy("iter").collect()]
+    assert costs == [8.0, 4.0, 4.0]
