@@ -148,6 +148,21 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
 
 
+# Distance work (n * k * d) below which one more scan task costs more in
+# scheduling than it saves; small inputs are scanned by fewer tasks
+# (coalesce, no shuffle), large inputs keep every partition.
+MIN_TASK_WORK = 20_000_000
+
+
+def size_scan(blocks: DataFrame, k: int, d: int) -> DataFrame:
+    """Materialise the persisted blocks (one pass that also counts points)
+    and coalesce them when the per-pass work is too small for all tasks."""
+    n = blocks.agg(F.sum("n")).first()[0] or 0
+    parts = blocks.rdd.getNumPartitions()
+    tasks = max(1, min(parts, -(-n * k * d // MIN_TASK_WORK)))
+    return blocks.coalesce(tasks) if tasks < parts else blocks
+
+
 # Centroid history kept in driver memory up to this many bytes in total; past
 # it, each superseded model is appended to a Parquet table in the shared
 # checkpoint folder and only the table is kept.
@@ -255,8 +270,10 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         blocks = to_blocks(pts, model.d)
         if persist:
             blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
+            scan = size_scan(blocks, model.k, model.d)
+        else:
+            scan = blocks
         result = LloydResult(points.select("point_id", "coord"), blocks=blocks)
-        scan = blocks
     else:
         pts = spread_for_iterations(points.select("point_id", "coord"), persist)
         result = LloydResult(pts)
