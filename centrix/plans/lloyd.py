@@ -148,10 +148,10 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
     return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
 
 
-# Distance work (n * k * d) below which one more scan task costs more in
+# Distance work (n * k * d) per task below which one more scan task costs more in
 # scheduling than it saves; small inputs are scanned by fewer tasks
 # (coalesce, no shuffle), large inputs keep every partition.
-MIN_TASK_WORK = 20_000_000
+MIN_TASK_WORK = 5_000_000
 
 
 def size_scan(blocks: DataFrame, k: int, d: int) -> DataFrame:
