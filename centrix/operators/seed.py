@@ -245,7 +245,10 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     if first is None:
         raise ValueError("no points")
     chosen = [(int(first["point_id"]), [float(v) for v in first["coord"]])]
+    from centrix.plans.lloyd import size_scan
     state = to_blocks(pts, d).withColumn("dn", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)
+    # per pass: pending centres + candidates (distances) and trials^2 races per point
+    state = size_scan(state, checkpoint_every + trials * (trials + 1), d)
     n_parts = state.rdd.getNumPartitions()
     pending = [chosen[0][1]]
     cands = None
@@ -282,7 +285,9 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
         else:
             cands = [(int(w["point_id"]), [float(v) for v in w["coord"]]) for w in nxt_c]
         if len(pending) >= checkpoint_every:
-            new_state = _fold(state, np.asarray(pending, dtype=np.float64).reshape(-1, d), d).checkpoint(eager=True)
+            folded = _fold(state, np.asarray(pending, dtype=np.float64).reshape(-1, d), d)
+            new_state = folded.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+            new_state.count()
             state.unpersist()
             state = new_state
             pending = []
