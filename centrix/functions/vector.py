@@ -49,8 +49,22 @@ SQ_DIST_SQL = ("aggregate(zip_with(a, b, (x, y) -> (x - y) * (x - y)), 0D, "
                "(acc, t) -> acc + t)")
 
 
+MODEL_TYPE = "ARRAY<STRUCT<cluster_id: INT, coord: ARRAY<DOUBLE>>>"
+
+
 def register_sql_functions(spark: SparkSession) -> None:
-    """Make ``sq_dist(a, b)`` callable from SQL text (the reference's scalar
-    distance function), as a SQL function: no Python in the row path."""
+    """SQL functions, no Python in the row path:
+
+    * ``sq_dist(a, b)``: squared distance of two vectors.
+    * ``nearest_centroid(coord, model)``: ``struct(dist, cluster_id)`` of the
+      nearest entry of a model array (lowest id on a tie).  With the model as
+      a scalar subquery, ``(SELECT array_sort(collect_list(struct(cluster_id,
+      coord))) FROM centroids)``, Spark evaluates the subquery once and ships
+      the value with every task: no join, no shuffle of the points.
+    """
     spark.sql("CREATE OR REPLACE TEMPORARY FUNCTION sq_dist(a ARRAY<DOUBLE>, b ARRAY<DOUBLE>) "
               f"RETURNS DOUBLE RETURN {SQ_DIST_SQL}")
+    spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION nearest_centroid(p ARRAY<DOUBLE>, m {MODEL_TYPE}) "
+              "RETURNS STRUCT<dist: DOUBLE, cluster_id: INT> RETURN "
+              "array_min(transform(m, c -> named_struct('dist', aggregate(zip_with(p, c.coord, "
+              "(x, y) -> (x - y) * (x - y)), 0D, (acc, t) -> acc + t), 'cluster_id', c.cluster_id)))")

@@ -365,6 +365,18 @@ def q_sqdist_sql(spark, sf):
                      "AS dist FROM centrix_points2")
 
 
+@query("nearest_sql_function_points2", _assign_sql(O.POINTS2, O.START2))
+def q_nearest_sql(spark, sf):
+    register_sql_functions(spark)
+    td.points2(spark, sf).createOrReplaceTempView("centrix_points2")
+    td.start2(spark, sf).createOrReplaceTempView("centrix_start2")
+    return spark.sql(
+        "SELECT point_id, b.cluster_id AS cluster_id, b.dist AS dist FROM ("
+        "SELECT point_id, nearest_centroid(CAST(coord AS ARRAY<DOUBLE>), "
+        "(SELECT array_sort(collect_list(struct(cluster_id, coord))) FROM centrix_start2)) AS b "
+        "FROM centrix_points2)")
+
+
 @query("parse_json_points2", f"SELECT point_id, CAST(coord AS DOUBLE[]) AS coord FROM ({O.POINTS2})")
 def q_json(spark, sf):
     text = td.points2(spark, sf).select(

@@ -27,3 +27,17 @@ def test_aggregates_combine_map_side(spark):
 def test_scan_reads_only_needed_columns(spark):
     plan = _plan(td.points2(spark, SF))
     assert "ReadSchema: struct<event_id:bigint,user_id:bigint,value:double>" in plan, plan
+
+
+def test_sql_function_with_scalar_subquery_is_map_only(spark):
+    from centrix.functions.vector import register_sql_functions
+    register_sql_functions(spark)
+    td.points2(spark, SF).createOrReplaceTempView("plan_points2")
+    td.start2(spark, SF).createOrReplaceTempView("plan_start2")
+    df = spark.sql("SELECT point_id, nearest_centroid(CAST(coord AS ARRAY<DOUBLE>), "
+                   "(SELECT array_sort(collect_list(struct(cluster_id, coord))) FROM plan_start2)) AS b "
+                   "FROM plan_points2")
+    plan = _plan(df)
+    main = plan.split("Subquery")[0]
+    assert "Join" not in plan and "Exchange hashpartitioning(point_id" not in main, plan
+    assert "Subquery" in plan or "subquery" in plan
