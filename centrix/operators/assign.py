@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 
 from centrix.operators import kernels
 from centrix.session import ship_package
-from centrix.operators.model import Model, collect_model, max_model_bytes, model_sql
+from centrix.operators.model import MAX_LITERAL_VALUES, Model, collect_model, model_sql
 
 SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBLE) - y) * "
                   "(CAST(x AS DOUBLE) - y)), 0D, (acc, t) -> acc + t)")
@@ -43,6 +43,13 @@ def assign(points: DataFrame, centroids, method: str = "sql", keep_coord: bool =
     """A1: ``(point_id, cluster_id, dist[, coord])`` for every point."""
     spark = points.sparkSession
     model = collect_model(centroids, spark)
+    if method == "sql" and model.C.size > MAX_LITERAL_VALUES:
+        # too large to embed in the plan: one map-only pass per block
+        cents = centroids if isinstance(centroids, DataFrame) else model.to_df(spark)
+        out = assign_blocked(points, cents)
+        if keep_coord:
+            out = out.join(points.select("point_id", "coord"), "point_id")
+        return out
     if method == "sql":
         best = points.select("point_id", "coord", F.expr(_best_sql(model)).alias("_b"))
         return best.select("point_id", F.col("_b.cluster_id").cast("int").alias("cluster_id"),
@@ -78,15 +85,15 @@ def _assign_arrow(points: DataFrame, model: Model, keep_coord: bool) -> DataFram
 def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | None = None) -> DataFrame:
     """A1 for a centroid table too large to ship whole.
 
-    The table is cut into blocks of cluster_id rank, each under the model size
-    bound.  One map-only pass per block folds the block's best
+    The table is cut into blocks of cluster_id rank, each under the
+    plan-literal bound.  One map-only pass per block folds the block's best
     ``struct(dist, cluster_id)`` into the running best with ``least`` (lowest
     id wins a tie), and each pass is checkpointed to the shared checkpoint
     folder, so a task only ever holds one block.
     """
     spark = points.sparkSession
     d = int(centroids.select(F.size("coord")).first()[0])
-    block_rows = block_rows or max(1, max_model_bytes(spark) // (8 * d))
+    block_rows = block_rows or max(1, MAX_LITERAL_VALUES // d)
     ranked = centroids.select(F.col("cluster_id").cast("int"), "coord",
                               F.floor((F.dense_rank().over(Window.orderBy("cluster_id")) - 1)
                                       / block_rows).alias("_blk")).persist(StorageLevel.MEMORY_AND_DISK)

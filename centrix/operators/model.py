@@ -20,6 +20,11 @@ from pyspark.sql import functions as F
 MAX_MODEL_BYTES = 256 << 20
 
 
+# Upper bound on the number of values of a model embedded in a query plan as
+# a literal (the SQL forms).  Larger models go through the blocked form.
+MAX_LITERAL_VALUES = 1_000_000
+
+
 def max_model_bytes(spark: SparkSession | None) -> int:
     if spark is None:
         return MAX_MODEL_BYTES
@@ -109,6 +114,8 @@ def _dbl(v: float) -> str:
 def model_sql(model: Model) -> str:
     """The model as one SQL array literal ``ARRAY<STRUCT<cluster_id, coord>>``,
     sorted by cluster_id (the value shipped with every task)."""
+    if model.C.size > MAX_LITERAL_VALUES:
+        raise ModelTooLarge(f"{model.C.size} values exceed the plan-literal bound {MAX_LITERAL_VALUES}")
     parts = []
     for cid, c in zip(model.ids.tolist(), model.C.tolist()):
         parts.append(f"named_struct('cluster_id', {cid}, 'coord', array({', '.join(_dbl(v) for v in c)}))")

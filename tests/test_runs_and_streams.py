@@ -79,3 +79,14 @@ def test_score_stream(spark):
     got = sorted(tuple(r) for r in spark.table("centrix_scored").collect())
     want = sorted(tuple(r) for r in assign(td.points2(spark, SF), td.start2(spark, SF)).collect())
     assert got == want
+
+
+def test_sql_assign_routes_large_models_to_blocks(spark, monkeypatch):
+    import centrix.operators.assign as AS
+    import centrix.operators.model as MD
+    p, s = td.points64(spark, SF), td.start64(spark, SF)
+    whole = sorted(tuple(r) for r in assign(p, s, method="sql").collect())
+    monkeypatch.setattr(MD, "MAX_LITERAL_VALUES", 200)
+    monkeypatch.setattr(AS, "MAX_LITERAL_VALUES", 200)
+    routed = sorted(tuple(r) for r in assign(p, s, method="sql").collect())
+    assert routed == whole
