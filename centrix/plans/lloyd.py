@@ -93,28 +93,29 @@ def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partiti
     """One assignment pass: arrays (n[k], S[k, d], cost[k]) in model order."""
     part, bc = _stats_arrow(points, model, exact) if method == "arrow" else _stats_sql(points, model)
     d, k = model.d, model.k
-    pos = {int(c): i for i, c in enumerate(model.ids.tolist())}
     n = np.zeros(k, dtype=np.int64)
     S = np.zeros((k, d))
     cost = np.zeros(k)
+    # model ids are sorted ascending, so a cluster id maps to its row by searchsorted
     if method == "arrow" and n_partitions is not None and k * d * n_partitions <= MAX_DRIVER_PARTIALS:
         tbl = part.toArrow()
-        cid = tbl.column("cluster_id").to_numpy()
-        idx = np.array([pos[int(c)] for c in cid], dtype=np.int64)
-        np.add.at(n, idx, tbl.column("n").to_numpy())
-        np.add.at(cost, idx, tbl.column("cost").to_numpy())
-        sums = np.asarray(tbl.column("s").combine_chunks().flatten().to_numpy(zero_copy_only=False),
-                          dtype=np.float64).reshape(-1, d)
-        np.add.at(S, idx, sums)
+        if tbl.num_rows:
+            idx = np.searchsorted(model.ids, tbl.column("cluster_id").to_numpy())
+            np.add.at(n, idx, tbl.column("n").to_numpy())
+            np.add.at(cost, idx, tbl.column("cost").to_numpy())
+            sums = np.asarray(tbl.column("s").combine_chunks().flatten().to_numpy(zero_copy_only=False),
+                              dtype=np.float64).reshape(-1, d)
+            np.add.at(S, idx, sums)
     else:
         ex = part.select("cluster_id", "n", "cost", F.posexplode("s").alias("pos", "x"))
         agg = ex.groupBy("cluster_id", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"),
                                                   F.sum("cost").alias("cost"))
-        for r in agg.toArrow().to_pylist():
-            i = pos[int(r["cluster_id"])]
-            S[i, r["pos"]] = r["x"]
-            n[i] = r["n"]
-            cost[i] = r["cost"]
+        tbl = agg.toArrow()
+        if tbl.num_rows:
+            idx = np.searchsorted(model.ids, tbl.column("cluster_id").to_numpy())
+            S[idx, tbl.column("pos").to_numpy()] = tbl.column("x").to_numpy()
+            n[idx] = tbl.column("n").to_numpy()
+            cost[idx] = tbl.column("cost").to_numpy()
     if bc is not None:
         bc.unpersist()
     return n, S, cost
