@@ -46,10 +46,7 @@ def assign(points: DataFrame, centroids, method: str = "sql", keep_coord: bool =
     if method == "sql" and model.C.size > MAX_LITERAL_VALUES:
         # too large to embed in the plan: one map-only pass per block
         cents = centroids if isinstance(centroids, DataFrame) else model.to_df(spark)
-        out = assign_blocked(points, cents)
-        if keep_coord:
-            out = out.join(points.select("point_id", "coord"), "point_id")
-        return out
+        return assign_blocked(points, cents, keep_coord=keep_coord)
     if method == "sql":
         best = points.select("point_id", "coord", F.expr(_best_sql(model)).alias("_b"))
         return best.select("point_id", F.col("_b.cluster_id").cast("int").alias("cluster_id"),
@@ -82,7 +79,8 @@ def _assign_arrow(points: DataFrame, model: Model, keep_coord: bool) -> DataFram
     return points.select("point_id", "coord").mapInArrow(fn, schema)
 
 
-def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | None = None) -> DataFrame:
+def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | None = None,
+                   keep_coord: bool = False) -> DataFrame:
     """A1 for a centroid table too large to ship whole.
 
     The table is cut into blocks of cluster_id rank, each under the
@@ -110,7 +108,7 @@ def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | No
                          F.col("_b.cluster_id").cast("int").alias("cluster_id"))
                  .checkpoint(eager=True))
     ranked.unpersist()
-    return state.select("point_id", "cluster_id", "dist")
+    return state.select("point_id", "cluster_id", "dist", *(["coord"] if keep_coord else []))
 
 
 def all_pairs(points: DataFrame, centroids) -> DataFrame:
