@@ -26,9 +26,14 @@ def round_to(x, places: int) -> Column:
     return F.round(_c(x), places)
 
 
+# Fixed value: seeding trials per centre = 2 + floor(ln k), the published
+# greedy k-means++ default.
+TRIALS_BASE = 2
+
+
 def n_local_trials(k: int) -> int:
     """Seeding trials per centre: 2 + floor(ln k)."""
-    return 2 + int(math.log(k))
+    return TRIALS_BASE + int(math.log(k))
 
 
 def per_cluster_rows(target_n: int, n: int, k: int) -> int:

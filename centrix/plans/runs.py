@@ -49,15 +49,16 @@ def write_dataset(root: str, name: str, points: DataFrame, partition: DataFrame
                   true_centroids: DataFrame | None = None, start: DataFrame | None = None) -> None:
     """Write the roles of one data set as integer text files under ``root``
     (``name.txt``, ``-pa``, ``-c``, ``-ic``), each in id order (S5)."""
+    from centrix.sources import dataset as DS
     from centrix.sources.text import write_points
     base = f"{root.rstrip('/')}/{name}"
-    write_points(points, f"{base}.txt")
+    write_points(points, base + DS.SUFFIX_POINTS)
     if partition is not None:
-        write_points(partition.select("point_id", F.array("label").alias("coord")), f"{base}-pa.txt")
+        write_points(partition.select("point_id", F.array("label").alias("coord")), base + DS.SUFFIX_PARTITION)
     if true_centroids is not None:
-        write_points(true_centroids.withColumnRenamed("cluster_id", "point_id"), f"{base}-c.txt")
+        write_points(true_centroids.withColumnRenamed("cluster_id", "point_id"), base + DS.SUFFIX_TRUE_CENTROIDS)
     if start is not None:
-        write_points(start.withColumnRenamed("cluster_id", "point_id"), f"{base}-ic.txt")
+        write_points(start.withColumnRenamed("cluster_id", "point_id"), base + DS.SUFFIX_START_CENTROIDS)
 
 
 def time_fits(named_sets: dict, max_iter: int, method: str) -> list[tuple[str, float]]:

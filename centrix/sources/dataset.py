@@ -16,6 +16,14 @@ from pyspark.sql import functions as F
 from centrix.sources.text import load_labels, load_points
 
 
+# The file names of one data set's roles, as the published
+# data sets use them (points, true partition, true centroids, start centroids).
+SUFFIX_POINTS = ".txt"
+SUFFIX_PARTITION = "-pa.txt"
+SUFFIX_TRUE_CENTROIDS = "-c.txt"
+SUFFIX_START_CENTROIDS = "-ic.txt"
+
+
 @dataclass
 class Dataset:
     name: str
@@ -34,15 +42,16 @@ def _exists(spark: SparkSession, path: str) -> bool:
 
 def load_dataset(spark: SparkSession, root: str, name: str) -> Dataset:
     base = f"{root.rstrip('/')}/{name}"
-    points = load_points(spark, f"{base}.txt")
-    part = load_labels(spark, f"{base}-pa.txt") if _exists(spark, f"{base}-pa.txt") else None
+    points = load_points(spark, base + SUFFIX_POINTS)
+    part_path = base + SUFFIX_PARTITION
+    part = load_labels(spark, part_path) if _exists(spark, part_path) else None
     true_c = None
-    if _exists(spark, f"{base}-c.txt"):
-        true_c = load_points(spark, f"{base}-c.txt", id_col="cluster_id") \
+    if _exists(spark, base + SUFFIX_TRUE_CENTROIDS):
+        true_c = load_points(spark, base + SUFFIX_TRUE_CENTROIDS, id_col="cluster_id") \
             .select(F.col("cluster_id").cast("int"), "coord")
     start_c = None
-    if _exists(spark, f"{base}-ic.txt"):
-        start_c = load_points(spark, f"{base}-ic.txt", dtype="double", id_col="cluster_id") \
+    if _exists(spark, base + SUFFIX_START_CENTROIDS):
+        start_c = load_points(spark, base + SUFFIX_START_CENTROIDS, dtype="double", id_col="cluster_id") \
             .select(F.col("cluster_id").cast("int"), "coord")
     return Dataset(name, points, part, true_c, start_c)
 
