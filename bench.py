@@ -31,6 +31,14 @@ from centrix.session import get_spark  # noqa: E402
 from centrix.sources import testdata as td  # noqa: E402
 
 
+def _sf_value(sf_dir: str):
+    name = os.path.basename(sf_dir.rstrip("/")).replace("sf", "")
+    try:
+        return float(name)
+    except ValueError:
+        return name
+
+
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
@@ -89,7 +97,7 @@ def main() -> None:
         "value": round(sum(times.values()), 3),
         "unit": "sec",
         "queries": times,
-        "sf": os.path.basename(sf_dir.rstrip("/")).replace("sf", ""),
+        "sf": _sf_value(sf_dir),
         "notes": {"nmi_expanded64": round(float(nmi), 6),
                   "cost_drop_points2_pct": round((cost2[0]["cost"] - cost2[-1]["cost"]) / cost2[0]["cost"] * 100, 3),
                   "n_points2": pts2.count(), "n_expanded64": big.count(), "n_points2x10": big2.count()},
