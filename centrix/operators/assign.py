@@ -17,7 +17,7 @@ from __future__ import annotations
 
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.operators import kernels
@@ -83,8 +83,8 @@ def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | No
                    keep_coord: bool = False) -> DataFrame:
     """A1 for a centroid table too large to ship whole.
 
-    The table is cut into blocks of cluster_id rank, each under the
-    plan-literal bound.  One map-only pass per block folds the block's best
+    The table is cut into cluster_id ranges, each under the plan-literal
+    bound.  One map-only pass per block folds the block's best
     ``struct(dist, cluster_id)`` into the running best with ``least`` (lowest
     id wins a tie), and each pass is checkpointed to the shared checkpoint
     folder, so a task only ever holds one block.
@@ -92,13 +92,15 @@ def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | No
     spark = points.sparkSession
     d = int(centroids.select(F.size("coord")).first()[0])
     block_rows = block_rows or max(1, MAX_LITERAL_VALUES // d)
+    # cluster ids are unique integers, so an id range of width block_rows holds at
+    # most block_rows centroids; no global ranking of the (large) table is needed
     ranked = centroids.select(F.col("cluster_id").cast("int"), "coord",
-                              F.floor((F.dense_rank().over(Window.orderBy("cluster_id")) - 1)
-                                      / block_rows).alias("_blk")).persist(StorageLevel.MEMORY_AND_DISK)
-    n_blocks = int(ranked.agg(F.max("_blk")).first()[0]) + 1
+                              F.floor(F.col("cluster_id") / block_rows).alias("_blk")) \
+        .persist(StorageLevel.MEMORY_AND_DISK)
+    block_ids = [r[0] for r in ranked.select("_blk").distinct().orderBy("_blk").collect()]
     state = points.select("point_id", "coord", F.lit(None).cast("double").alias("dist"),
                           F.lit(None).cast("int").alias("cluster_id"))
-    for b in range(n_blocks):
+    for b in block_ids:
         model = collect_model(ranked.filter(F.col("_blk") == b).select("cluster_id", "coord"), spark)
         blk = F.expr(_best_sql(model))
         cur = F.struct(F.col("dist").alias("dist"), F.col("cluster_id").alias("cluster_id"))
