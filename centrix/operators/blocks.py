@@ -23,9 +23,11 @@ BLOCK_BYTES = 4 << 20
 BLOCK_SCHEMA = "n INT, d INT, ids BINARY, x BINARY"
 
 
-def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``(point_id, coord)`` -> ``(n, d, ids, x)`` blocks, partition by
-    partition (no shuffle).  Rows of another length than ``d`` fail the job."""
+def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_BYTES,
+              weight: str | None = None) -> DataFrame:
+    """``(point_id, coord[, weight])`` -> ``(n, d, ids, x[, w])`` blocks,
+    partition by partition (no shuffle).  Rows of another length than ``d``
+    fail the job.  ``weight`` (a multiplicity column) is packed as float64."""
     if d is None:
         first = points.select(F.size("coord")).first()
         if first is None:
@@ -34,15 +36,18 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
     rows = max(1, block_bytes // (8 * d))
     ship_package(points.sparkSession)
 
-    def emit(ids: np.ndarray, X: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array([len(ids)], pa.int32()), pa.array([d], pa.int32()),
-             pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-             pa.array([np.ascontiguousarray(X, dtype=np.float64).tobytes()], pa.binary())],
-            names=["n", "d", "ids", "x"])
+    def emit(ids: np.ndarray, X: np.ndarray, W) -> pa.RecordBatch:
+        cols = [pa.array([len(ids)], pa.int32()), pa.array([d], pa.int32()),
+                pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
+                pa.array([np.ascontiguousarray(X, dtype=np.float64).tobytes()], pa.binary())]
+        names = ["n", "d", "ids", "x"]
+        if weight:
+            cols.append(pa.array([np.ascontiguousarray(W, dtype=np.float64).tobytes()], pa.binary()))
+            names.append("w")
+        return pa.RecordBatch.from_arrays(cols, names=names)
 
     def fn(batches):
-        pend_ids, pend_x, count = [], [], 0
+        pend_ids, pend_x, pend_w, count = [], [], [], 0
         for b in batches:
             arr = b.column(b.schema.get_field_index("coord"))
             lengths = np.diff(np.asarray(arr.offsets))
@@ -51,18 +56,40 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
             flat = np.asarray(arr.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
             pend_ids.append(b.column(b.schema.get_field_index("point_id")).to_numpy(zero_copy_only=False))
             pend_x.append(flat.reshape(-1, d))
+            if weight:
+                pend_w.append(np.asarray(b.column(b.schema.get_field_index(weight))
+                                         .to_numpy(zero_copy_only=False), dtype=np.float64))
             count += b.num_rows
             if count >= rows:
                 ids, X = np.concatenate(pend_ids), np.concatenate(pend_x)
+                W = np.concatenate(pend_w) if weight else None
                 lo = 0
                 while count - lo >= rows:
-                    yield emit(ids[lo:lo + rows], X[lo:lo + rows])
+                    yield emit(ids[lo:lo + rows], X[lo:lo + rows], W[lo:lo + rows] if weight else None)
                     lo += rows
                 pend_ids, pend_x, count = [ids[lo:]], [X[lo:]], count - lo
+                pend_w = [W[lo:]] if weight else []
         if count:
-            yield emit(np.concatenate(pend_ids), np.concatenate(pend_x))
+            yield emit(np.concatenate(pend_ids), np.concatenate(pend_x),
+                       np.concatenate(pend_w) if weight else None)
 
-    return points.select("point_id", "coord").mapInArrow(fn, BLOCK_SCHEMA)
+    cols = ["point_id", "coord"] + ([weight] if weight else [])
+    schema = BLOCK_SCHEMA + (", w BINARY" if weight else "")
+    return points.select(*cols).mapInArrow(fn, schema)
+
+
+def iter_weighted(batches, d: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
+    """Inside a task: ``(ids, X, w)`` per block row; ``w`` is None without weights."""
+    for b in batches:
+        ids_col = b.column(b.schema.get_field_index("ids"))
+        x_col = b.column(b.schema.get_field_index("x"))
+        wi = b.schema.get_field_index("w")
+        w_col = b.column(wi) if wi >= 0 else None
+        for i in range(b.num_rows):
+            ids = np.frombuffer(ids_col[i].as_buffer(), dtype=np.int64)
+            X = np.frombuffer(x_col[i].as_buffer(), dtype=np.float64).reshape(-1, d)
+            w = np.frombuffer(w_col[i].as_buffer(), dtype=np.float64) if w_col is not None else None
+            yield ids, X, w
 
 
 def iter_blocks(batches, d: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

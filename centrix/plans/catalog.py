@@ -175,6 +175,12 @@ def q_lloyd_labels2(spark, sf):
     return fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=3).labels()
 
 
+@query("lloyd_collapsed_points2", O.lloyd_centroids(O.POINTS2, O.START2, 3, 2))
+def q_lloyd_collapsed(spark, sf):
+    """Training on distinct coordinates weighted by multiplicity (A10 + K1)."""
+    return fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=3, collapse_duplicates=True).centroids()
+
+
 @query("smoke_points2", O.lloyd_centroids(O.POINTS2, O.START2, 2, 2))
 def q_smoke(spark, sf):
     from centrix.plans.lloyd import smoke

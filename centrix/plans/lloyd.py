@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.operators import kernels
-from centrix.operators.blocks import iter_blocks, to_blocks
+from centrix.operators.blocks import iter_blocks, iter_weighted, to_blocks
 from centrix.session import scratch_path, ship_package
 from centrix.operators.assign import assign
 from centrix.operators.model import Model, collect_model, model_sql
@@ -40,14 +40,15 @@ def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFra
     bc = points.sparkSession.sparkContext.broadcast((model.ids, model.C))
     d = model.d
     blocked = "x" in points.columns
+    weighted = "w" in points.columns
 
     def matrices(batches):
         if blocked:
-            for _, X in iter_blocks(batches, d):
-                yield X
+            for _, X, w in iter_weighted(batches, d):
+                yield X, w
         else:
             for b in batches:
-                yield kernels.coords(b, d)
+                yield kernels.coords(b, d), None
 
     def fn(batches):
         ids, C = bc.value
@@ -55,13 +56,18 @@ def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFra
         n = np.zeros(k, dtype=np.int64)
         S = np.zeros((k, d), dtype=np.float64)
         cost = np.zeros(k, dtype=np.float64)
-        for X in matrices(batches):
+        for X, w in matrices(batches):
             if X.shape[0] == 0:
                 continue
             idx, dist = kernels.nearest(X, C) if exact else kernels.nearest_fast(X, C)
-            n += np.bincount(idx, minlength=k)
-            S += kernels.group_sums(idx, X, k)
-            cost += np.bincount(idx, weights=dist, minlength=k)
+            if w is None:
+                n += np.bincount(idx, minlength=k)
+                S += kernels.group_sums(idx, X, k)
+                cost += np.bincount(idx, weights=dist, minlength=k)
+            else:   # a distinct point stands for w copies
+                n += np.rint(np.bincount(idx, weights=w, minlength=k)).astype(np.int64)
+                S += kernels.group_sums(idx, X * w[:, None], k)
+                cost += np.bincount(idx, weights=dist * w, minlength=k)
         m = n > 0
         if m.any():
             sums = pa.FixedSizeListArray.from_arrays(pa.array(S[m].ravel()), d).cast(pa.list_(pa.float64()))
@@ -69,7 +75,7 @@ def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFra
                 [pa.array(ids[m]), pa.array(n[m]), sums, pa.array(cost[m])],
                 names=["cluster_id", "n", "s", "cost"])
 
-    src = points.select("x") if blocked else points.select("coord")
+    src = points.select("x", *(["w"] if weighted else [])) if blocked else points.select("coord")
     return src.mapInArrow(fn, STATS_SCHEMA), bc
 
 
@@ -176,6 +182,7 @@ class LloydResult:
     history: list = field(default_factory=list)   # (iter, Model | None, n, cost)
     blocks: DataFrame | None = None
     history_path: str | None = None                # spilled models, when any
+    blocks_cover_points: bool = True               # False when blocks hold distinct points
 
     def _spill(self) -> None:
         """Write the second-to-last model to the history table and drop it
@@ -228,7 +235,7 @@ class LloydResult:
 
     def labels(self, method: str = "arrow") -> DataFrame:
         """``(point_id, cluster_id, dist)`` under the final centroids (lazy, distributed)."""
-        if method == "arrow" and self.blocks is not None:
+        if method == "arrow" and self.blocks is not None and self.blocks_cover_points:
             return labels_from_blocks(self.blocks, self.final)
         return assign(self.points, self.final, method=method)
 
@@ -238,7 +245,8 @@ class LloydResult:
         for it, _, _, _ in self.history:
             if it in set(iters):
                 model = self.model_at(it)
-                lab = labels_from_blocks(self.blocks, model) if (method == "arrow" and self.blocks is not None) \
+                use_blocks = method == "arrow" and self.blocks is not None and self.blocks_cover_points
+                lab = labels_from_blocks(self.blocks, model) if use_blocks \
                     else assign(self.points, model, method=method)
                 df = lab.select(F.lit(it).alias("iter"), "*")
                 out = df if out is None else out.unionByName(df)
@@ -254,11 +262,14 @@ class LloydResult:
 
 def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         tol: float | None = None, method: str = "arrow", persist: bool = True,
-        exact: bool = True, layout: str = "blocks") -> LloydResult:
+        exact: bool = True, layout: str = "blocks", collapse_duplicates: bool = False) -> LloydResult:
     """K1: Lloyd k-means from given start centroids, for a fixed number of
     iterations (optional ``tol``: stop once no centroid moves more than tol,
     squared).  ``exact=False`` picks nearest centroids with BLAS products
-    (wide vectors); distances stay exact, ties within rounding may differ."""
+    (wide vectors); distances stay exact, ties within rounding may differ.
+    ``collapse_duplicates=True`` trains on distinct coordinates weighted by
+    their multiplicity (exact for integer coordinates; far fewer rows when
+    copies dominate); labels still cover every point."""
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     if empty not in ("keep", "drop"):
@@ -267,14 +278,20 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     model = collect_model(start, spark)
     if method == "arrow" and layout == "blocks":
         # points are packed once into dense blocks; every pass scans the blocks
-        pts = spread_for_iterations(points.select("point_id", "coord"), persist=False)
-        blocks = to_blocks(pts, model.d)
+        if collapse_duplicates:
+            from centrix.operators.assign import distinct_points
+            pts = spread_for_iterations(distinct_points(points.select("point_id", "coord")), persist=False)
+            blocks = to_blocks(pts, model.d, weight="w")
+        else:
+            pts = spread_for_iterations(points.select("point_id", "coord"), persist=False)
+            blocks = to_blocks(pts, model.d)
         if persist:
             blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
             scan = size_scan(blocks, model.k, model.d)
         else:
             scan = blocks
-        result = LloydResult(points.select("point_id", "coord"), blocks=blocks)
+        result = LloydResult(points.select("point_id", "coord"), blocks=blocks,
+                             blocks_cover_points=not collapse_duplicates)
     else:
         pts = spread_for_iterations(points.select("point_id", "coord"), persist)
         result = LloydResult(pts)

@@ -131,3 +131,20 @@ def test_history_is_per_iteration_not_final_copies(spark):
     assert hist[(1, 1)] == (0.0, 0.0) and hist[(2, 1)] == (0.0, 1.0) and hist[(3, 1)] == (0.0, 1.0)
     costs = [r.cost for r in res.costs().orderBy("iter").collect()]
     assert costs == [8.0, 4.0, 4.0]
+
+
+def test_collapsed_duplicates_give_the_same_model(spark):
+    p = pts(spark, [(0, 0)] * 30 + [(0, 2)] * 5 + [(10, 0), (10, 2), (10, 2), (9, 1)])
+    c = cents(spark, [(0, 0), (10, 0)])
+    a = fit(p, c, max_iter=3)
+    b = fit(p, c, max_iter=3, collapse_duplicates=True)
+    key = lambda r: sorted((x.cluster_id, x.n, tuple(x.coord)) for x in r.centroids().collect())
+    assert key(a) == key(b)
+    # double costs: dist * w vs w separate additions, equal up to rounding
+    assert np.allclose(np.sum([h[3] for h in a.history], axis=1),
+                       np.sum([h[3] for h in b.history], axis=1), rtol=1e-12, atol=0)
+    assert sorted(tuple(r) for r in b.labels().collect()) == sorted(tuple(r) for r in a.labels().collect())
+    f = td.points2(spark, SF)
+    s = td.start2(spark, SF)
+    assert sorted((r.cluster_id, r.n, tuple(r.coord)) for r in fit(f, s, 4).centroids().collect()) == \
+        sorted((r.cluster_id, r.n, tuple(r.coord)) for r in fit(f, s, 4, collapse_duplicates=True).centroids().collect())
