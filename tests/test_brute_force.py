@@ -45,3 +45,46 @@ def test_fit_matches_brute_force(spark, seed):
         assert got == [(j + 1, want_n[j], tuple(want_c[j])) for j in range(k)]
         labels = sorted((r.point_id, r.cluster_id, r.dist) for r in res.labels().collect())
         assert labels == [(m + 1, i + 1, dist) for m, (dist, i) in enumerate(want_labels)]
+
+
+def brute_kmeanspp(P, k, seed, trials):
+    """Greedy k-means++ with the same counter-based draws, in plain Python."""
+    import math
+
+    from centrix.functions.hashrand import np_hash_uniform, stream
+    ids = np.arange(1, len(P) + 1)
+    X = np.array(P, dtype=float)
+
+    def dist(a, b):
+        s = 0.0
+        for x, y in zip(a, b):
+            s = s + (x - y) * (x - y)
+        return s
+
+    u0 = np_hash_uniform(stream(seed, 0, 0), ids)
+    first = min(range(len(P)), key=lambda i: (u0[i], ids[i]))
+    chosen = [first]
+    dn = [dist(X[i], X[first]) for i in range(len(P))]
+    for c in range(2, k + 1):
+        cands = []
+        for t in range(1, trials + 1):
+            u = np_hash_uniform(stream(seed, c, t), ids)
+            keys = [(-math.log(u[i]) / dn[i], ids[i], i) for i in range(len(P)) if dn[i] > 0]
+            cands.append(min(keys)[2])
+        pots = [sum(min(dn[i], dist(X[i], X[j])) for i in range(len(P))) for j in cands]
+        best = cands[int(np.argmin(pots))]
+        chosen.append(best)
+        dn = [min(dn[i], dist(X[i], X[best])) for i in range(len(P))]
+    return [int(ids[i]) for i in chosen]
+
+
+@pytest.mark.parametrize("seed,every", [(5, 1), (6, 2), (7, 8)])
+def test_kmeanspp_matches_brute_force(spark, seed, every):
+    from centrix.functions.numeric import n_local_trials
+    from centrix.operators.seed import kmeanspp
+    rng = np.random.RandomState(seed)
+    n, d, k = rng.randint(20, 60), rng.randint(1, 4), rng.randint(2, 7)
+    P = [tuple(int(v) for v in row) for row in rng.randint(-20, 21, size=(n, d))]
+    want = brute_kmeanspp(P, k, seed, n_local_trials(k))
+    got = [r.point_id for r in kmeanspp(pts(spark, P), k, seed=seed, checkpoint_every=every).orderBy("cluster_id").collect()]
+    assert got == want
