@@ -88,3 +88,45 @@ def test_kmeanspp_matches_brute_force(spark, seed, every):
     want = brute_kmeanspp(P, k, seed, n_local_trials(k))
     got = [r.point_id for r in kmeanspp(pts(spark, P), k, seed=seed, checkpoint_every=every).orderBy("cluster_id").collect()]
     assert got == want
+
+
+def _nmi_python(a, b):
+    import math
+    from collections import Counter
+    n = len(a)
+    ca, cb, cab = Counter(a), Counter(b), Counter(zip(a, b))
+    if len(ca) == 1 and len(cb) == 1:
+        return 1.0
+    mi = sum(v / n * math.log(n * v / (ca[x] * cb[y])) for (x, y), v in cab.items())
+    if mi <= 0:
+        return 0.0
+    ha = -sum(v / n * math.log(v / n) for v in ca.values())
+    hb = -sum(v / n * math.log(v / n) for v in cb.values())
+    return mi / ((ha + hb) / 2)
+
+
+@pytest.mark.parametrize("seed", [11, 12, 13])
+def test_nmi_matches_formula(spark, seed):
+    from centrix.operators.metrics import nmi
+    rng = np.random.RandomState(seed)
+    n = rng.randint(10, 300)
+    a = rng.randint(1, rng.randint(2, 8), size=n).tolist()
+    b = [x if rng.rand() < 0.7 else int(rng.randint(1, 6)) for x in a]
+    df = spark.createDataFrame([(i, int(x), int(y)) for i, (x, y) in enumerate(zip(a, b))],
+                               "point_id BIGINT, label INT, cluster_id INT")
+    assert abs(nmi(df).first().nmi - _nmi_python(a, b)) < 1e-12
+
+
+@pytest.mark.parametrize("buckets", [1, 3, 16])
+def test_running_cdf_matches_cumsum(spark, buckets):
+    from pyspark.sql import functions as F
+
+    from centrix.operators.seed import running_cdf
+    rng = np.random.RandomState(buckets)
+    ids = rng.permutation(5000)[:1200] + 1
+    w = rng.randint(0, 50, size=ids.shape[0]).astype(float)
+    df = spark.createDataFrame([(int(i), float(x)) for i, x in zip(ids, w)], "point_id BIGINT, w DOUBLE")
+    got = {r.point_id: r.cdf for r in running_cdf(df.repartition(5), "w", buckets=buckets).collect()}
+    order = np.argsort(ids)
+    want = dict(zip(ids[order].tolist(), np.cumsum(w[order]).tolist()))
+    assert got == want
