@@ -90,3 +90,19 @@ def test_sql_assign_routes_large_models_to_blocks(spark, monkeypatch):
     monkeypatch.setattr(AS, "MAX_LITERAL_VALUES", 200)
     routed = sorted(tuple(r) for r in assign(p, s, method="sql").collect())
     assert routed == whole
+
+
+def test_text_outputs_and_local_history_csv(spark, tmp_path):
+    import glob
+
+    from centrix.sources.csv import LOCAL_SCHEMA
+    res = fit(pts(spark, [(0, 0), (0, 2), (10, 0)]), cents(spark, [(0, 0), (10, 0)]), max_iter=2)
+    path = str(tmp_path / "txt")
+    write_output(path, centroids=res.centroids(), costs=res.costs(), fmt="text")
+    lines = sorted(open(f).read().strip() for f in glob.glob(f"{path}/centroid/part-*") if open(f).read().strip())
+    assert "1 2 0.0 1.0" in "\n".join(lines)
+    csv = tmp_path / "hist.csv"
+    csv.write_text("dataset,n_samples,n_features,n_clusters,training_time (ms),NMI score\n"
+                   "a3,7500,2,50,3300.002,0.9798693480364158\n")
+    row = read_history(spark, str(csv), LOCAL_SCHEMA).first()
+    assert row["dataset"] == "a3" and row["n_clusters"] == 50 and row["training_time (ms)"] == 3300.002
