@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -170,17 +171,31 @@ def _reduce_races(part: DataFrame, n_partitions: int, trials: int) -> list[dict]
     """Combine per-partition partials: potentials summed, race winners = the
     lowest (key, point_id)."""
     if n_partitions * trials * (trials + 1) <= MAX_DRIVER_RACE_ROWS:
-        out: dict = {}
-        for r in part.toArrow().to_pylist():
-            key = (r["t"], r["s"])
-            cur = out.setdefault(key, {"t": r["t"], "s": r["s"], "pot": 0.0, "w": None})
-            cur["pot"] += r["pot"] or 0.0
-            if r["point_id"] is not None:
-                cand = {"key": r["key"], "point_id": r["point_id"], "coord": r["coord"]}
-                w = cur["w"]
-                if w is None or (cand["key"], cand["point_id"]) < (w["key"], w["point_id"]):
-                    cur["w"] = cand
-        return list(out.values())
+        tbl = part.toArrow()
+        t = tbl.column("t").to_numpy()
+        sv = tbl.column("s").to_numpy()
+        pot_rows = sv == -1
+        out = []
+        for tt in np.unique(t):
+            out.append({"t": int(tt), "s": -1, "pot": float(np.sum(tbl.column("pot").to_numpy()[pot_rows & (t == tt)])),
+                        "w": None})
+        # winner rows only (no NULLs), so point ids stay exact int64
+        wins = tbl.filter(pa.compute.not_equal(tbl.column("s"), -1))
+        if wins.num_rows:
+            wt, ws = wins.column("t").to_numpy(), wins.column("s").to_numpy()
+            key = wins.column("key").to_numpy()
+            pid = wins.column("point_id").to_numpy()
+            # lowest (key, point_id) per (t, s): sort by t, s, key, point_id, first of each run
+            order = np.lexsort((pid, key, ws, wt))
+            ts = np.stack([wt[order], ws[order]], axis=1)
+            first = np.flatnonzero(np.r_[True, np.any(ts[1:] != ts[:-1], axis=1)])
+            coords = wins.column("coord")
+            for j in first:
+                row = int(order[j])
+                out.append({"t": int(wt[row]), "s": int(ws[row]), "pot": 0.0,
+                            "w": {"key": float(key[row]), "point_id": int(pid[row]),
+                                  "coord": coords[row].as_py()}})
+        return out
     agg = part.groupBy("t", "s").agg(
         F.sum("pot").alias("pot"),
         F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord"))).alias("w"))
