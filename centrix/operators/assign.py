@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from centrix.operators import kernels
 from centrix.session import ship_package
-from centrix.operators.model import MAX_LITERAL_VALUES, Model, collect_model, model_sql
+from centrix.operators.model import (MAX_LITERAL_VALUES, Model, ModelTooLarge, collect_model,
+                                     max_model_bytes, model_sql)
 
 SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBLE) - y) * "
                   "(CAST(x AS DOUBLE) - y)), 0D, (acc, t) -> acc + t)")
@@ -42,7 +43,13 @@ def _best_sql(model: Model) -> str:
 def assign(points: DataFrame, centroids, method: str = "sql", keep_coord: bool = False) -> DataFrame:
     """A1: ``(point_id, cluster_id, dist[, coord])`` for every point."""
     spark = points.sparkSession
-    model = collect_model(centroids, spark)
+    try:
+        model = collect_model(centroids, spark)
+    except ModelTooLarge:
+        if not isinstance(centroids, DataFrame):
+            raise
+        # beyond the broadcast bound: never collected, one map-only pass per block
+        return assign_blocked(points, centroids, keep_coord=keep_coord)
     if method == "sql" and model.C.size > MAX_LITERAL_VALUES:
         # too large to embed in the plan: one map-only pass per block
         cents = centroids if isinstance(centroids, DataFrame) else model.to_df(spark)
@@ -91,7 +98,8 @@ def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | No
     """
     spark = points.sparkSession
     d = int(centroids.select(F.size("coord")).first()[0])
-    block_rows = block_rows or max(1, MAX_LITERAL_VALUES // d)
+    # a block must pass both the plan-literal and the broadcast size bounds
+    block_rows = block_rows or max(1, min(MAX_LITERAL_VALUES // d, max_model_bytes(spark) // (8 * d)))
     # cluster ids are unique integers, so an id range of width block_rows holds at
     # most block_rows centroids; no global ranking of the (large) table is needed
     ranked = centroids.select(F.col("cluster_id").cast("int"), "coord",

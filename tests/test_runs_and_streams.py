@@ -106,3 +106,14 @@ def test_text_outputs_and_local_history_csv(spark, tmp_path):
                    "a3,7500,2,50,3300.002,0.9798693480364158\n")
     row = read_history(spark, str(csv), LOCAL_SCHEMA).first()
     assert row["dataset"] == "a3" and row["n_clusters"] == 50 and row["training_time (ms)"] == 3300.002
+
+
+def test_assign_routes_beyond_broadcast_bound(spark):
+    p, s = td.points64(spark, SF), td.start64(spark, SF)
+    whole = sorted(tuple(r) for r in assign(p, s, method="arrow").collect())
+    spark.conf.set("centrix.maxModelBytes", "1000")   # 10 x 64 x 8 bytes no longer fit
+    try:
+        routed = sorted(tuple(r) for r in assign(p, s, method="arrow").collect())
+    finally:
+        spark.conf.unset("centrix.maxModelBytes")
+    assert routed == whole
