@@ -291,6 +291,24 @@ def q_race(spark, sf):
     return S.weighted_pick_race(_w2(spark, sf), "w", SEED, 1, 3)
 
 
+def _cdf_u() -> float:
+    import numpy as np
+
+    from centrix.functions.hashrand import np_hash_uniform
+    return float(np_hash_uniform(_stream(SEED, 9, 1), np.array([0]))[0])
+
+
+@query("cdf_pick_points2", O.with_(
+    [f"w AS ({_W2})",
+     "c AS (SELECT point_id, sum(w) OVER (ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
+     "AS cdf FROM w)"],
+    f"SELECT coalesce((SELECT min(point_id) FROM c WHERE cdf >= {_cdf_u()!r} * (SELECT sum(w) FROM w)), "
+    f"(SELECT max(point_id) FROM w)) AS point_id"))
+def q_cdf_pick(spark, sf):
+    """T5 parity form: first row whose running sum reaches u * total."""
+    return S.weighted_pick_cdf(_w2(spark, sf), "w", _cdf_u())
+
+
 @query("running_cdf_points2",
        f"SELECT point_id, w, sum(w) OVER (ORDER BY point_id ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) "
        f"AS cdf FROM ({_W2})")
