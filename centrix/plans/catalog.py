@@ -483,3 +483,23 @@ def q_timing_report(spark, sf):
                   for m in ("arrow", "sql")}
     combined = combine_times(q_catalogue(spark, sf), per_system)
     return by_sample_size(combined, ["embeddings", "events"])
+
+
+
+# ---- names -------------------------------------------------------------------
+
+from centrix.functions.text import dataset_name  # noqa: E402
+
+# A family and its enlargements are named base, base+'e1', 'e2', 'e3'.
+FAMILY_SUFFIXES = ["", "e1", "e2", "e3"]
+
+
+@query("dataset_names_events", (
+    "SELECT concat(t.event_type, s.suffix) AS dataset FROM (SELECT DISTINCT event_type FROM events) t, "
+    "(SELECT unnest(['" + "', '".join(FAMILY_SUFFIXES) + "']) AS suffix) s"))
+def q_names(spark, sf):
+    """data-set names of each event-type family with its enlargements
+    (the suffix list is a literal exploded per row, no join)."""
+    types = td.table(spark, sf, "events").select("event_type").distinct()
+    fams = types.select("event_type", F.explode(F.array(*[F.lit(x) for x in FAMILY_SUFFIXES])).alias("suffix"))
+    return fams.select(dataset_name("event_type", F.col("suffix")).alias("dataset"))
