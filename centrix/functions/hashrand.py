@@ -2,10 +2,12 @@
 the same bits.
 
 ``rand()``/``randn()`` depend on partitioning and have no twin outside Spark,
-so every random draw here is a pure function of (stream, id): integer mixing
-modulo the prime 2^31-1, all products below 2^62 (no overflow in BIGINT or
-int64).  A stream number is derived from the user seed and the draw's role
-(step, trial, feature), so re-running any task gives the same draw.
+so every random draw here is a pure function of (stream, id).  A draw joins two
+integer mixes of the id's low 30 bits and the rest, one modulo each of two
+primes below 2^31 (all products stay below 2^62: no overflow in BIGINT or
+int64), so it has the 53 bits of a double and no period among 64-bit ids.  A
+stream number is derived from the user seed and the draw's role (step, trial,
+feature), so re-running any task gives the same draw.
 """
 
 from __future__ import annotations
@@ -16,10 +18,13 @@ from pyspark.sql import functions as F
 
 # Fixed values of the mixing function (our own choice; changing them changes
 # every seeded result).
-P = 2147483647          # modulus, the prime 2^31 - 1
+P = 2147483647          # the prime 2^31 - 1: stream numbers and the first mix
+Q = 2147483629          # the prime 2^31 - 19: the second mix
 M_STREAM = 1000003      # stream derivation multiplier
-A1, B1 = 48271, 12345   # first affine + squaring round
-A2, B2 = 69621, 54321   # second affine + squaring round
+# per mix: modulus, multiplier and addend of the first and second round
+MIXES = ((P, 48271, 12345, 69621, 54321), (Q, 69621, 54321, 48271, 12345))
+LOW = (1 << 30) - 1     # the id's low part
+TOP = 1.0 - 2.0 ** -53  # the largest draw
 
 
 def stream(seed: int, *parts: int) -> int:
@@ -38,18 +43,23 @@ def stream_sql(base: int, part_sql: str, dialect: str = "spark") -> str:
 
 def hash_uniform_sql(stream_sql: str, id_sql: str, dialect: str = "spark") -> str:
     """SQL text of a uniform draw in (0, 1) for ``(stream, id)``."""
-    if dialect == "spark":
-        mod = lambda v: f"pmod({v}, {P})"
-        fin = lambda h: f"((CAST({h} AS DOUBLE) + 0.5D) / {P}.0D)"
-    else:
-        mod = lambda v: f"((({v}) % {P} + {P}) % {P})"
-        fin = lambda h: f"((CAST({h} AS DOUBLE) + 0.5) / CAST({P} AS DOUBLE))"
-    x = mod(f"CAST({id_sql} AS BIGINT)")
-    h1 = mod(f"{x} * {A1} + ({stream_sql})")
-    h2 = mod(f"{h1} * {h1} + {B1}")
-    h3 = mod(f"{h2} * {A2} + {x}")
-    h4 = mod(f"{h3} * {h3} + {B2}")
-    return fin(h4)
+    spark = dialect == "spark"
+    v = f"CAST({id_sql} AS BIGINT)"
+    low, high = f"({v} & {LOW})", f"shiftright({v}, 30)" if spark else f"({v} >> 30)"
+    num = "{}D" if spark else "CAST({} AS DOUBLE)"
+
+    def mix(m: int, a1: int, b1: int, a2: int, b2: int) -> str:
+        def mod(e: str) -> str:
+            return f"pmod({e}, {m})" if spark else f"((({e}) % {m} + {m}) % {m})"
+
+        h1 = mod(f"{low} * {a1} + ({stream_sql})")
+        h2 = mod(f"{h1} * {h1} + {b1}")
+        h3 = mod(f"{h2} * {a2} + {mod(high)}")
+        return mod(f"{h3} * {h3} + {b2}")
+
+    x, y = (f"CAST({mix(*c)} AS DOUBLE)" for c in MIXES)
+    draw = f"(({x} + ({y} + {num.format('0.5')}) / {num.format(f'{Q}.0')}) / {num.format(f'{P}.0')})"
+    return f"least({draw}, {num.format(repr(TOP))})"
 
 
 def hash_uniform(stream_no: int, id_col: str) -> Column:
@@ -58,12 +68,15 @@ def hash_uniform(stream_no: int, id_col: str) -> Column:
 
 def np_hash_uniform(stream_no: int, ids: np.ndarray) -> np.ndarray:
     """NumPy twin of :func:`hash_uniform_sql` (same bits)."""
-    x = np.asarray(ids, dtype=np.int64) % P
-    h = (x * A1 + int(stream_no)) % P
-    h = (h * h + B1) % P
-    h = (h * A2 + x) % P
-    h = (h * h + B2) % P
-    return (h.astype(np.float64) + 0.5) / float(P)
+    ids = np.asarray(ids, dtype=np.int64)
+    low, high = ids & LOW, ids >> 30
+    mixed = []
+    for m, a1, b1, a2, b2 in MIXES:
+        h = (low * a1 + int(stream_no)) % m
+        h = (h * h + b1) % m
+        h = (h * a2 + high % m) % m
+        mixed.append(((h * h + b2) % m).astype(np.float64))
+    return np.minimum((mixed[0] + (mixed[1] + 0.5) / float(Q)) / float(P), TOP)
 
 
 def normal_sql(u1_sql: str, u2_sql: str, dialect: str = "spark") -> str:

@@ -30,6 +30,17 @@ def sq_norm(a) -> Column:
                        F.lit(0.0), lambda acc, t: acc + t)
 
 
+def checked_sql(coord: str, d: int) -> str:
+    """SQL of a vector column that fails the job on a row that is null, has
+    another length than ``d``, or holds a null."""
+    return (f"CASE WHEN {coord} IS NULL OR size({coord}) <> {int(d)} OR exists({coord}, x -> x IS NULL) "
+            f"THEN raise_error('every point must have {int(d)} features, none of them null') ELSE {coord} END")
+
+
+def checked(coord: str, d: int) -> Column:
+    return F.expr(checked_sql(coord, d))
+
+
 def vec_add(a, b) -> Column:
     return F.zip_with(_c(a), _c(b), lambda x, y: x + y)
 

@@ -20,6 +20,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from centrix.functions.vector import checked
 from centrix.operators import kernels
 from centrix.session import ship_package
 from centrix.operators.model import (MAX_LITERAL_VALUES, Model, ModelTooLarge, collect_model,
@@ -32,7 +33,7 @@ SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBL
 def attach_model(points: DataFrame, centroids, name: str = "centroids") -> DataFrame:
     """Every point row gets the whole (size-checked) model as one value."""
     model = collect_model(centroids, points.sparkSession)
-    return points.withColumn(name, F.expr(model_sql(model)))
+    return points.withColumns({"coord": checked("coord", model.d), name: F.expr(model_sql(model))})
 
 
 def _best_sql(model: Model) -> str:
@@ -40,8 +41,12 @@ def _best_sql(model: Model) -> str:
             f"'cluster_id', c.cluster_id)))")
 
 
-def assign(points: DataFrame, centroids, method: str = "sql", keep_coord: bool = False) -> DataFrame:
-    """A1: ``(point_id, cluster_id, dist[, coord])`` for every point."""
+def assign(points: DataFrame, centroids, method: str = "arrow", keep_coord: bool = False) -> DataFrame:
+    """A1: ``(point_id, cluster_id, dist[, coord])`` for every point.
+
+    A point with a null, or with another number of features than the model,
+    fails the job, in both forms.  ``method='sql'`` is for streams and SQL
+    plans; the kernel does the same arithmetic with far less work a row."""
     spark = points.sparkSession
     try:
         model = collect_model(centroids, spark)
@@ -55,7 +60,8 @@ def assign(points: DataFrame, centroids, method: str = "sql", keep_coord: bool =
         cents = centroids if isinstance(centroids, DataFrame) else model.to_df(spark)
         return assign_blocked(points, cents, keep_coord=keep_coord)
     if method == "sql":
-        best = points.select("point_id", "coord", F.expr(_best_sql(model)).alias("_b"))
+        best = points.select("point_id", checked("coord", model.d).alias("coord")) \
+            .select("point_id", "coord", F.expr(_best_sql(model)).alias("_b"))
         return best.select("point_id", F.col("_b.cluster_id").cast("int").alias("cluster_id"),
                            F.col("_b.dist").alias("dist"), *(["coord"] if keep_coord else []))
     if method == "arrow":
@@ -106,7 +112,7 @@ def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | No
                               F.floor(F.col("cluster_id") / block_rows).alias("_blk")) \
         .persist(StorageLevel.MEMORY_AND_DISK)
     block_ids = [r[0] for r in ranked.select("_blk").distinct().orderBy("_blk").collect()]
-    state = points.select("point_id", "coord", F.lit(None).cast("double").alias("dist"),
+    state = points.select("point_id", checked("coord", d).alias("coord"), F.lit(None).cast("double").alias("dist"),
                           F.lit(None).cast("int").alias("cluster_id"))
     for b in block_ids:
         model = collect_model(ranked.filter(F.col("_blk") == b).select("cluster_id", "coord"), spark)
@@ -153,8 +159,14 @@ def pair_distances_joined(pairs: DataFrame, points: DataFrame, centroids: DataFr
     return joined.select("point_id", "cluster_id", F.expr(SQ_DIST_LAMBDA.replace("c.coord", "_cc")).alias("dist"))
 
 
-def min_dist(pair_dists: DataFrame) -> DataFrame:
-    """A2: minimum distance per point (partial + final hash aggregate)."""
+def min_dist(points: DataFrame, centroids) -> DataFrame:
+    """A2: ``(point_id, dist)`` to the nearest centroid: one map-only pass, no
+    pair table."""
+    return assign(points, centroids).select("point_id", "dist")
+
+
+def min_pair_dist(pair_dists: DataFrame) -> DataFrame:
+    """A2 over a pair table that is there already (partial + final aggregate)."""
     return pair_dists.groupBy("point_id").agg(F.min("dist").alias("dist"))
 
 

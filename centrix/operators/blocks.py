@@ -17,6 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from centrix.operators import kernels
 from centrix.session import ship_package
 
 BLOCK_BYTES = 4 << 20
@@ -27,7 +28,7 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
               weight: str | None = None) -> DataFrame:
     """``(point_id, coord[, weight])`` -> ``(n, d, ids, x[, w])`` blocks,
     partition by partition (no shuffle).  Rows of another length than ``d``
-    fail the job.  ``weight`` (a multiplicity column) is packed as float64."""
+    or with a null feature fail the job.  ``weight`` (a multiplicity column) is packed as float64."""
     if d is None:
         first = points.select(F.size("coord")).first()
         if first is None:
@@ -49,13 +50,8 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
     def fn(batches):
         pend_ids, pend_x, pend_w, count = [], [], [], 0
         for b in batches:
-            arr = b.column(b.schema.get_field_index("coord"))
-            lengths = np.diff(np.asarray(arr.offsets))
-            if arr.null_count or (lengths.size and (lengths.min() != d or lengths.max() != d)):
-                raise ValueError(f"every point must have {d} features")
-            flat = np.asarray(arr.flatten().to_numpy(zero_copy_only=False), dtype=np.float64)
             pend_ids.append(b.column(b.schema.get_field_index("point_id")).to_numpy(zero_copy_only=False))
-            pend_x.append(flat.reshape(-1, d))
+            pend_x.append(kernels.coords(b, d))
             if weight:
                 pend_w.append(np.asarray(b.column(b.schema.get_field_index(weight))
                                          .to_numpy(zero_copy_only=False), dtype=np.float64))

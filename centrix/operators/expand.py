@@ -2,7 +2,7 @@
 
 ``expand`` adds ``(target_n - n) // k`` synthetic points per true centroid,
 each feature drawn from normal(centre, 1) and truncated toward zero, labelled
-with the centroid's 1-based position; they are appended after the originals
+with the centroid's ``cluster_id``; they are appended after the originals
 (new ids continue after the largest existing id, cluster by cluster).
 Draws are counter-based (Box-Muller on hashed uniforms keyed by seed,
 feature and new-row number), so any task re-run gives the same rows.
@@ -40,10 +40,10 @@ def _new_rows_arrow(spark, model, m: int, mx: int, seed: int) -> DataFrame:
     ship_package(spark)
     d = model.d
     streams = [(stream(stream(seed, 1), j), stream(stream(seed, 2), j)) for j in range(d)]
-    bc = spark.sparkContext.broadcast((model.C, streams))
+    bc = spark.sparkContext.broadcast((model.ids, model.C, streams))
 
     def fn(batches):
-        C, st = bc.value
+        cluster, C, st = bc.value
         for b in batches:
             ids = b.column(0).to_numpy()
             lab = ids // m
@@ -54,7 +54,7 @@ def _new_rows_arrow(spark, model, m: int, mx: int, seed: int) -> DataFrame:
                 out[:, j] = np.trunc(C[lab, j] + z).astype(np.int64)
             coord = pa.FixedSizeListArray.from_arrays(pa.array(out.ravel()), d).cast(pa.list_(pa.int64()))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids + mx + 1), coord, pa.array((lab + 1).astype(np.int32))],
+                [pa.array(ids + mx + 1), coord, pa.array(cluster[lab].astype(np.int32))],
                 names=["point_id", "coord", "label"])
 
     return spark.range(model.k * m).mapInArrow(fn, "point_id BIGINT, coord ARRAY<BIGINT>, label INT")
@@ -81,12 +81,12 @@ def expand(points: DataFrame, partition: DataFrame, true_centroids: DataFrame,
         out_part = partition.select("point_id", F.col("label").cast("int")).unionByName(
             new.select("point_id", "label"))
         return out_pts, out_part
-    cents = spark.createDataFrame([(i + 1, c) for i, (_, c) in enumerate(model.rows())],
-                                  "label INT, centre ARRAY<DOUBLE>")
+    cents = spark.createDataFrame([(i, cluster, c) for i, (cluster, c) in enumerate(model.rows())],
+                                  "place INT, label INT, centre ARRAY<DOUBLE>")
     new = (spark.range(model.k * m)
            .select((F.col("id") + F.lit(mx + 1)).alias("point_id"), "id",
-                   (F.floor(F.col("id") / m) + 1).cast("int").alias("label"))
-           .join(F.broadcast(cents), "label")
+                   F.expr(f"CAST(id DIV {m} AS INT)").alias("place"))
+           .join(F.broadcast(cents), "place")
            .select("point_id", F.expr(gaussian_coord_sql(seed, "id", "centre", model.d)).alias("coord"), "label"))
     coord_type = points.schema["coord"].dataType
     out_pts = points.select("point_id", "coord").unionByName(

@@ -18,10 +18,18 @@ BLOCK_ELEMS = 1 << 16
 
 
 def coords(batch: pa.RecordBatch, d: int, name: str = "coord") -> np.ndarray:
-    """ARRAY column of a batch -> (rows, d) float64 matrix (no per-row Python)."""
-    arr = batch.column(batch.schema.get_field_index(name))
-    flat = arr.flatten().to_numpy(zero_copy_only=False)
-    return np.asarray(flat, dtype=np.float64).reshape(-1, d)
+    """ARRAY column of a batch -> (rows, d) float64 matrix (no per-row Python).
+    A null, short, long or partly null vector fails the job."""
+    return matrix(batch.column(batch.schema.get_field_index(name)), d)
+
+
+def matrix(arr: pa.Array, d: int) -> np.ndarray:
+    """An Arrow list array of ``d`` numbers a row as a float64 matrix."""
+    flat = arr.flatten()
+    lengths = np.diff(np.asarray(arr.offsets))
+    if arr.null_count or flat.null_count or (lengths.size and (lengths.min() != d or lengths.max() != d)):
+        raise ValueError(f"every point must have {d} features, none of them null")
+    return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, d)
 
 
 def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:

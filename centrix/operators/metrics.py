@@ -20,51 +20,54 @@ def nmi(pairs: DataFrame, a: str = "label", b: str = "cluster_id") -> DataFrame:
     """Normalised mutual information of two labelings, one row ``(nmi)``.
 
     NMI = I(a; b) / mean(H(a), H(b)) with natural logs; 1.0 when both sides
-    hold a single class, 0.0 when I = 0.  The windows run over the
-    contingency table (classes x clusters rows), never over the points.
+    hold a single class, 0.0 when I = 0.  The marginals are grouped from the
+    contingency table and joined to it by key; the total is a scalar.
     """
     cont = contingency(pairs, a, b)
-    whole = Window.partitionBy()
-    by_a, by_b = Window.partitionBy(a), Window.partitionBy(b)
-    t = cont.select(
-        "n",
-        F.sum("n").over(whole).alias("tot"),
-        F.sum("n").over(by_a).alias("na"),
-        F.sum("n").over(by_b).alias("nb"),
-        (F.row_number().over(by_a.orderBy(b)) == 1).alias("first_a"),
-        (F.row_number().over(by_b.orderBy(a)) == 1).alias("first_b"))
-    n, N, na, nb = (F.col(c).cast("double") for c in ("n", "tot", "na", "nb"))
-    agg = t.agg(
-        F.sum(n / N * F.log(N * n / (na * nb))).alias("mi"),
-        (-F.sum(F.when(F.col("first_a"), na / N * F.log(na / N)))).alias("ha"),
-        (-F.sum(F.when(F.col("first_b"), nb / N * F.log(nb / N)))).alias("hb"),
-        F.sum(F.col("first_a").cast("int")).alias("ka"),
-        F.sum(F.col("first_b").cast("int")).alias("kb"))
-    return agg.select(
+    of_a = cont.groupBy(a).agg(F.sum("n").alias("na"))
+    of_b = cont.groupBy(b).agg(F.sum("n").alias("nb"))
+    total = cont.agg(F.sum("n").cast("double").alias("tot"))
+    N = total.scalar()
+
+    def entropy(marginal: DataFrame, col: str) -> DataFrame:
+        p = F.col(col).cast("double") / F.col("tot")
+        return marginal.withColumn("tot", N).agg((-F.sum(p * F.log(p))).alias("h"), F.count(F.lit(1)).alias("k"))
+
+    ea, eb = entropy(of_a, "na"), entropy(of_b, "nb")
+    n, na, nb, tot = (F.col(c).cast("double") for c in ("n", "na", "nb", "tot"))
+    mi = (cont.join(of_a, cont[a].eqNullSafe(of_a[a])).join(of_b, cont[b].eqNullSafe(of_b[b])).withColumn("tot", N)
+          .agg(F.sum(n / tot * F.log(tot * n / (na * nb))).alias("mi")))
+    row = mi.select("mi", ea.select("h").scalar().alias("ha"), eb.select("h").scalar().alias("hb"),
+                    ea.select("k").scalar().alias("ka"), eb.select("k").scalar().alias("kb"))
+    return row.select(
         F.when((F.col("ka") == 1) & (F.col("kb") == 1), F.lit(1.0))
          .when(F.col("mi") <= 0, F.lit(0.0))
          .otherwise(F.col("mi") / ((F.col("ha") + F.col("hb")) / 2.0)).alias("nmi"))
 
 
 def cost_reduction(costs: DataFrame) -> DataFrame:
-    """``round((c[-2] - c[-1]) / c[-2] * 100, 2)`` over ``(iter, cost)``.
+    """``round((c[-2] - c[-1]) / c[-2] * 100, 2)`` over ``(iter, cost)``;
+    null when the cost before was 0.
 
     Only the last two rows matter: a top-2 by iteration, then one row."""
     last2 = costs.orderBy(F.col("iter").desc()).limit(2)
     w = Window.orderBy("iter")
     prev = last2.select("iter", "cost", F.lag("cost").over(w).alias("prev"))
     prev = prev.filter(F.col("prev").isNotNull())
-    c, p = F.col("cost").cast("decimal(38,6)"), F.col("prev").cast("decimal(38,6)")
-    return prev.select(F.round((p - c) / p * 100, 2).cast("decimal(10,2)").alias("cost_reduction_pct"))
+    c, p = F.col("cost").cast("double"), F.col("prev").cast("double")
+    return prev.select(F.round(F.try_divide(p - c, p) * 100, 2).cast("decimal(10,2)").alias("cost_reduction_pct"))
 
 
 def dataset_info(points: DataFrame, true_centroids: DataFrame | None = None,
                  labels: DataFrame | None = None) -> DataFrame:
     """``(n_samples, n_features, n_clusters)`` in one pass over points.
 
-    k is the number of true centroids, or of distinct true labels."""
+    k is the number of true centroids, or of distinct true labels.  Points of
+    different lengths, or with a null, fail the job."""
+    low, high = F.min(F.size("coord")), F.max(F.size("coord"))
+    bad = (low != high) | (F.count_if(F.col("coord").isNull() | F.exists("coord", lambda x: x.isNull())) > 0)
     prof = points.agg(F.count(F.lit(1)).alias("n_samples"),
-                      F.max(F.size("coord")).cast("int").alias("n_features"))
+                      F.when(bad, F.raise_error(F.lit("ragged points or null features"))).otherwise(high).cast("int").alias("n_features"))
     if true_centroids is not None:
         k = true_centroids.agg(F.count(F.lit(1)).cast("int").alias("n_clusters"))
     elif labels is not None:

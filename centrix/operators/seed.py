@@ -17,9 +17,10 @@ Driver work per step: O(n_trials^2) rows.  Points are never collected.
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute  # noqa: F401  (pa.compute)
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -31,7 +32,6 @@ from centrix.operators.blocks import to_blocks
 from centrix.session import ship_package
 
 RACE_SCHEMA = "t INT, s INT, pot DOUBLE, key DOUBLE, point_id BIGINT, coord ARRAY<DOUBLE>"
-MAX_BUCKET_BOUNDS = 100_000
 
 
 def uniform_pick(points: DataFrame, seed: int, step: int = 0, trial: int = 0) -> DataFrame:
@@ -56,41 +56,65 @@ def weighted_pick_race(df: DataFrame, weight: str, seed: int, step: int, trials:
         .select("x.trial", "x.point_id").filter(F.col("point_id").isNotNull())
 
 
+def _ranges(df: DataFrame, order: str, buckets: int | None) -> DataFrame:
+    """``df`` with ``_b``, the number of its row's range of ``order``.
+
+    Bounds are approximate quantiles, as fine as the number of ranges asks for
+    (at least one per input partition, so a range holds about one split at any
+    size).  A row finds its range in two steps of about the square root of
+    their number."""
+    spark = df.sparkSession
+    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(df.inputFiles()), 1)
+    probs = [i / buckets for i in range(1, buckets)]
+    bounds = sorted(set(df.approxQuantile(order, probs, 0.25 / buckets))) if probs else []
+    if not bounds:
+        return df.withColumn("_b", F.lit(0))
+    width = max(1, math.isqrt(len(bounds)))
+    at = F.col(order)
+    coarse = F.array(*[F.lit(b) for b in bounds[width - 1::width]])
+    fine = F.array(*[F.array(*[F.lit(b) for b in bounds[i:i + width]]) for i in range(0, len(bounds), width)] + [F.array().cast("array<double>")])
+    block = F.size(F.filter(coarse, lambda x: x <= at))
+    inside = F.size(F.filter(F.element_at(fine, F.col("_c") + 1), lambda x: x <= at))
+    return df.withColumn("_c", block).withColumn("_b", F.col("_c") * width + inside).drop("_c")
+
+
+def _offsets(tagged: DataFrame, weight: str) -> DataFrame:
+    """``(_b, _tot, _off)``: a range's sum and the sum of all before it."""
+    totals = tagged.groupBy("_b").agg(F.sum(weight).alias("_tot"))
+    return totals.select("_b", "_tot", F.coalesce(F.sum("_tot").over(
+        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
+
+
 def running_cdf(df: DataFrame, weight: str, order: str = "point_id", buckets: int | None = None) -> DataFrame:
     """Running sum of ``weight`` in ``order`` (rows unbounded preceding).
 
-    Two levels instead of one window over all rows in one task: rows go to
-    range buckets by approximate quantiles of ``order``; a window runs inside
-    each bucket; bucket totals get a prefix sum (one row per bucket) that is
-    broadcast back under a checked bound.
+    Two levels instead of one window over all rows in one task: a window runs
+    inside each range of ``order``; range totals get a prefix sum (one row per
+    range) that is joined back.
     """
-    spark = df.sparkSession
-    # at least one bucket per input partition, so one window task holds about
-    # one input split whatever the data size
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), df.rdd.getNumPartitions())
-    buckets = max(1, min(buckets, MAX_BUCKET_BOUNDS))
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order, probs, 0.001))) if probs else []
-    arr = F.array(*[F.lit(b) for b in bounds]) if bounds else F.array().cast("array<double>")
-    b = F.size(F.filter(arr, lambda x: x <= F.col(order)))
-    tagged = df.withColumn("_b", b)
+    tagged = _ranges(df, order, buckets)
     inner = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
     within = tagged.withColumn("_in", F.sum(weight).over(inner))
-    totals = tagged.groupBy("_b").agg(F.sum(weight).alias("_tot"))
-    offsets = totals.select("_b", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-    return within.join(F.broadcast(offsets), "_b").withColumn("cdf", F.col("_off") + F.col("_in")) \
-        .drop("_b", "_in", "_off")
+    return within.join(_offsets(tagged, weight), "_b").withColumn("cdf", F.col("_off") + F.col("_in")) \
+        .drop("_b", "_in", "_off", "_tot")
 
 
 def weighted_pick_cdf(df: DataFrame, weight: str, u: float, order: str = "point_id") -> DataFrame:
     """T5 (inverse CDF): first row whose running sum reaches ``u * total``;
-    the last row if rounding leaves none."""
-    cdf = running_cdf(df, weight, order)
-    total = df.agg(F.sum(weight)).first()[0]
-    hit = cdf.filter(F.col("cdf") >= F.lit(u * total)).agg(F.min(order).alias(order))
+    the last row if rounding leaves none.
+
+    The range where that happens is found from the ranges' sums; only its rows
+    are ordered."""
+    tagged = _ranges(df, order, None)
+    totals = _offsets(tagged, weight)
+    goal = totals.agg((F.lit(float(u)) * F.sum("_tot")).alias("g"))
+    hit = (totals.withColumn("g", goal.scalar()).where(F.col("_off") + F.col("_tot") >= F.col("g"))
+           .agg(F.min(F.struct("_b", "_off", "g")).alias("m")).select("m.*"))
+    rows = tagged.join(F.broadcast(hit), "_b")   # one row
+    run = F.sum(weight).over(Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
+    first = rows.withColumn("cdf", F.col("_off") + run).filter(F.col("cdf") >= F.col("g")).agg(F.min(order).alias(order))
     last = df.agg(F.max(order).alias("_last"))
-    return hit.select(F.coalesce(F.col(order), last.scalar()).alias(order))
+    return first.select(F.coalesce(F.col(order), last.scalar()).alias(order))
 
 
 def potential(df: DataFrame, d_near: str, candidates, dist_sql) -> DataFrame:
@@ -161,41 +185,10 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
     return part, bc
 
 
-# Per-partition race partials are at most T * (S + 1) rows; they are reduced
-# on the driver when partitions * rows stays under this bound, else by a
-# Spark aggregate keyed by (trial, next trial).
-MAX_DRIVER_RACE_ROWS = 2_000_000
-
-
-def _reduce_races(part: DataFrame, n_partitions: int, trials: int) -> list[dict]:
-    """Combine per-partition partials: potentials summed, race winners = the
-    lowest (key, point_id)."""
-    if n_partitions * trials * (trials + 1) <= MAX_DRIVER_RACE_ROWS:
-        tbl = part.toArrow()
-        t = tbl.column("t").to_numpy()
-        sv = tbl.column("s").to_numpy()
-        pot_rows = sv == -1
-        out = []
-        for tt in np.unique(t):
-            out.append({"t": int(tt), "s": -1, "pot": float(np.sum(tbl.column("pot").to_numpy()[pot_rows & (t == tt)])),
-                        "w": None})
-        # winner rows only (no NULLs), so point ids stay exact int64
-        wins = tbl.filter(pa.compute.not_equal(tbl.column("s"), -1))
-        if wins.num_rows:
-            wt, ws = wins.column("t").to_numpy(), wins.column("s").to_numpy()
-            key = wins.column("key").to_numpy()
-            pid = wins.column("point_id").to_numpy()
-            # lowest (key, point_id) per (t, s): sort by t, s, key, point_id, first of each run
-            order = np.lexsort((pid, key, ws, wt))
-            ts = np.stack([wt[order], ws[order]], axis=1)
-            first = np.flatnonzero(np.r_[True, np.any(ts[1:] != ts[:-1], axis=1)])
-            coords = wins.column("coord")
-            for j in first:
-                row = int(order[j])
-                out.append({"t": int(wt[row]), "s": int(ws[row]), "pot": 0.0,
-                            "w": {"key": float(key[row]), "point_id": int(pid[row]),
-                                  "coord": coords[row].as_py()}})
-        return out
+def _reduce_races(part: DataFrame) -> list[dict]:
+    """Combine per-partition partials in Spark: potentials summed, race winners
+    = the lowest (key, point_id).  At most trials * (trials + 1) rows come to
+    the driver, whatever the number of partitions."""
     agg = part.groupBy("t", "s").agg(
         F.sum("pot").alias("pot"),
         F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord"))).alias("w"))
@@ -245,9 +238,9 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     One pass over the points per centre.  The points are packed once into
     dense blocks (see ``operators.blocks``) and the nearest-distance state is a
     BINARY column beside each block; every ``checkpoint_every`` centres the
-    blocks are rewritten with the pending centres folded in and checkpointed
-    to the shared checkpoint folder, which bounds both the lineage and the
-    pending centres each pass folds in.
+    state is folded forward with the pending centres, which bounds the pending
+    centres each pass folds in.  Nothing is written: a lost executor's blocks
+    are rebuilt from the scan and the chosen centres.
     """
     if k < 1:
         raise ValueError("k must be >= 1")
@@ -264,7 +257,6 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     state = to_blocks(pts, d).withColumn("dn", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)
     # per pass: pending centres + candidates (distances) and trials^2 races per point
     state = size_scan(state, checkpoint_every + trials * (trials + 1), d)
-    n_parts = state.rdd.getNumPartitions()
     pending = [chosen[0][1]]
     cands = None
     step = 2
@@ -275,7 +267,7 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
         if cands is None and step > k:
             break
         part, bc = _race_pass(state, pend, cand_arr, seed, nxt, trials, d)
-        rows = _reduce_races(part, n_parts, trials)
+        rows = _reduce_races(part)
         bc.unpersist()
         pots = {r["t"]: r["pot"] for r in rows if r["s"] == -1}
         races = {(r["t"], r["s"]): r["w"] for r in rows if r["s"] >= 0 and r["w"] is not None}
@@ -301,7 +293,7 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
             cands = [(int(w["point_id"]), [float(v) for v in w["coord"]]) for w in nxt_c]
         if len(pending) >= checkpoint_every:
             folded = _fold(state, np.asarray(pending, dtype=np.float64).reshape(-1, d), d)
-            new_state = folded.checkpoint(eager=True).persist(StorageLevel.MEMORY_AND_DISK)
+            new_state = folded.persist(StorageLevel.MEMORY_AND_DISK)
             new_state.count()
             state.unpersist()
             state = new_state

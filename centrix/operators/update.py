@@ -10,13 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from centrix.functions.vector import checked
 from centrix.operators.model import collect_model
 
-# Up to this many features the sums are d plain SUM columns (one row per
-# cluster, whole-stage codegen); wider vectors go through posexplode.
-MAX_SUM_COLUMNS = 64
-
-
 def _dim(df: DataFrame) -> int:
     row = df.select(F.size("coord").alias("d")).first()
     if row is None:
@@ -25,17 +21,16 @@ def _dim(df: DataFrame) -> int:
 
 
 def cluster_sums(assigned: DataFrame, d: int | None = None) -> DataFrame:
-    """A3: ``(cluster_id, n, sums ARRAY)`` — vector sum and count per cluster."""
+    """A3: ``(cluster_id, n, sums ARRAY)`` — vector sum and count per cluster.
+
+    One SUM column a feature (one row per cluster and task crosses the
+    shuffle, at any width); a vector of another length, or with a null, fails
+    the job."""
     d = d or _dim(assigned)
-    if d <= MAX_SUM_COLUMNS:
-        aggs = [F.sum(F.col("coord")[j]).alias(f"_s{j}") for j in range(d)]
-        out = assigned.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), *aggs)
-        return out.select("cluster_id", "n", F.array(*[f"_s{j}" for j in range(d)]).alias("sums"))
-    exploded = assigned.select("cluster_id", F.posexplode("coord").alias("pos", "x"))
-    per = exploded.groupBy("cluster_id", "pos").agg(F.sum("x").alias("s"), F.count(F.lit(1)).alias("n"))
-    return per.groupBy("cluster_id").agg(
-        F.max("n").alias("n"),
-        F.transform(F.array_sort(F.collect_list(F.struct("pos", "s"))), lambda e: e["s"]).alias("sums"))
+    own = assigned.select("cluster_id", checked("coord", d).alias("coord"))
+    aggs = [F.sum(F.col("coord")[j]).alias(f"_s{j}") for j in range(d)]
+    out = own.groupBy("cluster_id").agg(F.count(F.lit(1)).alias("n"), *aggs)
+    return out.select("cluster_id", "n", F.array(*[f"_s{j}" for j in range(d)]).alias("sums"))
 
 
 def update_centroids(assigned: DataFrame, old, empty: str = "keep") -> DataFrame:

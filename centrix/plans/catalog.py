@@ -4,7 +4,7 @@ express it.  Every query reads whole tables (no id subsets, no row caps)."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from centrix.operators import assign as A
@@ -92,7 +92,7 @@ def q_pair_join(spark, sf):
     [f"pts AS ({O.POINTS2})", f"c1 AS ({O.START2})"],
     f"SELECT p.point_id, min({O.sq_dist('p.coord', 'c.coord')}) AS dist FROM pts p, c1 c GROUP BY p.point_id"))
 def q_min_dist(spark, sf):
-    return A.min_dist(A.pair_distances(td.points2(spark, sf), td.start2(spark, sf)))
+    return A.min_dist(td.points2(spark, sf), td.start2(spark, sf))
 
 
 @query("nearest_ties_points2", O.with_(
@@ -282,7 +282,7 @@ _W2 = f"SELECT point_id, CAST(coord[2] AS DOUBLE) AS w FROM ({O.POINTS2})"
 
 @query("race_pick_points2", O.with_(
     [f"w AS ({_W2})",
-     "r AS (SELECT tt.t AS trial, w.point_id, -ln(" + O.hash_uniform_sql("tt.st", "w.point_id", "duckdb") +
+     "r AS (SELECT tt.t AS trial, w.point_id, -ln(" + O.uniform("tt.st", "w.point_id") +
      ") / w.w AS key FROM w, (VALUES " + ", ".join(f"({t}, {_stream(SEED, 1, t)})" for t in (1, 2, 3)) +
      ") tt(t, st) WHERE w.w > 0)"],
     "SELECT CAST(trial AS INTEGER) AS trial, point_id FROM (SELECT *, row_number() OVER "
@@ -317,11 +317,23 @@ def q_cdf(spark, sf):
 
 
 @query("shuffle_points2",
-       f"SELECT point_id, {O.uniform_u(_stream(SEED, 3), 'point_id')} AS shuffle_key FROM ({O.POINTS2})")
+       f"SELECT point_id, {O.uniform_u(O.stream(SEED, 3), 'point_id')} AS shuffle_key FROM ({O.POINTS2})")
 def q_shuffle(spark, sf):
     return X.shuffle_rows(td.points2(spark, sf), SEED).select("point_id", "shuffle_key")
 
 
+@query("shuffle_order_points64",
+       f"SELECT row_number() OVER (ORDER BY {O.uniform_u(O.stream(SEED, 3), 'point_id')}, point_id) AS place, point_id "
+       f"FROM ({O.POINTS64})")
+def q_shuffle_order(spark, sf):
+    """T3 with its order: the shuffled rows written in order, read back with
+    their line numbers."""
+    path = scratch_path(spark, "shuffled")
+    shuffled = X.shuffle_rows(td.points64(spark, sf), SEED).select(F.array("point_id").alias("coord"))
+    write_points(shuffled, path, order_by=None)
+    return load_points(spark, path, id_col="place").select("place", F.col("coord")[0].alias("point_id"))
+
+
 @query("true_centroids_points64", O.true_centroids_sql(O.POINTS64, O.PARTITION64, 64))
 def q_true64(spark, sf):
     return X.true_centroids_from_labels(td.points64(spark, sf), td.partition64(spark, sf))
@@ -335,6 +347,19 @@ def q_expand(spark, sf):
     return out.join(out_lab, "point_id").select("point_id", "coord", "label")
 
 
+# labels with gaps: true label 3 * label - 2
+_GAP64 = O.PARTITION64.replace("label + 1", "3 * label + 1")
+
+
+@query("expand_gap_points64", O.expand_sql(O.POINTS64, _GAP64, 64, SEED))
+def q_expand_gap(spark, sf):
+    """T7 over labels with gaps: new rows carry their centroid's cluster id."""
+    pts = td.points64(spark, sf)
+    lab = td.partition64(spark, sf).select("point_id", (F.col("label") * 3 - 2).alias("label"))
+    out, out_lab = X.expand(pts, lab, X.true_centroids_from_labels(pts, lab), 2 * pts.count(), seed=SEED)
+    return out.join(out_lab, "point_id").select("point_id", "coord", "label")
+
+
 # ---- text files ---------------------------------------------------------------
 
 @query("text_roundtrip_points2",
@@ -503,3 +528,305 @@ def q_names(spark, sf):
     types = td.table(spark, sf, "events").select("event_type").distinct()
     fams = types.select("event_type", F.explode(F.array(*[F.lit(x) for x in FAMILY_SUFFIXES])).alias("suffix"))
     return fams.select(dataset_name("event_type", F.col("suffix")).alias("dataset"))
+
+
+# ---- run histories derived from the events table -----------------------------
+# A data set is an event type with an enlargement suffix (user_id % 4), a system
+# is user_id % 3, and a run's time is an exact sum; sys2 has no run of the e3 sets.
+
+from centrix.operators import history as H  # noqa: E402
+from centrix.operators import report as R  # noqa: E402
+from centrix.plans import runs as RUNS  # noqa: E402
+from centrix.sources import csv as CSV  # noqa: E402
+from centrix.sources import dataset as DS  # noqa: E402
+from centrix.sources import tables as TBL  # noqa: E402
+from centrix.sources import text as TXT  # noqa: E402
+
+SYSTEMS = ["sys0", "sys1", "sys2"]
+_SUFFIX_SQL = "['" + "', '".join(FAMILY_SUFFIXES) + "']"
+_EVENTS = ("SELECT concat(event_type, list_extract(" + _SUFFIX_SQL + ", CAST(user_id % 4 + 1 AS INT))) AS dataset, "
+           "concat('sys', user_id % 3) AS system, user_id, length(event_type) AS width, "
+           "CAST(round(value * 100.0) AS BIGINT) AS cents FROM events")
+_RUNS = f"SELECT dataset, system, CAST(sum(cents) AS DOUBLE) AS time FROM ({_EVENTS}) WHERE NOT (system = 'sys2' AND dataset LIKE '%e3') GROUP BY ALL"
+_SETS = (f"SELECT dataset, count(*) AS n_samples, CAST(max(width) AS INTEGER) AS n_features, "
+         f"CAST(count(DISTINCT user_id) AS INTEGER) AS n_clusters FROM ({_EVENTS}) GROUP BY dataset")
+_WIDE = f"SELECT s.*, {', '.join(f'(SELECT r.time FROM runs r WHERE r.dataset = s.dataset AND r.system = {chr(39)}{x}{chr(39)}) AS {x}' for x in SYSTEMS)} FROM sets s"
+_HISTORY = [f"runs AS ({_RUNS})", f"sets AS ({_SETS})", f"wide AS ({_WIDE})"]
+_LONG = "SELECT dataset, n_samples, n_features, unnest(['sys0', 'sys1', 'sys2']) AS system, unnest([sys0, sys1, sys2]) AS time_ms FROM wide"
+
+
+def _events(spark, sf) -> DataFrame:
+    suffix = F.element_at(F.array(*[F.lit(x) for x in FAMILY_SUFFIXES]), (F.col("user_id") % 4 + 1).cast("int"))
+    return td.table(spark, sf, "events").select(
+        dataset_name("event_type", suffix).alias("dataset"), F.concat(F.lit("sys"), F.col("user_id") % 3).alias("system"),
+        "user_id", "event_type", F.length("event_type").alias("width"), F.round(F.col("value") * 100.0).cast("bigint").alias("cents"))
+
+
+def _sets(spark, sf) -> DataFrame:
+    return _events(spark, sf).groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n_samples"), F.max("width").cast("int").alias("n_features"), F.countDistinct("user_id").cast("int").alias("n_clusters"))
+
+
+def _times(spark, sf, system: str) -> DataFrame:
+    e = _events(spark, sf).where(F.col("system") == system)
+    if system == "sys2":
+        e = e.where(~F.col("dataset").endswith("e3"))
+    return e.groupBy("dataset").agg(F.sum("cents").cast("double").alias("time"))
+
+
+def _combined(spark, sf) -> DataFrame:
+    return combine_times(_sets(spark, sf), {x: _times(spark, sf, x) for x in SYSTEMS})
+
+
+@query("combined_times_events", O.with_(_HISTORY, "SELECT * FROM wide"))
+def q_combined(spark, sf):
+    """The catalogue with one time column per system, by name."""
+    return _combined(spark, sf)
+
+
+@query("pending_events", O.with_(_HISTORY, "SELECT dataset FROM wide WHERE sys2 IS NULL"))
+def q_pending(spark, sf):
+    """Data sets that sys2 has no record of."""
+    return H.pending(_sets(spark, sf).select("dataset"), _times(spark, sf, "sys2"))
+
+
+@query("appended_records_events", O.with_(_HISTORY, "SELECT dataset, time FROM runs WHERE system <> 'sys2'"))
+def q_appended(spark, sf):
+    """One system's records appended to another's."""
+    return H.append_record(_times(spark, sf, "sys0"), _times(spark, sf, "sys1"))
+
+
+@query("side_by_side_events", O.with_(_HISTORY, "SELECT dataset, sys0 AS time_0, sys2 AS time_2 FROM wide WHERE sys2 IS NOT NULL AND sys0 IS NOT NULL"))
+def q_side_by_side(spark, sf):
+    """Two histories next to each other, aligned by name."""
+    a, b = (_times(spark, sf, x).withColumnRenamed("time", f"time_{x[-1]}") for x in ("sys0", "sys2"))
+    return H.side_by_side(a, b, "dataset")
+
+
+@query("report_by_size_events", O.with_(
+    _HISTORY + [f"long AS ({_LONG})", "fam AS (SELECT DISTINCT event_type AS family FROM events)"],
+    "SELECT f.family, l.system, l.n_samples, l.time_ms FROM long l JOIN fam f ON contains(l.dataset, f.family) WHERE l.time_ms IS NOT NULL"))
+def q_by_size(spark, sf):
+    """K6: n_samples -> time per family and system."""
+    families = [r[0] for r in td.table(spark, sf, "events").select("event_type").distinct().collect()]   # a few names
+    return R.by_sample_size(_combined(spark, sf), families)
+
+
+@query("report_by_dimension_events", O.with_(
+    _HISTORY + [f"long AS ({_LONG})"],
+    "SELECT n_samples, system, n_features, time_ms FROM long WHERE time_ms IS NOT NULL AND n_samples IN (SELECT max(n_samples) FROM sets UNION SELECT min(n_samples) FROM sets)"))
+def q_by_dimension(spark, sf):
+    """K7: n_features -> time for the smallest and the largest sample size."""
+    sizes = _sets(spark, sf).agg(F.min("n_samples"), F.max("n_samples")).first()
+    return R.by_dimension(_combined(spark, sf), list(sizes))
+
+
+@query("matching_names_events", O.with_(_HISTORY, "SELECT * FROM sets WHERE contains(dataset, 'e1')"))
+def q_matching(spark, sf):
+    """P5: names that hold a text."""
+    return R.matching(_sets(spark, sf), "e1")
+
+
+@query("other_names_events", O.with_(_HISTORY, "SELECT * FROM sets WHERE NOT contains(dataset, 'e1')"))
+def q_not_matching(spark, sf):
+    """P5: names that don't."""
+    return R.matching(_sets(spark, sf), "e1", keep=False)
+
+
+@query("largest_sets_events", O.with_(_HISTORY, "SELECT * FROM sets WHERE n_samples = (SELECT max(n_samples) FROM sets)"))
+def q_with_samples(spark, sf):
+    """Sets of exactly the largest size."""
+    sets = _sets(spark, sf)
+    return R.with_samples(sets, sets.agg(F.max("n_samples")).first()[0])
+
+
+@query("system_columns_events", O.with_(_HISTORY, "SELECT sys0, sys1, sys2 FROM wide"))
+def q_systems(spark, sf):
+    """The columns after the catalogue's."""
+    wide = _combined(spark, sf)
+    return wide.select(*R.system_columns(wide))
+
+
+@query("history_csv_events", O.with_(_HISTORY, "SELECT dataset, time FROM runs WHERE system = 'sys0'"))
+def q_history_csv(spark, sf):
+    """S9 + S10: a history written as CSV in two appends, read back."""
+    path = scratch_path(spark, "history-csv")
+    t = _times(spark, sf, "sys0")
+    CSV.write_history(t.where(F.col("dataset") < "m"), path, mode="append")
+    CSV.write_history(t.where(F.col("dataset") >= "m"), path, mode="append")
+    return CSV.read_history(spark, path)
+
+
+@query("trained_once_fixtures",
+       "SELECT unnest(['embeddings64', 'events2']) AS dataset, CAST(1 AS BIGINT) AS n_runs, true AS timed")
+def q_trained_once(spark, sf):
+    """K4 without its clock: a job that resumes trains each set exactly once."""
+    return q_run_history(spark, sf).groupBy("dataset").agg(
+        F.count(F.lit(1)).alias("n_runs"), (F.min("time") > 0).alias("timed"))
+
+
+# ---- iterations, saved results, data sets ------------------------------------
+
+_COSTS3 = O.lloyd_costs(O.POINTS64, O.START64, 3, 64)
+
+
+@query("chosen_iterations_points64", f"SELECT * FROM ({_COSTS3}) WHERE iter IN (1, 3)")
+def q_chosen(spark, sf):
+    """The asked-for iterations of a history."""
+    return R.select_iterations(exact_cost_curve(fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=3)), [1, 3])
+
+
+@query("last_iteration_points64", f"SELECT cost FROM ({_COSTS3}) WHERE iter = 3")
+def q_last(spark, sf):
+    """The value at the last iteration."""
+    return R.last_iteration(exact_cost_curve(fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=3)), "cost")
+
+
+@query("saved_labels_text_points2", O.lloyd_labels(O.POINTS2, O.START2, 2, 2))
+def q_saved_text(spark, sf):
+    """S6 + S7 as text: labels saved and read back."""
+    path = scratch_path(spark, "saved-text")
+    res = fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=2)
+    TXT.write_output(path, labels=res.labels(), fmt="text")
+    res.unpersist()
+    return TXT.load_output(spark, path, fmt="text")["label"]
+
+
+@query("saved_history_points2", O.with_(
+    O.lloyd_ctes(O.POINTS2, O.START2, 2, 2),
+    "SELECT * FROM (SELECT 1 AS iter, point_id, CAST(cluster_id AS INTEGER) AS cluster_id, dist FROM a1 "
+    "UNION ALL SELECT 2, point_id, CAST(cluster_id AS INTEGER), dist FROM a2)"))
+def q_saved_history(spark, sf):
+    """K2 as a saved table: labels of every iteration, as Parquet."""
+    path = scratch_path(spark, "saved-history")
+    res = fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=2)
+    TXT.write_output(path, history=res.labels_at([1, 2]).withColumn("iter", F.col("iter").cast("int")))
+    res.unpersist()
+    return TXT.load_output(spark, path)["history"]
+
+
+@query("scored_output_points64", O.with_(
+    _scored64(3) + [
+        "cc AS (" + " UNION ALL ".join(f"SELECT {i} AS iter, sum(dist) AS cost FROM a{i}" for i in (1, 2, 3)) + ")",
+        "l2 AS (SELECT cost AS c, lag(cost) OVER (ORDER BY iter) AS p, iter FROM cc)"],
+    "SELECT CAST(round((SELECT nmi FROM (" + _NMI_BODY.replace("AS DECIMAL(12, 6)", "AS DOUBLE") + ")), 4) AS DECIMAL(8, 4)) AS nmi, "
+    "CAST(round((p - c) / p * 100, 2) AS DECIMAL(10, 2)) AS cost_reduction_pct FROM l2 WHERE iter = 3"))
+def q_scored(spark, sf):
+    """A saved result scored in one step: NMI at 4 places, cost drop at 2."""
+    path = scratch_path(spark, "saved-score")
+    res = fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=3)
+    TXT.write_output(path, labels=res.labels(), costs=res.costs(), centroids=res.centroids(), fmt="text")
+    res.unpersist()
+    return RUNS.score_output(spark, path, td.partition64(spark, sf), fmt="text").withColumn("nmi", F.col("nmi").cast("decimal(8,4)"))
+
+
+@query("data_set_roles_points64", (
+    f"SELECT 'set64' AS dataset, 'points' AS role, count(*) AS n, CAST(sum(coord[1]) AS DOUBLE) AS total FROM ({O.POINTS64}) "
+    f"UNION ALL SELECT 'set64', 'partition', count(*), CAST(sum(label) AS DOUBLE) FROM ({O.PARTITION64}) "
+    f"UNION ALL SELECT 'set64', 'true', count(*), CAST(sum(coord[1]) AS DOUBLE) FROM ({O.true_centroids_sql(O.POINTS64, O.PARTITION64, 64)}) "
+    f"UNION ALL SELECT 'set64', 'start', count(*), sum(coord[1] + 0.5) FROM ({O.START64})"))
+def q_roles(spark, sf):
+    """S3 + S4: a data set of four roles written, listed, and loaded."""
+    root = scratch_path(spark, "roles")
+    pts, lab = td.points64(spark, sf), td.partition64(spark, sf)
+    half = F.transform("coord", lambda x: x + 0.5)   # start centroids keep fractions
+    write_dataset(root, "set64", pts, lab, X.true_centroids_from_labels(pts, lab), td.start64(spark, sf).withColumn("coord", half))
+    out = None
+    for row in DS.list_datasets(spark, root).collect():
+        ds = DS.load_dataset(spark, root, row["dataset"])
+        roles = {"points": (ds.points, F.col("coord")[0]), "partition": (ds.partition, F.col("label")),
+                 "true": (ds.true_centroids, F.col("coord")[0]), "start": (ds.start_centroids, F.col("coord")[0])}
+        for role, (df, value) in roles.items():
+            one = df.agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("double").alias("total")).select(
+                F.lit(row["dataset"]).alias("dataset"), F.lit(role).alias("role"), "n", "total")
+            out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query("cleaned_text_points2", f"SELECT row_number() OVER (ORDER BY point_id) AS point_id, coord FROM ({O.POINTS2})")
+def q_clean(spark, sf):
+    """A file with uneven white space and fractions rewritten and read."""
+    src, dst = scratch_path(spark, "messy"), scratch_path(spark, "clean")
+    messy = F.concat(F.lit("  "), F.array_join("coord", "\t   "), F.lit(" "))
+    td.points2(spark, sf).orderBy("point_id").select(messy.alias("value")).write.text(src)
+    TXT.clean_text(spark, src, dst)
+    return load_points(spark, dst)
+
+
+@query("replaced_table_points2", (
+    f"SELECT 'first' AS step, count(*) AS n FROM ({O.POINTS2}) UNION ALL "
+    f"SELECT 'replaced', count(*) FROM ({O.POINTS2}) WHERE coord[2] > 5000 UNION ALL SELECT 'cleared', 0"))
+def q_replaced(spark, sf):
+    """S11, durable form: a table made, replaced from a query, and cleared."""
+    import uuid
+    name = f"centrix_points_{uuid.uuid4().hex}"
+    pts = td.points2(spark, sf).select("point_id", F.col("coord")[1].alias("y"))
+    try:
+        counts = [("first", TBL.replace_table(pts, name, durable=True).count()),
+                  ("replaced", TBL.replace_table(pts.where("y > 5000"), name, durable=True).count())]
+        TBL.clear_table(spark, name)
+        counts.append(("cleared", spark.table(name).count()))
+    finally:
+        spark.sql(f"DROP TABLE IF EXISTS {name}")
+    return spark.createDataFrame(counts, "step STRING, n BIGINT")
+
+
+# ---- small functions, counts, laterals ---------------------------------------
+
+from centrix.functions.numeric import millis, round_to  # noqa: E402
+from centrix.functions.vector import vec_add, vec_div, vec_least  # noqa: E402
+
+
+@query("cluster_counts_points2", _one_step(
+    O.POINTS2, O.START2, "SELECT CAST(cluster_id AS INTEGER) AS cluster_id, count(*) AS n FROM a1 GROUP BY cluster_id"))
+def q_counts(spark, sf):
+    """A5: members per cluster."""
+    return U.cluster_counts(A.assign(td.points2(spark, sf), td.start2(spark, sf)))
+
+
+@query("total_cost_points2", _one_step(O.POINTS2, O.START2, "SELECT sum(CAST(dist AS DECIMAL(38, 6))) AS cost FROM a1"))
+def q_total(spark, sf):
+    """A6 over all clusters."""
+    return COST.total_cost(A.assign(td.points2(spark, sf), td.start2(spark, sf)))
+
+
+@query("vector_functions_points2", (
+    "SELECT point_id, [coord[1] + coord[2], coord[2] + coord[1]] AS added, [coord[1] / 4.0::DOUBLE, coord[2] / 4.0::DOUBLE] AS divided, "
+    "[least(coord[1], coord[2]), least(coord[2], coord[1])] AS lower, least(coord[2], 5000) AS clipped, "
+    f"round(coord[2] * 0.001::DOUBLE * 1000.0::DOUBLE, 3) AS ms, round(coord[2] / 7.0::DOUBLE, 4) AS score FROM ({O.POINTS2})"))
+def q_vector_functions(spark, sf):
+    """Add, divide, elementwise minimum, clip, ms and rounding."""
+    y = F.col("coord")[1]
+    return td.points2(spark, sf).select(
+        "point_id", vec_add("coord", F.reverse("coord")).alias("added"), vec_div("coord", 4).alias("divided"),
+        vec_least("coord", F.reverse("coord")).alias("lower"), F.least(y, F.lit(5000)).alias("clipped"),
+        millis(y * 0.001).alias("ms"), round_to(y / F.lit(7.0), 4).alias("score"))
+
+
+@query("lateral_means_points2", _one_step(
+    O.POINTS2, O.START2,
+    "SELECT CAST(c.cluster_id AS INTEGER) AS cluster_id, count(a.point_id) AS n, avg(a.coord[1]) AS x, avg(a.coord[2]) AS y "
+    "FROM c1 c LEFT JOIN a1 a USING (cluster_id) GROUP BY c.cluster_id"))
+def q_lateral(spark, sf):
+    """J6 and the SQL form of the update: per cluster, a lateral aggregate over
+    its members (decorrelated to one grouped aggregate and a join)."""
+    a = A.assign(td.points2(spark, sf), td.start2(spark, sf), keep_coord=True)
+    a.createOrReplaceTempView("centrix_members")
+    td.start2(spark, sf).createOrReplaceTempView("centrix_clusters")
+    return spark.sql(
+        "SELECT c.cluster_id, m.n, m.x, m.y FROM centrix_clusters c, LATERAL ("
+        "SELECT count(point_id) AS n, avg(coord[0]) AS x, avg(coord[1]) AS y FROM centrix_members a "
+        "WHERE a.cluster_id = c.cluster_id) m")
+
+
+@query("lloyd100_properties_points2", (
+    f"SELECT CAST(i AS INTEGER) AS iter, (SELECT count(*) FROM ({O.POINTS2})) AS n, false AS rises FROM range(1, 101) t(i)"))
+def q_lloyd100(spark, sf):
+    """A run of the published length: every iteration covers all points, and
+    the cost never rises."""
+    res = fit(td.points2(spark, sf), td.start2(spark, sf), max_iter=100)
+    costs = res.costs().select("iter", "cost", F.lag("cost").over(Window.orderBy("iter")).alias("before"))
+    sizes = res.centroid_history().groupBy("iter").agg(F.sum("n").alias("n"))
+    res.unpersist()
+    return sizes.join(costs, "iter").select(
+        "iter", "n", F.coalesce(F.col("cost") > F.col("before") * (1 + 1e-12), F.lit(False)).alias("rises"))

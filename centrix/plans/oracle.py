@@ -7,7 +7,35 @@ steps) are unrolled into CTE blocks.
 
 from __future__ import annotations
 
-from centrix.functions.hashrand import hash_uniform_sql, stream
+
+# The draws, written here a second time from their definition: a stream number
+# folded from (seed, parts), and a double from two mixes of the id.
+_P, _Q = 2**31 - 1, 2**31 - 19
+
+
+def stream(seed: int, *parts: int) -> int:
+    out = seed % _P
+    for part in parts:
+        out = (out * 1000003 + part + 1) % _P
+    return out
+
+
+def stream_of(base: int, part: str) -> str:
+    return f"((CAST({base} AS BIGINT) * 1000003 + ({part}) + 1) % {_P})"
+
+
+def uniform(stream_no: str, id_sql: str) -> str:
+    """A draw as nested one-element lists, so that each round is named once."""
+    def mixed(m: int, a: int, b: int, c: int, e: int) -> str:
+        high = f"((CAST({id_sql} AS BIGINT) >> 30) % {m} + {m}) % {m}"
+        first = f"[((CAST({id_sql} AS BIGINT) & 1073741823) * {a} + ({stream_no})) % {m}]"
+        second = f"list_transform({first}, lambda v: (v * v + {b}) % {m})"
+        third = f"list_transform({second}, lambda v: (v * {c} + {high}) % {m})"
+        return f"CAST(list_transform({third}, lambda v: (v * v + {e}) % {m})[1] AS DOUBLE)"
+
+    one, two = mixed(_P, 48271, 12345, 69621, 54321), mixed(_Q, 69621, 54321, 48271, 12345)
+    return f"least(({one} + ({two} + CAST(0.5 AS DOUBLE)) / CAST({_Q} AS DOUBLE)) / CAST({_P} AS DOUBLE), CAST({1 - 2.0**-53!r} AS DOUBLE))"
+
 
 POINTS64 = ("SELECT vec_id AS point_id, list_transform(embedding, lambda x: "
             "CAST(round(CAST(x AS DOUBLE) * 1000.0) AS BIGINT)) AS coord FROM embeddings")
@@ -82,7 +110,7 @@ def lloyd_costs(points_sql: str, start_sql: str, iters: int, d: int) -> str:
 
 
 def uniform_u(seed_stream: int, id_sql: str) -> str:
-    return hash_uniform_sql(str(seed_stream), id_sql, "duckdb")
+    return uniform(str(seed_stream), id_sql)
 
 
 def kmeanspp_sql(points_sql: str, k: int, seed: int, trials: int) -> str:
@@ -93,7 +121,7 @@ def kmeanspp_sql(points_sql: str, k: int, seed: int, trials: int) -> str:
             f"d1 AS (SELECT p.point_id, p.coord, {sq_dist('p.coord', 'c.coord')} AS dn FROM pts p, c1 c)"]
     for c in range(2, k + 1):
         vals = ", ".join(f"({t}, {stream(seed, c, t)})" for t in range(1, trials + 1))
-        u = hash_uniform_sql("tt.st", "d.point_id", "duckdb")
+        u = uniform("tt.st", "d.point_id")
         ctes += [
             f"r{c} AS (SELECT tt.t, d.point_id, d.coord, -ln({u}) / d.dn AS key "
             f"FROM d{c - 1} d, (VALUES {vals}) tt(t, st) WHERE d.dn > 0)",
@@ -118,16 +146,17 @@ def true_centroids_sql(points_sql: str, partition_sql: str, d: int) -> str:
 
 
 def expand_sql(points_sql: str, partition_sql: str, d: int, seed: int, factor: int = 2) -> str:
-    from centrix.operators.expand import gaussian_coord_sql
     ctes = [f"pts AS ({points_sql})", f"lab AS ({partition_sql})",
             f"tc AS ({true_centroids_sql(points_sql, partition_sql, d)})",
-            "cents AS (SELECT CAST(row_number() OVER (ORDER BY cluster_id) AS INTEGER) AS label, "
+            "cents AS (SELECT row_number() OVER (ORDER BY cluster_id) - 1 AS place, cluster_id, "
             "CAST(coord AS DOUBLE[]) AS centre FROM tc)",
             f"par AS (SELECT count(*) AS n, max(point_id) AS mx, (SELECT count(*) FROM tc) AS k, "
             f"({factor} * count(*) - count(*)) // (SELECT count(*) FROM tc) AS m FROM pts)",
             "ids AS (SELECT unnest(range(k * m)) AS id, mx, m FROM par)",
-            "nw AS (SELECT mx + 1 + id AS point_id, id, CAST(id // m + 1 AS INTEGER) AS label FROM ids)"]
-    gen = gaussian_coord_sql(seed, "nw.id", "c.centre", d, "duckdb")
+            "nw AS (SELECT mx + 1 + id AS point_id, id, id // m AS place FROM ids)"]
+    u1, u2 = (uniform(stream_of(stream(seed, r), "j"), "nw.id") for r in (1, 2))
+    normal = f"sqrt(-2.0 * ln({u1})) * cos(2.0 * pi() * {u2})"
+    gen = f"list_transform(range(0, {d}), lambda j: CAST(trunc(c.centre[j + 1] + {normal}) AS BIGINT))"
     body = ("SELECT point_id, coord, CAST(label AS INTEGER) AS label FROM pts JOIN lab USING (point_id) "
-            f"UNION ALL SELECT nw.point_id, {gen} AS coord, nw.label FROM nw JOIN cents c USING (label)")
+            f"UNION ALL SELECT nw.point_id, {gen} AS coord, CAST(c.cluster_id AS INTEGER) AS label FROM nw JOIN cents c USING (place)")
     return with_(ctes, f"SELECT * FROM ({body})")

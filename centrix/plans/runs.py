@@ -8,47 +8,41 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centrix.operators.history import append_record, make_record, pending
-from centrix.operators.metrics import dataset_info, join_truth, nmi
+from centrix.operators.history import make_record, pending
+from centrix.operators.metrics import cost_reduction, dataset_info, join_truth, nmi
 from centrix.plans.lloyd import fit
 from centrix.sources.csv import TIME_SCHEMA, read_history, write_history
-from centrix.sources.dataset import _exists, load_dataset
+from centrix.sources.dataset import load_dataset
+from centrix.sources.fs import path_exists
+from centrix.sources.text import load_output
 
 
 def train_many(spark: SparkSession, root: str, names: list[str], history_path: str,
                max_iter: int = 100, method: str = "arrow") -> DataFrame:
-    """K4: train every data set not yet in the history; the history is
-    rewritten after each run, so an interrupted job resumes where it stopped.
+    """K4: train every data set not yet in the history.
 
-    The history is a small metadata table (one row per run); it is read back
-    fresh after each write.
+    Each run appends its one record, so an interrupted job loses at most the
+    run it was in and resumes there; nothing written is ever rewritten.
     """
-    if _exists(spark, history_path):
-        history = read_history(spark, history_path, TIME_SCHEMA).cache()
-    else:
-        history = spark.createDataFrame([], TIME_SCHEMA)
+    done = read_history(spark, history_path, TIME_SCHEMA) if path_exists(spark, history_path) \
+        else spark.createDataFrame([], TIME_SCHEMA)
     todo = spark.createDataFrame([(n,) for n in names], "dataset STRING")
-    for row in pending(todo, history).collect():   # one row per data-set name
+    for row in pending(todo, done).collect():   # one row per data-set name
         ds = load_dataset(spark, root, row["dataset"])
         t0 = time.time()
         res = fit(ds.points, ds.start_centroids, max_iter=max_iter, method=method)
         res.centroids().collect()
         ms = round((time.time() - t0) * 1000.0, 3)
         res.unpersist()
-        history = append_record(history, make_record(spark, row["dataset"], ms))
-        tmp = history_path.rstrip("/") + ".next"
-        write_history(history, tmp)
-        history = read_history(spark, tmp, TIME_SCHEMA).cache()
-        history.count()
-        write_history(history, history_path)
-        history = read_history(spark, history_path, TIME_SCHEMA).cache()
-    return history
+        write_history(make_record(spark, row["dataset"], ms), history_path, mode="append")
+    return read_history(spark, history_path, TIME_SCHEMA) if path_exists(spark, history_path) else done
 
 
 def write_dataset(root: str, name: str, points: DataFrame, partition: DataFrame | None = None,
                   true_centroids: DataFrame | None = None, start: DataFrame | None = None) -> None:
-    """Write the roles of one data set as integer text files under ``root``
-    (``name.txt``, ``-pa``, ``-c``, ``-ic``), each in id order (S5)."""
+    """Write the roles of one data set as text files under ``root``
+    (``name.txt``, ``-pa``, ``-c``, ``-ic``), each in id order (S5).  Start
+    centroids keep their fractions; the other roles are integers."""
     from centrix.sources import dataset as DS
     from centrix.sources.text import write_points
     base = f"{root.rstrip('/')}/{name}"
@@ -58,7 +52,7 @@ def write_dataset(root: str, name: str, points: DataFrame, partition: DataFrame
     if true_centroids is not None:
         write_points(true_centroids.withColumnRenamed("cluster_id", "point_id"), base + DS.SUFFIX_TRUE_CENTROIDS)
     if start is not None:
-        write_points(start.withColumnRenamed("cluster_id", "point_id"), base + DS.SUFFIX_START_CENTROIDS)
+        write_points(start.withColumnRenamed("cluster_id", "point_id"), base + DS.SUFFIX_START_CENTROIDS, integer=False)
 
 
 def time_fits(named_sets: dict, max_iter: int, method: str) -> list[tuple[str, float]]:
@@ -82,3 +76,40 @@ def score_record(name: str, points: DataFrame, partition: DataFrame, labels: Dat
     return prof.select(F.lit(name).alias("dataset"), "n_samples", "n_features", "n_clusters",
                        F.lit(time_ms).cast("double").alias("training_time_ms"),
                        score.scalar().alias("nmi"))
+
+
+def local_record(score: DataFrame) -> DataFrame:
+    """A :func:`score_record` row under the column names of the local run
+    history (``LOCAL_SCHEMA``), ready to append."""
+    return score.withColumnsRenamed({"training_time_ms": "training_time (ms)", "nmi": "NMI score"})
+
+
+def append_local_record(score: DataFrame, path: str) -> None:
+    """Append one scored run to the local history CSV."""
+    write_history(local_record(score), path, mode="append")
+
+
+def score_output(spark: SparkSession, path: str, partition: DataFrame, fmt: str = "parquet") -> DataFrame:
+    """Score a saved result in one step: ``(nmi, cost_reduction_pct)``, the NMI
+    of its labels rounded to 4 places and the last cost drop in % at 2."""
+    out = load_output(spark, path, fmt)
+    score = nmi(join_truth(out["label"], partition)).select(F.round("nmi", 4).alias("nmi"))
+    return score.select("nmi", cost_reduction(out["cost"]).scalar().alias("cost_reduction_pct"))
+
+
+def prepare_datasets(spark: SparkSession, root: str, out: str, sizes: list[int], k: int, seed: int = 0) -> list[str]:
+    """Data preparation: every data set of ``root`` enlarged to each size,
+    seeded, and saved with its four roles under ``out`` as ``<name>e<i>``."""
+    from centrix.operators.expand import expand
+    from centrix.operators.seed import kmeanspp
+    from centrix.sources.dataset import list_datasets
+    names = []
+    for row in list_datasets(spark, root).collect():
+        ds = load_dataset(spark, root, row["dataset"])
+        for i, size in enumerate(sizes, start=1):
+            points, partition = expand(ds.points, ds.partition, ds.true_centroids, size, seed=seed)
+            name = f"{row['dataset']}e{i}"
+            start = kmeanspp(points, k, seed=seed).select("cluster_id", "coord")
+            write_dataset(out, name, points, partition, ds.true_centroids, start)
+            names.append(name)
+    return names

@@ -13,6 +13,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from centrix.sources.fs import list_names, path_exists
 from centrix.sources.text import load_labels, load_points
 
 
@@ -33,35 +34,24 @@ class Dataset:
     start_centroids: DataFrame | None
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return bool(fs.exists(hpath))
-
-
 def load_dataset(spark: SparkSession, root: str, name: str) -> Dataset:
     base = f"{root.rstrip('/')}/{name}"
     points = load_points(spark, base + SUFFIX_POINTS)
     part_path = base + SUFFIX_PARTITION
-    part = load_labels(spark, part_path) if _exists(spark, part_path) else None
+    part = load_labels(spark, part_path) if path_exists(spark, part_path) else None
     true_c = None
-    if _exists(spark, base + SUFFIX_TRUE_CENTROIDS):
+    if path_exists(spark, base + SUFFIX_TRUE_CENTROIDS):
         true_c = load_points(spark, base + SUFFIX_TRUE_CENTROIDS, id_col="cluster_id") \
             .select(F.col("cluster_id").cast("int"), "coord")
     start_c = None
-    if _exists(spark, base + SUFFIX_START_CENTROIDS):
+    if path_exists(spark, base + SUFFIX_START_CENTROIDS):
         start_c = load_points(spark, base + SUFFIX_START_CENTROIDS, dtype="double", id_col="cluster_id") \
             .select(F.col("cluster_id").cast("int"), "coord")
     return Dataset(name, points, part, true_c, start_c)
 
 
 def list_datasets(spark: SparkSession, root: str) -> DataFrame:
-    """Base names of the point files in ``root`` (names without '-'), as
-    ``(dataset)``.  Only file paths are listed; contents are not read."""
-    files = spark.read.format("binaryFile").load(root).select("path")
-    base = F.substring_index(F.col("path"), "/", -1)
-    return (files.select(base.alias("file"))
-            .filter(~F.col("file").contains("-"))
-            .select(F.substring_index("file", ".", 1).alias("dataset"))
-            .distinct())
+    """Base names of the point files (or folders of part files) in ``root``,
+    names without '-', as ``(dataset)``.  Names only: contents are not read."""
+    names = {n.split(".", 1)[0] for n in list_names(spark, root) if n.endswith(SUFFIX_POINTS) and "-" not in n}
+    return spark.createDataFrame([(n,) for n in sorted(names)], "dataset STRING")

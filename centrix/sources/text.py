@@ -11,10 +11,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from centrix.functions.text import split_ws, to_numbers
+from centrix.sources.fs import path_exists
 
-# A split table larger than this is joined back with a shuffle instead of a
-# broadcast (one row per file split).
-MAX_BROADCAST_SPLITS = 1_000_000
 
 
 def with_row_id(lines: DataFrame, id_col: str = "point_id", start: int = 1) -> DataFrame:
@@ -22,17 +20,19 @@ def with_row_id(lines: DataFrame, id_col: str = "point_id", start: int = 1) -> D
 
     ``lines`` must still carry ``_path``/``_block`` (file path, split start).
     Ids come from (path, split start, position inside the split): one small
-    aggregate per split, prefix sums over the split table, and a join back.
-    No global sort and no single-task window over the rows.
+    aggregate per split, prefix sums over the split table, and a join back
+    (broadcast where Spark's own size threshold allows it).  Part files are
+    ordered by their number, other files by name; no global sort and no
+    single-task window over the rows.
     """
     tagged = lines.withColumn("_mono", F.monotonically_increasing_id())
     splits = (tagged.groupBy("_path", "_block")
               .agg(F.min("_mono").alias("_m0"), F.count(F.lit(1)).alias("_cnt")))
-    order = Window.orderBy("_path", "_block").rowsBetween(Window.unboundedPreceding, -1)
+    folder, name = F.regexp_extract("_path", "^(.*/)?([^/]*)$", 1), F.substring_index("_path", "/", -1)
+    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")   # null: no part file
+    order = Window.orderBy(folder, part, name, "_block").rowsBetween(Window.unboundedPreceding, -1)
     splits = splits.withColumn("_off", F.coalesce(F.sum("_cnt").over(order), F.lit(0)))
-    n_splits = splits.count()
-    right = F.broadcast(splits) if n_splits <= MAX_BROADCAST_SPLITS else splits
-    out = tagged.join(right, ["_path", "_block"])
+    out = tagged.join(splits, ["_path", "_block"])
     out = out.withColumn(id_col, F.lit(start) + F.col("_off") + F.col("_mono") - F.col("_m0"))
     return out.drop("_mono", "_m0", "_cnt", "_off", "_path", "_block")
 
@@ -70,29 +70,43 @@ def check_dims(points: DataFrame, coord: str = "coord") -> int:
 
 
 def write_points(points: DataFrame, path: str, coord: str = "coord",
-                 order_by: str | None = "point_id", mode: str = "error") -> None:
-    """Write coordinates as integer text, single-space separated.
+                 order_by: str | None = "point_id", mode: str = "error", integer: bool = True) -> None:
+    """Write coordinates as text, single-space separated.
 
-    Values are truncated toward zero, as ``%d`` does.  With ``order_by`` the
-    files hold the rows in that order (range-partitioned sort), so a later
-    :func:`load_points` gives the same ids back.
+    Values are truncated toward zero, as ``%d`` does, or written in full with
+    ``integer=False``.  With ``order_by`` the files hold the rows in that order
+    (range-partitioned sort), so a later :func:`load_points` gives the same
+    ids back.
     """
     df = points.orderBy(order_by) if order_by else points
-    text = df.select(F.array_join(F.transform(coord, lambda x: x.cast("bigint")), " ").alias("value"))
+    kind = "bigint" if integer else "string"
+    text = df.select(F.array_join(F.transform(coord, lambda x: x.cast(kind)), " ").alias("value"))
     text.write.mode(mode).text(path)
 
 
+# The parts of a saved result, with their columns.
+_OUTPUT_SCHEMAS = {
+    "label": "point_id BIGINT, cluster_id INT, dist DOUBLE",
+    "centroid": "cluster_id INT, n BIGINT, coord ARRAY<DOUBLE>",
+    "cost": "iter INT, cost DOUBLE",
+    "history": "iter INT, point_id BIGINT, cluster_id INT, dist DOUBLE",
+}
+
+
 def write_output(path: str, labels: DataFrame | None = None, centroids: DataFrame | None = None,
-                 costs: DataFrame | None = None, fmt: str = "parquet") -> list[str]:
-    """Write whichever of labels / centroids / costs are present."""
+                 costs: DataFrame | None = None, fmt: str = "parquet", history: DataFrame | None = None) -> list[str]:
+    """Write whichever of labels / centroids / costs / labels by iteration are
+    present (S6)."""
+    if fmt not in ("parquet", "text"):
+        raise ValueError("fmt must be 'parquet' or 'text'")
     written = []
-    for name, df in (("label", labels), ("centroid", centroids), ("cost", costs)):
+    for name, df in (("label", labels), ("centroid", centroids), ("cost", costs), ("history", history)):
         if df is None:
             continue
         target = f"{path.rstrip('/')}/{name}"
         if fmt == "parquet":
             df.write.mode("overwrite").parquet(target)
-        elif fmt == "text":
+        else:
             cols = []
             for f in df.schema.fields:
                 if f.dataType.typeName() == "array":
@@ -100,29 +114,30 @@ def write_output(path: str, labels: DataFrame | None = None, centroids: DataFram
                 else:
                     cols.append(F.col(f.name).cast("string"))
             df.select(F.concat_ws(" ", *cols).alias("value")).write.mode("overwrite").text(target)
-        else:
-            raise ValueError("fmt must be 'parquet' or 'text'")
         written.append(target)
     return written
 
 
-_OUTPUT_SCHEMAS = {
-    "label": "point_id BIGINT, cluster_id INT, dist DOUBLE",
-    "centroid": "cluster_id INT, n BIGINT, coord ARRAY<DOUBLE>",
-    "cost": "iter INT, cost DOUBLE",
-}
-
-
-def load_output(spark: SparkSession, path: str) -> dict[str, DataFrame]:
-    """Read back what :func:`write_output` wrote (Parquet), with fixed schemas."""
-    import os
+def load_output(spark: SparkSession, path: str, fmt: str = "parquet") -> dict[str, DataFrame]:
+    """Read back the parts that :func:`write_output` wrote, in either form, with
+    fixed schemas (S7).  Absent parts are left out."""
+    if fmt not in ("parquet", "text"):
+        raise ValueError("fmt must be 'parquet' or 'text'")
     out = {}
     for name, schema in _OUTPUT_SCHEMAS.items():
         target = f"{path.rstrip('/')}/{name}"
-        if target.startswith("file:") or "://" not in target:
-            if not os.path.exists(target.replace("file:", "")):
-                continue
-        out[name] = spark.read.schema(schema).parquet(target)
+        if not path_exists(spark, target):
+            continue
+        if fmt == "parquet":
+            out[name] = spark.read.schema(schema).parquet(target)
+            continue
+        words = spark.read.text(target).select(split_ws("value").alias("w"))
+        cols = []
+        for k, field in enumerate(f.split(" ", 1) for f in schema.split(", ")):
+            col, kind = field
+            value = F.slice("w", F.lit(k + 1), F.size("w")) if kind.startswith("ARRAY") else F.col("w")[k]
+            cols.append(value.cast(kind).alias(col))
+        out[name] = words.select(*cols)
     return out
 
 
