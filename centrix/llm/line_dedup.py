@@ -1,18 +1,19 @@
 """Fuzzy line deduplication, in DataFrame functions only.
 
-Lines are normalised (lower case, ASCII punctuation and digits dropped) and
-hashed; equal lines collapse by hash.  Distinct lines get a 64-bit SimHash of
-their words.  Dense groups of
-near lines are first tied to a leader; then SimHashes at most ``distance`` bits apart agree on one of
-``distance + 1`` blocks (pigeonhole), so a join on (block, bits) finds every
-such pair that isn't tied yet.  Pairs are narrowed by the exact bit distance and
-verified by the edit similarity of the lines, in words.  One occurrence per connected group
-stays: the first by document id, then by line.
+Lines are hashed as they are, and normalised (lower case, ASCII punctuation and
+digits dropped); lines of one normal form are one node.  Every node gets a
+63-bit SimHash of its words.  Dense groups of near lines are first tied to a
+leader; then SimHashes at most ``distance`` bits apart agree on two of
+``distance + 2`` blocks (pigeonhole), so a join on (pair of blocks, their bits)
+finds every such pair that isn't tied yet.  Pairs are narrowed by the exact bit
+distance and verified by the edit similarity of the lines, in words.  One
+occurrence per connected group stays: the first by document id, then by line.
 """
 
 from __future__ import annotations
 
 import string
+from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -20,13 +21,15 @@ from pyspark.sql import functions as F
 from .common import cut, maybe_in, text_or_empty
 from .components import components
 
-BITS = 64
+#: Bits of a SimHash: three are summed per column, 21 bits apart.
+COLUMNS, LANES = 21, 3
+BITS = COLUMNS * LANES
 #: Occurrences of one line are summed in this many groups, so that a hot line
-#: is no single task's and its packed sums stay in range.
-SALTS = 4096
+#: is no single task's and its packed sums (below 2^21 words a group) hold.
+SALTS = 1 << 18
 #: Capital letters below U+0530 (Latin, Greek, Cyrillic) and their small ones.
 _CAPITALS = [c for c in map(chr, range(0x41, 0x530)) if c.lower() != c and len(c.lower()) == 1]
-_FROM = "".join(_CAPITALS) + "\t\v\f\r " + string.punctuation + string.digits
+_FROM = "".join(_CAPITALS) + "\t\v\f\r " + string.punctuation + string.digits
 _TO = "".join(c.lower() for c in _CAPITALS) + " " * 5
 
 
@@ -36,66 +39,75 @@ def normalised(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, at, norm, k1, k2)`` of every line with something left."""
+    """``(id, at, line, k1, k2)`` of every line; k1, k2 hash it as it is."""
     return (docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("at", "line"))
-            .select("id", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
-            .withColumns({"k1": F.xxhash64("norm"), "k2": F.xxhash64(F.lit("line"), "norm")}))
+            .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit("line"), "line")}))
 
 
 def simhash_lines(lines: DataFrame) -> DataFrame:
-    """``(key, n, sim)``: every distinct line, its occurrences and SimHash.
+    """``(k1, k2, node, n, sim)``: every distinct line with a word, the hashes
+    of its normal form, its occurrences and SimHash.
 
-    Occurrences only multiply all sums, so they don't move the majority.  Two
-    bits are summed per column, 32 bits apart; sums are combined before the
-    shuffle."""
-    keys = ["k1", "k2", "salt"]
+    Occurrences only multiply all sums, so they don't move the majority; sums
+    are combined before the shuffle."""
+    keys = ["k1", "k2", "n1", "n2", "salt"]
     salt = F.pmod(F.xxhash64("id", "at"), F.lit(SALTS)).alias("salt")
-    words = (lines.select("k1", "k2", salt, F.posexplode(F.split("norm", " ")).alias("w", "word"))
-             .select(*keys, (F.col("w") == 0).alias("first"), F.xxhash64("word").alias("h"), (F.col("word") != "").alias("real")))
-    low = F.lit(0x0000000100000001)
-    sums = [F.sum(F.when(F.col("real"), F.shiftrightunsigned("h", b).bitwiseAND(low)).otherwise(0)).alias(f"b{b}") for b in range(32)]
-    total = words.groupBy(*keys).agg(*sums, F.sum(F.col("real").cast("int")).alias("words"), F.sum(F.col("first").cast("int")).alias("n"))
+    norm = lines.select("k1", "k2", salt, normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    norm = norm.withColumns({"n1": F.xxhash64("norm"), "n2": F.xxhash64(F.lit("norm"), "norm")})
+    words = (norm.select(*keys, F.posexplode(F.split("norm", " ")).alias("w", "word")).where("word <> ''")
+             .select(*keys, (F.col("w") == 0).cast("int").alias("first"), F.xxhash64("word").alias("h")))
+    spread = F.lit(sum(1 << (COLUMNS * k) for k in range(LANES)))
+    sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(spread)).alias(f"b{b}") for b in range(COLUMNS)]
+    total = words.groupBy(*keys).agg(*sums, F.count("*").alias("words"), F.sum("first").alias("n"))
     sim = F.lit(0).cast("long")
-    for b in range(32):
-        for shift, part in ((0, F.col(f"b{b}").bitwiseAND(F.lit(0xFFFFFFFF))), (32, F.shiftrightunsigned(f"b{b}", 32))):
-            bit = 1 << (b + shift)
-            sim = sim.bitwiseOR(F.when(part * 2 > F.col("words"), F.lit(bit - (1 << 64) if bit >> 63 else bit)).otherwise(F.lit(0)).cast("long"))
-    return (total.select("k1", "k2", "n", sim.alias("sim")).groupBy("k1", "k2").agg(F.sum("n").alias("n"), F.max("sim").alias("sim"))
-            .select(F.struct("k1", "k2").alias("key"), "n", "sim"))
-
-
-def leader_pairs(sims: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(a, b)`` of each line with the first line (by hash) that has the
-    same half of its SimHash, if near.  Linear in the lines: a dense group of
-    near copies is tied together here, so that ``near_lines`` needn't pair it."""
+    for b in range(COLUMNS):
+        for k in range(LANES):
+            ones = F.shiftrightunsigned(f"b{b}", COLUMNS * k).bitwiseAND(F.lit((1 << COLUMNS) - 1))
+            sim = sim.bitwiseOR(F.when(ones * 2 > F.col("words"), F.lit(1 << (b + COLUMNS * k))).otherwise(F.lit(0)).cast("long"))
+    per = total.select("k1", "k2", "n1", "n2", "n", sim.alias("sim")).groupBy("k1", "k2", "n1", "n2").agg(F.sum("n").alias("n"), F.max("sim").alias("sim"))
+    return per.select("k1", "k2", F.struct("n1", "n2").alias("node"), "n", "sim")
+
+
+def leader_pairs(nodes: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each node with the first node (by hash) that has the
+    same half of its SimHash, if near.  Linear in the nodes: a dense group of
+    near lines is tied together here, so that ``near_nodes`` needn't pair it."""
     half = [F.shiftrightunsigned("sim", 32), F.col("sim").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 32))]
-    cells = sims.select("key", "sim", F.explode(F.array(*half)).alias("cell"))
-    dense = cut(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("key.k1").alias("leader")).where("n > 1").drop("n"), "lines-dense")
+    cells = nodes.select("node", "sim", F.explode(F.array(*half)).alias("cell"))
+    dense = cut(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("node.n1").alias("leader")).where("n > 1").drop("n"), "lines-dense")
     members = cut(maybe_in(cells, "cell", dense, "cell").join(dense.withColumnRenamed("cell", "c"), F.col("cell") == F.col("c")).drop("c"), "lines-members")
-    leaders = members.where("key.k1 = leader").select(F.col("cell").alias("c"), F.col("key").alias("a"), F.col("sim").alias("lead"))
-    return (members.join(leaders.hint("shuffle_hash"), F.col("cell") == F.col("c")).where(F.col("key") != F.col("a"))
-            .where(F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance).select("a", F.col("key").alias("b")).distinct())
+    leaders = members.where("node.n1 = leader").select(F.col("cell").alias("c"), F.col("node").alias("a"), F.col("sim").alias("lead"))
+    return (members.join(leaders.hint("shuffle_hash"), F.col("cell") == F.col("c")).where(F.col("node") != F.col("a"))
+            .where(F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance).select("a", F.col("node").alias("b")).distinct())
 
 
-def near_lines(sims: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(a, b)`` of keys, ``a < b``, in different known groups (column
-    ``root``), whose SimHashes are at most ``distance`` bits apart.  A pair
-    comes once: at its first agreeing block."""
-    blocks = distance + 1
+def near_sims(sims: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(s, t)``, ``s < t``, of SimHashes at most ``distance`` bits apart
+    whose nodes aren't all in one known group (column ``known``, or null).  A
+    pair comes once: from its first pair of agreeing blocks."""
+    blocks = distance + 2
     edge = [BITS * k // blocks for k in range(blocks + 1)]
-
-    def bits(sim: Column, k: int) -> Column:
-        return F.shiftrightunsigned(F.shiftleft(sim, BITS - edge[k + 1]), BITS - (edge[k + 1] - edge[k]))
-
-    parts = [F.struct(F.lit(k).alias("block"), bits(F.col("sim"), k).alias("bits")) for k in range(blocks)]
-    at = sims.select("key", "sim", "root", F.explode(F.array(*parts)).alias("p")).select("key", "sim", "root", "p.*")
+    masks = [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
+    # the bits of a cell and, in the bits that it leaves out, its number
+    cells = [F.col("sim").bitwiseAND(F.lit(m)).bitwiseOR(F.shiftleft(F.lit(n).cast("long"), BITS)) if n < 2 else
+             F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(m))) for n, m in enumerate(masks)]
+    at = sims.select("sim", "known", F.posexplode(F.array(*cells)).alias("grid", "cell"))
     x, y = at.alias("x"), at.alias("y")
     differ = F.col("x.sim").bitwiseXOR(F.col("y.sim"))
-    earlier = F.coalesce(*[F.when(bits(differ, k) == 0, F.lit(k)) for k in range(blocks)])
-    return x.join(y.hint("shuffle_hash"), (F.col("x.block") == F.col("y.block")) & (F.col("x.bits") == F.col("y.bits"))
-                  & (F.bit_count(differ) <= distance) & (F.col("x.key") < F.col("y.key")) & (earlier == F.col("x.block"))
-                  & ~F.coalesce(F.col("x.root") == F.col("y.root"), F.lit(False))
-                  ).select(F.col("x.key").alias("a"), F.col("y.key").alias("b"))
+    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(n)) for n, m in enumerate(masks)])
+    return x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (F.bit_count(differ) <= distance) & (F.col("x.sim") < F.col("y.sim"))
+                  & (F.col("x.grid") == F.col("y.grid")) & (first == F.col("x.grid")) & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
+                  ).select(F.col("x.sim").alias("s"), F.col("y.sim").alias("t"))
+
+
+def near_nodes(nodes: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes with near SimHashes, without those of one known
+    group (column ``root``); ``leader_pairs`` has those of equal SimHashes."""
+    whole = F.when((F.min("root") == F.max("root")) & (F.count("root") == F.count("*")), F.xxhash64(F.min("root")))
+    pairs = cut(near_sims(nodes.groupBy("sim").agg(whole.alias("known")), distance), "lines-sims")
+    a, b = nodes.select(F.col("sim").alias("s"), F.col("node").alias("a"), F.col("root").alias("ra")), nodes.select(F.col("sim").alias("t"), F.col("node").alias("b"), F.col("root").alias("rb"))
+    some_a = maybe_in(a, "s", pairs, "s").join(pairs, "s")
+    return some_a.join(maybe_in(b, "t", pairs, "t"), "t").where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))).select("a", "b")
 
 
 def word_codes(norm: Column) -> Column:
@@ -106,19 +118,22 @@ def word_codes(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, lines: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """The pairs with an edit similarity (1 - edits / longer length, in words)
-    of ``similarity`` or more.  ``places``: ``(id, at, key)`` of all lines."""
-    wanted = pairs.select(F.col("a").alias("k")).union(pairs.select(F.col("b").alias("k"))).distinct()
-    # one place of each line, then the lines of those documents only
-    place = cut(places.join(wanted, F.col("key") == F.col("k")).groupBy("key").agg(F.min(F.struct("id", "at")).alias("p"))
-                .select("key", F.col("p.id").alias("pid"), "p.at"), "lines-places")
+    of ``similarity`` or more.  ``places``: ``(id, at, k1, k2)`` of all lines;
+    ``lines``: what ``simhash_lines`` gives."""
+    wanted = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("w"), F.col("a.n1").alias("h"))
+    # one line and one place of each node, then those documents only
+    own = maybe_in(lines.select("node", "k1", "k2", F.col("node.n1").alias("n1")), "n1", wanted, "h").join(wanted, F.col("node") == F.col("w"))
+    own = cut(own.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", F.col("k.k1").alias("r1"), F.col("k.k2").alias("r2")), "lines-wanted")
+    place = maybe_in(places, "k1", own, "r1").join(own, (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")))
+    place = cut(place.groupBy("node").agg(F.min(F.struct("id", "at")).alias("p")).select("node", F.col("p.id").alias("pid"), "p.at"), "lines-places")
     some = maybe_in(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", place, "pid")
     text = some.join(place.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("pid"))).select(
-        "key", word_codes(normalised(F.get(F.split("text", "\n"), F.col("at")))).alias("code"))
-    # rows that share an id may hold another line at that place: the hash decides nothing then, the larger text does
-    text = cut(text.groupBy("key").agg(F.max("code").alias("code")), "lines-near")
-    a, b = text.select(F.col("key").alias("a"), F.col("code").alias("x")), text.select(F.col("key").alias("b"), F.col("code").alias("y"))
+        "node", word_codes(normalised(F.get(F.split("text", "\n"), F.col("at")))).alias("code"))
+    # rows that share an id may hold another line at that place: the larger code stands
+    text = cut(text.groupBy("node").agg(F.max("code").alias("code")), "lines-near")
+    a, b = text.select(F.col("node").alias("a"), F.col("code").alias("x")), text.select(F.col("node").alias("b"), F.col("code").alias("y"))
     both = pairs.join(a, "a").join(b, "b").withColumn("most", F.floor((1 - F.lit(similarity)) * F.greatest(F.length("x"), F.length("y")) + 1e-9).cast("int"))
     near = F.when(F.abs(F.length("x") - F.length("y")) <= F.col("most"), F.expr("levenshtein(x, y, most) >= 0")).otherwise(False)
     return both.where(near).select("a", "b")
@@ -129,19 +144,21 @@ def repeats(docs: DataFrame, distance: int = 3, similarity: float = 0.8, id_col:
     that repeat an earlier one; documents without any are left out."""
     lines = lines_of(docs, id_col, text_col)
     sims = cut(simhash_lines(lines), "lines-simhash")
-    places = cut(lines.select("id", "at", F.struct("k1", "k2").alias("key")), "lines-keys")
+    places = cut(lines.select("id", "at", "k1", "k2"), "lines-keys")
+    nodes = cut(sims.groupBy("node").agg(F.sum("n").alias("n"), F.max("sim").alias("sim")), "lines-nodes")
 
     def links(pairs: DataFrame) -> DataFrame:
-        return cut(verified(cut(pairs, "lines-pairs"), docs, places, similarity, id_col, text_col), "lines-links")
+        return cut(verified(cut(pairs, "lines-pairs"), docs, places, sims, similarity, id_col, text_col), "lines-links")
 
-    tied = links(leader_pairs(sims, distance))
+    tied = links(leader_pairs(nodes, distance))
     known = components(tied, name="lines-cc").withColumnRenamed("node", "k")
-    more = links(near_lines(sims.join(known, F.col("key") == F.col("k"), "left").drop("k"), distance))
+    more = links(near_nodes(cut(nodes.join(known, F.col("node") == F.col("k"), "left").drop("k"), "lines-known"), distance))
     group = components(tied.union(more), name="lines-cc").withColumnRenamed("node", "k")
     # only lines that repeat, exactly or nearly, are looked at again
-    again = cut(sims.join(group, F.col("key") == F.col("k"), "left").where("n > 1 or root is not null").select(
-        F.col("key").alias("k"), F.coalesce("root", "key").alias("root")), "lines-groups")
-    found = cut(places.join(again.hint("shuffle_hash"), F.col("key") == F.col("k")).select("id", "at", "root"), "lines-again")
+    again = nodes.join(group, F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(
+        F.col("node").alias("k"), F.coalesce("root", "node").alias("root"))
+    again = cut(sims.join(again, F.col("node") == F.col("k")).select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), "root"), "lines-groups")
+    found = cut(maybe_in(places, "k1", again, "r1").join(again.hint("shuffle_hash"), (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).select("id", "at", "root"), "lines-again")
     keep = found.groupBy("root").agg(F.min(F.struct("id", "at")).alias("first")).select(F.col("root").alias("r"), "first")
     return (found.join(keep, F.col("root") == F.col("r")).where(~F.struct("id", "at").eqNullSafe(F.col("first")))
             .groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("drop")))
