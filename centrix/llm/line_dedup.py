@@ -27,6 +27,8 @@ BITS = COLUMNS * LANES
 #: Occurrences of one line are summed in this many groups, so that a hot line
 #: is no single task's and its packed sums (below 2^21 words a group) hold.
 SALTS = 1 << 18
+#: Names of columns that are joined to the documents for a while.
+ID, DROP = "__line_dedup_id", "__line_dedup_drop"
 #: Capital letters below U+0530 (Latin, Greek, Cyrillic) and their small ones.
 _CAPITALS = [c for c in map(chr, range(0x41, 0x530)) if c.lower() != c and len(c.lower()) == 1]
 _FROM = "".join(_CAPITALS) + "\t\v\f\r " + string.punctuation + string.digits
@@ -179,9 +181,9 @@ def dedup_lines(docs: DataFrame, distance: int = 3, similarity: float = 0.8, id_
     partners, so no group of copies is paired with itself.
     """
     d = docs.drop("n_lines", "n_dropped")
-    gone = repeats(docs, distance, similarity, id_col, text_col).select(F.col("id").alias("_id"), F.col("drop").alias("_drop"))
-    x = d.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col("_id")), "left")
+    gone = repeats(docs, distance, similarity, id_col, text_col).select(F.col("id").alias(ID), F.col("drop").alias(DROP))
+    x = d.join(gone.hint("shuffle_hash"), F.col(id_col).eqNullSafe(F.col(ID)), "left")
     n_lines = F.when(F.col(text_col).isNull(), F.lit(0)).otherwise(F.size(F.split(text_col, "\n")))
-    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (l, i) -> not array_contains(_drop, i)), '\\n')")
-    return (x.withColumn("n_lines", n_lines).withColumn("n_dropped", F.when(F.col(text_col).isNull() | F.col("_drop").isNull(), 0).otherwise(F.size("_drop")))
-            .withColumn(text_col, F.when(F.col("_drop").isNull(), F.col(text_col)).otherwise(kept)).drop("_id", "_drop"))
+    kept = F.expr(f"array_join(filter(split(`{text_col}`, '\\n'), (l, i) -> not array_contains({DROP}, i)), '\\n')")
+    return (x.withColumn("n_lines", n_lines).withColumn("n_dropped", F.when(F.col(text_col).isNull() | F.col(DROP).isNull(), 0).otherwise(F.size(DROP)))
+            .withColumn(text_col, F.when(F.col(DROP).isNull(), F.col(text_col)).otherwise(kept)).drop(ID, DROP))

@@ -65,16 +65,16 @@ def targets(sizes: DataFrame, weights: Sequence[int], percent: int, most: int) -
 def _rates(d: DataFrame, goal: DataFrame, most: int) -> DataFrame:
     """``goal`` plus ``rate``: a source's expected copies per unit of odds, such
     that copies held at ``most`` still add up to its target."""
-    by = d.groupBy("_s").agg(F.sum(F.col("_w") * F.col("_z")).alias("open"))
-    g = goal.join(by, F.col("source").eqNullSafe(F.col("_s"))).withColumn(
+    by = d.groupBy("_mix_s").agg(F.sum(F.col("_mix_w") * F.col("_mix_z")).alias("open"))
+    g = goal.join(by, F.col("source").eqNullSafe(F.col("_mix_s"))).withColumn(
         "rate", F.coalesce(F.col("target") / F.nullif(F.col("open"), F.lit(0.0)), F.lit(0.0)))
     g, held = cut(g.select("source", "source_size", "target", "rate"), "rates"), 0
     while True:
-        x = d.join(g, F.col("_s").eqNullSafe(F.col("source")))
-        full = F.col("rate") * F.col("_w") >= most
+        x = d.join(g, F.col("_mix_s").eqNullSafe(F.col("source")))
+        full = F.col("rate") * F.col("_mix_w") >= most
         again = cut(x.groupBy("source", "source_size", "target", "rate").agg(
-            F.count(F.when(full, 1)).alias("n"), F.sum(F.when(full, F.col("_z") * most).otherwise(0)).alias("held"),
-            F.sum(F.when(full, 0.0).otherwise(F.col("_w") * F.col("_z"))).alias("open")), "rates")
+            F.count(F.when(full, 1)).alias("n"), F.sum(F.when(full, F.col("_mix_z") * most).otherwise(0)).alias("held"),
+            F.sum(F.when(full, 0.0).otherwise(F.col("_mix_w") * F.col("_mix_z"))).alias("open")), "rates")
         now = again.agg(F.sum("n")).first()[0] or 0
         if now == held:
             return g
@@ -95,53 +95,53 @@ def mix(docs: DataFrame, weights: Sequence[int] = (5, 2, 1), percent: int = 150,
     equal id and size in a source share a rank and a decision.  ``copies`` is
     at most ``most``.  A document of size 0 is ranked like any other.  A null
     source is a source, a null id an id.  Columns named like an added one, or
-    like the internal ``_*`` ones, are replaced.
+    like the internal ``_mix_*`` ones, are replaced.
     """
     d = docs.drop("source_size", "target", "copies", "taken")
-    base = {"_s": F.col(source_col), "_i": F.col(id_col), "_z": F.coalesce(F.col(size_col).cast("long"), F.lit(0)),
-            "_w": F.lit(1.0) if odds_col is None else F.col(odds_col).cast("double")}
+    base = {"_mix_s": F.col(source_col), "_mix_i": F.col(id_col), "_mix_z": F.coalesce(F.col(size_col).cast("long"), F.lit(0)),
+            "_mix_w": F.lit(1.0) if odds_col is None else F.col(odds_col).cast("double")}
     slim = cut(d.select(*[c.alias(n) for n, c in base.items()]), "mix-sizes")
-    goal = cut(targets(slim.groupBy(F.col("_s").alias("source")).agg(F.sum("_z").alias("source_size")), weights, percent, most), "targets")
-    goal = cut(_rates(slim, goal, most).select(F.col("source").alias("_g"), "source_size", "target", "rate"), "goals")
+    goal = cut(targets(slim.groupBy(F.col("_mix_s").alias("source")).agg(F.sum("_mix_z").alias("source_size")), weights, percent, most), "targets")
+    goal = cut(_rates(slim, goal, most).select(F.col("source").alias("_mix_g"), "source_size", "target", F.col("rate").alias("_mix_rate")), "goals")
 
-    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("_i").cast("string"), F.col("_z").cast("string"))), 1, 13)
+    digits = F.substring(F.md5(F.concat_ws("|", F.lit(seed), F.col("_mix_i").cast("string"), F.col("_mix_z").cast("string"))), 1, 13)
     u = (F.conv(digits, 16, 10).cast("long") + 0.5) / float(1 << 52)
-    expected = F.least(F.lit(float(most)), F.col("rate") * F.col("_w"))
+    expected = F.least(F.lit(float(most)), F.col("_mix_rate") * F.col("_mix_w"))
 
     def ranked(x: DataFrame) -> DataFrame:
         """Adds the certain copies, the rank (null: no further copy) and its step."""
-        x = x.join(goal, F.col("_s").eqNullSafe(F.col("_g"))).drop("_g")
-        x = x.withColumn("_sure", F.floor(expected)).withColumn("_p", expected - F.floor(expected))
-        x = x.withColumn("_u", u).withColumn("_q", F.when(F.col("_p") > 0, F.col("_u") * (1 - F.col("_p")) / ((1 - F.col("_u")) * F.col("_p"))))
-        typical = F.col("rate") - F.floor("rate")
-        scaled = F.col("_q") * F.when(typical > 0, typical / (1 - typical)).otherwise(1.0)
-        return x.withColumn("_step", F.floor(scaled / (1 + scaled) * STEPS).cast("int"))
+        x = x.join(goal, F.col("_mix_s").eqNullSafe(F.col("_mix_g"))).drop("_mix_g")
+        x = x.withColumn("_mix_sure", F.floor(expected)).withColumn("_mix_p", expected - F.floor(expected))
+        x = x.withColumn("_mix_u", u).withColumn("_mix_q", F.when(F.col("_mix_p") > 0, F.col("_mix_u") * (1 - F.col("_mix_p")) / ((1 - F.col("_mix_u")) * F.col("_mix_p"))))
+        typical = F.col("_mix_rate") - F.floor("_mix_rate")
+        scaled = F.col("_mix_q") * F.when(typical > 0, typical / (1 - typical)).otherwise(1.0)
+        return x.withColumn("_mix_step", F.floor(scaled / (1 + scaled) * STEPS).cast("int"))
 
     r = ranked(slim)
-    steps = cut(r.groupBy("_s", "target", "_step").agg(
-        F.sum(F.when(F.col("_q").isNotNull(), F.col("_z")).otherwise(0)).alias("z"), F.sum(F.col("_z") * F.col("_sure")).alias("sure")), "mix-steps")
-    one = Window.partitionBy("_s")
+    steps = cut(r.groupBy("_mix_s", "target", "_mix_step").agg(
+        F.sum(F.when(F.col("_mix_q").isNotNull(), F.col("_mix_z")).otherwise(0)).alias("z"), F.sum(F.col("_mix_z") * F.col("_mix_sure")).alias("sure")), "mix-steps")
+    one = Window.partitionBy("_mix_s")
     steps = (steps.withColumn("left", F.col("target") - F.sum("sure").over(one))
-             .withColumn("before", F.sum("z").over(one.orderBy("_step").rowsBetween(Window.unboundedPreceding, 0)) - F.col("z")))
+             .withColumn("before", F.sum("z").over(one.orderBy("_mix_step").rowsBetween(Window.unboundedPreceding, 0)) - F.col("z")))
     # the step in which the remaining target runs out (none: all are taken)
-    stops = steps.where("_step is not null and before + z > left").groupBy(F.col("_s").alias("_g")).agg(
-        F.min(F.struct("_step", "before", "left")).alias("m")).select("_g", F.col("m._step").alias("_stop"), "m.before", "m.left")
+    stops = steps.where("_mix_step is not null and before + z > left").groupBy(F.col("_mix_s").alias("_mix_g")).agg(
+        F.min(F.struct("_mix_step", "before", "left")).alias("m")).select("_mix_g", F.col("m._mix_step").alias("_mix_stop"), "m.before", "m.left")
     stops = cut(stops, "mix-stops")
-    edge = r.join(stops, F.col("_s").eqNullSafe(F.col("_g"))).where("_step >= _stop")
-    rank = F.struct("_q", "_i", "_z")
-    upto = F.sum("_z").over(one.orderBy("_q", "_i", "_z").rangeBetween(Window.unboundedPreceding, 0))
-    at = cut(edge.where("_step = _stop").select("_g", rank.alias("rank"), "before", "left", (F.col("before") + upto).alias("upto"))
-             .groupBy("_g", "before", "left").agg(F.max(F.when(F.col("upto") <= F.col("left"), F.struct("rank", "upto"))).alias("m"))
-             .select("_g", F.col("m.rank").alias("_last"), (F.col("left") - F.coalesce("m.upto", "before")).alias("_rest"),
-                     F.lit(True).alias("_short")), "mix-last")
-    further = (edge.drop("_g").join(at, F.col("_s").eqNullSafe(F.col("_g"))).where(F.col("_last").isNull() | (rank > F.col("_last")))
-               .withColumn("_far", F.abs(F.col("_rest") - F.col("_z"))).where("_far < abs(_rest)")
-               .groupBy(F.col("_s").alias("_m")).agg(F.min(F.struct("_far", "_q", "_i", "_z")).alias("_more")))
-    ends = cut(stops.select("_g", "_stop").join(at.withColumnRenamed("_g", "_a"), F.col("_g").eqNullSafe(F.col("_a")))
-               .join(further, F.col("_g").eqNullSafe(F.col("_m")), "left")
-               .select(F.col("_g").alias("_e"), "_stop", "_last", F.struct("_more._q", "_more._i", "_more._z").alias("_more")), "mix-ends")
-    x = ranked(d.withColumns(base)).join(ends, F.col("_s").eqNullSafe(F.col("_e")), "left")
-    inside = F.col("_stop").isNull() | (F.col("_step") < F.col("_stop")) | F.coalesce((F.col("_step") == F.col("_stop")) & (rank <= F.col("_last")), F.lit(False))
-    extra = F.col("_q").isNotNull() & (inside | rank.eqNullSafe(F.col("_more")))
-    x = x.withColumn("copies", (F.col("_sure") + extra.cast("long")).cast("long")).withColumn("taken", F.col("copies") * F.col("_z"))
-    return x.drop(*base, "_sure", "_p", "_u", "_q", "_step", "_e", "_stop", "_last", "_more", "rate")
+    edge = r.join(stops, F.col("_mix_s").eqNullSafe(F.col("_mix_g"))).where("_mix_step >= _mix_stop")
+    rank = F.struct("_mix_q", "_mix_i", "_mix_z")
+    upto = F.sum("_mix_z").over(one.orderBy("_mix_q", "_mix_i", "_mix_z").rangeBetween(Window.unboundedPreceding, 0))
+    at = cut(edge.where("_mix_step = _mix_stop").select("_mix_g", rank.alias("rank"), "before", "left", (F.col("before") + upto).alias("upto"))
+             .groupBy("_mix_g", "before", "left").agg(F.max(F.when(F.col("upto") <= F.col("left"), F.struct("rank", "upto"))).alias("m"))
+             .select("_mix_g", F.col("m.rank").alias("_mix_last"), (F.col("left") - F.coalesce("m.upto", "before")).alias("_mix_rest"),
+                     F.lit(True).alias("_mix_short")), "mix-last")
+    further = (edge.drop("_mix_g").join(at, F.col("_mix_s").eqNullSafe(F.col("_mix_g"))).where(F.col("_mix_last").isNull() | (rank > F.col("_mix_last")))
+               .withColumn("_mix_far", F.abs(F.col("_mix_rest") - F.col("_mix_z"))).where("_mix_far < abs(_mix_rest)")
+               .groupBy(F.col("_mix_s").alias("_mix_m")).agg(F.min(F.struct("_mix_far", "_mix_q", "_mix_i", "_mix_z")).alias("_mix_more")))
+    ends = cut(stops.select("_mix_g", "_mix_stop").join(at.withColumnRenamed("_mix_g", "_mix_a"), F.col("_mix_g").eqNullSafe(F.col("_mix_a")))
+               .join(further, F.col("_mix_g").eqNullSafe(F.col("_mix_m")), "left")
+               .select(F.col("_mix_g").alias("_mix_e"), "_mix_stop", "_mix_last", F.struct("_mix_more._mix_q", "_mix_more._mix_i", "_mix_more._mix_z").alias("_mix_more")), "mix-ends")
+    x = ranked(d.withColumns(base)).join(ends, F.col("_mix_s").eqNullSafe(F.col("_mix_e")), "left")
+    inside = F.col("_mix_stop").isNull() | (F.col("_mix_step") < F.col("_mix_stop")) | F.coalesce((F.col("_mix_step") == F.col("_mix_stop")) & (rank <= F.col("_mix_last")), F.lit(False))
+    extra = F.col("_mix_q").isNotNull() & (inside | rank.eqNullSafe(F.col("_mix_more")))
+    x = x.withColumn("copies", (F.col("_mix_sure") + extra.cast("long")).cast("long")).withColumn("taken", F.col("copies") * F.col("_mix_z"))
+    return x.drop(*base, "_mix_sure", "_mix_p", "_mix_u", "_mix_q", "_mix_step", "_mix_e", "_mix_stop", "_mix_last", "_mix_more", "_mix_rate")

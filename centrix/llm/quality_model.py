@@ -130,20 +130,23 @@ def fit_labellers(patterns: dict[int, int], rounds: int = 100, slip: float = 0.0
     classes.  Kinds of bad text exclude each other, so most labellers call a
     bad document good; the prior that a labeller rejects a share ``slip`` of
     the good documents, with ``trust`` times the weight of the data, keeps one
-    kind from drifting into the good class.  A bad vote never speaks for the
-    good class, and counts are smoothed by one vote."""
+    kind from drifting into the good class, and the bad class is never taken
+    to be larger than the documents with any bad vote.  A bad vote never
+    speaks for the good class, and counts are smoothed by one vote."""
     codes = np.array(sorted(patterns))
     weight = np.array([patterns[c] for c in codes], dtype=float)
     m = len(LABELLERS)
     cast = np.array([[c // VOTES ** (m - 1 - j) % VOTES for j in range(m)] for c in codes]).reshape(len(codes), m)
     says_bad, votes_at_all = (cast == 1).astype(float), (cast > 0).astype(float)
     post = np.where(says_bad.any(axis=1), 0.02, 0.98)
+    suspected = weight[says_bad.any(axis=1)].sum()
     for _ in range(rounds):
         bad, good = weight * (1 - post), weight * post
         of_bad = (says_bad.T @ bad + 1) / (votes_at_all.T @ bad + 2)
         held = votes_at_all.T @ good
         of_good = np.minimum((says_bad.T @ good + slip * trust * held + 1) / ((1 + trust) * held + 2), of_bad)
-        logit = np.log(good.sum() + 1) - np.log(bad.sum() + 1)
+        share = min(bad.sum(), suspected) + 1
+        logit = np.log(weight.sum() + 2 - share) - np.log(share)
         logit = logit + says_bad @ (np.log(of_good) - np.log(of_bad)) + (votes_at_all - says_bad) @ (np.log1p(-of_good) - np.log1p(-of_bad))
         now = 1 / (1 + np.exp(-np.clip(logit, -50, 50)))
         if np.abs(now - post).max(initial=0) < 1e-6:

@@ -60,6 +60,7 @@ class Lexicon:
     exempt: frozenset[str] = frozenset()
     moves: list[dict[str, int]] = field(default_factory=list)
     states: dict[frozenset, int] = field(default_factory=dict)
+    sets: list[frozenset] = field(default_factory=list)
     ends: list[tuple[str, int] | None] = field(default_factory=list)
 
     def __post_init__(self) -> None:
@@ -94,6 +95,7 @@ class Lexicon:
         if key not in self.states:
             self.states[key] = len(self.moves)
             self.moves.append({})
+            self.sets.append(key)
             found = [(self.entry[n], d) for n, d in key if self.entry[n] and (d == 0 or len(self.entry[n].rstrip("*")) >= FUZZY_MIN)]
             self.ends.append(max(found, key=lambda x: (self.weights[x[0]] * (MISSPELT if x[1] else 1.0), x[0]), default=None))
         return self.states[key]
@@ -101,14 +103,13 @@ class Lexicon:
     def _move(self, state: int, c: str) -> int:
         """The state after one more letter; -1: out of reach."""
         at: set[tuple[int, int]] = set()
-        key = next(k for k, n in self.states.items() if n == state)
-        for node, edits in key:
+        for node, edits in self.sets[state]:
             for letter, child in self.child[node].items():
                 if letter == c or (c == "*" and edits == 0):
                     at.add((child, edits if letter == c else 1))
                 elif edits == 0 and self.deep[child] >= FUZZY_MIN:
                     at.add((child, 1))  # another letter
-            if edits == 0 and node:
+            if edits == 0:
                 at.add((node, 1))  # one letter too many
         new = self._state(at) if at else -1
         self.moves[state][c] = new
@@ -119,7 +120,7 @@ class Lexicon:
         continuation: exactly, or (long stems) with one edit."""
         state, stem = self.start, None
         for c in word:
-            state = self.moves[state].get(c)  if c in self.moves[state] else self._move(state, c)
+            state = self.moves[state][c] if c in self.moves[state] else self._move(state, c)
             if state < 0:
                 break
             end = self.ends[state]
