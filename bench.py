@@ -1,7 +1,8 @@
 """Headline timings at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS].  Prints one JSON line.
 
-Shapes follow the reference's published runs (100 Lloyd iterations each):
+Shapes follow the reference's published runs (100 Lloyd iterations each; the
+times of the Lloyd rows include every point's final label):
   kmeanspp_points2_k50     greedy k-means++ seeding, k=50, on events points (d=2)
   lloyd100_points2_k50     n = events rows (1e5 at sf0.1), d=2, k=50   (like a3e2)
   lloyd100_points64_k10    n = embeddings rows, d=64, k=10
@@ -10,6 +11,8 @@ Shapes follow the reference's published runs (100 Lloyd iterations each):
   nmi_expanded64           NMI of that clustering against the labels
   expand_points2_x10       events points enlarged 10x (1e6 at sf0.1)
   lloyd100_points2x10_k50  n = 10 x events rows, d=2, k=50                (like a3e3)
+  lloyd100_points128_k10   n = embeddings rows, d=128, k=10
+  lloyd100_points512_k10   n = embeddings rows, d=512, k=10
 """
 
 from __future__ import annotations
@@ -22,6 +25,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from pyspark import StorageLevel  # noqa: E402
+from pyspark.sql import functions as F  # noqa: E402
 
 from centrix.operators import expand as X  # noqa: E402
 from centrix.operators import metrics as M  # noqa: E402
@@ -52,6 +56,11 @@ def main() -> None:
         times[name] = round(time.time() - t, 3)
         return out
 
+    def train(points, start):
+        res = fit(points, start, max_iter=100)
+        res.labels().write.format("noop").mode("overwrite").save()
+        return res
+
     # warm the JVM and Python workers once (not timed)
     fit(td.points64(spark, sf_dir), td.start64(spark, sf_dir), max_iter=2).centroids().collect()
 
@@ -59,11 +68,16 @@ def main() -> None:
     pts2.count()
     start50 = timed("kmeanspp_points2_k50", lambda: kmeanspp(pts2, 50, seed=222).cache())
     start50.count()
-    res2 = timed("lloyd100_points2_k50", lambda: fit(pts2, start50.select("cluster_id", "coord"), max_iter=100))
+    res2 = timed("lloyd100_points2_k50", lambda: train(pts2, start50.select("cluster_id", "coord")))
     cost2 = res2.costs().orderBy("iter").collect()
 
     pts64 = td.points64(spark, sf_dir)
-    timed("lloyd100_points64_k10", lambda: fit(pts64, td.start64(spark, sf_dir), max_iter=100))
+    timed("lloyd100_points64_k10", lambda: train(pts64, td.start64(spark, sf_dir)))
+
+    for times64 in (2, 8):   # wider vectors: the 64 features in turn, forward and back
+        parts = [F.col("coord") if i % 2 == 0 else F.reverse("coord") for i in range(times64)]
+        wide, first = (df.withColumn("coord", F.concat(*parts)) for df in (pts64, td.start64(spark, sf_dir)))
+        timed(f"lloyd100_points{64 * times64}_k10", lambda w=wide, f=first: train(w, f)).unpersist()
 
     lab64 = td.partition64(spark, sf_dir)
 
@@ -75,7 +89,7 @@ def main() -> None:
         return big, big_lab
 
     big, big_lab = timed("expand_points64_x50", make_big)
-    res_big = timed("lloyd100_expanded64_k10", lambda: fit(big, td.start64(spark, sf_dir), max_iter=100))
+    res_big = timed("lloyd100_expanded64_k10", lambda: train(big, td.start64(spark, sf_dir)))
     nmi = timed("nmi_expanded64", lambda: M.nmi(M.join_truth(res_big.labels(), big_lab)).first()["nmi"])
     res_big.unpersist()
     big.unpersist()
@@ -90,7 +104,7 @@ def main() -> None:
         return b
 
     big2 = timed("expand_points2_x10", make_big2)
-    timed("lloyd100_points2x10_k50", lambda: fit(big2, start50.select("cluster_id", "coord"), max_iter=100))
+    timed("lloyd100_points2x10_k50", lambda: train(big2, start50.select("cluster_id", "coord")))
 
     print(json.dumps({
         "metric": "total_sec",

@@ -12,8 +12,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-MAX_CATEGORIES = 1_000_000   # broadcast bound for category rank tables
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -49,12 +47,10 @@ def points2(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def partition2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Label = 1-based rank of event_type.  The rank table has one row per
-    distinct type; it is broadcast only under a checked row bound."""
+    distinct type; Spark broadcasts it where its size threshold allows."""
     ev = table(spark, sf_dir, "events")
     types = ev.select("event_type").distinct()
     ranks = types.withColumn("label", F.row_number().over(Window.orderBy("event_type")).cast("int"))
-    if types.count() <= MAX_CATEGORIES:
-        ranks = F.broadcast(ranks)
     return ev.select("event_id", "event_type").join(ranks, "event_type") \
         .select(F.col("event_id").alias("point_id"), "label")
 
