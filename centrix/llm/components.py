@@ -25,6 +25,14 @@ def _small_star(e: DataFrame) -> DataFrame:
     return sent.union(own).where("u <> v").distinct()
 
 
+def _stars(e: DataFrame) -> bool:
+    """Whether every node has one smaller neighbour, which has none itself."""
+    ends = e.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).union(
+        e.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    each = ends.groupBy("x").agg(F.sum("down").alias("down"), F.sum("up").alias("up"))
+    return each.where("down > 1 or (down = 1 and up > 0)").isEmpty()
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -> DataFrame:
     """``(node, root)`` for every node of an undirected edge table, ``root``
     the smallest node reachable (under Spark's order of the column's type).
@@ -38,16 +46,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", name: str = "cc") -
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v"),
                      F.col(a).isNull().alias("an"), F.col(b).isNull().alias("bn"))
     e = cut(e.where("not an and not bn and u <> v").select("u", "v").distinct(), name)
-
-    def mark(d: DataFrame):
-        return tuple(d.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
-
-    seen = mark(e)
-    while seen[0]:
+    while not _stars(e):
         e = cut(_small_star(_large_star(e)), name)
-        now = mark(e)
-        if now == seen:
-            break
-        seen = now
     node = e.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return node.union(e.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()

@@ -1,7 +1,7 @@
 """Fuzzy line deduplication, in DataFrame functions only.
 
-Lines are hashed as they are, and normalised (lower case, ASCII punctuation and
-digits dropped); lines of one normal form are one node.  Every node gets a
+Lines are normalised (lower case, ASCII punctuation and digits dropped) and
+hashed; lines of one normal form are one node.  Every node gets a
 63-bit SimHash of its words.  Dense groups of near lines are first tied to a
 leader; then SimHashes at most ``distance`` bits apart agree on two of
 ``distance + 2`` blocks (pigeonhole), so a join on (pair of blocks, their bits)
@@ -24,9 +24,6 @@ from .components import components
 #: Bits of a SimHash: three are summed per column, 21 bits apart.
 COLUMNS, LANES = 21, 3
 BITS = COLUMNS * LANES
-#: Occurrences of one line are summed in this many groups, so that a hot line
-#: is no single task's and its packed sums (below 2^21 words a group) hold.
-SALTS = 1 << 18
 #: Names of columns that are joined to the documents for a while.
 ID, DROP = "__line_dedup_id", "__line_dedup_drop"
 #: Capital letters below U+0530 (Latin, Greek, Cyrillic) and their small ones.
@@ -40,34 +37,28 @@ def normalised(line: Column) -> Column:
     return F.trim(F.translate(line, _FROM, _TO))
 
 
-def lines_of(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """``(id, at, line, k1, k2)`` of every line; k1, k2 hash it as it is."""
-    return (docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("at", "line"))
-            .withColumns({"k1": F.xxhash64("line"), "k2": F.xxhash64(F.lit("line"), "line")}))
+def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """``(id, at, node, words, sim)`` of every line with a word: its document
+    and number (from 0), the hashes of its normal form, how many words it has,
+    and its SimHash.
 
-
-def simhash_lines(lines: DataFrame) -> DataFrame:
-    """``(k1, k2, node, n, sim)``: every distinct line with a word, the hashes
-    of its normal form, its occurrences and SimHash.
-
-    Occurrences only multiply all sums, so they don't move the majority; sums
-    are combined before the shuffle."""
-    keys = ["k1", "k2", "n1", "n2", "salt"]
-    salt = F.pmod(F.xxhash64("id", "at"), F.lit(SALTS)).alias("salt")
-    norm = lines.select("k1", "k2", salt, normalised(F.col("line")).alias("norm")).where("norm <> ''")
-    norm = norm.withColumns({"n1": F.xxhash64("norm"), "n2": F.xxhash64(F.lit("norm"), "norm")})
-    words = (norm.select(*keys, F.posexplode(F.split("norm", " ")).alias("w", "word")).where("word <> ''")
-             .select(*keys, (F.col("w") == 0).cast("int").alias("first"), F.xxhash64("word").alias("h")))
+    One pass over the texts.  Sums are combined per line before the shuffle, so
+    that what is shuffled is one row of counts a line, never text, and a line
+    that many documents share is as many rows of its own."""
+    line = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("at", "line"))
+    norm = line.select("id", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    keys = ["id", "at", "n1", "n2"]
+    words = (norm.select("id", "at", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit("norm"), "norm").alias("n2"), F.explode(F.split("norm", " ")).alias("word"))
+             .where("word <> ''").select(*keys, F.xxhash64("word").alias("h")))
     spread = F.lit(sum(1 << (COLUMNS * k) for k in range(LANES)))
     sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(spread)).alias(f"b{b}") for b in range(COLUMNS)]
-    total = words.groupBy(*keys).agg(*sums, F.count("*").alias("words"), F.sum("first").alias("n"))
+    total = words.groupBy(*keys).agg(*sums, F.count("*").alias("words"))
     sim = F.lit(0).cast("long")
     for b in range(COLUMNS):
         for k in range(LANES):
             ones = F.shiftrightunsigned(f"b{b}", COLUMNS * k).bitwiseAND(F.lit((1 << COLUMNS) - 1))
             sim = sim.bitwiseOR(F.when(ones * 2 > F.col("words"), F.lit(1 << (b + COLUMNS * k))).otherwise(F.lit(0)).cast("long"))
-    per = total.select("k1", "k2", "n1", "n2", "n", sim.alias("sim")).groupBy("k1", "k2", "n1", "n2").agg(F.sum("n").alias("n"), F.max("sim").alias("sim"))
-    return per.select("k1", "k2", F.struct("n1", "n2").alias("node"), "n", "sim")
+    return total.select("id", "at", F.struct("n1", "n2").alias("node"), "words", sim.alias("sim"))
 
 
 def leader_pairs(nodes: DataFrame, distance: int) -> DataFrame:
@@ -86,19 +77,16 @@ def leader_pairs(nodes: DataFrame, distance: int) -> DataFrame:
 def near_sims(sims: DataFrame, distance: int) -> DataFrame:
     """Pairs ``(s, t)``, ``s < t``, of SimHashes at most ``distance`` bits apart
     whose nodes aren't all in one known group (column ``known``, or null).  A
-    pair comes once: from its first pair of agreeing blocks."""
+    pair may come once per pair of agreeing blocks."""
     blocks = distance + 2
     edge = [BITS * k // blocks for k in range(blocks + 1)]
     masks = [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
-    # the bits of a cell and, in the bits that it leaves out, its number
-    cells = [F.col("sim").bitwiseAND(F.lit(m)).bitwiseOR(F.shiftleft(F.lit(n).cast("long"), BITS)) if n < 2 else
-             F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(m))) for n, m in enumerate(masks)]
-    at = sims.select("sim", "known", F.posexplode(F.array(*cells)).alias("grid", "cell"))
+    cells = F.array(*[F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(m))) for n, m in enumerate(masks)])
+    at = sims.select("sim", "known", F.explode(cells).alias("cell"))
     x, y = at.alias("x"), at.alias("y")
-    differ = F.col("x.sim").bitwiseXOR(F.col("y.sim"))
-    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, F.lit(n)) for n, m in enumerate(masks)])
-    return x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (F.bit_count(differ) <= distance) & (F.col("x.sim") < F.col("y.sim"))
-                  & (F.col("x.grid") == F.col("y.grid")) & (first == F.col("x.grid")) & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
+    differ = F.bit_count(F.col("x.sim").bitwiseXOR(F.col("y.sim")))
+    return x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (differ <= distance) & (F.col("x.sim") < F.col("y.sim"))
+                  & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
                   ).select(F.col("x.sim").alias("s"), F.col("y.sim").alias("t"))
 
 
@@ -106,7 +94,7 @@ def near_nodes(nodes: DataFrame, distance: int) -> DataFrame:
     """Pairs ``(a, b)`` of nodes with near SimHashes, without those of one known
     group (column ``root``); ``leader_pairs`` has those of equal SimHashes."""
     whole = F.when((F.min("root") == F.max("root")) & (F.count("root") == F.count("*")), F.xxhash64(F.min("root")))
-    pairs = cut(near_sims(nodes.groupBy("sim").agg(whole.alias("known")), distance), "lines-sims")
+    pairs = cut(near_sims(nodes.groupBy("sim").agg(whole.alias("known")), distance).distinct(), "lines-sims")
     a, b = nodes.select(F.col("sim").alias("s"), F.col("node").alias("a"), F.col("root").alias("ra")), nodes.select(F.col("sim").alias("t"), F.col("node").alias("b"), F.col("root").alias("rb"))
     some_a = maybe_in(a, "s", pairs, "s").join(pairs, "s")
     return some_a.join(maybe_in(b, "t", pairs, "t"), "t").where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))).select("a", "b")
@@ -120,15 +108,12 @@ def word_codes(norm: Column) -> Column:
     return F.decode(F.unhex(F.array_join(code, "")), "UTF-16BE")
 
 
-def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, lines: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
+def verified(pairs: DataFrame, docs: DataFrame, lines: DataFrame, similarity: float, id_col: str, text_col: str) -> DataFrame:
     """The pairs with an edit similarity (1 - edits / longer length, in words)
-    of ``similarity`` or more.  ``places``: ``(id, at, k1, k2)`` of all lines;
-    ``lines``: what ``simhash_lines`` gives."""
+    of ``similarity`` or more.  ``lines``: what ``simhash_lines`` gives."""
     wanted = pairs.select("a").union(pairs.select("b")).distinct().select(F.col("a").alias("w"), F.col("a.n1").alias("h"))
-    # one line and one place of each node, then those documents only
-    own = maybe_in(lines.select("node", "k1", "k2", F.col("node.n1").alias("n1")), "n1", wanted, "h").join(wanted, F.col("node") == F.col("w"))
-    own = cut(own.groupBy("node").agg(F.min(F.struct("k1", "k2")).alias("k")).select("node", F.col("k.k1").alias("r1"), F.col("k.k2").alias("r2")), "lines-wanted")
-    place = maybe_in(places, "k1", own, "r1").join(own, (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2")))
+    # one place of each node, then those documents only
+    place = maybe_in(lines.select("id", "at", "node", F.col("node.n1").alias("n1")), "n1", wanted, "h").join(wanted, F.col("node") == F.col("w"))
     place = cut(place.groupBy("node").agg(F.min(F.struct("id", "at")).alias("p")).select("node", F.col("p.id").alias("pid"), "p.at"), "lines-places")
     some = maybe_in(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", place, "pid")
     text = some.join(place.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("pid"))).select(
@@ -144,23 +129,23 @@ def verified(pairs: DataFrame, docs: DataFrame, places: DataFrame, lines: DataFr
 def repeats(docs: DataFrame, distance: int = 3, similarity: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id, drop)``: per document the sorted numbers (from 0) of the lines
     that repeat an earlier one; documents without any are left out."""
-    lines = lines_of(docs, id_col, text_col)
-    sims = cut(simhash_lines(lines), "lines-simhash")
-    places = cut(lines.select("id", "at", "k1", "k2"), "lines-keys")
-    nodes = cut(sims.groupBy("node").agg(F.sum("n").alias("n"), F.max("sim").alias("sim")), "lines-nodes")
+    lines = cut(simhash_lines(docs, id_col, text_col), "lines-simhash")
+    nodes = cut(lines.groupBy("node").agg(F.count("*").alias("n"), F.max("sim").alias("sim"), F.max("words").alias("words")), "lines-nodes")
+    # shorter lines can't have a near partner: not one edit keeps the similarity
+    long = nodes.where(F.floor((1 - F.lit(similarity)) * (F.col("words") + 1) + 1e-9) >= 1)
 
     def links(pairs: DataFrame) -> DataFrame:
-        return cut(verified(cut(pairs, "lines-pairs"), docs, places, sims, similarity, id_col, text_col), "lines-links")
+        return cut(verified(cut(pairs, "lines-pairs"), docs, lines, similarity, id_col, text_col), "lines-links")
 
-    tied = links(leader_pairs(nodes, distance))
+    tied = links(leader_pairs(long, distance))
     known = components(tied, name="lines-cc").withColumnRenamed("node", "k")
-    more = links(near_nodes(cut(nodes.join(known, F.col("node") == F.col("k"), "left").drop("k"), "lines-known"), distance))
+    more = links(near_nodes(long.join(known, F.col("node") == F.col("k"), "left").drop("k"), distance))
     group = components(tied.union(more), name="lines-cc").withColumnRenamed("node", "k")
     # only lines that repeat, exactly or nearly, are looked at again
-    again = nodes.join(group, F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(
-        F.col("node").alias("k"), F.coalesce("root", "node").alias("root"))
-    again = cut(sims.join(again, F.col("node") == F.col("k")).select(F.col("k1").alias("r1"), F.col("k2").alias("r2"), "root"), "lines-groups")
-    found = cut(maybe_in(places, "k1", again, "r1").join(again.hint("shuffle_hash"), (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))).select("id", "at", "root"), "lines-again")
+    again = cut(nodes.join(group, F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(
+        F.col("node").alias("k"), F.col("node.n1").alias("h"), F.coalesce("root", "node").alias("root")), "lines-groups")
+    found = maybe_in(lines.select("id", "at", "node", F.col("node.n1").alias("n1")), "n1", again, "h")
+    found = cut(found.join(again.hint("shuffle_hash"), F.col("node") == F.col("k")).select("id", "at", "root"), "lines-again")
     keep = found.groupBy("root").agg(F.min(F.struct("id", "at")).alias("first")).select(F.col("root").alias("r"), "first")
     return (found.join(keep, F.col("root") == F.col("r")).where(~F.struct("id", "at").eqNullSafe(F.col("first")))
             .groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("drop")))
