@@ -8,7 +8,10 @@ bound of the fingerprints' bit distance.  The 32 segments form ``distance + 2``
 blocks.  Count vectors within the distance agree on at least two whole blocks,
 so both lie in one cell of the grid spanned by some pair of blocks: a join on
 (pair, cell) finds every pair within range, is narrowed by the Manhattan
-distance, and verified by the exact bit distance.
+distance, and verified by the exact bit distance.  Before that, fingerprints
+that share a half with the first one of that half are tied to it where near, so
+a dense group of near copies is linked in a line, not pair by pair; the join
+leaves out pairs that are tied already.
 """
 
 from __future__ import annotations
@@ -72,20 +75,33 @@ def unary_counts(fp: Column) -> Column:
     return x.bitwiseOR(y).bitwiseOR(F.shiftleft(x.bitwiseAND(y), 1))
 
 
+def leader_pairs(fps: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each distinct fingerprint with the smallest one that
+    has the same half, if near.  At most two pairs a fingerprint."""
+    low = F.col("fp").bitwiseAND(F.lit(0xFFFFFFFF))
+    cells = fps.select("fp", F.explode(F.array(F.shiftrightunsigned("fp", 32), low.bitwiseOR(F.lit(1 << 32)))).alias("cell"))
+    leaders = cells.groupBy("cell").agg(F.min("fp").alias("a"))
+    return (cells.join(leaders, "cell").where((F.col("a") != F.col("fp")) & (F.bit_count(F.col("a").bitwiseXOR(F.col("fp"))) <= distance))
+            .select("a", F.col("fp").alias("b")))
+
+
 def near_pairs(fps: DataFrame, distance: int) -> DataFrame:
     """Pairs ``(a, b)``, ``a < b``, of distinct fingerprints (column ``fp``)
-    at most ``distance`` bits apart; a pair may come more than once.  A
+    at most ``distance`` bits apart, but for those of one known group (a column
+    ``root``, where there is one); a pair may come more than once.  A
     fingerprint has a bounded number of such partners whatever the input."""
+    if "root" not in fps.columns:
+        fps = fps.withColumn("root", F.lit(None).cast("long"))
     blocks = distance + 2
     edge = [SEGMENTS * k // blocks for k in range(blocks + 1)]
     masks = [_mask(range(edge[k], edge[k + 1])) for k in range(blocks)]
     cells = [F.struct(F.lit(n).alias("grid"), F.col("counts").bitwiseAND(F.lit(masks[i] | masks[j])).alias("cell"))
              for n, (i, j) in enumerate(combinations(range(blocks), 2))]
-    at = (fps.select("fp", unary_counts(F.col("fp")).alias("counts"))
-          .select("fp", "counts", F.explode(F.array(*cells)).alias("at")).select("fp", "counts", "at.*"))
+    at = (fps.select("fp", "root", unary_counts(F.col("fp")).alias("counts"))
+          .select("fp", "root", "counts", F.explode(F.array(*cells)).alias("at")).select("fp", "root", "counts", "at.*"))
     x, y = at.alias("x"), at.alias("y")
     return x.join(y, (F.col("x.grid") == F.col("y.grid")) & (F.col("x.cell") == F.col("y.cell"))
-                  & (F.col("x.fp") < F.col("y.fp"))
+                  & (F.col("x.fp") < F.col("y.fp")) & ~F.coalesce(F.col("x.root") == F.col("y.root"), F.lit(False))
                   & (F.bit_count(F.col("x.counts").bitwiseXOR(F.col("y.counts"))) <= distance)
                   & (F.bit_count(F.col("x.fp").bitwiseXOR(F.col("y.fp"))) <= distance)
                   ).select(F.col("x.fp").alias("a"), F.col("y.fp").alias("b"))
@@ -102,8 +118,11 @@ def near_classes(docs: DataFrame, shingle: int = 4, distance: int = 4,
     where its class has no other id (``component_id`` is then null).
     """
     own = cut(fingerprints(docs, shingle, id_col, text_col), "simhash")
-    fps = own.groupBy("fp").agg(F.min(id_col).alias("least"))
-    root = components(near_pairs(fps, distance), name="simhash-cc").select(F.col("node").alias("fp"), "root")
+    fps = cut(own.groupBy("fp").agg(F.min(id_col).alias("least")), "simhash-distinct")
+    tied = cut(leader_pairs(fps, distance), "simhash-tied")
+    known = components(tied, name="simhash-cc").select(F.col("node").alias("fp"), "root")
+    more = near_pairs(fps.select("fp").join(known, "fp", "left"), distance)
+    root = components(tied.union(more), name="simhash-cc").select(F.col("node").alias("fp"), "root")
     root = fps.join(root, "fp", "left").select("fp", "least", F.coalesce("root", "fp").alias("root"))
     smallest = root.groupBy("root").agg(F.min("least").alias("component_id"))
     of = root.join(smallest, "root").select("fp", "component_id")
