@@ -45,13 +45,15 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
 def maybe_in(df: DataFrame, col: str, keys: DataFrame, key_col: str, bits: int = 1 << 23) -> DataFrame:
     """``df`` without most rows whose ``col`` isn't among the keys (nulls count
     as a key): a bitmap of hashes, of ``bits`` bits whatever the input, is
-    broadcast.  For use before a join, which decides."""
+    broadcast in words of 64.  For use before a join, which decides."""
     def place(c: str) -> Column:
         return F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
 
-    marks = keys.select(place(key_col).alias("h")).groupBy(F.bitmap_bucket_number("h").alias("_bucket")).agg(
-        F.bitmap_construct_agg(F.bitmap_bit_position("h")).alias("_marks"))
-    at = F.bitmap_bit_position(place(col))
-    byte = F.conv(F.hex(F.substring("_marks", (at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
-    return (df.join(F.broadcast(marks), F.bitmap_bucket_number(place(col)) == F.col("_bucket"))
-            .where(F.pmod(F.floor(byte / F.pow(F.lit(2.0), F.pmod(at, F.lit(8)))), F.lit(2)) == 1).drop("_bucket", "_marks"))
+    def word(p: Column) -> Column:
+        return F.shiftright(p, 6).cast("int")
+
+    at = keys.select(place(key_col).alias("p"))
+    one = F.expr("shiftleft(1L, cast(p & 63 as int))")
+    marks = at.groupBy(word(F.col("p")).alias("_word")).agg(F.bit_or(one).alias("_marks"))
+    bit = F.getbit(F.col("_marks"), place(col).bitwiseAND(F.lit(63)).cast("int"))
+    return df.join(F.broadcast(marks), word(place(col)) == F.col("_word")).where(bit == 1).drop("_word", "_marks")

@@ -2,16 +2,18 @@
 
 Lines are normalised (lower case, ASCII punctuation and digits dropped) and
 hashed; lines of one normal form are one node.  Every node gets a
-63-bit SimHash of its words.  Dense groups of near lines are first tied to a
-leader; then SimHashes at most ``distance`` bits apart agree on two of
-``distance + 2`` blocks (pigeonhole), so a join on (pair of blocks, their bits)
-finds every such pair that isn't tied yet.  Pairs are narrowed by the exact bit
+63-bit SimHash of its words.  SimHashes at most ``distance`` bits apart agree on
+two of ``distance + 2`` blocks (pigeonhole), so they share a cell (pair of
+blocks, their bits).  In every shared cell the members are first tied to the
+cell's leaders, one per band of lengths, where near; a join on the cell then
+finds every near pair that isn't tied yet and whose lengths allow it.  Pairs are narrowed by the exact bit
 distance and verified by the edit similarity of the lines, in words.  One
 occurrence per connected group stays: the first by document id, then by line.
 """
 
 from __future__ import annotations
 
+import math
 import string
 from itertools import combinations
 
@@ -61,43 +63,56 @@ def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return total.select("id", "at", F.struct("n1", "n2").alias("node"), "words", sim.alias("sim"))
 
 
-def leader_pairs(nodes: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(a, b)`` of each node with the first node (by hash) that has the
-    same half of its SimHash, if near.  Linear in the nodes: a dense group of
-    near lines is tied together here, so that ``near_nodes`` needn't pair it."""
-    half = [F.shiftrightunsigned("sim", 32), F.col("sim").bitwiseAND(F.lit(0xFFFFFFFF)).bitwiseOR(F.lit(1 << 32))]
-    cells = nodes.select("node", "sim", F.explode(F.array(*half)).alias("cell"))
-    dense = cut(cells.groupBy("cell").agg(F.count("*").alias("n"), F.min("node.n1").alias("leader")).where("n > 1").drop("n"), "lines-dense")
-    members = cut(maybe_in(cells, "cell", dense, "cell").join(dense.withColumnRenamed("cell", "c"), F.col("cell") == F.col("c")).drop("c"), "lines-members")
-    leaders = members.where("node.n1 = leader").select(F.col("cell").alias("c"), F.col("node").alias("a"), F.col("sim").alias("lead"))
-    return (members.join(leaders.hint("shuffle_hash"), F.col("cell") == F.col("c")).where(F.col("node") != F.col("a"))
-            .where(F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance).select("a", F.col("node").alias("b")).distinct())
-
-
-def near_sims(sims: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(s, t)``, ``s < t``, of SimHashes at most ``distance`` bits apart
-    whose nodes aren't all in one known group (column ``known``, or null).  A
-    pair may come once per pair of agreeing blocks."""
+def shared_cells(nodes: DataFrame, distance: int) -> DataFrame:
+    """``(cell, spot, sim, band)`` of the cells that several spots (SimHash and
+    length band) share.  SimHashes at most ``distance`` bits apart share a cell:
+    the bits of two of ``distance + 2`` blocks."""
     blocks = distance + 2
     edge = [BITS * k // blocks for k in range(blocks + 1)]
     masks = [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
     cells = F.array(*[F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(m))) for n, m in enumerate(masks)])
-    at = sims.select("sim", "known", F.explode(cells).alias("cell"))
+    each = nodes.select("spot", "sim", "band").distinct().select("spot", "sim", "band", F.explode(cells).alias("cell"))
+    shared = cut(each.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "lines-cells")
+    return cut(maybe_in(each, "cell", shared, "cell").join(shared, "cell").select("cell", "spot", "sim", "band"), "lines-members")
+
+
+def leader_pairs(nodes: DataFrame, members: DataFrame, distance: int) -> DataFrame:
+    """Pairs ``(a, b)`` of each node with the first node of its spot, and of
+    these with the first nodes of the leading spots of the cell's own and next
+    length band, if near.  Linear in the nodes: a dense group of near lines is
+    tied together here, so that ``near_nodes`` needn't pair it."""
+    first = nodes.groupBy("spot").agg(F.min("node").alias("a"), F.count("*").alias("n"))
+    same = nodes.join(first.where("n > 1"), "spot").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
+    leads = members.groupBy("cell", F.col("band").alias("at")).agg(F.min(F.struct("sim", "spot")).alias("m")).select("cell", "at", F.col("m.sim").alias("lead"), F.col("m.spot").alias("head"))
+    asks = members.select("cell", "spot", "sim", F.explode(F.array("band", F.col("band") + 1)).alias("at"))
+    near = (asks.join(leads, ["cell", "at"]).where((F.col("spot") != F.col("head")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance))
+            .select("head", "spot").distinct())
+    near = cut(near, "lines-heads")
+    heads = maybe_in(first.select(F.col("spot").alias("head"), "a"), "head", near, "head").join(near, "head")
+    ends = maybe_in(first.select("spot", F.col("a").alias("b")), "spot", near, "spot")
+    return same.union(heads.join(ends, "spot").select("a", "b"))
+
+
+def near_nodes(nodes: DataFrame, members: DataFrame, distance: int, similarity: float) -> DataFrame:
+    """Pairs ``(a, b)`` of nodes with near SimHashes and lengths, without those
+    of one known group (column ``root``)."""
+    one = (F.min("root") == F.max("root")) & (F.count("root") == F.count("*"))
+    known = nodes.groupBy("spot").agg(F.when(one, F.xxhash64(F.min("root"))).alias("known"), F.count("*").alias("n"))
+    at = members.join(maybe_in(known, "spot", members, "spot"), "spot")
     x, y = at.alias("x"), at.alias("y")
     differ = F.bit_count(F.col("x.sim").bitwiseXOR(F.col("y.sim")))
-    return x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (differ <= distance) & (F.col("x.sim") < F.col("y.sim"))
-                  & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
-                  ).select(F.col("x.sim").alias("s"), F.col("y.sim").alias("t"))
-
-
-def near_nodes(nodes: DataFrame, distance: int) -> DataFrame:
-    """Pairs ``(a, b)`` of nodes with near SimHashes, without those of one known
-    group (column ``root``); ``leader_pairs`` has those of equal SimHashes."""
-    whole = F.when((F.min("root") == F.max("root")) & (F.count("root") == F.count("*")), F.xxhash64(F.min("root")))
-    pairs = cut(near_sims(nodes.groupBy("sim").agg(whole.alias("known")), distance).distinct(), "lines-sims")
-    a, b = nodes.select(F.col("sim").alias("s"), F.col("node").alias("a"), F.col("root").alias("ra")), nodes.select(F.col("sim").alias("t"), F.col("node").alias("b"), F.col("root").alias("rb"))
-    some_a = maybe_in(a, "s", pairs, "s").join(pairs, "s")
-    return some_a.join(maybe_in(b, "t", pairs, "t"), "t").where(~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False))).select("a", "b")
+    pairs = x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (differ <= distance) & (F.col("x.spot") < F.col("y.spot"))
+                   & (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
+                   ).select(F.col("x.spot").alias("s"), F.col("y.spot").alias("t")).distinct()
+    own = known.where("n > 1 and known is null").select(F.col("spot").alias("s"), F.col("spot").alias("t"))
+    pairs = cut(pairs.union(own), "lines-spots")
+    a = nodes.select(F.col("spot").alias("s"), F.col("node").alias("a"), F.col("root").alias("ra"), F.col("words").alias("wa"))
+    b = nodes.select(F.col("spot").alias("t"), F.col("node").alias("b"), F.col("root").alias("rb"), F.col("words").alias("wb"))
+    most = F.floor((1 - F.lit(similarity)) * F.greatest("wa", "wb") + 1e-9)
+    some_a = maybe_in(a, "s", pairs, "s").join(pairs, "s").alias("p")
+    other = maybe_in(b, "t", pairs, "t").alias("q")
+    return some_a.join(other, (F.col("p.t") == F.col("q.t")) & ~F.coalesce(F.col("ra") == F.col("rb"), F.lit(False)) & (F.abs(F.col("wa") - F.col("wb")) <= most)
+                       & ((F.col("p.s") != F.col("q.t")) | (F.col("a") < F.col("b")))).select("a", "b")
 
 
 def word_codes(norm: Column) -> Column:
@@ -137,9 +152,13 @@ def repeats(docs: DataFrame, distance: int = 3, similarity: float = 0.8, id_col:
     def links(pairs: DataFrame) -> DataFrame:
         return cut(verified(cut(pairs, "lines-pairs"), docs, lines, similarity, id_col, text_col), "lines-links")
 
-    tied = links(leader_pairs(long, distance))
+    # lines of that similarity differ by one band of lengths at most
+    band = F.floor(F.log(F.col("words").cast("double")) / max(-math.log(similarity), 1e-9)).cast("int")
+    long = long.withColumn("band", band).withColumn("spot", F.xxhash64("sim", "band"))
+    members = shared_cells(long, distance)
+    tied = links(leader_pairs(long, members, distance))
     known = components(tied, name="lines-cc").withColumnRenamed("node", "k")
-    more = links(near_nodes(long.join(known, F.col("node") == F.col("k"), "left").drop("k"), distance))
+    more = links(near_nodes(long.join(known, F.col("node") == F.col("k"), "left").drop("k"), members, distance, similarity))
     group = components(tied.union(more), name="lines-cc").withColumnRenamed("node", "k")
     # only lines that repeat, exactly or nearly, are looked at again
     again = cut(nodes.join(group, F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(

@@ -70,6 +70,12 @@ def test_near_lines_keep_one_of_each_group(spark):
     assert (99, 0) in _got(df) and (99, 1) not in _got(df)
 
 
+def test_lines_of_one_simhash_and_many_lengths(spark):
+    docs = [(k, " ".join(["shti"] * n + ["x" * (k % 3 + 1)] * (k % 4 == 0))) for k, n in enumerate([10, 50, 52, 12, 300, 55, 9, 41, 250, 8, 7, 6, 5, 4, 3, 290])]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    assert _got(df) == _drops(docs) and len(_drops(docs)) > 5
+
+
 def test_only_native_operators(spark):
     plan = line_dedup.dedup_lines(documents(spark))._jdf.queryExecution().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
