@@ -63,14 +63,22 @@ def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return total.select("id", "at", F.struct("n1", "n2").alias("node"), "words", sim.alias("sim"))
 
 
+def _masks(distance: int) -> list[int]:
+    """The bits of every two of ``distance + 2`` blocks."""
+    blocks = distance + 2
+    edge = [BITS * k // blocks for k in range(blocks + 1)]
+    return [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
+
+
+def _cell(sim: Column, n: int, mask: int) -> Column:
+    return F.xxhash64(F.lit(n), sim.bitwiseAND(F.lit(mask)))
+
+
 def shared_cells(nodes: DataFrame, distance: int) -> DataFrame:
     """``(cell, spot, sim, band)`` of the cells that several spots (SimHash and
     length band) share.  SimHashes at most ``distance`` bits apart share a cell:
     the bits of two of ``distance + 2`` blocks."""
-    blocks = distance + 2
-    edge = [BITS * k // blocks for k in range(blocks + 1)]
-    masks = [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
-    cells = F.array(*[F.xxhash64(F.lit(n), F.col("sim").bitwiseAND(F.lit(m))) for n, m in enumerate(masks)])
+    cells = F.array(*[_cell(F.col("sim"), n, m) for n, m in enumerate(_masks(distance))])
     each = nodes.select("spot", "sim", "band").distinct().select("spot", "sim", "band", F.explode(cells).alias("cell"))
     shared = cut(each.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "lines-cells")
     return cut(maybe_in(each, "cell", shared, "cell").join(shared, "cell").select("cell", "spot", "sim", "band"), "lines-members")
@@ -100,8 +108,10 @@ def near_nodes(nodes: DataFrame, members: DataFrame, distance: int, similarity:
     known = nodes.groupBy("spot").agg(F.when(one, F.xxhash64(F.min("root"))).alias("known"), F.count("*").alias("n"))
     at = members.join(maybe_in(known, "spot", members, "spot"), "spot")
     x, y = at.alias("x"), at.alias("y")
-    differ = F.bit_count(F.col("x.sim").bitwiseXOR(F.col("y.sim")))
-    pairs = x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (differ <= distance) & (F.col("x.spot") < F.col("y.spot"))
+    differ = F.col("x.sim").bitwiseXOR(F.col("y.sim"))
+    # a pair comes once: in the first of the cells that it shares
+    first = F.coalesce(*[F.when(differ.bitwiseAND(F.lit(m)) == 0, _cell(F.col("x.sim"), n, m)) for n, m in enumerate(_masks(distance))])
+    pairs = x.join(y.hint("shuffle_hash"), (F.col("x.cell") == F.col("y.cell")) & (F.bit_count(differ) <= distance) & (F.col("x.spot") < F.col("y.spot")) & (first == F.col("x.cell"))
                    & (F.abs(F.col("x.band") - F.col("y.band")) <= 1) & ~F.coalesce(F.col("x.known") == F.col("y.known"), F.lit(False))
                    ).select(F.col("x.spot").alias("s"), F.col("y.spot").alias("t")).distinct()
     own = known.where("n > 1 and known is null").select(F.col("spot").alias("s"), F.col("spot").alias("t"))
