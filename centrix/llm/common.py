@@ -42,10 +42,11 @@ def map_batches(df: DataFrame, run, schema) -> DataFrame:
     return df.mapInArrow(run, schema)
 
 
-def maybe_in(df: DataFrame, col: str, keys: DataFrame, key_col: str, bits: int = 1 << 23) -> DataFrame:
+def maybe_in(df: DataFrame, col: str, keys: DataFrame, key_col: str, bits: int = 1 << 23, others: bool = False) -> DataFrame:
     """``df`` without most rows whose ``col`` isn't among the keys (nulls count
     as a key): a bitmap of hashes, of ``bits`` bits whatever the input, is
-    broadcast in words of 64.  For use before a join, which decides."""
+    broadcast in words of 64.  For use before a join, which decides.
+    ``others``: exactly the rows that are left out otherwise."""
     def place(c: str) -> Column:
         return F.pmod(F.xxhash64(F.col(c)), F.lit(bits))
 
@@ -56,4 +57,6 @@ def maybe_in(df: DataFrame, col: str, keys: DataFrame, key_col: str, bits: int =
     one = F.expr("shiftleft(1L, cast(p & 63 as int))")
     marks = at.groupBy(word(F.col("p")).alias("_word")).agg(F.bit_or(one).alias("_marks"))
     bit = F.getbit(F.col("_marks"), place(col).bitwiseAND(F.lit(63)).cast("int"))
+    if others:
+        return df.join(F.broadcast(marks), word(place(col)) == F.col("_word"), "left").where(F.coalesce(bit == 0, F.lit(True))).drop("_word", "_marks")
     return df.join(F.broadcast(marks), word(place(col)) == F.col("_word")).where(bit == 1).drop("_word", "_marks")

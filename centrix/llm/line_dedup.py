@@ -44,13 +44,23 @@ def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     and number (from 0), the hashes of its normal form, how many words it has,
     and its SimHash.
 
-    One pass over the texts.  Sums are combined per line before the shuffle, so
-    that what is shuffled is one row of counts a line, never text, and a line
-    that many documents share is as many rows of its own."""
-    line = docs.select(F.col(id_col).alias("id"), F.posexplode(F.split(text_or_empty(text_col), "\n")).alias("at", "line"))
-    norm = line.select("id", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+    Sums are combined per line before the shuffle, so that what is shuffled is
+    one row of counts a line, and a line that many documents share is as many
+    rows of its own.  Where rows share an id (null is one), equal lines at one
+    number are made one before their words are summed; only those rows' text is
+    shuffled."""
     keys = ["id", "at", "n1", "n2"]
-    words = (norm.select("id", "at", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit("norm"), "norm").alias("n2"), F.explode(F.split("norm", " ")).alias("word"))
+
+    def normal(rows: DataFrame) -> DataFrame:
+        line = rows.select("id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
+        norm = line.select("id", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+        return norm.select("id", "at", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit("norm"), "norm").alias("n2"), "norm")
+
+    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
+    shared = cut(rows.groupBy("id").agg(F.count("*").alias("n")).where("n > 1").select("id"), "lines-ids")
+    once = normal(maybe_in(rows, "id", shared, "id")).groupBy(*keys).agg(F.max("norm").alias("norm"))
+    norm = normal(maybe_in(rows, "id", shared, "id", others=True)).union(once)
+    words = (norm.select(*keys, F.explode(F.split("norm", " ")).alias("word"))
              .where("word <> ''").select(*keys, F.xxhash64("word").alias("h")))
     spread = F.lit(sum(1 << (COLUMNS * k) for k in range(LANES)))
     sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(spread)).alias(f"b{b}") for b in range(COLUMNS)]

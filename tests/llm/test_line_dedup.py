@@ -85,3 +85,21 @@ def test_word_codes_are_word_edits(spark):
     df = spark.createDataFrame([("a b c d", "a x c d"), ("a b", "b a c"), ("", "a")], "x STRING, y STRING")
     got = df.select(F.levenshtein(line_dedup.word_codes(F.col("x")), line_dedup.word_codes(F.col("y"))).alias("d"), "x", "y").collect()
     assert all(r.d == edits(r.x.split(), r.y.split()) for r in got)
+
+
+def test_repeated_rows_with_near_lines(spark):
+    base = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(90)]
+    first, near = " ".join(base), " ".join([*base[:40], "changed", *base[41:]])
+    assert (_sim(first) ^ _sim(near)).bit_count() <= 3
+    for docs in ([(1, first)] * 5 + [(2, near)], [(None, first)] * 5 + [(2, near)], [(None, first + f"\nown {'abcde'[k]}") for k in range(5)] + [(2, near)]):
+        df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+        assert _got(df) == _drops(docs) and (2, 0) in _got(df)
+    short = [(1, "a b")] * 3 + [(2, "a c")]
+    lines = line_dedup.simhash_lines(spark.createDataFrame(short, "doc_id BIGINT, text STRING"), "doc_id", "text")
+    assert {(r.id, r.words) for r in lines.collect()} == {(1, 2), (2, 2)}
+
+
+def test_copies_do_not_overflow_the_sums(spark):
+    text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(1100))
+    df = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
+    assert [(r.words, r.sim) for r in line_dedup.simhash_lines(df, "doc_id", "text").collect()] == [(1100, _sim(text))]
