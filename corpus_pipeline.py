@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from centrix.llm import bpe, line_dedup, mixing, quality_model, simhash
 from centrix.llm.catalog import tokenizer_path, word_count
-from centrix.llm.common import cut, table
+from centrix.llm.common import cut, maybe_in, table
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,10 +30,20 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps of each class of near copies the document with the smallest id."""
-    root = simhash.near_classes(docs, shingle=4, distance=4)
-    stay = root.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select(F.col("doc_id").alias("_k")).distinct()
-    return docs.join(stay.hint("shuffle_hash"), F.col("doc_id").eqNullSafe(F.col("_k"))).select(docs.columns)
+    """Keeps of each class of near copies one row: the smallest id (null last),
+    then the smallest hash of the text, then of the row; of equal rows one."""
+    row = [*docs.columns, *[F.col(c).isNull() for c in docs.columns]]
+    keys = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("t"),
+                    F.xxhash64(*row).alias("h"), F.xxhash64(F.lit("row"), *row).alias("g"))
+    root = simhash.near_classes(docs.withColumn("_row", keys), shingle=4, distance=4, id_col="_row")
+    stay = root.where(F.col("_row") == F.col("component_id")).groupBy("_row").agg(F.count("*").alias("n"))
+    stay = cut(stay.select(F.col("_row.h").alias("h"), F.col("_row").alias("_k"), "n"), "near-stay")
+    at = docs.withColumn("_row", keys).withColumn("_h", F.col("_row.h"))
+    alone, again = stay.where("n = 1"), stay.where("n > 1")
+    one = at.join(alone.hint("shuffle_hash"), F.col("_row") == F.col("_k")).select(docs.columns)
+    # only rows that have equal ones are looked at again
+    equal = maybe_in(at, "_h", again, "h").join(again.hint("shuffle_hash"), F.col("_row") == F.col("_k"))
+    return one.union(equal.dropDuplicates(["_row"]).select(docs.columns))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

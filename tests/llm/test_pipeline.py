@@ -57,3 +57,12 @@ def test_stages_take_edges(spark, tmp_path):
             stage(spark, docs, DIR1).write.parquet(str(tmp_path / f"{name}{k}"))
             docs = spark.read.parquet(str(tmp_path / f"{name}{k}"))
     assert len(corpus_pipeline.STAGES) == 5 and empty(spark).count() == 0
+
+
+def test_one_row_of_each_near_class(spark):
+    a, b, c = (" ".join(f"{x}word{k}" for k in range(60)) for x in "abc")
+    rows = [(1, a, "en", "s", 1), (1, a, "en", "s", 1), (1, b, "en", "s", 1), (0, b, "en", "s", 1), (2, a, "en", "s", 1),
+            *[(None, c, None, "s", k % 2) for k in range(6)], (None, a, "en", "s", 1), (None, None, None, None, None), (None, None, None, None, None)]
+    got = corpus_pipeline.near_copies(spark, spark.createDataFrame(rows, SCHEMA), DIR1).collect()
+    assert sorted(((r.doc_id, r.text) for r in got), key=str) == sorted([(1, a), (0, b), (None, c), (None, None)], key=str)
+    assert all(tuple(r) in rows for r in got)
