@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import cut, hash_share, map_batches, text_or_empty
+from .common import cut, hash_share, map_batches, maybe_in, text_or_empty
 
 #: Letters, with signs inside that stand for letters.
 TOKEN = re.compile(r"[^\W_](?:[\w@$!*'’]*[^\W_])?")
@@ -223,25 +223,33 @@ def _count_terms(train: DataFrame) -> DataFrame:
     return parts.groupBy("term").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
 
 
-def _contexts(train: DataFrame, terms: list[str]) -> DataFrame:
-    """``(term, contexts)``: distinct neighbouring words of each term in toxic
-    documents.  Copies of one text share theirs, so a term needs many."""
-    known = frozenset(terms)
-    schema = "term string, context long"
+def _contexts(train: DataFrame, counted: DataFrame) -> DataFrame:
+    """``counted`` plus ``contexts``: distinct neighbouring words of each term
+    in toxic documents.  Copies of one text share theirs, so a term needs many."""
+    schema = "word string, context long"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        found: set[tuple[str, int]] = set()
+
+        def flush() -> pa.RecordBatch:
+            rows = list(found)
+            found.clear()
+            return pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["word", "context"])
+
         for batch in batches:
-            found = set()
             for text in batch.column(0).to_pylist():
                 words = [fold(t) for t in TOKEN.findall(text)]
                 for k, w in enumerate(words):
-                    for term in (w, *(w[:n] + "*" for n in range(STEM_MIN, min(STEM_MAX, len(w)) + 1))):
-                        if term in known:
-                            found.add((term, hash_pair(words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else "")))
-            rows = sorted(found)
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.string()), pa.array([r[1] for r in rows], pa.int64())], names=["term", "context"])
+                    if len(w) >= STEM_MIN:
+                        found.add((w, hash_pair(words[k - 1] if k else "", words[k + 1] if k + 1 < len(words) else "")))
+                if len(found) > 400_000:
+                    yield flush()
+        yield flush()
 
-    return map_batches(train.where("y = 1").select("text"), run, schema).groupBy("term").agg(F.countDistinct("context").alias("contexts"))
+    stems = [F.when(F.length("word") >= k, F.concat(F.substring("word", 1, k), F.lit("*"))) for k in range(STEM_MIN, STEM_MAX + 1)]
+    met = map_batches(train.where("y = 1").select("text"), run, schema).select(F.explode(F.array("word", *stems)).alias("at"), "context").where("at is not null")
+    met = maybe_in(met, "at", counted, "term").groupBy("at").agg(F.countDistinct("context").alias("contexts"))
+    return counted.join(met, F.col("term") == F.col("at")).drop("at")
 
 
 def hash_pair(a: str, b: str) -> int:
@@ -298,22 +306,24 @@ class Model:
 def learn(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", max_rows: int = 20_000) -> Model:
     """Lexicon, exempt words and logistic weights from about ``max_rows``
     labelled documents outside the held-out third (a hash sample where there
-    are more).  What comes to the driver is bounded by that sample."""
+    are more); copies of a text in the sample count once for each label.  What
+    comes to the driver is bounded by that sample."""
     y = labels.select(F.col(id_col).alias("lid"), F.col(label_col).cast("int").alias("y")).where("y in (0, 1)")
     y = y.where(~held_out("lid")).groupBy("lid").agg(F.max("y").alias("y"))
     share = min(1.0, max_rows / max(y.count(), 1))
     d = docs.select(F.col(id_col).alias("lid"), text_or_empty(text_col).alias("text")).where("lid is not null")
-    train = cut(d.where(~held_out("lid") & hash_share("lid", share, "toxic")).join(y.hint("shuffle_hash"), "lid").select("lid", "y", "text"), "toxic-train")
+    train = d.where(~held_out("lid") & hash_share("lid", share, "toxic")).join(y.hint("shuffle_hash"), "lid").select("y", "text")
+    # copies of a text are one document of its class
+    train = cut(train.groupBy("y", F.xxhash64("text").alias("h1"), F.xxhash64(F.lit("text"), "text").alias("h2")).agg(F.max("text").alias("text")).select("y", "text"), "toxic-train")
     size = {r.y: r.n for r in train.groupBy("y").agg(F.count("*").alias("n")).collect()}
     bad, good = size.get(1, 0), size.get(0, 0)
     if not bad or not good:
         return Model({}, frozenset(), (0.0, 0.0, -4.0))
     need = max(4, round(0.008 * bad))
     counted = cut(_count_terms(train).where((F.col("bad") >= need) & (F.col("bad") >= 19 * F.col("good"))), "toxic-terms")
-    few = counted.orderBy(F.desc("bad"), "term").limit(20_000)  # the lexicon's size bound, before stems are merged
-    terms = {r.term: (r.bad, r.good) for r in few.collect()}
-    contexts = {r.term: r.contexts for r in _contexts(train, list(terms)).collect()}
-    weights = choose_entries({t: (*c, contexts.get(t, 0)) for t, c in terms.items()}, bad, good)
+    wide = _contexts(train, counted).where(F.col("contexts") >= F.greatest(F.lit(max(4, need // 2)), F.floor(F.col("bad") / 2)))
+    few = wide.orderBy(F.desc("bad"), "term").limit(20_000)  # the lexicon's size bound, before stems are merged
+    weights = choose_entries({r.term: (r.bad, r.good, r.contexts) for r in few.collect()}, bad, good)
     # near misses that clean documents hold are words of their own
     lexicon = train.sparkSession.sparkContext.broadcast(weights)
 

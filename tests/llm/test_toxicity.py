@@ -71,3 +71,17 @@ def test_edges(spark):
     for labels in (_labels(spark, []), _labels(spark, [(1, 1, 0), (2, None, None), (None, 1, 1)])):
         m = toxicity.learn(edge(spark), labels)           # one class only: nothing to learn
         assert m.weights == {} and all(r.predicted == 0 for r in toxicity.score(edge(spark), m).collect())
+
+
+def test_copies_of_a_text_count_once(spark):
+    def word(k):
+        return "".join("abcdefghij"[int(c)] for c in f"{k:05d}")
+    toxic = [f"{word(3 * k)} grobnik {word(3 * k + 1)} {word(3 * k + 2)}" for k in range(30)]
+    clean = [f"{word(50000 + 3 * k)} {word(50001 + 3 * k)} {word(50002 + 3 * k)}" for k in range(200)]
+    texts = [(t, 1) for t in toxic] + [(toxic[0], 1)] * 1000 + [(t, 0) for t in clean]
+    ids = [i for i in range(3 * len(texts)) if zlib.crc32(str(i).encode()) % 3 != 1][:len(texts)]
+    docs = spark.createDataFrame([(i, t) for i, (t, _) in zip(ids, texts, strict=True)], "doc_id BIGINT, text STRING")
+    labels = _labels(spark, [(i, 1, y) for i, (_, y) in zip(ids, texts, strict=True)])
+    model = toxicity.learn(docs, labels)
+    assert any("grobnik".startswith(e.rstrip("*")) for e in model.weights)
+    assert toxicity.score(docs, model).where("n_hits > 0").count() == 1030
