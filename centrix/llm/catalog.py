@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, fingerprint, html_text, licences, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity
+from . import bpe, decontaminate, fill_in_middle, fingerprint, html_text, licences, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity
 from .common import WORD, table, text_or_empty
 
 
@@ -68,9 +68,21 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["n_words"])
+    return found.select("doc_id", "n_words", hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (hit > 0).alias("contaminated"))
+
+
+def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = fill_in_middle.transform(table(spark, sf_dir, "documents"), with_texts=False)
+    return found.select("doc_id", "n", "form", "prefix_chars", "middle_chars", "output_sha256", "restored_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_fingerprints, op4_simhash, op5_line_dedup, op6_html_text,
-                            op7_mixing, op8_quality_model, op9_licences, op10_bpe)}
+                            op7_mixing, op8_quality_model, op9_licences, op10_bpe, op12_decontamination, op13_fill_in_middle)}
 
 #: The mix in SQL: the same hash, shares and order, without the rank steps.
 ORACLES: dict[str, str] = {"op7_mixing": r"""
