@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bpe, decontaminate, fill_in_middle, fingerprint, html_text, licences, line_dedup, mixing, quality_model, quality_rules, simhash, toxicity
+from . import bpe, decontaminate, fill_in_middle, fingerprint, html_text, licences, line_dedup, mixing, phrases, quality_model, quality_rules, simhash, toxicity
 from .common import WORD, table, text_or_empty
 
 
@@ -68,6 +68,10 @@ def op10_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode_decode(table(spark, sf_dir, "documents"), tokenizer_path(), with_ids=False)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.mine(table(spark, sf_dir, "documents"))
+
+
 def op12_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = decontaminate.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["n_words"])
@@ -82,7 +86,9 @@ def op13_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_toxicity, op2_quality_rules, op3_fingerprints, op4_simhash, op5_line_dedup, op6_html_text,
-                            op7_mixing, op8_quality_model, op9_licences, op10_bpe, op12_decontamination, op13_fill_in_middle)}
+                            op7_mixing, op8_quality_model, op9_licences, op10_bpe, op11_collocations, op12_decontamination, op13_fill_in_middle)}
+
+LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 
 #: The mix in SQL: the same hash, shares and order, without the rank steps.
 ORACLES: dict[str, str] = {"op7_mixing": r"""
@@ -126,4 +132,62 @@ SELECT x.doc_id, x.size, x.source_size, x.target,
        CAST(x.sure AS BIGINT) + CAST(x.inside OR ((x.doc_id, x.size) IS NOT DISTINCT FROM m.best AND x.odds IS NOT NULL) AS BIGINT) AS copies,
        (CAST(x.sure AS BIGINT) + CAST(x.inside OR ((x.doc_id, x.size) IS NOT DISTINCT FROM m.best AND x.odds IS NOT NULL) AS BIGINT)) * x.size AS taken
 FROM x LEFT JOIN m ON x.source IS NOT DISTINCT FROM m.source
+""",
+    "op11_collocations": rf"""
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({LOWER}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+t AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
+  FROM (SELECT lang, w, m, unnest(range(1, CAST(len(w) - m + 2 AS BIGINT))) AS i FROM w, (SELECT unnest([1, 2, 3]) AS m) WHERE len(w) >= m)),
+f AS (SELECT lang, m, phrase, CAST(count(*) AS BIGINT) AS a FROM g GROUP BY ALL HAVING count(*) >= 10),
+c AS (
+  SELECT f.lang, f.m, f.phrase, f.a, k, x.a AS l, y.a AS r, CAST((1000000::HUGEINT * f.a * f.a) // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM (SELECT *, unnest(range(1, m)) AS k FROM f WHERE m > 1) f
+  JOIN f x ON x.lang = f.lang AND x.phrase = array_to_string(string_split(f.phrase, ' ')[1:k], ' ')
+  JOIN f y ON y.lang = f.lang AND y.phrase = array_to_string(string_split(f.phrase, ' ')[k + 1:], ' ')),
+b AS (SELECT * FROM c QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+i AS (
+  SELECT lang, phrase, max(a) AS a FROM (
+    SELECT lang, a, array_to_string(string_split(phrase, ' ')[1:2], ' ') AS phrase FROM f WHERE m = 3
+    UNION ALL SELECT lang, a, array_to_string(string_split(phrase, ' ')[2:3], ' ') FROM f WHERE m = 3) GROUP BY ALL),
+k AS (SELECT b.* FROM b LEFT JOIN i ON i.lang = b.lang AND i.phrase = b.phrase WHERE i.a IS NULL OR b.m = 3 OR 100 * i.a < 50 * b.a)
+SELECT k.lang, row_number() OVER (PARTITION BY k.lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank, phrase, a, l, r, t.n, score
+FROM k JOIN t ON t.lang = k.lang QUALIFY rank <= 2000
+""",
+    "op12_decontamination": rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS (
+  SELECT coalesce(CAST(item_id AS VARCHAR), '') AS item, regexp_extract_all({LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+v AS (
+  SELECT DISTINCT item, least(10, len(w)) AS size, array_to_string(w[i:i + 9], ' ') AS win
+  FROM (SELECT item, w, unnest(range(1, CAST(greatest(1, len(w) - 9) + 1 AS BIGINT))) AS i FROM b WHERE len(w) > 0)),
+s AS (SELECT DISTINCT size FROM v),
+e AS (
+  SELECT row, i, size, array_to_string(w[i:i + size - 1], ' ') AS win
+  FROM (SELECT row, w, size, unnest(range(1, CAST(len(w) - size + 2 AS BIGINT))) AS i FROM d, s WHERE len(w) >= size)),
+m AS (SELECT e.row, e.i, e.size, v.item FROM e JOIN v ON v.win = e.win AND v.size = e.size),
+h AS (SELECT row, CAST(count(DISTINCT pos) AS BIGINT) AS n_hit FROM (SELECT row, unnest(range(i, i + size)) AS pos FROM m) GROUP BY row),
+n AS (SELECT row, CAST(count(DISTINCT item) AS BIGINT) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS ids FROM m GROUP BY row)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN h ON h.row = d.row LEFT JOIN n ON n.row = d.row
+""",
+    "op13_fill_in_middle": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS u,
+         sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), 'null')) AS h FROM documents),
+r AS (
+  SELECT doc_id, t, u, CAST(len(u) AS BIGINT) AS n, CAST('0x' || substr(h, 1, 8) AS BIGINT) AS h1, CAST('0x' || substr(h, 9, 8) AS BIGINT) AS h2,
+         CAST('0x' || substr(h, 17, 8) AS BIGINT) AS h3, CAST('0x' || substr(h, 25, 8) AS BIGINT) AS h4 FROM d),
+f AS (
+  SELECT *, least(h1 % (n + 1), h2 % (n + 1)) AS x, greatest(h1 % (n + 1), h2 % (n + 1)) AS y,
+         CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM r),
+c AS (SELECT *, array_to_string(u[1:x], '') AS pre, array_to_string(u[x + 1:y], '') AS mid, array_to_string(u[y + 1:], '') AS suf FROM f)
+SELECT doc_id, n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+       sha256(t) AS restored_sha256
+FROM c
 """}
