@@ -23,8 +23,8 @@ from .common import cut, map_batches, text_or_empty
 
 #: Bytes of text in a shard, and of text for which one group of suffixes of
 #: each length and language is made.
-SHARD_BYTES = 16 << 20
-GROUP_BYTES = 8 << 20
+SHARD_BYTES = 8 << 20
+GROUP_BYTES = 4 << 20
 #: Parts of at most so many pointers are finished by a plain sort.
 SMALL = 24
 
