@@ -6,6 +6,7 @@ points are packed once into blocks: one row per few MB of points holding the
 ids (int64) and the coordinates as one row-major float64 matrix, both as
 BINARY.  Each later pass moves a handful of large buffers per partition.
 Integer coordinates below 2^53 are exact in float64, so results do not change.
+A block knows whether plain float64 sums over its points are exact (``plain``).
 """
 
 from __future__ import annotations
@@ -18,15 +19,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.operators import kernels
+from centrix.operators.exact import is_plain
 from centrix.session import ship_package
 
 BLOCK_BYTES = 4 << 20
-BLOCK_SCHEMA = "n INT, d INT, ids BINARY, x BINARY"
+BLOCK_SCHEMA = "n INT, d INT, ids BINARY, x BINARY, plain BOOLEAN"
 
 
 def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_BYTES,
               weight: str | None = None) -> DataFrame:
-    """``(point_id, coord[, weight])`` -> ``(n, d, ids, x[, w])`` blocks,
+    """``(point_id, coord[, weight])`` -> ``(n, d, ids, x, plain[, w])`` blocks,
     partition by partition (no shuffle).  Rows of another length than ``d``
     or with a null feature fail the job.  ``weight`` (a multiplicity column) is packed as float64."""
     if d is None:
@@ -40,8 +42,9 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
     def emit(ids: np.ndarray, X: np.ndarray, W) -> pa.RecordBatch:
         cols = [pa.array([len(ids)], pa.int32()), pa.array([d], pa.int32()),
                 pa.array([ids.astype(np.int64).tobytes()], pa.binary()),
-                pa.array([np.ascontiguousarray(X, dtype=np.float64).tobytes()], pa.binary())]
-        names = ["n", "d", "ids", "x"]
+                pa.array([np.ascontiguousarray(X, dtype=np.float64).tobytes()], pa.binary()),
+                pa.array([is_plain(X)], pa.bool_())]
+        names = ["n", "d", "ids", "x", "plain"]
         if weight:
             cols.append(pa.array([np.ascontiguousarray(W, dtype=np.float64).tobytes()], pa.binary()))
             names.append("w")
@@ -74,18 +77,20 @@ def to_blocks(points: DataFrame, d: int | None = None, block_bytes: int = BLOCK_
     return points.select(*cols).mapInArrow(fn, schema)
 
 
-def iter_weighted(batches, d: int) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray | None]]:
-    """Inside a task: ``(ids, X, w)`` per block row; ``w`` is None without weights."""
+def iter_rows(batches, d: int) -> Iterator[dict]:
+    """Inside a task: every block row as a dict of arrays, those of its columns
+    that are there and not null (``plain`` as a truth value)."""
+    kinds = {"ids": np.int64, "x": np.float64, "w": np.float64, "label": np.int32, "far": np.float64}
     for b in batches:
-        ids_col = b.column(b.schema.get_field_index("ids"))
-        x_col = b.column(b.schema.get_field_index("x"))
-        wi = b.schema.get_field_index("w")
-        w_col = b.column(wi) if wi >= 0 else None
+        columns = {name: b.column(i) for i, name in enumerate(b.schema.names)}
         for i in range(b.num_rows):
-            ids = np.frombuffer(ids_col[i].as_buffer(), dtype=np.int64)
-            X = np.frombuffer(x_col[i].as_buffer(), dtype=np.float64).reshape(-1, d)
-            w = np.frombuffer(w_col[i].as_buffer(), dtype=np.float64) if w_col is not None else None
-            yield ids, X, w
+            row = {name: np.frombuffer(columns[name][i].as_buffer(), dtype=kind) for name, kind in kinds.items()
+                   if name in columns and columns[name][i].is_valid}
+            if "x" in row:
+                row["x"] = row["x"].reshape(-1, d)
+            if "plain" in columns:
+                row["plain"] = columns["plain"][i].as_py()
+            yield row
 
 
 def iter_blocks(batches, d: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:

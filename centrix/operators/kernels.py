@@ -15,6 +15,8 @@ import pyarrow as pa
 # Elements of the n x k distance block held at once inside a task: small
 # enough to stay in cache (measured fastest at 2^16 for d = 2, 64 and 512).
 BLOCK_ELEMS = 1 << 16
+# Centroids in a box of the search tree.
+LEAF = 64
 
 
 def coords(batch: pa.RecordBatch, d: int, name: str = "coord") -> np.ndarray:
@@ -41,37 +43,126 @@ def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:
     return acc
 
 
-def nearest(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def sq_dists_t(XT: np.ndarray, CT: np.ndarray, acc: np.ndarray, tmp: np.ndarray) -> np.ndarray:
+    """(n, k) squared distances of transposed points and centroids, summed
+    feature by feature into ``acc``."""
+    np.subtract(XT[0][:, None], CT[0][None, :], out=acc)
+    np.multiply(acc, acc, out=acc)
+    for j in range(1, XT.shape[0]):
+        np.subtract(XT[j][:, None], CT[j][None, :], out=tmp)
+        np.multiply(tmp, tmp, out=tmp)
+        np.add(acc, tmp, out=acc)
+    return acc
+
+
+def own_sq_dists(XT: np.ndarray, CT: np.ndarray, idx: np.ndarray) -> np.ndarray:
+    """Squared distance of each (transposed) point to its own centroid, summed
+    feature by feature: the same bits as in the full table of distances."""
+    t = XT[0] - CT[0][idx]
+    acc = t * t
+    for j in range(1, XT.shape[0]):
+        np.subtract(XT[j], CT[j][idx], out=t)
+        np.multiply(t, t, out=t)
+        np.add(acc, t, out=acc)
+    return acc
+
+
+class Tree:
+    """Centroids in boxes of about ``LEAF``, for exact nearest-centroid search.
+
+    Built by halving the widest feature at its median.  A point's squared
+    distance to a box is summed in the same feature order as to a centroid, from
+    terms that are no larger; as rounding keeps order, it is a lower bound of
+    the computed distances to all centroids inside, not only of the true ones.
+    """
+
+    def __init__(self, C: np.ndarray, leaf: int | None = None):
+        leaf = leaf or LEAF
+        self.C = C
+        parts, self.leaves = [np.arange(C.shape[0])], []
+        while parts:
+            own = parts.pop()
+            if len(own) <= leaf:
+                self.leaves.append(np.sort(own))
+                continue
+            wide = int(np.argmax(C[own].max(axis=0) - C[own].min(axis=0)))
+            own = own[np.argsort(C[own, wide], kind="stable")]
+            parts += own[:len(own) // 2], own[len(own) // 2:]
+        self.low = np.array([C[own].min(axis=0) for own in self.leaves]).reshape(len(self.leaves), C.shape[1])
+        self.high = np.array([C[own].max(axis=0) for own in self.leaves]).reshape(self.low.shape)
+        self.CT = [np.ascontiguousarray(C[own].T) for own in self.leaves]
+
+    def box_dists(self, XT: np.ndarray) -> np.ndarray:
+        acc = np.zeros((XT.shape[1], len(self.leaves)))
+        for j in range(XT.shape[0]):
+            x = XT[j][:, None]
+            t = np.maximum(self.low[None, :, j] - x, x - self.high[None, :, j])
+            np.maximum(t, 0.0, out=t)
+            np.multiply(t, t, out=t)
+            np.add(acc, t, out=acc)
+        return acc
+
+    def nearest(self, XT: np.ndarray, second: bool = False):
+        """Index (the lowest on a tie) and squared distance, per column of ``XT``;
+        with ``second`` also the squared distance of the next nearest centroid.
+
+        Each point first visits the box nearest to it; after that a box is
+        visited only by the points it isn't too far from."""
+        n = XT.shape[1]
+        idx, dist, other = np.full(n, self.C.shape[0], np.int64), np.full(n, np.inf), np.full(n, np.inf)
+
+        def visit(rows: np.ndarray | slice, leaf: int) -> None:
+            X, CT = XT[:, rows], self.CT[leaf]
+            acc = np.empty((X.shape[1], CT.shape[1]))
+            sq_dists_t(X, CT, acc, np.empty_like(acc))
+            at = acc.argmin(axis=1)
+            every = np.arange(len(acc))
+            new, ids, old, was = acc[every, at], self.leaves[leaf][at], dist[rows], idx[rows]
+            better = (new < old) | ((new == old) & (ids < was))
+            if second:
+                acc[every, at] = np.inf
+                other[rows] = np.minimum(np.minimum(other[rows], acc.min(axis=1)), np.where(better, old, new))
+            dist[rows], idx[rows] = np.where(better, new, old), np.where(better, ids, was)
+
+        if len(self.leaves) == 1:
+            visit(slice(None), 0)
+        else:
+            bound = self.box_dists(XT)
+            first = bound.argmin(axis=1)
+            order = np.argsort(first, kind="stable")
+            for rows in np.split(order, np.flatnonzero(np.diff(first[order])) + 1):
+                if len(rows):
+                    visit(rows, int(first[rows[0]]))
+            for leaf in range(len(self.leaves)):
+                rows = np.flatnonzero((bound[:, leaf] <= (other if second else dist)) & (first != leaf))
+                if 2 * len(rows) > n and not second:
+                    visit(slice(None), leaf)  # cheaper than picking most of the columns
+                elif len(rows):
+                    visit(rows, leaf)
+        return (idx, dist, other) if second else (idx, dist)
+
+
+def nearest(X: np.ndarray, C: np.ndarray | Tree) -> tuple[np.ndarray, np.ndarray]:
     """Index of the nearest centroid (lowest index on a tie) and its distance.
 
-    Rows are taken in cache-sized chunks; each chunk's squared differences
-    are accumulated feature by feature into one preallocated buffer."""
-    n, d = X.shape
-    k = C.shape[0]
+    Rows are taken in cache-sized chunks; each goes through the search tree,
+    which for few centroids is one box."""
+    tree = C if isinstance(C, Tree) else Tree(C)
+    n = X.shape[0]
     idx = np.empty(n, dtype=np.int64)
     dist = np.empty(n, dtype=np.float64)
-    if n == 0:
-        return idx, dist
-    step = max(1, BLOCK_ELEMS // max(1, k))
-    CT = np.ascontiguousarray(C.T)
-    acc = np.empty((min(step, n), k))
-    tmp = np.empty_like(acc)
-    for lo in range(0, n, step):
-        XT = np.ascontiguousarray(X[lo:lo + step].T)
-        r = XT.shape[1]
-        a, t = acc[:r], tmp[:r]
-        np.subtract(XT[0][:, None], CT[0][None, :], out=a)
-        np.multiply(a, a, out=a)
-        for j in range(1, d):
-            np.subtract(XT[j][:, None], CT[j][None, :], out=t)
-            np.multiply(t, t, out=t)
-            np.add(a, t, out=a)
-        i = a.argmin(axis=1)
-        idx[lo:lo + r] = i
-        dist[lo:lo + r] = a[np.arange(r), i]
+    for rows in chunks(n, tree):
+        idx[rows], dist[rows] = tree.nearest(np.ascontiguousarray(X[rows].T))
     return idx, dist
 
 
+def chunks(n: int, tree: Tree) -> list[slice]:
+    """Rows taken together: a table of distances to a box's centroids, or to
+    the boxes, stays in cache."""
+    step = max(1, BLOCK_ELEMS // max(len(tree.leaves), max(len(own) for own in tree.leaves)))
+    return [slice(low, min(n, low + step)) for low in range(0, n, step)]
+
+
 def nearest_fast(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """BLAS form for wide vectors: argmin of |x|^2 - 2 x.c + |c|^2, then the
     chosen distance recomputed exactly.  Labels can differ from
@@ -91,17 +182,50 @@ def nearest_fast(X: np.ndarray, C: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return idx, acc
 
 
-def group_sums(idx: np.ndarray, X: np.ndarray, k: int) -> np.ndarray:
-    """(k, d) per-cluster vector sums."""
-    S = np.zeros((k, X.shape[1]), dtype=np.float64)
-    if X.shape[0] == 0:
-        return S
-    if X.shape[1] <= 8:
-        for j in range(X.shape[1]):
-            S[:, j] = np.bincount(idx, weights=X[:, j], minlength=k)
-        return S
-    order = np.argsort(idx, kind="stable")
-    sidx = idx[order]
-    starts = np.flatnonzero(np.r_[True, sidx[1:] != sidx[:-1]])
-    S[sidx[starts]] = np.add.reduceat(X[order], starts, axis=0)
-    return S
+def slack(d: int) -> float:
+    """More than the relative error of a computed distance of ``d`` features."""
+    return 16.0 * (d + 16) * 2.0 ** -52
+
+
+def bounds(X: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
+    """Per point its nearest centroid, and a distance below which no other
+    centroid lies."""
+    label, far = np.empty(len(X), np.int32), np.empty(len(X))
+    for rows in chunks(len(X), tree):
+        label[rows], _, second = tree.nearest(np.ascontiguousarray(X[rows].T), second=True)
+        far[rows] = np.sqrt(second) * (1.0 - slack(X.shape[1]))
+    return label, far
+
+
+def drifts(new: np.ndarray, old: np.ndarray) -> np.ndarray:
+    """Per centroid, how far any of the others has moved at most."""
+    moved = np.sqrt(np.sum((new - old) ** 2, axis=1)) * (1.0 + slack(new.shape[1]))
+    if len(moved) == 1:
+        return np.zeros(1)
+    most = int(np.argmax(moved))
+    out = np.full(len(moved), moved[most])
+    out[most] = np.delete(moved, most).max()
+    return out
+
+
+def bounded_nearest(XT: np.ndarray, tree: Tree, CT: np.ndarray, label: np.ndarray, far: np.ndarray, drift: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+    """:meth:`Tree.nearest` for points whose nearest centroid was ``label``
+    when no other lay below ``far``, and the number of points searched anew.
+
+    The others have moved by ``drift`` at most.  A point that is nearer to its
+    own centroid than what that leaves, by more than rounding can do, keeps it:
+    one distance instead of all."""
+    idx = label.astype(np.int64)
+    dist = own_sq_dists(XT, CT, idx)
+    left = far - drift[idx]
+    sure = (left > 1e-140) & (dist * (1.0 + slack(XT.shape[0])) < left * left)
+    rest = np.flatnonzero(~sure)
+    if len(rest):
+        idx[rest], dist[rest] = tree.nearest(np.ascontiguousarray(XT[:, rest]))
+    return idx, dist, len(rest)
+
+
+def column_sums(idx: np.ndarray, XT: np.ndarray, k: int) -> np.ndarray:
+    """(k, d) sums of each group's columns of ``XT`` (any order: for values of
+    which every sum is exact)."""
+    return np.stack([np.bincount(idx, weights=x, minlength=k) for x in XT], axis=1) if len(XT) else np.zeros((k, 0))

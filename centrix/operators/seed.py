@@ -256,7 +256,7 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     from centrix.plans.lloyd import size_scan
     state = to_blocks(pts, d).withColumn("dn", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)
     # per pass: pending centres + candidates (distances) and trials^2 races per point
-    state = size_scan(state, checkpoint_every + trials * (trials + 1), d)
+    state, _, _ = size_scan(state, checkpoint_every + trials * (trials + 1), d)
     pending = [chosen[0][1]]
     cands = None
     step = 2

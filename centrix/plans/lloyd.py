@@ -1,10 +1,20 @@
 """Lloyd training (K1, K2, K3, K5).
 
 Driver loop over a persisted point table.  Each iteration is ONE Spark job:
-assign + per-cluster (count, vector sum, cost) in a partition kernel, a
-hash aggregate keyed by cluster_id over at most k rows per partition, and a
-collect of k x d numbers.  The next plan is built from those numbers, so the
-lineage never grows with the iteration count.
+assign + per-cluster (count, vector sum, cost) in a partition kernel, whose
+partial sums are merged by Spark and come to the driver as k x d numbers.  The
+next plan is built from those numbers, so the lineage doesn't grow with the
+iteration count.
+
+Sums are exact integers in limbs (``operators.exact``) and rounded once, so a
+run gives the same bits however the points are dealt to partitions, blocks and
+tasks, fractional coordinates included.
+
+Most distances of late iterations are skipped, exactly: beside a block lie the
+nearest centroid of each point and a bound below which no other one lay, as of
+an earlier model; a point whose own centroid is nearer than that bound less
+what the others have moved since needs that one distance only.  Bounds are made
+anew when the searches they didn't save have cost as much as that.
 
 Contract (SURVEY D2-D7): squared distances; lowest cluster_id wins a tie;
 ``max_iter`` assignments and ``max_iter - 1`` updates; returned centroids are
@@ -24,107 +34,113 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.operators import kernels
-from centrix.operators.blocks import iter_blocks, iter_weighted, to_blocks
+from centrix.operators.assign import assign, distinct_points
+from centrix.operators.blocks import iter_rows, to_blocks
+from centrix.operators.exact import LIMB_SCHEMA, ExactSums, collect_sums, limb_batch, merge_limbs
+from centrix.operators.model import Model, collect_model
 from centrix.session import scratch_path, ship_package
-from centrix.operators.assign import assign
-from centrix.operators.model import Model, collect_model, model_sql
-from centrix.operators.assign import SQ_DIST_LAMBDA
 
-STATS_SCHEMA = "cluster_id INT, n BIGINT, s ARRAY<DOUBLE>, cost DOUBLE"
+# Partial sums are merged by Spark until at most so many tables of them are
+# left, which the driver adds up (they are integers: any order, same bits).
+FAN_IN = 32
+# What making bounds costs a point, in distances to a centroid: its block is
+# written and cached once more.
+BOUND_COST = 32
 
 
-def _stats_arrow(points: DataFrame, model: Model, exact: bool = True) -> DataFrame:
-    """Per-partition (cluster_id, n, sum vector, cost); one row per non-empty
-    cluster per partition.  ``points`` is a block table or ``(coord)`` rows."""
-    ship_package(points.sparkSession)
-    bc = points.sparkSession.sparkContext.broadcast((model.ids, model.C))
-    d = model.d
-    blocked = "x" in points.columns
-    weighted = "w" in points.columns
+def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exact: bool) -> tuple:
+    """Limb rows of (vector sum, count, cost, points searched) per cluster and
+    task.  ``drift``: how far the others have moved since the blocks' bounds."""
+    ship_package(blocks.sparkSession)
+    bc = blocks.sparkSession.sparkContext.broadcast((model.C, drift))
+    k, d = model.k, model.d
 
-    def matrices(batches):
-        if blocked:
-            for _, X, w in iter_weighted(batches, d):
-                yield X, w
-        else:
-            for b in batches:
-                yield kernels.coords(b, d), None
+    def fn(batches):
+        C, drift = bc.value
+        tree, CT = kernels.Tree(C), np.ascontiguousarray(C.T)
+        sums = ExactSums(k, d + 3)
+        for row in iter_rows(batches, d):
+            X, w = row["x"], row.get("w")
+            bounded, plain = drift is not None and "label" in row, row["plain"] and w is None
+            S, n, searched = np.zeros((k, d)), np.zeros(k), 0
+            dist = np.empty(len(X))
+            idx = np.empty(len(X), np.int64)
+            for rows in kernels.chunks(len(X), tree):
+                XT = np.ascontiguousarray(X[rows].T)
+                if bounded:
+                    i, dist[rows], full = kernels.bounded_nearest(XT, tree, CT, row["label"][rows], row["far"][rows], drift)
+                else:
+                    i, dist[rows] = tree.nearest(XT) if exact else kernels.nearest_fast(X[rows], C)
+                    full = len(i)
+                idx[rows] = i
+                searched += full
+                n += np.bincount(i, weights=None if w is None else w[rows], minlength=k)
+                if plain:
+                    S += kernels.column_sums(i, XT, k)
+                else:
+                    sums.add_columns(i, XT, weight=None if w is None else w[rows])
+            if plain:
+                sums.add(S)
+            sums.add(n[:, None], d)
+            sums.add_columns(idx, dist[None, :], d + 1, w)
+            sums.add(np.concatenate([[searched], np.zeros(k - 1)])[:, None], d + 2)
+        yield limb_batch(sums)
+
+    columns = [c for c in ("x", "plain", "w", "label", "far") if c in blocks.columns]
+    return blocks.select(*columns).mapInArrow(fn, LIMB_SCHEMA), bc
+
+
+def _point_stats(points: DataFrame, model: Model) -> tuple:
+    """The same from points that Spark SQL assigns."""
+    spark = points.sparkSession
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast(model.ids)
+    k, d = model.k, model.d
 
     def fn(batches):
-        ids, C = bc.value
-        k = len(ids)
-        n = np.zeros(k, dtype=np.int64)
-        S = np.zeros((k, d), dtype=np.float64)
-        cost = np.zeros(k, dtype=np.float64)
-        for X, w in matrices(batches):
-            if X.shape[0] == 0:
-                continue
-            idx, dist = kernels.nearest(X, C) if exact else kernels.nearest_fast(X, C)
-            if w is None:
-                n += np.bincount(idx, minlength=k)
-                S += kernels.group_sums(idx, X, k)
-                cost += np.bincount(idx, weights=dist, minlength=k)
-            else:   # a distinct point stands for w copies
-                n += np.rint(np.bincount(idx, weights=w, minlength=k)).astype(np.int64)
-                S += kernels.group_sums(idx, X * w[:, None], k)
-                cost += np.bincount(idx, weights=dist * w, minlength=k)
-        m = n > 0
-        if m.any():
-            sums = pa.FixedSizeListArray.from_arrays(pa.array(S[m].ravel()), d).cast(pa.list_(pa.float64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(ids[m]), pa.array(n[m]), sums, pa.array(cost[m])],
-                names=["cluster_id", "n", "s", "cost"])
-
-    src = points.select("x", *(["w"] if weighted else [])) if blocked else points.select("coord")
-    return src.mapInArrow(fn, STATS_SCHEMA), bc
-
-
-def _stats_sql(points: DataFrame, model: Model) -> DataFrame:
-    best = F.expr(f"array_min(transform({model_sql(model)}, c -> named_struct('dist', {SQ_DIST_LAMBDA}, "
-                  f"'cluster_id', c.cluster_id)))")
-    a = points.select("coord", best.alias("b"))
-    return a.select(F.col("b.cluster_id").cast("int").alias("cluster_id"), F.lit(1).cast("bigint").alias("n"),
-                    F.transform("coord", lambda x: x.cast("double")).alias("s"),
-                    F.col("b.dist").alias("cost")), None
-
-
-# Per-partition partials (k rows x d sums per partition) are summed on the
-# driver when their total size is under this many values; above it a Spark
-# aggregate keyed by (cluster_id, feature) reduces them first.
-MAX_DRIVER_PARTIALS = 4_000_000
-
-
-def lloyd_step(points: DataFrame, model: Model, method: str = "arrow", n_partitions: int | None = None,
-               exact: bool = True):
-    """One assignment pass: arrays (n[k], S[k, d], cost[k]) in model order."""
-    part, bc = _stats_arrow(points, model, exact) if method == "arrow" else _stats_sql(points, model)
-    d, k = model.d, model.k
-    n = np.zeros(k, dtype=np.int64)
-    S = np.zeros((k, d))
-    cost = np.zeros(k)
-    # model ids are sorted ascending, so a cluster id maps to its row by searchsorted
-    if method == "arrow" and n_partitions is not None and k * d * n_partitions <= MAX_DRIVER_PARTIALS:
-        tbl = part.toArrow()
-        if tbl.num_rows:
-            idx = np.searchsorted(model.ids, tbl.column("cluster_id").to_numpy())
-            np.add.at(n, idx, tbl.column("n").to_numpy())
-            np.add.at(cost, idx, tbl.column("cost").to_numpy())
-            sums = np.asarray(tbl.column("s").combine_chunks().flatten().to_numpy(zero_copy_only=False),
-                              dtype=np.float64).reshape(-1, d)
-            np.add.at(S, idx, sums)
-    else:
-        ex = part.select("cluster_id", "n", "cost", F.posexplode("s").alias("pos", "x"))
-        agg = ex.groupBy("cluster_id", "pos").agg(F.sum("x").alias("x"), F.sum("n").alias("n"),
-                                                  F.sum("cost").alias("cost"))
-        tbl = agg.toArrow()
-        if tbl.num_rows:
-            idx = np.searchsorted(model.ids, tbl.column("cluster_id").to_numpy())
-            S[idx, tbl.column("pos").to_numpy()] = tbl.column("x").to_numpy()
-            n[idx] = tbl.column("n").to_numpy()
-            cost[idx] = tbl.column("cost").to_numpy()
-    if bc is not None:
-        bc.unpersist()
-    return n, S, cost
+        sums = ExactSums(k, d + 3)
+        for b in batches:
+            idx = np.searchsorted(bc.value, b.column(0).to_numpy(zero_copy_only=False))
+            sums.add_columns(idx, np.ascontiguousarray(kernels.coords(b, d).T))
+            sums.add(np.bincount(idx, minlength=k).astype(np.float64)[:, None], d)
+            sums.add_columns(idx, b.column(2).to_numpy(zero_copy_only=False)[None, :], d + 1)
+        yield limb_batch(sums)
+
+    assigned = assign(points, model, method="sql", keep_coord=True)
+    return assigned.select("cluster_id", "coord", "dist").mapInArrow(fn, LIMB_SCHEMA), bc
+
+
+def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: np.ndarray | None = None, exact: bool = True):
+    """One assignment pass over blocks or points: arrays (n[k], S[k, d], cost[k])
+    in model order, and the number of points whose nearest centroid was searched."""
+    part, bc = _block_stats(points, model, drift, exact) if "x" in points.columns else _point_stats(points, model)
+    if n_partitions is None or n_partitions > FAN_IN:
+        part = merge_limbs(part)
+    got = collect_sums(part, (model.k, model.d + 3))
+    bc.unpersist()
+    n = np.rint(got[:, model.d]).astype(np.int64)
+    return n, got[:, :model.d], got[:, model.d + 1], int(got[0, model.d + 2])
+
+
+def with_bounds(blocks: DataFrame, model: Model) -> DataFrame:
+    """Blocks with, beside them, each point's nearest centroid and the distance
+    below which no other lies (map-only)."""
+    ship_package(blocks.sparkSession)
+    bc = blocks.sparkSession.sparkContext.broadcast(model.C)
+    d = model.d
+    kept = [f for f in blocks.schema.fields if f.name not in ("label", "far")]
+
+    def fn(batches):
+        tree = kernels.Tree(bc.value)
+        for b in batches:
+            names = [f.name for f in kept]
+            columns = [b.column(b.schema.get_field_index(name)) for name in names]
+            made = [kernels.bounds(row["x"], tree) for row in iter_rows([b], d)]
+            columns += [pa.array([m[i].tobytes() for m in made], pa.binary()) for i in (0, 1)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "label", "far"])
+
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept)
+    return blocks.mapInArrow(fn, f"{schema}, label BINARY, far BINARY")
 
 
 def spread_for_iterations(pts: DataFrame, persist: bool = True) -> DataFrame:
@@ -147,9 +163,10 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
 
     def fn(batches):
         ids_c, C = bc.value
-        for pid, X in iter_blocks(batches, d):
-            idx, dist = kernels.nearest(X, C)
-            yield pa.RecordBatch.from_arrays([pa.array(pid), pa.array(ids_c[idx]), pa.array(dist)],
+        tree = kernels.Tree(C)
+        for row in iter_rows(batches, d):
+            idx, dist = kernels.nearest(row["x"], tree)
+            yield pa.RecordBatch.from_arrays([pa.array(row["ids"]), pa.array(ids_c[idx]), pa.array(dist)],
                                              names=["point_id", "cluster_id", "dist"])
 
     return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
@@ -157,17 +174,20 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
 
 # Distance work (n * k * d) per task below which one more scan task costs more in
 # scheduling than it saves; small inputs are scanned by fewer tasks
-# (coalesce, no shuffle), large inputs keep every partition.
+# (coalesce, no shuffle), large inputs by whole waves of tasks.
 MIN_TASK_WORK = 5_000_000
 
 
-def size_scan(blocks: DataFrame, k: int, d: int) -> DataFrame:
-    """Materialise the persisted blocks (one pass that also counts points)
-    and coalesce them when the per-pass work is too small for all tasks."""
-    n = blocks.agg(F.sum("n")).first()[0] or 0
-    parts = blocks.rdd.getNumPartitions()
+def size_scan(blocks: DataFrame, k: int, d: int) -> tuple[DataFrame, int, int]:
+    """Materialise the persisted blocks (one pass that also counts points) and
+    coalesce them to a number of tasks that is worth the work and leaves no
+    last wave of a few.  Returns the blocks, the tasks and the points."""
+    n, last = blocks.select("n", F.spark_partition_id().alias("p")).agg(F.sum("n"), F.max("p")).first()
+    n, parts, slots = int(n or 0), (last or 0) + 1, blocks.sparkSession.sparkContext.defaultParallelism
     tasks = max(1, min(parts, -(-n * k * d // MIN_TASK_WORK)))
-    return blocks.coalesce(tasks) if tasks < parts else blocks
+    if tasks > slots:
+        tasks -= tasks % slots
+    return (blocks.coalesce(tasks) if tasks < parts else blocks), tasks, n
 
 
 # Centroid history kept in driver memory up to this many bytes in total; past
@@ -262,62 +282,67 @@ class LloydResult:
 
 def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         tol: float | None = None, method: str = "arrow", persist: bool = True,
-        exact: bool = True, layout: str = "blocks", collapse_duplicates: bool = False) -> LloydResult:
+        exact: bool = True, collapse_duplicates: bool = False) -> LloydResult:
     """K1: Lloyd k-means from given start centroids, for a fixed number of
     iterations (optional ``tol``: stop once no centroid moves more than tol,
     squared).  ``exact=False`` picks nearest centroids with BLAS products
     (wide vectors); distances stay exact, ties within rounding may differ.
     ``collapse_duplicates=True`` trains on distinct coordinates weighted by
-    their multiplicity (exact for integer coordinates; far fewer rows when
-    copies dominate); labels still cover every point."""
+    their multiplicity (the same bits; far fewer rows when copies dominate);
+    labels still cover every point."""
     if max_iter < 1:
         raise ValueError("max_iter must be >= 1")
     if empty not in ("keep", "drop"):
         raise ValueError("empty must be 'keep' or 'drop'")
+    if method not in ("arrow", "sql"):
+        raise ValueError("method must be 'sql' or 'arrow'")
     spark = points.sparkSession
     model = collect_model(start, spark)
-    if method == "arrow" and layout == "blocks":
+    own = points.select("point_id", "coord")
+    blocked = method == "arrow"
+    n_points, bounds_of, credit = 0, None, 0
+    if blocked:
         # points are packed once into dense blocks; every pass scans the blocks
         if collapse_duplicates:
-            from centrix.operators.assign import distinct_points
-            pts = spread_for_iterations(distinct_points(points.select("point_id", "coord")), persist=False)
-            blocks = to_blocks(pts, model.d, weight="w")
+            blocks = to_blocks(spread_for_iterations(distinct_points(own), persist=False), model.d, weight="w")
         else:
-            pts = spread_for_iterations(points.select("point_id", "coord"), persist=False)
-            blocks = to_blocks(pts, model.d)
+            blocks = to_blocks(spread_for_iterations(own, persist=False), model.d)
         if persist:
             blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-            scan = size_scan(blocks, model.k, model.d)
+            scan, tasks, n_points = size_scan(blocks, model.k, model.d)
         else:
-            scan = blocks
-        result = LloydResult(points.select("point_id", "coord"), blocks=blocks,
-                             blocks_cover_points=not collapse_duplicates)
+            scan, tasks = blocks, None
+        result = LloydResult(own, blocks=blocks, blocks_cover_points=not collapse_duplicates)
     else:
-        pts = spread_for_iterations(points.select("point_id", "coord"), persist)
-        result = LloydResult(pts)
-        scan = pts
-    n_parts = scan.rdd.getNumPartitions()
+        scan, tasks = spread_for_iterations(own, persist), None
+        result = LloydResult(scan)
     spill = model.nbytes * max_iter > MAX_HISTORY_BYTES
-    for it in range(1, max_iter + 1):
-        n, S, cost = lloyd_step(scan, model, method, n_parts, exact)
+    bounding = blocked and persist and exact
+    it = 0
+    while True:
+        it += 1
+        if bounding and it < max_iter and credit >= n_points * (model.k + BOUND_COST) > 0:
+            # this pass makes the bounds and uses them
+            bounded = with_bounds(scan, model).persist(StorageLevel.MEMORY_AND_DISK)
+            old, result.blocks, scan, bounds_of, credit = result.blocks, bounded, bounded, model, 0
+        else:
+            old = None
+        drift = kernels.drifts(model.C, bounds_of.C) if bounds_of is not None and bounds_of.k == model.k else None
+        n, S, cost, searched = lloyd_step(scan, model, tasks, drift, exact)
+        if old is not None:
+            old.unpersist()
+        credit += searched * model.k
         result.history.append((it, model, n, cost))
         if spill:
             result._spill()
-        if it == max_iter:
+        if it >= max_iter:
             break
         keep = n > 0
         C = model.C.copy()
         C[keep] = S[keep] / n[keep, None]
-        if empty == "drop":
-            new = Model(model.ids[keep], C[keep])
-        else:
-            new = Model(model.ids.copy(), C)
+        new = Model(model.ids[keep], C[keep]) if empty == "drop" else Model(model.ids.copy(), C)
         if tol is not None and new.k == model.k and float(np.max(np.sum((new.C - model.C) ** 2, axis=1))) <= tol:
-            n, S, cost = lloyd_step(scan, new, method, n_parts, exact)
-            result.history.append((it + 1, new, n, cost))
-            if spill:
-                result._spill()
-            break
+            max_iter = it + 1   # one more pass, for the counts and the cost of the last update
         model = new
     return result
 

@@ -34,6 +34,8 @@ ENTRY = {
     "pairs": lambda p, c: A.pair_distances(p, c).collect(),
     "blocks": lambda p, c: to_blocks(p, 2).collect(),
     "fit": lambda p, c: fit(p, c, max_iter=2),
+    "fit sql": lambda p, c: fit(p, c, max_iter=2, method="sql"),
+    "fit collapsed": lambda p, c: fit(p, c, max_iter=2, collapse_duplicates=True),
     "sums": lambda p, c: cluster_sums(p.withColumn("cluster_id", F.lit(1)), 2).collect(),
     "profile": lambda p, c: dataset_info(p).collect(),
 }
