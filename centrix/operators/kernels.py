@@ -55,6 +55,17 @@ def sq_dists_t(XT: np.ndarray, CT: np.ndarray, acc: np.ndarray, tmp: np.ndarray)
     return acc
 
 
+def all_sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:
+    """(k, n) squared distances, in chunks that stay in cache."""
+    out, CT = np.empty((len(C), len(X))), np.ascontiguousarray(C.T)
+    step = max(1, BLOCK_ELEMS // max(1, len(C)))
+    for low in range(0, len(X), step):
+        XT = columns_of(X[low:low + step])
+        acc = np.empty((XT.shape[1], len(C)))
+        out[:, low:low + step] = sq_dists_t(XT, CT, acc, np.empty_like(acc)).T
+    return out
+
+
 def own_sq_dists(XT: np.ndarray, CT: np.ndarray, idx: np.ndarray) -> np.ndarray:
     """Squared distance of each (transposed) point to its own centroid, summed
     feature by feature: the same bits as in the full table of distances."""
@@ -152,10 +163,15 @@ def nearest(X: np.ndarray, C: np.ndarray | Tree) -> tuple[np.ndarray, np.ndarray
     idx = np.empty(n, dtype=np.int64)
     dist = np.empty(n, dtype=np.float64)
     for rows in chunks(n, tree):
-        idx[rows], dist[rows] = tree.nearest(np.ascontiguousarray(X[rows].T))
+        idx[rows], dist[rows] = tree.nearest(columns_of(X[rows]))
     return idx, dist
 
 
+def columns_of(X: np.ndarray) -> np.ndarray:
+    """Rows of any number type as contiguous float64 columns (d, n)."""
+    return np.ascontiguousarray(X.T, dtype=np.float64)
+
+
 def chunks(n: int, tree: Tree) -> list[slice]:
     """Rows taken together: a table of distances to a box's centroids, or to
     the boxes, stays in cache."""
@@ -192,7 +208,7 @@ def bounds(X: np.ndarray, tree: Tree) -> tuple[np.ndarray, np.ndarray]:
     centroid lies."""
     label, far = np.empty(len(X), np.int32), np.empty(len(X))
     for rows in chunks(len(X), tree):
-        label[rows], _, second = tree.nearest(np.ascontiguousarray(X[rows].T), second=True)
+        label[rows], _, second = tree.nearest(columns_of(X[rows]), second=True)
         far[rows] = np.sqrt(second) * (1.0 - slack(X.shape[1]))
     return label, far
 

@@ -28,10 +28,14 @@ from pyspark.sql import functions as F
 from centrix.functions.hashrand import hash_uniform_sql, np_hash_uniform, stream
 from centrix.functions.numeric import n_local_trials
 from centrix.operators import kernels
-from centrix.operators.blocks import to_blocks
+from centrix.operators.blocks import iter_rows, to_blocks
+from centrix.operators.exact import ExactSums, to_doubles
 from centrix.session import ship_package
 
-RACE_SCHEMA = "t INT, s INT, pot DOUBLE, key DOUBLE, point_id BIGINT, coord ARRAY<DOUBLE>"
+RACE_SCHEMA = "t INT, s INT, limb INT, v BIGINT, key DOUBLE, point_id BIGINT, coord ARRAY<DOUBLE>"
+
+# Of up to so many tasks the driver merges the findings, of more Spark does first.
+FAN_IN = 32
 
 
 def uniform_pick(points: DataFrame, seed: int, step: int = 0, trial: int = 0) -> DataFrame:
@@ -130,9 +134,10 @@ def best_candidate(pots: list[float]) -> int:
 
 
 def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
-               seed: int, next_step: int | None, trials: int, d: int) -> DataFrame:
+               seed: int, next_step: int | None, trials: int, d: int) -> tuple:
     """One pass: fold pending centres into d_near, potentials of the current
-    candidates, and the next step's races under each candidate."""
+    candidates (limbs of exact sums, ``s = -1``), and the next step's races under
+    each candidate."""
     spark = state.sparkSession
     ship_package(spark)
     streams = [stream(seed, next_step, s) for s in range(1, trials + 1)] if next_step else []
@@ -141,74 +146,55 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
     def fn(batches):
         pend, cnd, strm = bc.value
         T = 1 if cnd is None else cnd.shape[0]
-        S = len(strm)
-        pot = np.zeros(T)
-        best_key = np.full((T, S), np.inf)
-        best_id = np.full((T, S), -1, dtype=np.int64)
-        best_x = np.zeros((T, S, d))
+        pots, won = ExactSums(1, T), {}
         for ids, X, dn in _state_blocks(batches, d):
-            if X.shape[0] == 0:
-                continue
-            if pend.shape[0]:
-                dn = np.minimum(dn, kernels.sq_dists(X, pend).min(axis=1))
-            logs = [np.log(np_hash_uniform(s, ids)) for s in strm]
-            for t in range(T):
-                dt = dn if cnd is None else np.minimum(dn, kernels.sq_dists(X, cnd[t:t + 1])[:, 0])
-                pot[t] += dt.sum()
-                pos = dt > 0
-                if not pos.any():
-                    continue
-                for s in range(S):
-                    key = np.full(dt.shape[0], np.inf)
-                    key[pos] = -logs[s][pos] / dt[pos]
-                    m = key.min()
-                    tied = np.flatnonzero(key == m)
-                    i = int(tied[np.argmin(ids[tied])])
-                    if (key[i], ids[i]) < (best_key[t, s], best_id[t, s] if best_id[t, s] >= 0 else np.iinfo(np.int64).max):
-                        best_key[t, s], best_id[t, s], best_x[t, s] = key[i], ids[i], X[i]
-        rows_t, rows_s, rows_pot, rows_key, rows_id, rows_x = [], [], [], [], [], []
-        for t in range(T):
-            rows_t.append(t); rows_s.append(-1); rows_pot.append(pot[t])
-            rows_key.append(None); rows_id.append(None); rows_x.append(None)
-            for s in range(S):
-                if best_id[t, s] >= 0:
-                    rows_t.append(t); rows_s.append(s); rows_pot.append(0.0)
-                    rows_key.append(float(best_key[t, s])); rows_id.append(int(best_id[t, s]))
-                    rows_x.append(best_x[t, s].tolist())
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(rows_t, pa.int32()), pa.array(rows_s, pa.int32()), pa.array(rows_pot, pa.float64()),
-             pa.array(rows_key, pa.float64()), pa.array(rows_id, pa.int64()),
-             pa.array(rows_x, pa.list_(pa.float64()))],
-            names=["t", "s", "pot", "key", "point_id", "coord"])
-
-    part = state.select("ids", "x", "dn").mapInArrow(fn, RACE_SCHEMA)
-    return part, bc
-
-
-def _reduce_races(part: DataFrame) -> list[dict]:
-    """Combine per-partition partials in Spark: potentials summed, race winners
-    = the lowest (key, point_id).  At most trials * (trials + 1) rows come to
-    the driver, whatever the number of partitions."""
-    agg = part.groupBy("t", "s").agg(
-        F.sum("pot").alias("pot"),
-        F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord"))).alias("w"))
-    return [r.asDict(recursive=True) for r in agg.collect()]
+            if len(pend):
+                dn = np.minimum(dn, kernels.nearest(X, pend)[1])
+            near = dn[None, :] if cnd is None else np.minimum(dn[None, :], kernels.all_sq_dists(X, cnd))
+            pots.add_columns(np.zeros(len(ids), np.int64), near)
+            logs = [-np.log(np_hash_uniform(s, ids)) for s in strm]
+            for t, dt in enumerate(near):
+                with np.errstate(divide="ignore", invalid="ignore"):
+                    keys = [np.where(dt > 0, log / dt, np.inf) for log in logs]
+                for s, key in enumerate(keys):
+                    low = key.min(initial=np.inf)
+                    if low < np.inf:
+                        tied = np.flatnonzero(key == low)
+                        i = tied[np.argmin(ids[tied])]
+                        won[t, s] = min(won.get((t, s), (np.inf,)), (float(low), int(ids[i]), X[i].tolist()))
+        _, t, limb, v = pots.rows()
+        rows = [(int(a), -1, int(b), int(c), None, None, None) for a, b, c in zip(t, limb, v, strict=True)]
+        rows += [(t, s, 0, 0, *best) for (t, s), best in won.items()]
+        kinds = [pa.int32(), pa.int32(), pa.int32(), pa.int64(), pa.float64(), pa.int64(), pa.list_(pa.float64())]
+        yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)],
+                                         names=["t", "s", "limb", "v", "key", "point_id", "coord"])
+
+    return state.select("ids", "x", "kind", "dn").mapInArrow(fn, RACE_SCHEMA), bc
+
+
+def _reduce_races(part: DataFrame, tasks: int, T: int) -> tuple[list[float], dict]:
+    """Potentials of the candidates, and per race the lowest (key, point_id).
+
+    A task sends at most trials * (trials + 1) rows and their limbs; of more than
+    a few tasks Spark merges them first."""
+    if tasks > FAN_IN:
+        best = F.min(F.when(F.col("point_id").isNotNull(), F.struct("key", "point_id", "coord")))
+        part = part.groupBy("t", "s", "limb").agg(F.sum("v").alias("v"), best.alias("w")).select("t", "s", "limb", "v", "w.*")
+    limbs, races = {}, {}
+    for r in part.collect():
+        if r["s"] < 0:
+            limbs[r["t"], r["limb"]] = limbs.get((r["t"], r["limb"]), 0) + r["v"]
+        else:
+            races[r["t"], r["s"]] = min(races.get((r["t"], r["s"]), (math.inf,)), (r["key"], r["point_id"], r["coord"]))
+    at = np.array(list(limbs), np.int64).reshape(-1, 2)
+    pots = to_doubles((1, T), np.zeros(len(at), np.int64), at[:, 0], at[:, 1], np.array(list(limbs.values()), np.int64))
+    return pots[0].tolist(), races
 
 
 def _state_blocks(batches, d: int):
     """``(ids, X, dn)`` per block row; a NULL ``dn`` means +inf (no centre yet)."""
-    for b in batches:
-        ids_col = b.column(b.schema.get_field_index("ids"))
-        x_col = b.column(b.schema.get_field_index("x"))
-        dn_col = b.column(b.schema.get_field_index("dn"))
-        for i in range(b.num_rows):
-            ids = np.frombuffer(ids_col[i].as_buffer(), dtype=np.int64)
-            X = np.frombuffer(x_col[i].as_buffer(), dtype=np.float64).reshape(-1, d)
-            if dn_col[i].is_valid:
-                dn = np.frombuffer(dn_col[i].as_buffer(), dtype=np.float64)
-            else:
-                dn = np.full(ids.shape[0], np.inf)
-            yield ids, X, dn
+    for row in iter_rows(batches, d):
+        yield row["ids"], row["x"], row.get("dn", np.full(len(row["ids"]), np.inf))
 
 
 def _fold(state: DataFrame, pending: np.ndarray, d: int) -> DataFrame:
@@ -218,17 +204,11 @@ def _fold(state: DataFrame, pending: np.ndarray, d: int) -> DataFrame:
     bc = spark.sparkContext.broadcast(pending)
 
     def fn(batches):
-        pend = bc.value
-        for ids, X, dn in _state_blocks(batches, d):
-            if X.shape[0] and pend.shape[0]:
-                dn = np.minimum(dn, kernels.sq_dists(X, pend).min(axis=1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([len(ids)], pa.int32()), pa.array([d], pa.int32()),
-                 pa.array([ids.tobytes()], pa.binary()), pa.array([X.tobytes()], pa.binary()),
-                 pa.array([np.ascontiguousarray(dn).tobytes()], pa.binary())],
-                names=["n", "d", "ids", "x", "dn"])
+        for b in batches:
+            near = [np.minimum(dn, kernels.nearest(X, bc.value)[1]).tobytes() for _, X, dn in _state_blocks([b], d)]
+            yield b.set_column(b.schema.get_field_index("dn"), "dn", pa.array(near, pa.binary()))
 
-    return state.select("ids", "x", "dn").mapInArrow(fn, "n INT, d INT, ids BINARY, x BINARY, dn BINARY")
+    return state.mapInArrow(fn, state.schema)
 
 
 def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = None,
@@ -256,47 +236,41 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     from centrix.plans.lloyd import size_scan
     state = to_blocks(pts, d).withColumn("dn", F.lit(None).cast("binary")).persist(StorageLevel.MEMORY_AND_DISK)
     # per pass: pending centres + candidates (distances) and trials^2 races per point
-    state, _, _ = size_scan(state, checkpoint_every + trials * (trials + 1), d)
-    pending = [chosen[0][1]]
-    cands = None
-    step = 2
-    while True:
-        pend = np.asarray(pending, dtype=np.float64).reshape(-1, d)
-        cand_arr = None if cands is None else np.asarray([c[1] for c in cands], dtype=np.float64).reshape(-1, d)
-        nxt = step if (cands is None) else (step + 1 if step + 1 <= k else None)
-        if cands is None and step > k:
-            break
-        part, bc = _race_pass(state, pend, cand_arr, seed, nxt, trials, d)
-        rows = _reduce_races(part)
+    state, tasks, _ = size_scan(state, checkpoint_every + trials * (trials + 1), d)
+    pending, cands, old = [chosen[0][1]], None, None
+
+    def matrix(rows: list) -> np.ndarray:
+        return np.asarray(rows, dtype=np.float64).reshape(-1, d)
+
+    while len(chosen) < k:
+        # the step whose candidates this pass draws; the last pass only chooses
+        step = len(chosen) + (1 if cands is None else 2)
+        part, bc = _race_pass(state, matrix(pending), None if cands is None else matrix([c[1] for c in cands]),
+                              seed, step if step <= k else None, trials, d)
+        pots, races = _reduce_races(part, tasks, 1 if cands is None else len(cands))
         bc.unpersist()
-        pots = {r["t"]: r["pot"] for r in rows if r["s"] == -1}
-        races = {(r["t"], r["s"]): r["w"] for r in rows if r["s"] >= 0 and r["w"] is not None}
-        if cands is None:
-            t_best = 0
-        else:
-            t_best = best_candidate([pots[t] for t in range(len(cands))])
-            chosen.append(cands[t_best])
-            pending.append(cands[t_best][1])
-            step += 1
-        if len(chosen) >= k:
-            break
-        nxt_c = [races.get((t_best, s)) for s in range(trials)]
-        if any(w is None for w in nxt_c):
+        if old is not None:   # the pass has made the folded state
+            old.unpersist()
+            old = None
+        best = 0
+        if cands is not None:
+            best = best_candidate(pots)
+            chosen.append(cands[best])
+            pending.append(cands[best][1])
+            if len(chosen) >= k:
+                break
+        drawn = [races.get((best, s)) for s in range(trials)]
+        if any(w is None for w in drawn):
             # every remaining point sits on a chosen centre: lowest unused id
             used = [c[0] for c in chosen]
             row = base.filter(~F.col("point_id").isin(used)).agg(F.min(F.struct("point_id", "coord")).alias("m")).first()
             if row is None or row["m"] is None:
                 raise ValueError(f"k={k} exceeds the number of points")
             cands = [(int(row["m"]["point_id"]), [float(v) for v in row["m"]["coord"]])]
-            cands = cands * trials
         else:
-            cands = [(int(w["point_id"]), [float(v) for v in w["coord"]]) for w in nxt_c]
+            cands = [(int(w[1]), [float(v) for v in w[2]]) for w in drawn]
         if len(pending) >= checkpoint_every:
-            folded = _fold(state, np.asarray(pending, dtype=np.float64).reshape(-1, d), d)
-            new_state = folded.persist(StorageLevel.MEMORY_AND_DISK)
-            new_state.count()
-            state.unpersist()
-            state = new_state
+            old, state = state, _fold(state, matrix(pending), d).persist(StorageLevel.MEMORY_AND_DISK)
             pending = []
     state.unpersist()
     spark = points.sparkSession

@@ -43,9 +43,10 @@ from centrix.session import scratch_path, ship_package
 # Partial sums are merged by Spark until at most so many tables of them are
 # left, which the driver adds up (they are integers: any order, same bits).
 FAN_IN = 32
-# What making bounds costs a point, in distances to a centroid: its block is
-# written and cached once more.
+# What making bounds costs, in features of distances: a point's block is written
+# and cached once more, and a task does about so much work in its other costs.
 BOUND_COST = 32
+TASK_COST = 100_000_000
 
 
 def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exact: bool) -> tuple:
@@ -66,11 +67,11 @@ def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exac
             dist = np.empty(len(X))
             idx = np.empty(len(X), np.int64)
             for rows in kernels.chunks(len(X), tree):
-                XT = np.ascontiguousarray(X[rows].T)
+                XT = kernels.columns_of(X[rows])
                 if bounded:
                     i, dist[rows], full = kernels.bounded_nearest(XT, tree, CT, row["label"][rows], row["far"][rows], drift)
                 else:
-                    i, dist[rows] = tree.nearest(XT) if exact else kernels.nearest_fast(X[rows], C)
+                    i, dist[rows] = tree.nearest(XT) if exact else kernels.nearest_fast(X[rows].astype(np.float64), C)
                     full = len(i)
                 idx[rows] = i
                 searched += full
@@ -86,7 +87,7 @@ def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exac
             sums.add(np.concatenate([[searched], np.zeros(k - 1)])[:, None], d + 2)
         yield limb_batch(sums)
 
-    columns = [c for c in ("x", "plain", "w", "label", "far") if c in blocks.columns]
+    columns = [c for c in ("x", "kind", "plain", "w", "label", "far") if c in blocks.columns]
     return blocks.select(*columns).mapInArrow(fn, LIMB_SCHEMA), bc
 
 
@@ -169,7 +170,7 @@ def labels_from_blocks(blocks: DataFrame, model: Model) -> DataFrame:
             yield pa.RecordBatch.from_arrays([pa.array(row["ids"]), pa.array(ids_c[idx]), pa.array(dist)],
                                              names=["point_id", "cluster_id", "dist"])
 
-    return blocks.select("ids", "x").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
+    return blocks.select("ids", "x", "kind").mapInArrow(fn, "point_id BIGINT, cluster_id INT, dist DOUBLE")
 
 
 # Distance work (n * k * d) per task below which one more scan task costs more in
@@ -300,7 +301,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     model = collect_model(start, spark)
     own = points.select("point_id", "coord")
     blocked = method == "arrow"
-    n_points, bounds_of, credit = 0, None, 0
+    n_points, bounds_of, spent, saved, patience = 0, None, 0, 0, 1
     if blocked:
         # points are packed once into dense blocks; every pass scans the blocks
         if collapse_duplicates:
@@ -321,17 +322,20 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
     it = 0
     while True:
         it += 1
-        if bounding and it < max_iter and credit >= n_points * (model.k + BOUND_COST) > 0:
+        price = n_points * model.d * (model.k + BOUND_COST) + (tasks or 0) * TASK_COST
+        if bounding and it < max_iter and n_points and spent >= price * patience:
             # this pass makes the bounds and uses them
+            patience = patience * 4 if bounds_of is not None and saved < price else 1
             bounded = with_bounds(scan, model).persist(StorageLevel.MEMORY_AND_DISK)
-            old, result.blocks, scan, bounds_of, credit = result.blocks, bounded, bounded, model, 0
+            old, result.blocks, scan, bounds_of, spent, saved = result.blocks, bounded, bounded, model, 0, 0
         else:
             old = None
         drift = kernels.drifts(model.C, bounds_of.C) if bounds_of is not None and bounds_of.k == model.k else None
         n, S, cost, searched = lloyd_step(scan, model, tasks, drift, exact)
         if old is not None:
             old.unpersist()
-        credit += searched * model.k
+        spent += searched * model.k * model.d
+        saved += (n_points - searched) * (model.k - 1) * model.d
         result.history.append((it, model, n, cost))
         if spill:
             result._spill()

@@ -96,6 +96,7 @@ def test_bounds_change_nothing(spark, monkeypatch):
     monkeypatch.setattr(L, "BOUND_COST", 1 << 40)
     want = _runs(spark, X, start, max_iter=12)[0]
     assert not made
+    monkeypatch.setattr(L, "TASK_COST", 0)
     for cost in (-12, 0):  # bounds at every pass; as often as searches pay
         monkeypatch.setattr(L, "BOUND_COST", cost)
         assert _runs(spark, X, start, max_iter=12)[0] == want
