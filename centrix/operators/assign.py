@@ -3,28 +3,31 @@
 Two physical forms of the same contract, ``(point_id, cluster_id, dist)``,
 lowest cluster_id on a tie, squared distance:
 
-* ``method="sql"``: the model is one array literal attached to every row
-  (J2; no join, no shuffle of points) and the argmin is
-  ``array_min(transform(model, c -> struct(dist, cluster_id)))``.
+* ``method="sql"``: every row sees the model as one array, a scalar subquery
+  (J2; no join, no shuffle of points, no numbers in the plan), and the argmin
+  is ``array_min(transform(model, c -> struct(dist, cluster_id)))``.
 * ``method="arrow"``: a NumPy kernel per partition (``mapInArrow``) with
-  the model in a broadcast variable.  Same bits, far less per-row overhead
-  for wide vectors or many centroids.
+  the model in a broadcast variable, searched as a tree of boxes.  Same bits, far
+  less per-row overhead for wide vectors or many centroids.
 
-Both are map-only: the points are never shuffled.
+Both are map-only.  A centroid table that is too large to ship whole is a tree
+whose leaves are rows of a table: points go to the leaves that can hold their
+nearest centroid (:func:`assign_blocked`).
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centrix.functions.vector import checked
 from centrix.operators import kernels
-from centrix.session import ship_package
-from centrix.operators.model import (MAX_LITERAL_VALUES, Model, ModelTooLarge, collect_model,
-                                     max_model_bytes, model_sql)
+from centrix.operators.model import Model, ModelTooLarge, collect_model, max_model_bytes, model_value
+from centrix.session import scratch_path, ship_package
 
 SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBLE) - y) * "
                   "(CAST(x AS DOUBLE) - y)), 0D, (acc, t) -> acc + t)")
@@ -33,12 +36,13 @@ SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBL
 def attach_model(points: DataFrame, centroids, name: str = "centroids") -> DataFrame:
     """Every point row gets the whole (size-checked) model as one value."""
     model = collect_model(centroids, points.sparkSession)
-    return points.withColumns({"coord": checked("coord", model.d), name: F.expr(model_sql(model))})
+    return points.withColumns({"coord": checked("coord", model.d), name: model_value(points.sparkSession, model)})
 
 
-def _best_sql(model: Model) -> str:
-    return (f"array_min(transform({model_sql(model)}, c -> named_struct('dist', {SQ_DIST_LAMBDA}, "
-            f"'cluster_id', c.cluster_id)))")
+def _best(model: Column) -> Column:
+    return F.array_min(F.transform(model, lambda c: F.struct(
+        F.aggregate(F.zip_with("coord", c["coord"], lambda x, y: (x.cast("double") - y) * (x.cast("double") - y)),
+                    F.lit(0.0), lambda acc, t: acc + t).alias("dist"), c["cluster_id"].alias("cluster_id"))))
 
 
 def assign(points: DataFrame, centroids, method: str = "arrow", keep_coord: bool = False) -> DataFrame:
@@ -46,27 +50,22 @@ def assign(points: DataFrame, centroids, method: str = "arrow", keep_coord: bool
 
     A point with a null, or with another number of features than the model,
     fails the job, in both forms.  ``method='sql'`` is for streams and SQL
-    plans; the kernel does the same arithmetic with far less work a row."""
+    plans; the kernel does the same arithmetic with far less work a row.  A
+    centroid table past the size bound is searched leaf by leaf, by the kernel."""
+    if method not in ("sql", "arrow"):
+        raise ValueError("method must be 'sql' or 'arrow'")
     spark = points.sparkSession
     try:
         model = collect_model(centroids, spark)
     except ModelTooLarge:
         if not isinstance(centroids, DataFrame):
             raise
-        # beyond the broadcast bound: never collected, one map-only pass per block
         return assign_blocked(points, centroids, keep_coord=keep_coord)
-    if method == "sql" and model.C.size > MAX_LITERAL_VALUES:
-        # too large to embed in the plan: one map-only pass per block
-        cents = centroids if isinstance(centroids, DataFrame) else model.to_df(spark)
-        return assign_blocked(points, cents, keep_coord=keep_coord)
-    if method == "sql":
-        best = points.select("point_id", checked("coord", model.d).alias("coord")) \
-            .select("point_id", "coord", F.expr(_best_sql(model)).alias("_b"))
-        return best.select("point_id", F.col("_b.cluster_id").cast("int").alias("cluster_id"),
-                           F.col("_b.dist").alias("dist"), *(["coord"] if keep_coord else []))
     if method == "arrow":
         return _assign_arrow(points, model, keep_coord)
-    raise ValueError("method must be 'sql' or 'arrow'")
+    best = attach_model(points.select("point_id", "coord"), model, "_cs").select("point_id", "coord", _best(F.col("_cs")).alias("_b"))
+    return best.select("point_id", F.col("_b.cluster_id").cast("int").alias("cluster_id"),
+                       F.col("_b.dist").alias("dist"), *(["coord"] if keep_coord else []))
 
 
 def _assign_arrow(points: DataFrame, model: Model, keep_coord: bool) -> DataFrame:
@@ -78,9 +77,10 @@ def _assign_arrow(points: DataFrame, model: Model, keep_coord: bool) -> DataFram
 
     def fn(batches):
         ids, C = bc.value
+        tree = kernels.Tree(C)
         for b in batches:
             X = kernels.coords(b, d)
-            idx, dist = kernels.nearest(X, C)
+            idx, dist = kernels.nearest(X, tree)
             cols = [b.column(b.schema.get_field_index("point_id")), pa.array(ids[idx]), pa.array(dist)]
             names = ["point_id", "cluster_id", "dist"]
             if keep_coord:
@@ -92,50 +92,142 @@ def _assign_arrow(points: DataFrame, model: Model, keep_coord: bool) -> DataFram
     return points.select("point_id", "coord").mapInArrow(fn, schema)
 
 
+# Pivots around which the leaves of a large centroid table are formed, at most.
+MAX_PIVOTS = 4096
+# A task always has room for so much of a centroid table.
+LEAST_BYTES = 1 << 20
+# Points packed into one block on their way to a leaf.
+ROUTE_ROWS = 1 << 14
+
+
+def _leaves(spark: SparkSession, centroids: DataFrame, d: int, leaf_rows: int | None) -> tuple[DataFrame, list]:
+    """The centroid table as leaf rows ``(leaf, cids, cents)`` of about
+    ``leaf_rows`` centroids, written to the shared folder, and the leaves' boxes.
+
+    Centroids gather around pivots (a hash sample of them); a pivot's centroids
+    are cut by a hash into as many leaves as they fill.  Which pivots were drawn
+    decides how much is searched, never what is found."""
+    own = centroids.select(F.col("cluster_id").cast("int").alias("cluster_id"), checked("coord", d).cast("array<double>").alias("coord"))
+    k = own.count()
+    if not k:
+        raise ValueError("no centroids")
+    most = max(max_model_bytes(spark), LEAST_BYTES)
+    # a leaf takes a small part of what a task may hold, and so do all boxes together
+    leaf_rows = leaf_rows or max(1, most // (8 * d * 64), -(-4 * k * 16 * d // most))
+    wanted = min(MAX_PIVOTS, most // (16 * d) or 1, -(-k // leaf_rows))
+    rank = F.xxhash64("cluster_id")
+    pivots = own.orderBy(rank, "cluster_id").limit(int(wanted)).collect()
+    model = Model.from_rows((r[0], r[1]) for r in pivots)
+    near = _assign_arrow(own.select(F.col("cluster_id").cast("long").alias("point_id"), "coord"), model, keep_coord=True)
+    size = near.groupBy("cluster_id").agg(F.ceil(F.count("*") / leaf_rows).cast("int").alias("_cuts"))
+    part = F.pmod(F.xxhash64("point_id", F.lit("leaf")), F.col("_cuts")).cast("int")
+    dealt = near.join(F.broadcast(size), "cluster_id").select(F.struct("cluster_id", part.alias("part")).alias("key"), "point_id", "coord")
+    ship_package(spark)
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        order = np.argsort(group.column("point_id").to_numpy())
+        ids, C = group.column("point_id").to_numpy()[order].astype(np.int32), kernels.matrix(group.column("coord").combine_chunks(), d)[order]
+        low, high = (pa.array([v.tolist()], pa.list_(pa.float64())) for v in (C.min(axis=0), C.max(axis=0)))
+        return pa.table({"cids": pa.array([ids.tobytes()], pa.binary()), "cents": pa.array([C.tobytes()], pa.binary()), "low": low, "high": high})
+
+    path = scratch_path(spark, "centroid-leaves")
+    rows = dealt.groupBy("key").applyInArrow(pack, "cids BINARY, cents BINARY, low ARRAY<DOUBLE>, high ARRAY<DOUBLE>")
+    rows.withColumn("leaf", F.monotonically_increasing_id()).write.parquet(path)
+    made = spark.read.parquet(path)
+    boxes = made.select("leaf", "low", "high").orderBy("leaf").limit(most // (16 * d) + 1).collect()
+    if len(boxes) * 16 * d > most:
+        raise ModelTooLarge("the boxes of the centroid table exceed centrix.maxModelBytes")
+    return made.select("leaf", "cids", "cents"), boxes
+
+
 def assign_blocked(points: DataFrame, centroids: DataFrame, block_rows: int | None = None,
                    keep_coord: bool = False) -> DataFrame:
-    """A1 for a centroid table too large to ship whole.
-
-    The table is cut into cluster_id ranges, each under the plan-literal
-    bound.  One map-only pass per block folds the block's best
-    ``struct(dist, cluster_id)`` into the running best with ``least`` (lowest
-    id wins a tie), and each pass is checkpointed to the shared checkpoint
-    folder, so a task only ever holds one block.
+    """A1 for a centroid table too large to ship whole: an exact search tree
+    whose leaves (of about ``block_rows`` centroids) are rows of a table.
+
+    Only the leaves' boxes are shipped.  Each point first goes to the leaf whose
+    box is nearest; with the distance found there, it goes to every other
+    leaf whose box isn't farther (a point's distance to a box is never above its
+    computed distance to a centroid inside, see ``kernels.Tree``).  Points
+    travel in packed blocks; a leaf many points go to is one large key of
+    an equi join, which Spark splits.  Two joins and one aggregate, whatever the
+    number of leaves; no task holds more than a leaf and a block.
     """
     spark = points.sparkSession
     d = int(centroids.select(F.size("coord")).first()[0])
-    # a block must pass both the plan-literal and the broadcast size bounds
-    block_rows = block_rows or max(1, min(MAX_LITERAL_VALUES // d, max_model_bytes(spark) // (8 * d)))
-    # cluster ids are unique integers, so an id range of width block_rows holds at
-    # most block_rows centroids; no global ranking of the (large) table is needed
-    ranked = centroids.select(F.col("cluster_id").cast("int"), "coord",
-                              F.floor(F.col("cluster_id") / block_rows).alias("_blk")) \
-        .persist(StorageLevel.MEMORY_AND_DISK)
-    block_ids = [r[0] for r in ranked.select("_blk").distinct().orderBy("_blk").collect()]
-    state = points.select("point_id", checked("coord", d).alias("coord"), F.lit(None).cast("double").alias("dist"),
-                          F.lit(None).cast("int").alias("cluster_id"))
-    for b in block_ids:
-        model = collect_model(ranked.filter(F.col("_blk") == b).select("cluster_id", "coord"), spark)
-        blk = F.expr(_best_sql(model))
-        cur = F.struct(F.col("dist").alias("dist"), F.col("cluster_id").alias("cluster_id"))
-        best = F.when(F.col("dist").isNull(), blk).otherwise(F.least(cur, blk))
-        state = (state.select("point_id", "coord", best.alias("_b"))
-                 .select("point_id", "coord", F.col("_b.dist").alias("dist"),
-                         F.col("_b.cluster_id").cast("int").alias("cluster_id"))
-                 .checkpoint(eager=True))
-    ranked.unpersist()
-    return state.select("point_id", "cluster_id", "dist", *(["coord"] if keep_coord else []))
+    leaves, boxes = _leaves(spark, centroids, d, block_rows)
+    ship_package(spark)
+    bc = spark.sparkContext.broadcast(([r["leaf"] for r in boxes], np.array([r["low"] for r in boxes]), np.array([r["high"] for r in boxes])))
+
+    # a number for every row, fixed by writing it down
+    path = scratch_path(spark, "routed-points")
+    points.select(F.monotonically_increasing_id().alias("row"), "point_id", "coord").write.parquet(path)
+    rows = spark.read.parquet(path)
+
+    def packed(leaf: int, row: np.ndarray, X: np.ndarray, best: np.ndarray) -> Iterator[tuple]:
+        for at in range(0, len(row), ROUTE_ROWS):
+            part = slice(at, at + ROUTE_ROWS)
+            yield leaf, row[part].tobytes(), np.ascontiguousarray(X[part]).tobytes(), best[part].tobytes()
+
+    def blocks(found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([f[j] for f in found], kind) for j, kind in enumerate((pa.int64(), pa.binary(), pa.binary(), pa.binary()))],
+                                          names=["leaf", "rows", "x", "best"])
+
+    block_schema = "leaf BIGINT, rows BINARY, x BINARY, best BINARY"
+
+    def route(first: bool):
+        def fn(batches):
+            leaf_ids, low, high = bc.value
+            tree = kernels.Boxes(low, high)
+            for b in batches:
+                row, X = b.column(0).to_numpy(), kernels.coords(b, d)
+                best = np.full(len(row), np.inf) if first else b.column(2).to_numpy()
+                for at in range(0, len(row), ROUTE_ROWS):
+                    part = slice(at, at + ROUTE_ROWS)
+                    bound = tree.box_dists(kernels.columns_of(X[part]))
+                    nearest = bound.argmin(axis=1)
+                    found = []
+                    for j, leaf in enumerate(leaf_ids):
+                        go = np.flatnonzero(nearest == j if first else (bound[:, j] <= best[part]) & (nearest != j))
+                        if len(go):
+                            found += packed(leaf, row[part][go], X[part][go], best[part][go])
+                    if found:
+                        yield blocks(found)
+
+        return fn
+
+    def search(batches):
+        for b in batches:
+            for rows_, x, cids, cents in zip(*(b.column(c) for c in ("rows", "x", "cids", "cents")), strict=True):
+                ids = np.frombuffer(cids.as_buffer(), np.int32)
+                tree = kernels.Tree(np.frombuffer(cents.as_buffer(), np.float64).reshape(-1, d))
+                idx, dist = kernels.nearest(np.frombuffer(x.as_buffer(), np.float64).reshape(-1, d), tree)
+                yield pa.RecordBatch.from_arrays([pa.array(np.frombuffer(rows_.as_buffer(), np.int64)), pa.array(dist), pa.array(ids[idx])], names=["row", "dist", "cluster_id"])
+
+    found_schema = "row BIGINT, dist DOUBLE, cluster_id INT"
+
+    def visit(sent: DataFrame) -> DataFrame:
+        return sent.join(leaves, "leaf").select("rows", "x", "cids", "cents").mapInArrow(search, found_schema)
+
+    best = F.min(F.struct("dist", "cluster_id")).alias("b")
+    path = scratch_path(spark, "first-leaf")
+    visit(rows.select("row", "coord").mapInArrow(route(True), block_schema)).write.parquet(path)
+    first = spark.read.schema(found_schema).parquet(path)
+    again = rows.select("row", "coord").join(first.select("row", "dist"), "row").select("row", "coord", "dist")
+    every = first.unionByName(visit(again.mapInArrow(route(False), block_schema)))
+    out = rows.join(every.groupBy("row").agg(best), "row")
+    return out.select("point_id", F.col("b.cluster_id").alias("cluster_id"), F.col("b.dist").alias("dist"), *(["coord"] if keep_coord else []))
 
 
 def all_pairs(points: DataFrame, centroids) -> DataFrame:
     """``(point_id, cluster_id)`` for every point and centroid.
 
-    n x k rows with k bounded by the model size check; built by exploding the
-    attached model, so no join operator and no shuffle.
+    n x k rows with k bounded by the model size check; the ids of the attached
+    model are exploded, so there is no join operator and no shuffle.
     """
-    model = collect_model(centroids, points.sparkSession)
-    ids = "array(" + ", ".join(str(i) for i in model.ids.tolist()) + ")"
-    return points.select("point_id", F.explode(F.expr(ids)).alias("cluster_id"))
+    spark = points.sparkSession
+    with_model = points.select("point_id", model_value(spark, collect_model(centroids, spark)).alias("_cs"))
+    return with_model.select("point_id", F.explode("_cs.cluster_id").alias("cluster_id"))
 
 
 def pair_distances(points: DataFrame, centroids) -> DataFrame:

@@ -78,7 +78,25 @@ def own_sq_dists(XT: np.ndarray, CT: np.ndarray, idx: np.ndarray) -> np.ndarray:
     return acc
 
 
-class Tree:
+class Boxes:
+    """Boxes of centroids: the lowest and the highest value of each feature."""
+
+    def __init__(self, low: np.ndarray, high: np.ndarray):
+        self.low, self.high = low, high
+
+    def box_dists(self, XT: np.ndarray) -> np.ndarray:
+        """(n, boxes) squared distances of transposed points to the boxes."""
+        acc = np.zeros((XT.shape[1], len(self.low)))
+        for j in range(XT.shape[0]):
+            x = XT[j][:, None]
+            t = np.maximum(self.low[None, :, j] - x, x - self.high[None, :, j])
+            np.maximum(t, 0.0, out=t)
+            np.multiply(t, t, out=t)
+            np.add(acc, t, out=acc)
+        return acc
+
+
+class Tree(Boxes):
     """Centroids in boxes of about ``LEAF``, for exact nearest-centroid search.
 
     Built by halving the widest feature at its median.  A point's squared
@@ -99,20 +117,9 @@ class Tree:
             wide = int(np.argmax(C[own].max(axis=0) - C[own].min(axis=0)))
             own = own[np.argsort(C[own, wide], kind="stable")]
             parts += own[:len(own) // 2], own[len(own) // 2:]
-        self.low = np.array([C[own].min(axis=0) for own in self.leaves]).reshape(len(self.leaves), C.shape[1])
-        self.high = np.array([C[own].max(axis=0) for own in self.leaves]).reshape(self.low.shape)
+        super().__init__(*(np.array([f(C[own], axis=0) for own in self.leaves]).reshape(len(self.leaves), C.shape[1]) for f in (np.min, np.max)))
         self.CT = [np.ascontiguousarray(C[own].T) for own in self.leaves]
 
-    def box_dists(self, XT: np.ndarray) -> np.ndarray:
-        acc = np.zeros((XT.shape[1], len(self.leaves)))
-        for j in range(XT.shape[0]):
-            x = XT[j][:, None]
-            t = np.maximum(self.low[None, :, j] - x, x - self.high[None, :, j])
-            np.maximum(t, 0.0, out=t)
-            np.multiply(t, t, out=t)
-            np.add(acc, t, out=acc)
-        return acc
-
     def nearest(self, XT: np.ndarray, second: bool = False):
         """Index (the lowest on a tie) and squared distance, per column of ``XT``;
         with ``second`` also the squared distance of the next nearest centroid.

@@ -7,11 +7,10 @@ shipped to tasks; see MAX_MODEL_BYTES.
 
 from __future__ import annotations
 
-import math
 from dataclasses import dataclass
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Upper bound on k * d * 8 bytes for a model that is collected to the driver
@@ -20,11 +19,6 @@ from pyspark.sql import functions as F
 MAX_MODEL_BYTES = 256 << 20
 
 
-# Upper bound on the number of values of a model embedded in a query plan as
-# a literal (the SQL forms).  Larger models go through the blocked form.
-MAX_LITERAL_VALUES = 1_000_000
-
-
 def max_model_bytes(spark: SparkSession | None) -> int:
     if spark is None:
         return MAX_MODEL_BYTES
@@ -103,20 +97,9 @@ def collect_model(centroids, spark: SparkSession | None = None) -> Model:
     return Model.from_rows(centroids).check(spark)
 
 
-def _dbl(v: float) -> str:
-    if math.isnan(v):
-        return "CAST('NaN' AS DOUBLE)"
-    if math.isinf(v):
-        return "CAST('Infinity' AS DOUBLE)" if v > 0 else "CAST('-Infinity' AS DOUBLE)"
-    return f"{float(v)!r}D"
-
-
-def model_sql(model: Model) -> str:
-    """The model as one SQL array literal ``ARRAY<STRUCT<cluster_id, coord>>``,
-    sorted by cluster_id (the value shipped with every task)."""
-    if model.C.size > MAX_LITERAL_VALUES:
-        raise ModelTooLarge(f"{model.C.size} values exceed the plan-literal bound {MAX_LITERAL_VALUES}")
-    parts = []
-    for cid, c in zip(model.ids.tolist(), model.C.tolist()):
-        parts.append(f"named_struct('cluster_id', {cid}, 'coord', array({', '.join(_dbl(v) for v in c)}))")
-    return "array(" + ", ".join(parts) + ")"
+def model_value(spark: SparkSession, model: Model) -> Column:
+    """The model as one value, ``ARRAY<STRUCT<cluster_id, coord>>`` sorted by
+    cluster_id: a scalar subquery over a table of one row, which Spark
+    evaluates once and ships with the tasks."""
+    kind = "model ARRAY<STRUCT<cluster_id: INT, coord: ARRAY<DOUBLE>>>"
+    return spark.createDataFrame([(model.rows(),)], kind).scalar()

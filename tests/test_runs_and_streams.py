@@ -1,5 +1,6 @@
 """Outputs, named tables, resumable training of many data sets, stream scoring."""
 
+import numpy as np
 from pyspark.sql import functions as F
 
 from centrix.operators.assign import assign, assign_blocked
@@ -81,15 +82,26 @@ def test_score_stream(spark):
     assert got == want
 
 
-def test_sql_assign_routes_large_models_to_blocks(spark, monkeypatch):
-    import centrix.operators.assign as AS
-    import centrix.operators.model as MD
+def test_models_past_the_bound_are_searched_by_leaves(spark):
     p, s = td.points64(spark, SF), td.start64(spark, SF)
     whole = sorted(tuple(r) for r in assign(p, s, method="sql").collect())
-    monkeypatch.setattr(MD, "MAX_LITERAL_VALUES", 200)
-    monkeypatch.setattr(AS, "MAX_LITERAL_VALUES", 200)
-    routed = sorted(tuple(r) for r in assign(p, s, method="sql").collect())
-    assert routed == whole
+    spark.conf.set("centrix.maxModelBytes", str(8 * 64 * 9))   # ten centroids are one too many
+    try:
+        for method in ("sql", "arrow"):
+            assert sorted(tuple(r) for r in assign(p, s, method=method).collect()) == whole
+    finally:
+        spark.conf.unset("centrix.maxModelBytes")
+
+
+def test_leaves_find_the_nearest_of_many(spark):
+    rng = np.random.default_rng(4)
+    for draw in (lambda size: rng.integers(0, 40, size).astype(float), lambda size: rng.normal(size=size)):
+        C, X = draw((700, 3)), draw((900, 3))
+        C[350:420] = C[:70]     # ties between ids
+        X[100:700] = X[0]       # most points go to one leaf
+        p = pts(spark, X.tolist(), "double").unionByName(pts(spark, X[:3].tolist(), "double")).repartition(5)   # repeated ids
+        got = sorted(tuple(r)[:3] for r in assign_blocked(p, cents(spark, C.tolist()), block_rows=20, keep_coord=True).collect())
+        assert got == sorted(tuple(r) for r in assign(p, cents(spark, C.tolist())).collect())
 
 
 def test_text_outputs_and_local_history_csv(spark, tmp_path):
