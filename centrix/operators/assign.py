@@ -17,6 +17,7 @@ nearest centroid (:func:`assign_blocked`).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 
 from centrix.functions.vector import checked
 from centrix.operators import kernels
-from centrix.operators.model import Model, ModelTooLarge, collect_model, max_model_bytes, model_value
+from centrix.operators.model import Model, ModelTooLarge, check_model, collect_model, max_model_bytes, model_value
 from centrix.session import scratch_path, ship_package
 
 SQ_DIST_LAMBDA = ("aggregate(zip_with(coord, c.coord, (x, y) -> (CAST(x AS DOUBLE) - y) * "
@@ -238,14 +239,27 @@ def pair_distances(points: DataFrame, centroids) -> DataFrame:
                         F.expr(SQ_DIST_LAMBDA.replace("c.coord", "_cc")).alias("dist"))
 
 
+def co_partitioned(df: DataFrame, key: str = "point_id", buckets: int | None = None) -> DataFrame:
+    """``df`` as a table bucketed and sorted by ``key`` in the shared folder.
+
+    Joins and aggregates by ``key`` over such tables, and over what is selected or
+    exploded from them, shuffle nothing: the shuffle is paid once, here.  The
+    table's name is new; drop it when it isn't needed any more."""
+    spark = df.sparkSession
+    name = f"centrix_by_{key}_{uuid.uuid4().hex}"
+    writer = df.write.bucketBy(buckets or int(spark.conf.get("spark.sql.shuffle.partitions")), key).sortBy(key)
+    writer.option("path", scratch_path(spark, name)).saveAsTable(name)
+    return spark.table(name)
+
+
 def pair_distances_joined(pairs: DataFrame, points: DataFrame, centroids: DataFrame) -> DataFrame:
     """Pair table -> point -> centroid, three-way equi join with distance.
 
-    The pair table and the points join on ``point_id`` (a shuffle join: both
-    grow with n); the centroids join on ``cluster_id`` and are broadcast only
-    after the model size check.
+    The pair table and the points join on ``point_id`` (both grow with n: a shuffle
+    join, or none where both are :func:`co_partitioned`); the centroids join on
+    ``cluster_id`` and are broadcast only after the model size check.
     """
-    collect_model(centroids, points.sparkSession)  # size check: raises if too large
+    check_model(centroids)
     cen = F.broadcast(centroids.select(F.col("cluster_id").cast("int"), F.col("coord").alias("_cc")))
     joined = pairs.join(points.select("point_id", "coord"), "point_id").join(cen, "cluster_id")
     return joined.select("point_id", "cluster_id", F.expr(SQ_DIST_LAMBDA.replace("c.coord", "_cc")).alias("dist"))

@@ -10,7 +10,7 @@ feature and new-row number), so any task re-run gives the same rows.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from centrix.functions.hashrand import hash_uniform_sql, normal_sql, stream, stream_sql
@@ -111,6 +111,23 @@ def shuffle_rows(df: DataFrame, seed: int = 0) -> DataFrame:
     return df.withColumn("shuffle_key", shuffle_key(seed)).orderBy("shuffle_key", "point_id")
 
 
+def shuffled_places(df: DataFrame, seed: int = 0, buckets: int | None = None) -> DataFrame:
+    """T3 with every row's place (from 1) in the order of :func:`shuffle_rows`,
+    without a sort of all rows.
+
+    The hashed key is uniform, so equal slices of its range are buckets of about
+    equal size: rows are scattered by bucket, ranked inside, and moved up by the
+    counts of the buckets before (one row a bucket)."""
+    buckets = buckets or 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.floor(shuffle_key(seed) * buckets).cast("int")
+    sizes = df.groupBy(bucket.alias("_bucket")).agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
+    sizes = sizes.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_bucket").orderBy("shuffle_key", "point_id")
+    ranked = df.withColumns({"_bucket": bucket, "shuffle_key": shuffle_key(seed)}).withColumn("_in", F.row_number().over(inside))
+    return ranked.join(F.broadcast(sizes), "_bucket").withColumn("place", F.col("_off") + F.col("_in")).drop("_bucket", "_off", "_in")
+
+
 def true_centroids_from_labels(points: DataFrame, partition: DataFrame) -> DataFrame:
     """Integer true centroids from known labels: per label, the mean of each
     feature truncated toward zero (the shape of a ``-c.txt`` file),

@@ -25,13 +25,13 @@ def coords(batch: pa.RecordBatch, d: int, name: str = "coord") -> np.ndarray:
     return matrix(batch.column(batch.schema.get_field_index(name)), d)
 
 
-def matrix(arr: pa.Array, d: int) -> np.ndarray:
-    """An Arrow list array of ``d`` numbers a row as a float64 matrix."""
+def matrix(arr: pa.Array, d: int, kind: type = np.float64) -> np.ndarray:
+    """An Arrow list array of ``d`` numbers a row as a matrix."""
     flat = arr.flatten()
     lengths = np.diff(np.asarray(arr.offsets))
     if arr.null_count or flat.null_count or (lengths.size and (lengths.min() != d or lengths.max() != d)):
         raise ValueError(f"every point must have {d} features, none of them null")
-    return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=np.float64).reshape(-1, d)
+    return np.asarray(flat.to_numpy(zero_copy_only=False), dtype=kind).reshape(-1, d)
 
 
 def sq_dists(X: np.ndarray, C: np.ndarray) -> np.ndarray:

@@ -19,30 +19,24 @@ def contingency(pairs: DataFrame, a: str = "label", b: str = "cluster_id") -> Da
 def nmi(pairs: DataFrame, a: str = "label", b: str = "cluster_id") -> DataFrame:
     """Normalised mutual information of two labelings, one row ``(nmi)``.
 
-    NMI = I(a; b) / mean(H(a), H(b)) with natural logs; 1.0 when both sides
-    hold a single class, 0.0 when I = 0.  The marginals are grouped from the
-    contingency table and joined to it by key; the total is a scalar.
+    NMI = I(a; b) / mean(H(a), H(b)) with natural logs; 1.0 when the labelings
+    are the same but for names, 0.0 when I = 0 (up to rounding).  The pairs are
+    counted once; cells, both marginals and the total are grouping sets of the
+    contingency table, and all terms are sums of ``n ln n`` over one of them.
     """
-    cont = contingency(pairs, a, b)
-    of_a = cont.groupBy(a).agg(F.sum("n").alias("na"))
-    of_b = cont.groupBy(b).agg(F.sum("n").alias("nb"))
-    total = cont.agg(F.sum("n").cast("double").alias("tot"))
-    N = total.scalar()
-
-    def entropy(marginal: DataFrame, col: str) -> DataFrame:
-        p = F.col(col).cast("double") / F.col("tot")
-        return marginal.withColumn("tot", N).agg((-F.sum(p * F.log(p))).alias("h"), F.count(F.lit(1)).alias("k"))
-
-    ea, eb = entropy(of_a, "na"), entropy(of_b, "nb")
-    n, na, nb, tot = (F.col(c).cast("double") for c in ("n", "na", "nb", "tot"))
-    mi = (cont.join(of_a, cont[a].eqNullSafe(of_a[a])).join(of_b, cont[b].eqNullSafe(of_b[b])).withColumn("tot", N)
-          .agg(F.sum(n / tot * F.log(tot * n / (na * nb))).alias("mi")))
-    row = mi.select("mi", ea.select("h").scalar().alias("ha"), eb.select("h").scalar().alias("hb"),
-                    ea.select("k").scalar().alias("ka"), eb.select("k").scalar().alias("kb"))
+    cells = contingency(pairs, a, b)
+    sets = cells.groupingSets([[a, b], [a], [b], []], a, b).agg(F.sum("n").cast("double").alias("m"), F.grouping_id().alias("g"))
+    term = F.col("m") * F.log("m")
+    per = {"ab": 0, "a": 1, "b": 2, "all": 3}
+    row = sets.agg(*[F.sum(F.when(F.col("g") == g, term)).alias(f"x{name}") for name, g in per.items()],
+                   *[F.count_if(F.col("g") == g).alias(f"k{name}") for name, g in per.items()],
+                   F.max(F.when(F.col("g") == 3, F.col("m"))).alias("n"))
+    both = 2 * F.col("xall") - F.col("xa") - F.col("xb")     # n (H(a) + H(b))
+    shared = F.col("xall") - F.col("xa") - F.col("xb") + F.col("xab")     # n I(a; b)
     return row.select(
-        F.when((F.col("ka") == 1) & (F.col("kb") == 1), F.lit(1.0))
-         .when(F.col("mi") <= 0, F.lit(0.0))
-         .otherwise(F.col("mi") / ((F.col("ha") + F.col("hb")) / 2.0)).alias("nmi"))
+        F.when((F.col("ka") == F.col("kab")) & (F.col("kb") == F.col("kab")), F.lit(1.0))
+         .when(shared <= 1e-13 * F.col("xall"), F.lit(0.0))
+         .otherwise(shared / (both / 2.0)).alias("nmi"))
 
 
 def cost_reduction(costs: DataFrame) -> DataFrame:

@@ -97,6 +97,18 @@ def collect_model(centroids, spark: SparkSession | None = None) -> Model:
     return Model.from_rows(centroids).check(spark)
 
 
+def check_model(centroids: DataFrame) -> None:
+    """Raises unless a centroid table is within the size bound; counts at most
+    as many rows as the bound allows, and collects none of them."""
+    sizes = centroids.select(F.size("coord").alias("d"))
+    first = sizes.first()
+    if first is None:
+        raise ValueError("no centroids")
+    most = max(1, max_model_bytes(centroids.sparkSession) // (8 * max(1, int(first["d"]))))
+    if sizes.limit(most + 1).count() > most:
+        raise ModelTooLarge("centroid table exceeds centrix.maxModelBytes")
+
+
 def model_value(spark: SparkSession, model: Model) -> Column:
     """The model as one value, ``ARRAY<STRUCT<cluster_id, coord>>`` sorted by
     cluster_id: a scalar subquery over a table of one row, which Spark

@@ -22,7 +22,7 @@ import math
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from centrix.functions.hashrand import hash_uniform_sql, np_hash_uniform, stream
@@ -30,6 +30,7 @@ from centrix.functions.numeric import n_local_trials
 from centrix.operators import kernels
 from centrix.operators.blocks import iter_rows, to_blocks
 from centrix.operators.exact import ExactSums, to_doubles
+from centrix.operators.prefix import prefix_sum, range_sums
 from centrix.session import ship_package
 
 RACE_SCHEMA = "t INT, s INT, limb INT, v BIGINT, key DOUBLE, point_id BIGINT, coord ARRAY<DOUBLE>"
@@ -60,47 +61,12 @@ def weighted_pick_race(df: DataFrame, weight: str, seed: int, step: int, trials:
         .select("x.trial", "x.point_id").filter(F.col("point_id").isNotNull())
 
 
-def _ranges(df: DataFrame, order: str, buckets: int | None) -> DataFrame:
-    """``df`` with ``_b``, the number of its row's range of ``order``.
-
-    Bounds are approximate quantiles, as fine as the number of ranges asks for
-    (at least one per input partition, so a range holds about one split at any
-    size).  A row finds its range in two steps of about the square root of
-    their number."""
-    spark = df.sparkSession
-    buckets = buckets or max(int(spark.conf.get("spark.sql.shuffle.partitions")), len(df.inputFiles()), 1)
-    probs = [i / buckets for i in range(1, buckets)]
-    bounds = sorted(set(df.approxQuantile(order, probs, 0.25 / buckets))) if probs else []
-    if not bounds:
-        return df.withColumn("_b", F.lit(0))
-    width = max(1, math.isqrt(len(bounds)))
-    at = F.col(order)
-    coarse = F.array(*[F.lit(b) for b in bounds[width - 1::width]])
-    fine = F.array(*[F.array(*[F.lit(b) for b in bounds[i:i + width]]) for i in range(0, len(bounds), width)] + [F.array().cast("array<double>")])
-    block = F.size(F.filter(coarse, lambda x: x <= at))
-    inside = F.size(F.filter(F.element_at(fine, F.col("_c") + 1), lambda x: x <= at))
-    return df.withColumn("_c", block).withColumn("_b", F.col("_c") * width + inside).drop("_c")
-
-
-def _offsets(tagged: DataFrame, weight: str) -> DataFrame:
-    """``(_b, _tot, _off)``: a range's sum and the sum of all before it."""
-    totals = tagged.groupBy("_b").agg(F.sum(weight).alias("_tot"))
-    return totals.select("_b", "_tot", F.coalesce(F.sum("_tot").over(
-        Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"))
-
-
 def running_cdf(df: DataFrame, weight: str, order: str = "point_id", buckets: int | None = None) -> DataFrame:
     """Running sum of ``weight`` in ``order`` (rows unbounded preceding).
 
-    Two levels instead of one window over all rows in one task: a window runs
-    inside each range of ``order``; range totals get a prefix sum (one row per
-    range) that is joined back.
-    """
-    tagged = _ranges(df, order, buckets)
-    inner = Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0)
-    within = tagged.withColumn("_in", F.sum(weight).over(inner))
-    return within.join(_offsets(tagged, weight), "_b").withColumn("cdf", F.col("_off") + F.col("_in")) \
-        .drop("_b", "_in", "_off", "_tot")
+    Two levels instead of one window over all rows in one task, see
+    ``operators.prefix``; ``buckets`` sets the number of ranges."""
+    return prefix_sum(df, weight, order, "cdf", buckets)
 
 
 def weighted_pick_cdf(df: DataFrame, weight: str, u: float, order: str = "point_id") -> DataFrame:
@@ -108,16 +74,14 @@ def weighted_pick_cdf(df: DataFrame, weight: str, u: float, order: str = "point_
     the last row if rounding leaves none.
 
     The range where that happens is found from the ranges' sums; only its rows
-    are ordered."""
-    tagged = _ranges(df, order, None)
-    totals = _offsets(tagged, weight)
+    are looked at again."""
+    rows, totals = range_sums(df, weight, order)
     goal = totals.agg((F.lit(float(u)) * F.sum("_tot")).alias("g"))
     hit = (totals.withColumn("g", goal.scalar()).where(F.col("_off") + F.col("_tot") >= F.col("g"))
-           .agg(F.min(F.struct("_b", "_off", "g")).alias("m")).select("m.*"))
-    rows = tagged.join(F.broadcast(hit), "_b")   # one row
-    run = F.sum(weight).over(Window.partitionBy("_b").orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    first = rows.withColumn("cdf", F.col("_off") + run).filter(F.col("cdf") >= F.col("g")).agg(F.min(order).alias(order))
-    last = df.agg(F.max(order).alias("_last"))
+           .agg(F.min(F.struct("_range", "_off", "g")).alias("m")).select("m.*"))
+    found = rows.join(F.broadcast(hit), "_range")   # one row
+    first = found.filter(F.col("_off") + F.col("_in") >= F.col("g")).agg(F.min(order).alias(order))
+    last = rows.agg(F.max(order).alias("_last"))
     return first.select(F.coalesce(F.col(order), last.scalar()).alias(order))
 
 

@@ -7,6 +7,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from centrix.functions.tables import register_table_functions
 from centrix.operators import assign as A
 from centrix.operators import cost as COST
 from centrix.operators import metrics as M
@@ -84,7 +85,7 @@ def q_pairs(spark, sf):
 
 @query("pair_join_points64", _PAIRS64)
 def q_pair_join(spark, sf):
-    pts, start = td.points64(spark, sf), td.start64(spark, sf)
+    pts, start = A.co_partitioned(td.points64(spark, sf)), td.start64(spark, sf)
     return A.pair_distances_joined(A.all_pairs(pts, start), pts, start)
 
 
@@ -201,6 +202,12 @@ def q_costs(spark, sf):
     return exact_cost_curve(fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=4))
 
 
+@query("lloyd_costs_points64", f"SELECT iter, CAST(cost AS DECIMAL(38, 2)) AS cost FROM ({O.lloyd_costs(O.POINTS64, O.START64, 4, 64)})")
+def q_kernel_costs(spark, sf):
+    """K3 as the training passes measured it, no pass of its own."""
+    return fit(td.points64(spark, sf), td.start64(spark, sf), max_iter=4).costs().select("iter", F.col("cost").cast("decimal(38,2)").alias("cost"))
+
+
 @query("cost_reduction_points64", O.with_(
     O.lloyd_ctes(O.POINTS64, O.START64, 4, 64) +
     [f"cc AS ({' UNION ALL '.join(f'SELECT {i} AS iter, sum(CAST(dist AS DECIMAL(38, 6))) AS cost FROM a{i}' for i in range(1, 5))})",
@@ -245,6 +252,20 @@ def q_nmi(spark, sf):
         .select(F.col("nmi").cast("decimal(12,6)").alias("nmi"))
 
 
+@query("vector_mean_points64", _one_step(
+    O.POINTS64, O.START64,
+    "SELECT CAST(cluster_id AS BIGINT) AS cluster_id, CAST(count(*) AS BIGINT) AS n, ["
+    + ", ".join(f"CAST(sum(coord[{j}]) AS DOUBLE) / count(*)" for j in range(1, 65)) + "] AS mean FROM a1 GROUP BY cluster_id"))
+def q_vector_mean(spark, sf):
+    """The vector mean as SQL text, whatever the width."""
+    register_table_functions(spark)
+    A.assign(td.points64(spark, sf), td.start64(spark, sf), keep_coord=True).createOrReplaceTempView("centrix_assigned")
+    return spark.sql(
+        "SELECT cluster_id, n, mean FROM vector_mean(TABLE("
+        "SELECT cluster_id, col, limb, sum(v) AS v FROM vector_sums(TABLE(SELECT cluster_id, coord FROM centrix_assigned)) "
+        "GROUP BY cluster_id, col, limb) PARTITION BY cluster_id)")
+
+
 # ---- seeding, sampling, order -----------------------------------------------
 
 from centrix.functions.hashrand import stream as _stream  # noqa: E402
@@ -326,12 +347,8 @@ def q_shuffle(spark, sf):
        f"SELECT row_number() OVER (ORDER BY {O.uniform_u(O.stream(SEED, 3), 'point_id')}, point_id) AS place, point_id "
        f"FROM ({O.POINTS64})")
 def q_shuffle_order(spark, sf):
-    """T3 with its order: the shuffled rows written in order, read back with
-    their line numbers."""
-    path = scratch_path(spark, "shuffled")
-    shuffled = X.shuffle_rows(td.points64(spark, sf), SEED).select(F.array("point_id").alias("coord"))
-    write_points(shuffled, path, order_by=None)
-    return load_points(spark, path, id_col="place").select("place", F.col("coord")[0].alias("point_id"))
+    """T3 with every row's place in the order."""
+    return X.shuffled_places(td.points64(spark, sf), SEED).select("place", "point_id")
 
 
 @query("true_centroids_points64", O.true_centroids_sql(O.POINTS64, O.PARTITION64, 64))

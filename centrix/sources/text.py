@@ -7,10 +7,12 @@ on row order.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from centrix.functions.text import split_ws, to_numbers
+from centrix.operators.prefix import prefix_sum
+from centrix.session import scratch_path
 from centrix.sources.fs import path_exists
 
 
@@ -19,22 +21,25 @@ def with_row_id(lines: DataFrame, id_col: str = "point_id", start: int = 1) -> D
     """Number the rows of a file scan in file order, 1-based by default.
 
     ``lines`` must still carry ``_path``/``_block`` (file path, split start).
-    Ids come from (path, split start, position inside the split): one small
-    aggregate per split, prefix sums over the split table, and a join back
-    (broadcast where Spark's own size threshold allows it).  Part files are
-    ordered by their number, other files by name; no global sort and no
-    single-task window over the rows.
+    The rows are read once and written to the shared folder with their place in
+    the task's read.  Ids come from (path, split start, position inside the split):
+    one small aggregate per split, a two-level prefix sum over the split table,
+    and a join back (broadcast where Spark's own size threshold allows it).  Part
+    files are ordered by their number, other files by name; neither the rows
+    nor the splits pass through one task.
     """
-    tagged = lines.withColumn("_mono", F.monotonically_increasing_id())
+    spark = lines.sparkSession
+    path = scratch_path(spark, "numbered-lines")
+    lines.withColumn("_mono", F.monotonically_increasing_id()).write.parquet(path)   # the one scan of the text
+    tagged = spark.read.parquet(path)
     splits = (tagged.groupBy("_path", "_block")
               .agg(F.min("_mono").alias("_m0"), F.count(F.lit(1)).alias("_cnt")))
-    folder, name = F.regexp_extract("_path", "^(.*/)?([^/]*)$", 1), F.substring_index("_path", "/", -1)
-    part = F.regexp_extract(name, r"^part-(\d+)", 1).try_cast("bigint")   # null: no part file
-    order = Window.orderBy(folder, part, name, "_block").rowsBetween(Window.unboundedPreceding, -1)
-    splits = splits.withColumn("_off", F.coalesce(F.sum("_cnt").over(order), F.lit(0)))
-    out = tagged.join(splits, ["_path", "_block"])
-    out = out.withColumn(id_col, F.lit(start) + F.col("_off") + F.col("_mono") - F.col("_m0"))
-    return out.drop("_mono", "_m0", "_cnt", "_off", "_path", "_block")
+    splits = splits.withColumns({"_folder": F.regexp_extract("_path", "^(.*/)?([^/]*)$", 1), "_name": F.substring_index("_path", "/", -1)})
+    splits = splits.withColumn("_part", F.regexp_extract("_name", r"^part-(\d+)", 1).try_cast("bigint"))   # null: no part file
+    placed = prefix_sum(splits, "_cnt", ["_folder", "_part", "_name", "_block"], "_above", before=True)
+    out = tagged.join(placed.select("_path", "_block", "_m0", "_above"), ["_path", "_block"])
+    out = out.withColumn(id_col, F.lit(start) + F.col("_above") + F.col("_mono") - F.col("_m0"))
+    return out.drop("_mono", "_m0", "_above", "_path", "_block")
 
 
 def _read_lines(spark: SparkSession, path: str) -> DataFrame:
