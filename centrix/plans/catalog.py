@@ -784,7 +784,7 @@ def q_replaced(spark, sf):
         TBL.clear_table(spark, name)
         counts.append(("cleared", spark.table(name).count()))
     finally:
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
+        TBL.drop_table(spark, name)
     return spark.createDataFrame(counts, "step STRING, n BIGINT")
 
 

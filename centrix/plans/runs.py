@@ -8,8 +8,9 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from centrix.operators.history import make_record, pending
+from centrix.operators.history import pending
 from centrix.operators.metrics import cost_reduction, dataset_info, join_truth, nmi
+from centrix.plans.ledger import Ledger
 from centrix.plans.lloyd import fit
 from centrix.sources.csv import TIME_SCHEMA, read_history, write_history
 from centrix.sources.dataset import load_dataset
@@ -18,24 +19,46 @@ from centrix.sources.text import load_output
 
 
 def train_many(spark: SparkSession, root: str, names: list[str], history_path: str,
-               max_iter: int = 100, method: str = "arrow") -> DataFrame:
-    """K4: train every data set not yet in the history.
+               max_iter: int = 100, method: str = "arrow", ledger: Ledger | None = None) -> DataFrame:
+    """K4: train every data set not yet in the history, each once.
 
-    Each run appends its one record, so an interrupted job loses at most the
-    run it was in and resumes there; nothing written is ever rewritten.
+    Any number of drivers may do so at a time with one history: a data set is
+    claimed before it is trained and its record is published as a whole (see
+    ``plans.ledger``).  A set that another driver works on is waited for; if that
+    driver dies, it is taken over.  Nothing written is ever rewritten.
     """
-    done = read_history(spark, history_path, TIME_SCHEMA) if path_exists(spark, history_path) \
-        else spark.createDataFrame([], TIME_SCHEMA)
-    todo = spark.createDataFrame([(n,) for n in names], "dataset STRING")
-    for row in pending(todo, done).collect():   # one row per data-set name
-        ds = load_dataset(spark, root, row["dataset"])
-        t0 = time.time()
-        res = fit(ds.points, ds.start_centroids, max_iter=max_iter, method=method)
-        res.centroids().collect()
-        ms = round((time.time() - t0) * 1000.0, 3)
-        res.unpersist()
-        write_history(make_record(spark, row["dataset"], ms), history_path, mode="append")
-    return read_history(spark, history_path, TIME_SCHEMA) if path_exists(spark, history_path) else done
+    def history() -> DataFrame:
+        there = path_exists(spark, history_path)
+        return read_history(spark, history_path, TIME_SCHEMA) if there else spark.createDataFrame([], TIME_SCHEMA)
+
+    ledger = ledger or Ledger(spark, history_path)
+    todo = spark.createDataFrame([(n,) for n in dict.fromkeys(names)], "dataset STRING")
+    left = [row["dataset"] for row in pending(todo, history()).collect()]   # one row per data-set name
+    while left:
+        for name in list(left):
+            if ledger.recorded(name):
+                left.remove(name)
+                continue
+            claim = ledger.claim(name)
+            if claim is None:
+                continue
+            if not ledger.recorded(name):   # by the holder of an earlier claim
+                ms = ledger.work(claim, lambda name=name: _trained_ms(spark, root, name, max_iter, method))
+                ledger.record(name, ["dataset", "time"], [name, ms])
+            left.remove(name)
+        if left:
+            ledger.wait()
+    return history()
+
+
+def _trained_ms(spark: SparkSession, root: str, name: str, max_iter: int, method: str) -> float:
+    ds = load_dataset(spark, root, name)
+    t0 = time.time()
+    res = fit(ds.points, ds.start_centroids, max_iter=max_iter, method=method)
+    res.centroids().collect()
+    ms = round((time.time() - t0) * 1000.0, 3)
+    res.unpersist()
+    return ms
 
 
 def write_dataset(root: str, name: str, points: DataFrame, partition: DataFrame | None = None,
