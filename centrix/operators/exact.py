@@ -20,6 +20,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from centrix.operators.kernels import column_sums
 
@@ -168,7 +169,7 @@ def to_doubles(shape: tuple, group: np.ndarray, column: np.ndarray, limb: np.nda
 
 
 #: One limb of a sum: of which group, which column.
-LIMB_SCHEMA = "grp INT, col INT, limb INT, v BIGINT"
+LIMB_SCHEMA = T.StructType([T.StructField("grp", T.IntegerType()), T.StructField("col", T.IntegerType()), T.StructField("limb", T.IntegerType()), T.StructField("v", T.LongType())])
 
 
 def limb_batch(sums: ExactSums) -> pa.RecordBatch:

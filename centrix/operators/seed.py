@@ -98,17 +98,15 @@ def best_candidate(pots: list[float]) -> int:
 
 
 def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
-               seed: int, next_step: int | None, trials: int, d: int) -> tuple:
+               seed: int, next_step: int | None, trials: int, d: int) -> DataFrame:
     """One pass: fold pending centres into d_near, potentials of the current
     candidates (limbs of exact sums, ``s = -1``), and the next step's races under
     each candidate."""
-    spark = state.sparkSession
-    ship_package(spark)
-    streams = [stream(seed, next_step, s) for s in range(1, trials + 1)] if next_step else []
-    bc = spark.sparkContext.broadcast((pending, cands, streams))
+    ship_package(state.sparkSession)
+    strm = [stream(seed, next_step, s) for s in range(1, trials + 1)] if next_step else []
+    pend, cnd = pending, cands
 
     def fn(batches):
-        pend, cnd, strm = bc.value
         T = 1 if cnd is None else cnd.shape[0]
         pots, won = ExactSums(1, T), {}
         for ids, X, dn in _state_blocks(batches, d):
@@ -133,7 +131,7 @@ def _race_pass(state: DataFrame, pending: np.ndarray, cands: np.ndarray | None,
         yield pa.RecordBatch.from_arrays([pa.array([r[j] for r in rows], kind) for j, kind in enumerate(kinds)],
                                          names=["t", "s", "limb", "v", "key", "point_id", "coord"])
 
-    return state.select("ids", "x", "kind", "dn").mapInArrow(fn, RACE_SCHEMA), bc
+    return state.select("ids", "x", "kind", "dn").mapInArrow(fn, RACE_SCHEMA)
 
 
 def _reduce_races(part: DataFrame, tasks: int, T: int) -> tuple[list[float], dict]:
@@ -209,10 +207,9 @@ def kmeanspp(points: DataFrame, k: int, seed: int = 0, n_trials: int | None = No
     while len(chosen) < k:
         # the step whose candidates this pass draws; the last pass only chooses
         step = len(chosen) + (1 if cands is None else 2)
-        part, bc = _race_pass(state, matrix(pending), None if cands is None else matrix([c[1] for c in cands]),
+        part = _race_pass(state, matrix(pending), None if cands is None else matrix([c[1] for c in cands]),
                               seed, step if step <= k else None, trials, d)
         pots, races = _reduce_races(part, tasks, 1 if cands is None else len(cands))
-        bc.unpersist()
         if old is not None:   # the pass has made the folded state
             old.unpersist()
             old = None

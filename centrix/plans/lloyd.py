@@ -49,15 +49,14 @@ BOUND_COST = 32
 TASK_COST = 100_000_000
 
 
-def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exact: bool) -> tuple:
+def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exact: bool) -> DataFrame:
     """Limb rows of (vector sum, count, cost, points searched) per cluster and
-    task.  ``drift``: how far the others have moved since the blocks' bounds."""
+    task.  ``drift``: how far the others have moved since the blocks' bounds.
+    The model goes with the function, which Spark broadcasts if it is large."""
     ship_package(blocks.sparkSession)
-    bc = blocks.sparkSession.sparkContext.broadcast((model.C, drift))
-    k, d = model.k, model.d
+    k, d, C = model.k, model.d, model.C
 
     def fn(batches):
-        C, drift = bc.value
         tree, CT = kernels.Tree(C), np.ascontiguousarray(C.T)
         sums = ExactSums(k, d + 3)
         for row in iter_rows(batches, d):
@@ -88,37 +87,34 @@ def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exac
         yield limb_batch(sums)
 
     columns = [c for c in ("x", "kind", "plain", "w", "label", "far") if c in blocks.columns]
-    return blocks.select(*columns).mapInArrow(fn, LIMB_SCHEMA), bc
+    return blocks.select(*columns).mapInArrow(fn, LIMB_SCHEMA)
 
 
-def _point_stats(points: DataFrame, model: Model) -> tuple:
+def _point_stats(points: DataFrame, model: Model) -> DataFrame:
     """The same from points that Spark SQL assigns."""
-    spark = points.sparkSession
-    ship_package(spark)
-    bc = spark.sparkContext.broadcast(model.ids)
-    k, d = model.k, model.d
+    ship_package(points.sparkSession)
+    k, d, ids = model.k, model.d, model.ids
 
     def fn(batches):
         sums = ExactSums(k, d + 3)
         for b in batches:
-            idx = np.searchsorted(bc.value, b.column(0).to_numpy(zero_copy_only=False))
+            idx = np.searchsorted(ids, b.column(0).to_numpy(zero_copy_only=False))
             sums.add_columns(idx, np.ascontiguousarray(kernels.coords(b, d).T))
             sums.add(np.bincount(idx, minlength=k).astype(np.float64)[:, None], d)
             sums.add_columns(idx, b.column(2).to_numpy(zero_copy_only=False)[None, :], d + 1)
         yield limb_batch(sums)
 
     assigned = assign(points, model, method="sql", keep_coord=True)
-    return assigned.select("cluster_id", "coord", "dist").mapInArrow(fn, LIMB_SCHEMA), bc
+    return assigned.select("cluster_id", "coord", "dist").mapInArrow(fn, LIMB_SCHEMA)
 
 
 def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: np.ndarray | None = None, exact: bool = True):
     """One assignment pass over blocks or points: arrays (n[k], S[k, d], cost[k])
     in model order, and the number of points whose nearest centroid was searched."""
-    part, bc = _block_stats(points, model, drift, exact) if "x" in points.columns else _point_stats(points, model)
+    part = _block_stats(points, model, drift, exact) if "x" in points.columns else _point_stats(points, model)
     if n_partitions is None or n_partitions > FAN_IN:
         part = merge_limbs(part)
     got = collect_sums(part, (model.k, model.d + 3))
-    bc.unpersist()
     n = np.rint(got[:, model.d]).astype(np.int64)
     return n, got[:, :model.d], got[:, model.d + 1], int(got[0, model.d + 2])
 

@@ -17,6 +17,8 @@ _DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # tasks and their Python workers talk without TCP's delayed acknowledgements
+    "spark.python.unix.domain.socket.enabled": "true",
 }
 
 
