@@ -19,29 +19,39 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, text_or_empty
+from .common import cut, maybe_in, text_or_empty
 
 EXACT, LANES = 16, 64
 MODULUS = 1 << 32
 
 
 def _sums(texts: DataFrame, keys: list[str], text_col: str) -> DataFrame:
-    """``keys`` plus ``lanes`` (array of EXACT + LANES + 1 sums, modulo 2^32)."""
-    par = texts.select(*keys, F.posexplode(F.split(text_col, "\n")).alias("line", "par"))
-    par = par.select(*keys, "line", F.sha2("par", 512).alias("digest"),
+    """``keys`` (each once) plus ``lanes`` (array of EXACT + LANES + 1 sums,
+    modulo 2^32).  Two counts of ones are summed in one 64-bit number: a text has
+    fewer than 2^31 word pairs."""
+    par = texts.select(*keys, F.explode(F.split(text_col, "\n")).alias("par"))
+    par = par.select(*keys, F.sha2("par", 512).alias("digest"),
                      F.filter(F.split("par", r"[\x20\x09-\x0D]+"), lambda w: w != "").alias("w"))
     pairs = F.when(F.size("w") < 2, F.transform("w", lambda a: F.xxhash64(a))).otherwise(
         F.zip_with(F.expr("slice(w, 1, size(w) - 1)"), F.expr("slice(w, 2, size(w) - 1)"), lambda a, b: F.xxhash64(a, b)))
-    one = par.select(*keys, "line", "digest", F.posexplode_outer(pairs).alias("at", "h"))
+    one = par.select(*keys, "digest", F.posexplode_outer(pairs).alias("at", "h"))
     first = F.coalesce("at", F.lit(0)) == 0
     exact = [F.sum(F.when(first, F.conv(F.substring("digest", 8 * k + 1, 8), 16, 10).cast("long")).otherwise(0)).alias(f"x{k}")
              for k in range(EXACT)]
-    ones = [F.sum(F.coalesce(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(1)), F.lit(0))).alias(f"b{k}") for k in range(LANES)]
-    # identical rows (same keys, same text) add up to a multiple: divide by how many came
-    rows = F.sum(F.when(first & (F.col("line") == 0), 1).otherwise(0)).alias("rows")
-    total = one.groupBy(*keys).agg(*exact, *ones, F.count("h").alias("n"), rows)
-    names = [f"x{k}" for k in range(EXACT)] + [f"b{k}" for k in range(LANES)] + ["n"]
-    return total.select(*keys, F.array(*[F.expr(f"({c} div rows) % {MODULUS}L") for c in names]).alias("lanes"))
+    half = LANES // 2
+    ones = [F.sum(F.coalesce(F.shiftrightunsigned("h", k).bitwiseAND(F.lit(1 << 32 | 1)), F.lit(0))).alias(f"b{k}") for k in range(half)]
+    total = one.groupBy(*keys).agg(*exact, *ones, F.count("h").alias("_pairs"))
+    lanes = [F.col(f"x{k}").bitwiseAND(F.lit(MODULUS - 1)) for k in range(EXACT)]
+    lanes += [F.col(f"b{k}").bitwiseAND(F.lit(MODULUS - 1)) for k in range(half)] + [F.shiftrightunsigned(f"b{k}", 32) for k in range(half)]
+    return total.select(*keys, F.array(*lanes, F.col("_pairs").bitwiseAND(F.lit(MODULUS - 1))).alias("lanes"))
+
+
+def _once(d: DataFrame, rows: DataFrame) -> DataFrame:
+    """``d`` (id, text_sha256, n, body) with repeated rows once; ``rows`` tells
+    which ids have any.  Only their texts are shuffled."""
+    again = cut(rows.where("count > 1").select("id").distinct(), "repeated-rows")
+    some = maybe_in(d, "id", again, "id").groupBy("id", "text_sha256").agg(F.first("n").alias("n"), F.first("body").alias("body"))
+    return maybe_in(d, "id", again, "id", others=True).union(some)
 
 
 def as_text(lanes: Column) -> Column:
@@ -69,14 +79,21 @@ def likeness(a: Column, b: Column) -> Column:
     return F.when(a == b, 1.0).otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.coalesce(cosine, F.lit(0.0)))))
 
 
+def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
+    """``(id, text_sha256, n, body)`` of all rows, and ``(id, text_sha256, n, count)``."""
+    d = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
+    d = d.select("id", F.sha2("body", 256).alias("text_sha256"), F.length("body").cast("long").alias("n"), "body")
+    return d, cut(d.groupBy("id", "text_sha256", "n").count(), "fingerprint-rows")
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, text_sha256, lanes)``, one row per distinct id and text.
 
     A null text counts as empty; a text without words has its paragraphs'
     exact lanes and no word pairs.
     """
-    d = docs.select(F.col(id_col), text_or_empty(text_col).alias("body"))
-    return _sums(d.withColumn("text_sha256", F.sha2("body", 256)), [id_col, "text_sha256"], "body")
+    d, rows = _rows(docs, id_col, text_col)
+    return _sums(_once(d, rows), ["id", "text_sha256"], "body").withColumnRenamed("id", id_col)
 
 
 def successors(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -105,34 +122,41 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     the same next document; where the next id has several rows, it is the one
     with the smallest SHA-256.  A single document is its own next one.  Null
     texts count as empty, a null id as the smallest id.
+
+    A text's own fingerprint is summed where the text is read.  What travels by
+    id is each text's first half, which its edited text keeps and which mostly
+    holds the start its predecessor asks for; second halves travel only where a
+    longer predecessor asks for more.
     """
-    d = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
-    follow = cut(successors(d, "id"), "successors")
-    size = d.select("id", F.length("body").alias("n")).groupBy("id").agg(F.max("n").alias("n"))
-    need = (follow.join(size, follow["id"].eqNullSafe(size["id"]))
-            .select(follow["id"].alias("to"), follow["next"].alias("from"), F.expr("n div 2").alias("need")))
-    start = (d.join(need, d["id"].eqNullSafe(need["from"]))
-             .select("to", F.sha2("body", 256).alias("sha"), F.expr("left(body, cast(need as int))").alias("start"))
-             .groupBy("to").agg(F.min_by("start", "sha").alias("start")))
-    both = d.join(start, d["id"].eqNullSafe(start["to"])).select(
-        "id", "body", F.expr("concat(left(body, length(body) - length(body) div 2), left(start, cast(length(body) div 2 as int)))").alias("edited"))
-    keys = ["id", "text_sha256", "edited_sha256", "n_chars", "side"]
-    sides = both.select("id", F.sha2("body", 256).alias("text_sha256"), F.sha2("edited", 256).alias("edited_sha256"),
-                        F.length("body").cast("long").alias("n_chars"),
-                        F.explode(F.array(F.struct(F.lit(0).alias("side"), F.col("body").alias("t")),
-                                          F.struct(F.lit(1).alias("side"), F.col("edited").alias("t")))).alias("s")
-                        ).select("id", "text_sha256", "edited_sha256", "n_chars", "s.*")
-    made = cut(_sums(sides, keys, "t"), "fingerprints")
-    own = made.where("side = 0").drop("side")
-    edited = made.where("side = 1").select(F.col("id").alias("eid"), F.col("text_sha256").alias("etext"), F.col("lanes").alias("elanes"))
-    after = own.groupBy("id").agg(F.min_by("lanes", "text_sha256").alias("nlanes")).withColumnRenamed("id", "nid")
-    after = follow.join(after, follow["next"].eqNullSafe(after["nid"])).select(follow["id"].alias("before"), "nlanes")
-    count = d.groupBy("id", F.sha2("body", 256).alias("text_sha256")).count().withColumnsRenamed({"id": "cid", "text_sha256": "ctext"})
+    d, rows = _rows(docs, id_col, text_col)
+    once = _once(d, rows)
+    follow = cut(successors(rows, "id"), "successors")
+    # per id, what it asks of its next one: of the next one's text with the smallest hash
+    size = rows.groupBy("id").agg(F.max(F.expr("n div 2")).alias("need")).withColumnRenamed("id", "to")
+    pick = rows.groupBy("id").agg(F.min(F.struct("text_sha256", "n")).alias("p")).select(F.col("id").alias("from"), F.col("p.text_sha256").alias("sha"), F.col("p.n").alias("length"))
+    asked = (follow.join(size, follow["id"].eqNullSafe(size["to"])).select("to", "next", "need"))
+    asked = cut(asked.join(pick, asked["next"].eqNullSafe(pick["from"])).select("to", "from", "sha", "need", "length"), "asked")
+
+    own = cut(_sums(once, ["id", "text_sha256"], "body"), "fingerprints")
+    head = once.select("id", "text_sha256", "n", F.expr("left(body, cast(n - n div 2 as int))").alias("head"))
+    given = (head.join(asked, head["id"].eqNullSafe(asked["from"]) & (head["text_sha256"] == asked["sha"]))
+             .select("to", F.expr("left(head, cast(need as int))").alias("start")))
+    more = cut(asked.where("need > length - length div 2").select("to", F.col("from").alias("mid"), F.col("sha").alias("msha"), F.expr("need - (length - length div 2)").alias("rest")), "asked-more")
+    tail = maybe_in(once, "id", more, "mid").select("id", "text_sha256", F.expr("substring(body, cast(n - n div 2 as int) + 1)").alias("tail"))
+    added = (tail.join(more, tail["id"].eqNullSafe(more["mid"]) & (tail["text_sha256"] == more["msha"]))
+             .select(F.col("to").alias("to2"), F.expr("left(tail, cast(rest as int))").alias("start2")))
+    both = head.join(given, head["id"].eqNullSafe(given["to"])).join(added, head["id"].eqNullSafe(added["to2"]), "left")
+    text = F.concat("head", F.expr("left(concat(start, coalesce(start2, '')), cast(n div 2 as int))"))
+    both = both.select("id", "text_sha256", "n", text.alias("edited")).withColumn("edited_sha256", F.sha2("edited", 256))
+    edited = _sums(both, ["id", "text_sha256", "n", "edited_sha256"], "edited").withColumnsRenamed({"id": "eid", "text_sha256": "etext", "lanes": "elanes"})
+    next_lanes = (own.join(asked, own["id"].eqNullSafe(asked["from"]) & (own["text_sha256"] == asked["sha"]))
+                  .select(F.col("to").alias("before"), F.col("lanes").alias("nlanes")))
+    count = rows.select(F.col("id").alias("cid"), F.col("text_sha256").alias("ctext"), "count")
     out = (own.join(edited, own["id"].eqNullSafe(edited["eid"]) & (F.col("text_sha256") == F.col("etext")))
-           .join(after, own["id"].eqNullSafe(after["before"]))
            .join(count, own["id"].eqNullSafe(count["cid"]) & (F.col("text_sha256") == F.col("ctext")))
+           .join(next_lanes, own["id"].eqNullSafe(next_lanes["before"]))
            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))))
-    return out.select(F.col("id").alias(id_col), "n_chars", "edited_sha256", as_text(F.col("lanes")).alias("fingerprint"),
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", as_text(F.col("lanes")).alias("fingerprint"),
                       as_text(F.col("elanes")).alias("edited_fingerprint"),
                       likeness(F.col("lanes"), F.col("elanes")).alias("near_edited"),
                       likeness(F.col("lanes"), F.col("nlanes")).alias("near_next"))
