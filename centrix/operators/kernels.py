@@ -231,16 +231,24 @@ def drifts(new: np.ndarray, old: np.ndarray) -> np.ndarray:
     return out
 
 
-def bounded_nearest(XT: np.ndarray, tree: Tree, CT: np.ndarray, label: np.ndarray, far: np.ndarray, drift: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
+def half_gaps(C: np.ndarray) -> np.ndarray:
+    """Per centroid, half its distance to the nearest other one, or a bit less:
+    a point nearer than that to it is nearest to it."""
+    _, _, second = Tree(C).nearest(np.ascontiguousarray(C.T), second=True)
+    return 0.5 * np.sqrt(second) * (1.0 - slack(C.shape[1]))
+
+
+def bounded_nearest(XT: np.ndarray, tree: Tree, CT: np.ndarray, label: np.ndarray, far: np.ndarray, drift: np.ndarray,
+                    gap: np.ndarray) -> tuple[np.ndarray, np.ndarray, int]:
     """:meth:`Tree.nearest` for points whose nearest centroid was ``label``
     when no other lay below ``far``, and the number of points searched anew.
 
     The others have moved by ``drift`` at most.  A point that is nearer to its
-    own centroid than what that leaves, by more than rounding can do, keeps it:
-    one distance instead of all."""
+    own centroid than what that leaves, or than ``gap`` (:func:`half_gaps`, or 0),
+    by more than rounding can do, keeps it: one distance instead of all."""
     idx = label.astype(np.int64)
     dist = own_sq_dists(XT, CT, idx)
-    left = far - drift[idx]
+    left = np.maximum(far - drift[idx], gap[idx])
     sure = (left > 1e-140) & (dist * (1.0 + slack(XT.shape[0])) < left * left)
     rest = np.flatnonzero(~sure)
     if len(rest):

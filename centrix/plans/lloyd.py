@@ -13,7 +13,8 @@ tasks, fractional coordinates included.
 Most distances of late iterations are skipped, exactly: beside a block lie the
 nearest centroid of each point and a bound below which no other one lay, as of
 an earlier model; a point whose own centroid is nearer than that bound less
-what the others have moved since needs that one distance only.  Bounds are made
+what the others have moved since, or nearer than half its distance to any other
+centroid, needs that one distance only.  Bounds are made
 anew when the searches they didn't save have cost as much as that.
 
 Contract (SURVEY D2-D7): squared distances; lowest cluster_id wins a tie;
@@ -49,9 +50,10 @@ BOUND_COST = 32
 TASK_COST = 100_000_000
 
 
-def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exact: bool) -> DataFrame:
+def _block_stats(blocks: DataFrame, model: Model, drift: tuple | None, exact: bool) -> DataFrame:
     """Limb rows of (vector sum, count, cost, points searched) per cluster and
-    task.  ``drift``: how far the others have moved since the blocks' bounds.
+    task.  ``drift``: how far the others have moved since the blocks' bounds, and
+    half the gaps between centroids.
     The model goes with the function, which Spark broadcasts if it is large."""
     ship_package(blocks.sparkSession)
     k, d, C = model.k, model.d, model.C
@@ -68,7 +70,7 @@ def _block_stats(blocks: DataFrame, model: Model, drift: np.ndarray | None, exac
             for rows in kernels.chunks(len(X), tree):
                 XT = kernels.columns_of(X[rows])
                 if bounded:
-                    i, dist[rows], full = kernels.bounded_nearest(XT, tree, CT, row["label"][rows], row["far"][rows], drift)
+                    i, dist[rows], full = kernels.bounded_nearest(XT, tree, CT, row["label"][rows], row["far"][rows], *drift)
                 else:
                     i, dist[rows] = tree.nearest(XT) if exact else kernels.nearest_fast(X[rows].astype(np.float64), C)
                     full = len(i)
@@ -108,7 +110,7 @@ def _point_stats(points: DataFrame, model: Model) -> DataFrame:
     return assigned.select("cluster_id", "coord", "dist").mapInArrow(fn, LIMB_SCHEMA)
 
 
-def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: np.ndarray | None = None, exact: bool = True):
+def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: tuple | None = None, exact: bool = True):
     """One assignment pass over blocks or points: arrays (n[k], S[k, d], cost[k])
     in model order, and the number of points whose nearest centroid was searched."""
     part = _block_stats(points, model, drift, exact) if "x" in points.columns else _point_stats(points, model)
@@ -326,7 +328,11 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
             old, result.blocks, scan, bounds_of, spent, saved = result.blocks, bounded, bounded, model, 0, 0
         else:
             old = None
-        drift = kernels.drifts(model.C, bounds_of.C) if bounds_of is not None and bounds_of.k == model.k else None
+        drift = None
+        if bounds_of is not None and bounds_of.k == model.k:
+            # gaps are worth their k * k distances where a task has many more points than that
+            gap = kernels.half_gaps(model.C) if 4 * model.k * tasks <= n_points else np.zeros(model.k)
+            drift = kernels.drifts(model.C, bounds_of.C), gap
         n, S, cost, searched = lloyd_step(scan, model, tasks, drift, exact)
         if old is not None:
             old.unpersist()

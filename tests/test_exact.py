@@ -109,9 +109,10 @@ def test_a_point_is_searched_unless_its_bound_holds():
     for moved in (0.0, 1e-9, 0.02, 0.3, 3.0):
         new = C + RNG.normal(size=C.shape) * moved
         tree, XT = kernels.Tree(new), np.ascontiguousarray(X.T)
-        idx, dist, searched = kernels.bounded_nearest(XT, tree, np.ascontiguousarray(new.T), label, far, kernels.drifts(new, C))
         D = kernels.sq_dists(X, new)
-        assert (idx == D.argmin(axis=1)).all() and (dist == D.min(axis=1)).all()
+        for gap in (kernels.half_gaps(new), np.zeros(30)):
+            idx, dist, searched = kernels.bounded_nearest(XT, tree, np.ascontiguousarray(new.T), label, far, kernels.drifts(new, C), gap)
+            assert (idx == D.argmin(axis=1)).all() and (dist == D.min(axis=1)).all()
         assert searched < 10 if moved < 1e-6 else searched <= len(X)
 
 
