@@ -139,8 +139,9 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
     own = cut(_sums(once, ["id", "text_sha256"], "body"), "fingerprints")
     head = once.select("id", "text_sha256", "n", F.expr("left(body, cast(n - n div 2 as int))").alias("head"))
-    given = (head.join(asked, head["id"].eqNullSafe(asked["from"]) & (head["text_sha256"] == asked["sha"]))
-             .select("to", F.expr("left(head, cast(need as int))").alias("start")))
+    # the hash is compared as a range, so that both joins deal the halves by id alone and share that exchange
+    given = (head.join(asked, head["id"].eqNullSafe(asked["from"]) & (head["text_sha256"] <= asked["sha"]) & (head["text_sha256"] >= asked["sha"]))
+             .select("to", F.expr("left(head, cast(least(need, n) as int))").alias("start")))
     more = cut(asked.where("need > length - length div 2").select("to", F.col("from").alias("mid"), F.col("sha").alias("msha"), F.expr("need - (length - length div 2)").alias("rest")), "asked-more")
     tail = maybe_in(once, "id", more, "mid").select("id", "text_sha256", F.expr("substring(body, cast(n - n div 2 as int) + 1)").alias("tail"))
     added = (tail.join(more, tail["id"].eqNullSafe(more["mid"]) & (tail["text_sha256"] == more["msha"]))
