@@ -150,14 +150,15 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     text = F.concat("head", F.expr("left(concat(start, coalesce(start2, '')), cast(n div 2 as int))"))
     both = both.select("id", "text_sha256", "n", text.alias("edited")).withColumn("edited_sha256", F.sha2("edited", 256))
     edited = _sums(both, ["id", "text_sha256", "n", "edited_sha256"], "edited").withColumnsRenamed({"id": "eid", "text_sha256": "etext", "lanes": "elanes"})
-    next_lanes = (own.join(asked, own["id"].eqNullSafe(asked["from"]) & (own["text_sha256"] == asked["sha"]))
-                  .select(F.col("to").alias("before"), F.col("lanes").alias("nlanes")))
+    # own lanes meet the next one's by id; of these only the likeness goes on
+    given = (own.join(asked, own["id"].eqNullSafe(asked["from"]) & (own["text_sha256"] <= asked["sha"]) & (own["text_sha256"] >= asked["sha"]))
+             .select(F.col("to").alias("before"), F.col("lanes").alias("nlanes")))
+    near = (own.join(given, own["id"].eqNullSafe(given["before"]))
+            .select("id", "text_sha256", "lanes", likeness(F.col("lanes"), F.col("nlanes")).alias("near_next")))
     count = rows.select(F.col("id").alias("cid"), F.col("text_sha256").alias("ctext"), "count")
-    out = (own.join(edited, own["id"].eqNullSafe(edited["eid"]) & (F.col("text_sha256") == F.col("etext")))
-           .join(count, own["id"].eqNullSafe(count["cid"]) & (F.col("text_sha256") == F.col("ctext")))
-           .join(next_lanes, own["id"].eqNullSafe(next_lanes["before"]))
+    out = (near.join(edited, near["id"].eqNullSafe(edited["eid"]) & (F.col("text_sha256") == F.col("etext")))
+           .join(count, near["id"].eqNullSafe(count["cid"]) & (F.col("text_sha256") == F.col("ctext")))
            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", as_text(F.col("lanes")).alias("fingerprint"),
                       as_text(F.col("elanes")).alias("edited_fingerprint"),
-                      likeness(F.col("lanes"), F.col("elanes")).alias("near_edited"),
-                      likeness(F.col("lanes"), F.col("nlanes")).alias("near_next"))
+                      likeness(F.col("lanes"), F.col("elanes")).alias("near_edited"), "near_next")
