@@ -1,4 +1,4 @@
-"""Training-data operators: ten text operators, their queries and SQL.
+"""Training-data operators: thirteen text operators, their queries and SQL.
 
 Nothing else in ``centrix`` imports this subpackage.  Every operator takes
 DataFrames and column names, returns DataFrames, and keeps the conventions
