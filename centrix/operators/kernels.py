@@ -103,6 +103,9 @@ class Tree(Boxes):
     distance to a box is summed in the same feature order as to a centroid, from
     terms that are no larger; as rounding keeps order, it is a lower bound of
     the computed distances to all centroids inside, not only of the true ones.
+
+    Where boxes spare little (wide vectors without structure), later points are
+    compared with all centroids: the same bits at less cost.
     """
 
     def __init__(self, C: np.ndarray, leaf: int | None = None):
@@ -119,6 +122,9 @@ class Tree(Boxes):
             parts += own[:len(own) // 2], own[len(own) // 2:]
         super().__init__(*(np.array([f(C[own], axis=0) for own in self.leaves]).reshape(len(self.leaves), C.shape[1]) for f in (np.min, np.max)))
         self.CT = [np.ascontiguousarray(C[own].T) for own in self.leaves]
+        self.flat = len(self.leaves) == 1
+        if not self.flat:
+            self.whole_T = np.ascontiguousarray(C.T)
 
     def nearest(self, XT: np.ndarray, second: bool = False):
         """Index (the lowest on a tie) and squared distance, per column of ``XT``;
@@ -126,37 +132,43 @@ class Tree(Boxes):
 
         Each point first visits the box nearest to it; after that a box is
         visited only by the points it isn't too far from."""
-        n = XT.shape[1]
-        idx, dist, other = np.full(n, self.C.shape[0], np.int64), np.full(n, np.inf), np.full(n, np.inf)
-
-        def visit(rows: np.ndarray | slice, leaf: int) -> None:
-            X, CT = XT[:, rows], self.CT[leaf]
+        n, k = XT.shape[1], len(self.C)
+        idx, dist, other = np.full(n, k, np.int64), np.full(n, np.inf), np.full(n, np.inf)
+        visited = 0
+
+        def visit(rows: np.ndarray | slice, CT: np.ndarray, ids: np.ndarray | None) -> None:
+            nonlocal visited
+            X = XT[:, rows]
+            visited += X.shape[1] * CT.shape[1]
             acc = np.empty((X.shape[1], CT.shape[1]))
             sq_dists_t(X, CT, acc, np.empty_like(acc))
             at = acc.argmin(axis=1)
             every = np.arange(len(acc))
-            new, ids, old, was = acc[every, at], self.leaves[leaf][at], dist[rows], idx[rows]
-            better = (new < old) | ((new == old) & (ids < was))
+            new, own, old, was = acc[every, at], at if ids is None else ids[at], dist[rows], idx[rows]
+            better = (new < old) | ((new == old) & (own < was))
             if second:
                 acc[every, at] = np.inf
                 other[rows] = np.minimum(np.minimum(other[rows], acc.min(axis=1)), np.where(better, old, new))
-            dist[rows], idx[rows] = np.where(better, new, old), np.where(better, ids, was)
+            dist[rows], idx[rows] = np.where(better, new, old), np.where(better, own, was)
 
-        if len(self.leaves) == 1:
-            visit(slice(None), 0)
+        if self.flat:
+            step = max(1, BLOCK_ELEMS // k)
+            for low in range(0, n, step):
+                visit(slice(low, low + step), self.CT[0] if len(self.leaves) == 1 else self.whole_T, None)
         else:
             bound = self.box_dists(XT)
             first = bound.argmin(axis=1)
             order = np.argsort(first, kind="stable")
             for rows in np.split(order, np.flatnonzero(np.diff(first[order])) + 1):
                 if len(rows):
-                    visit(rows, int(first[rows[0]]))
-            for leaf in range(len(self.leaves)):
+                    visit(rows, self.CT[first[rows[0]]], self.leaves[first[rows[0]]])
+            for leaf, (CT, ids) in enumerate(zip(self.CT, self.leaves, strict=True)):
                 rows = np.flatnonzero((bound[:, leaf] <= (other if second else dist)) & (first != leaf))
                 if 2 * len(rows) > n and not second:
-                    visit(slice(None), leaf)  # cheaper than picking most of the columns
+                    visit(slice(None), CT, ids)  # cheaper than picking most of the columns
                 elif len(rows):
-                    visit(rows, leaf)
+                    visit(rows, CT, ids)
+            self.flat = visited > 0.5 * n * k
         return (idx, dist, other) if second else (idx, dist)
 
 
@@ -180,9 +192,10 @@ def columns_of(X: np.ndarray) -> np.ndarray:
 
 
 def chunks(n: int, tree: Tree) -> list[slice]:
-    """Rows taken together: a table of distances to a box's centroids, or to
-    the boxes, stays in cache."""
-    step = max(1, BLOCK_ELEMS // max(len(tree.leaves), max(len(own) for own in tree.leaves)))
+    """Rows taken together: a table of distances to one box's centroids stays in
+    cache; of many boxes, each is then visited by few rows at a time."""
+    most = max(len(own) for own in tree.leaves)
+    step = max(1, BLOCK_ELEMS // most) * (1 if len(tree.leaves) == 1 else 4)
     return [slice(low, min(n, low + step)) for low in range(0, n, step)]
 
 
