@@ -80,9 +80,10 @@ def likeness(a: Column, b: Column) -> Column:
 
 
 def _rows(docs: DataFrame, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame]:
-    """``(id, text_sha256, n, body)`` of all rows, and ``(id, text_sha256, n, count)``."""
+    """``(id, text_sha256, n, body)`` of all rows, and ``(id, text_sha256, n, count)``;
+    hashes are bytes here."""
     d = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("body"))
-    d = d.select("id", F.sha2("body", 256).alias("text_sha256"), F.length("body").cast("long").alias("n"), "body")
+    d = d.select("id", F.unhex(F.sha2("body", 256)).alias("text_sha256"), F.length("body").cast("long").alias("n"), "body")
     return d, cut(d.groupBy("id", "text_sha256", "n").count(), "fingerprint-rows")
 
 
@@ -93,7 +94,8 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     exact lanes and no word pairs.
     """
     d, rows = _rows(docs, id_col, text_col)
-    return _sums(_once(d, rows), ["id", "text_sha256"], "body").withColumnRenamed("id", id_col)
+    made = _sums(_once(d, rows), ["id", "text_sha256"], "body")
+    return made.select(F.col("id").alias(id_col), F.lower(F.hex("text_sha256")).alias("text_sha256"), "lanes")
 
 
 def successors(docs: DataFrame, id_col: str = "doc_id") -> DataFrame:
@@ -148,7 +150,7 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
              .select(F.col("to").alias("to2"), F.expr("left(tail, cast(rest as int))").alias("start2")))
     both = head.join(given, head["id"].eqNullSafe(given["to"])).join(added, head["id"].eqNullSafe(added["to2"]), "left")
     text = F.concat("head", F.expr("left(concat(start, coalesce(start2, '')), cast(n div 2 as int))"))
-    both = both.select("id", "text_sha256", "n", text.alias("edited")).withColumn("edited_sha256", F.sha2("edited", 256))
+    both = both.select("id", "text_sha256", "n", text.alias("edited")).withColumn("edited_sha256", F.unhex(F.sha2("edited", 256)))
     edited = _sums(both, ["id", "text_sha256", "n", "edited_sha256"], "edited").withColumnsRenamed({"id": "eid", "text_sha256": "etext", "lanes": "elanes"})
     # own lanes meet the next one's by id; of these only the likeness goes on
     given = (own.join(asked, own["id"].eqNullSafe(asked["from"]) & (own["text_sha256"] <= asked["sha"]) & (own["text_sha256"] >= asked["sha"]))
@@ -159,6 +161,6 @@ def compare_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     out = (near.join(edited, near["id"].eqNullSafe(edited["eid"]) & (F.col("text_sha256") == F.col("etext")))
            .join(count, near["id"].eqNullSafe(count["cid"]) & (F.col("text_sha256") == F.col("ctext")))
            .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("count").cast("int")))))
-    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), "edited_sha256", as_text(F.col("lanes")).alias("fingerprint"),
+    return out.select(F.col("id").alias(id_col), F.col("n").alias("n_chars"), F.lower(F.hex("edited_sha256")).alias("edited_sha256"), as_text(F.col("lanes")).alias("fingerprint"),
                       as_text(F.col("elanes")).alias("edited_fingerprint"),
                       likeness(F.col("lanes"), F.col("elanes")).alias("near_edited"), "near_next")
