@@ -88,8 +88,13 @@ def _block_stats(blocks: DataFrame, model: Model, drift: tuple | None, exact: bo
             sums.add(np.concatenate([[searched], np.zeros(k - 1)])[:, None], d + 2)
         yield limb_batch(sums)
 
-    columns = [c for c in ("x", "kind", "plain", "w", "label", "far") if c in blocks.columns]
-    return blocks.select(*columns).mapInArrow(fn, LIMB_SCHEMA)
+    return blocks.mapInArrow(fn, LIMB_SCHEMA)
+
+
+def _pass_columns(blocks: DataFrame) -> DataFrame:
+    """The columns that a pass reads, chosen once for all passes over ``blocks``."""
+    there = blocks.columns
+    return blocks.select(*[c for c in ("x", "kind", "plain", "w", "label", "far") if c in there])
 
 
 def _point_stats(points: DataFrame, model: Model) -> DataFrame:
@@ -110,10 +115,11 @@ def _point_stats(points: DataFrame, model: Model) -> DataFrame:
     return assigned.select("cluster_id", "coord", "dist").mapInArrow(fn, LIMB_SCHEMA)
 
 
-def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: tuple | None = None, exact: bool = True):
-    """One assignment pass over blocks or points: arrays (n[k], S[k, d], cost[k])
+def lloyd_step(points: DataFrame, model: Model, n_partitions: int | None = None, drift: tuple | None = None, exact: bool = True,
+               blocked: bool = True):
+    """One assignment pass over blocks (the columns of a pass) or points: arrays (n[k], S[k, d], cost[k])
     in model order, and the number of points whose nearest centroid was searched."""
-    part = _block_stats(points, model, drift, exact) if "x" in points.columns else _point_stats(points, model)
+    part = _block_stats(points, model, drift, exact) if blocked else _point_stats(points, model)
     if n_partitions is None or n_partitions > FAN_IN:
         part = merge_limbs(part)
     got = collect_sums(part, (model.k, model.d + 3))
@@ -308,9 +314,10 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
             blocks = to_blocks(spread_for_iterations(own, persist=False), model.d)
         if persist:
             blocks = blocks.persist(StorageLevel.MEMORY_AND_DISK)
-            scan, tasks, n_points = size_scan(blocks, model.k, model.d)
+            whole, tasks, n_points = size_scan(blocks, model.k, model.d)
         else:
-            scan, tasks = blocks, None
+            whole, tasks = blocks, None
+        scan = _pass_columns(whole)
         result = LloydResult(own, blocks=blocks, blocks_cover_points=not collapse_duplicates)
     else:
         scan, tasks = spread_for_iterations(own, persist), None
@@ -324,8 +331,8 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
         if bounding and it < max_iter and n_points and spent >= price * patience:
             # this pass makes the bounds and uses them
             patience = patience * 4 if bounds_of is not None and saved < price else 1
-            bounded = with_bounds(scan, model).persist(StorageLevel.MEMORY_AND_DISK)
-            old, result.blocks, scan, bounds_of, spent, saved = result.blocks, bounded, bounded, model, 0, 0
+            whole = with_bounds(whole, model).persist(StorageLevel.MEMORY_AND_DISK)
+            old, result.blocks, scan, bounds_of, spent, saved = result.blocks, whole, _pass_columns(whole), model, 0, 0
         else:
             old = None
         drift = None
@@ -333,7 +340,7 @@ def fit(points: DataFrame, start, max_iter: int = 100, empty: str = "keep",
             # gaps are worth their k * k distances where a task has many more points than that
             gap = kernels.half_gaps(model.C) if 4 * model.k * tasks <= n_points else np.zeros(model.k)
             drift = kernels.drifts(model.C, bounds_of.C), gap
-        n, S, cost, searched = lloyd_step(scan, model, tasks, drift, exact)
+        n, S, cost, searched = lloyd_step(scan, model, tasks, drift, exact, blocked)
         if old is not None:
             old.unpersist()
         spent += searched * model.k * model.d
