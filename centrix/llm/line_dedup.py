@@ -3,8 +3,7 @@
 Lines are normalised (lower case, ASCII punctuation and digits dropped) and
 hashed; lines of one normal form are one node.  Every node gets a
 63-bit SimHash of its words.  SimHashes at most ``distance`` bits apart agree on
-two of ``distance + 2`` blocks (pigeonhole), so they share a cell (pair of
-blocks, their bits).  In every shared cell the members are first tied to the
+half of the blocks or more, and so share a cell (some blocks, their bits).  In every shared cell the members are first tied to the
 cell's leaders, one per band of lengths, where near; a join on the cell then
 finds every near pair that isn't tied yet and whose lengths allow it.  Pairs are narrowed by the exact bit
 distance and verified by the edit similarity of the lines, in words.  One
@@ -15,6 +14,7 @@ from __future__ import annotations
 
 import math
 import string
+from functools import reduce
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
@@ -32,11 +32,15 @@ ID, DROP = "__line_dedup_id", "__line_dedup_drop"
 _CAPITALS = [c for c in map(chr, range(0x41, 0x530)) if c.lower() != c and len(c.lower()) == 1]
 _FROM = "".join(_CAPITALS) + "\t\v\f\r " + string.punctuation + string.digits
 _TO = "".join(c.lower() for c in _CAPITALS) + " " * 5
+#: What is dropped, as a pattern.
+_DROPPED = "[" + "".join("\\" + c for c in string.punctuation) + string.digits + "]+"
 
 
 def normalised(line: Column) -> Column:
-    """Small letters, no ASCII punctuation or digits, trimmed."""
-    return F.trim(F.translate(line, _FROM, _TO))
+    """Small letters, no ASCII punctuation or digits, trimmed.  ASCII lines take
+    patterns, which cost less than a look at each character."""
+    plain = F.lower(F.regexp_replace(F.regexp_replace(line, _DROPPED, ""), "[\t\x0b\f\r]", " "))
+    return F.trim(F.when(F.octet_length(line) == F.char_length(line), plain).otherwise(F.translate(line, _FROM, _TO)))
 
 
 def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -52,8 +56,8 @@ def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     keys = ["id", "at", "n1", "n2"]
 
     def normal(rows: DataFrame) -> DataFrame:
-        line = rows.select("id", F.posexplode(F.split("text", "\n")).alias("at", "line"))
-        norm = line.select("id", "at", normalised(F.col("line")).alias("norm")).where("norm <> ''")
+        # normalised before the lines become rows: a filter on a column made later would make it twice
+        norm = rows.select("id", F.posexplode(F.transform(F.split("text", "\n"), normalised)).alias("at", "norm")).where("norm <> ''")
         return norm.select("id", "at", F.xxhash64("norm").alias("n1"), F.xxhash64(F.lit("norm"), "norm").alias("n2"), "norm")
 
     rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
@@ -65,58 +69,74 @@ def simhash_lines(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     spread = F.lit(sum(1 << (COLUMNS * k) for k in range(LANES)))
     sums = [F.sum(F.shiftrightunsigned("h", b).bitwiseAND(spread)).alias(f"b{b}") for b in range(COLUMNS)]
     total = words.groupBy(*keys).agg(*sums, F.count("*").alias("words"))
-    sim = F.lit(0).cast("long")
-    for b in range(COLUMNS):
-        for k in range(LANES):
-            ones = F.shiftrightunsigned(f"b{b}", COLUMNS * k).bitwiseAND(F.lit((1 << COLUMNS) - 1))
-            sim = sim.bitwiseOR(F.when(ones * 2 > F.col("words"), F.lit(1 << (b + COLUMNS * k))).otherwise(F.lit(0)).cast("long"))
+    # all lanes at once: the top bit of a lane is set by more than half the words
+    half = (F.lit((1 << (COLUMNS - 1)) - 1) - F.shiftright("words", 1)) * spread
+    total = total.withColumn("half", half)
+    most = [F.shiftrightunsigned(F.col(f"b{b}") + F.col("half"), COLUMNS - 1).bitwiseAND(spread) for b in range(COLUMNS)]
+    sim = reduce(Column.bitwiseOR, [F.shiftleft(m, b) for b, m in enumerate(most)])
     return total.select("id", "at", F.struct("n1", "n2").alias("node"), "words", sim.alias("sim"))
 
 
 def _masks(distance: int) -> list[int]:
-    """The bits of every two of ``distance + 2`` blocks."""
-    blocks = distance + 2
+    """Sets of bits of which SimHashes at most ``distance`` bits apart agree on one.
+
+    Up to three bits: 14 halves of eight blocks.  Four blocks whose numbers
+    cancel out (xor) are one, and so are the other four; any three blocks are in
+    one, and the other four are free of their bits.  Else, by pigeonhole: every
+    three of ``distance + 3`` blocks."""
+    blocks, size = (8, 4) if distance <= 3 else (distance + 3, 3)
     edge = [BITS * k // blocks for k in range(blocks + 1)]
-    return [(1 << edge[i + 1]) - (1 << edge[i]) + (1 << edge[j + 1]) - (1 << edge[j]) for i, j in combinations(range(blocks), 2)]
+    return [sum((1 << edge[k + 1]) - (1 << edge[k]) for k in some) for some in combinations(range(blocks), size)
+            if distance > 3 or reduce(int.__xor__, some) == 0]
 
 
 def _cell(sim: Column, n: int, mask: int) -> Column:
     return F.xxhash64(F.lit(n), sim.bitwiseAND(F.lit(mask)))
 
 
-def shared_cells(nodes: DataFrame, distance: int) -> DataFrame:
-    """``(cell, spot, sim, band)`` of the cells that several spots (SimHash and
-    length band) share.  SimHashes at most ``distance`` bits apart share a cell:
-    the bits of two of ``distance + 2`` blocks."""
+def spots(nodes: DataFrame) -> DataFrame:
+    """``(spot, sim, band, n)``: a spot is a SimHash and a length band, ``n`` its
+    nodes."""
+    return cut(nodes.groupBy("spot").agg(F.min("sim").alias("sim"), F.min("band").alias("band"), F.count("*").alias("n")), "lines-all-spots")
+
+
+def shared_cells(every: DataFrame, distance: int) -> DataFrame:
+    """``(cell, spot, sim, band)`` of the cells that several spots share.
+    SimHashes at most ``distance`` bits apart share a cell: one of ``_masks``
+    and its bits.  ``every``: what ``spots`` gives."""
     cells = F.array(*[_cell(F.col("sim"), n, m) for n, m in enumerate(_masks(distance))])
-    each = nodes.select("spot", "sim", "band").distinct().select("spot", "sim", "band", F.explode(cells).alias("cell"))
-    shared = cut(each.groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "lines-cells")
-    return cut(maybe_in(each, "cell", shared, "cell").join(shared, "cell").select("cell", "spot", "sim", "band"), "lines-members")
+    each = every.select("spot", "sim", "band", F.explode(cells).alias("cell"))
+    # few cells repeat: dealt out first, they are counted once, in small tables
+    shared = cut(each.select("cell").repartition("cell").groupBy("cell").agg(F.count("*").alias("n")).where("n > 1").drop("n"), "lines-cells")
+    return cut(maybe_in(each, "cell", shared, "cell").join(shared.hint("shuffle_hash"), "cell").select("cell", "spot", "sim", "band"), "lines-members")
 
 
-def leader_pairs(nodes: DataFrame, members: DataFrame, distance: int) -> DataFrame:
+def leader_pairs(nodes: DataFrame, members: DataFrame, several: DataFrame, distance: int) -> DataFrame:
     """Pairs ``(a, b)`` of each node with the first node of its spot, and of
     these with the first nodes of the leading spots of the cell's own and next
     length band, if near.  Linear in the nodes: a dense group of near lines is
-    tied together here, so that ``near_nodes`` needn't pair it."""
-    first = nodes.groupBy("spot").agg(F.min("node").alias("a"), F.count("*").alias("n"))
-    same = nodes.join(first.where("n > 1"), "spot").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
-    leads = members.groupBy("cell", F.col("band").alias("at")).agg(F.min(F.struct("sim", "spot")).alias("m")).select("cell", "at", F.col("m.sim").alias("lead"), F.col("m.spot").alias("head"))
+    tied together here, so that ``near_nodes`` needn't pair it.  ``several``:
+    the spots of more than one node."""
+    leads = (members.groupBy("cell", F.col("band").alias("at")).agg(F.min("sim").alias("lead"))
+             .withColumn("head", F.xxhash64("lead", "at")))
     asks = members.select("cell", "spot", "sim", F.explode(F.array("band", F.col("band") + 1)).alias("at"))
-    near = (asks.join(leads, ["cell", "at"]).where((F.col("spot") != F.col("head")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance))
+    near = (asks.join(leads.hint("shuffle_hash"), ["cell", "at"]).where((F.col("spot") != F.col("head")) & (F.bit_count(F.col("sim").bitwiseXOR(F.col("lead"))) <= distance))
             .select("head", "spot").distinct())
     near = cut(near, "lines-heads")
-    heads = maybe_in(first.select(F.col("spot").alias("head"), "a"), "head", near, "head").join(near, "head")
-    ends = maybe_in(first.select("spot", F.col("a").alias("b")), "spot", near, "spot")
-    return same.union(heads.join(ends, "spot").select("a", "b"))
+    wanted = several.select("spot").union(near.select("head")).union(near.select("spot"))
+    some = cut(maybe_in(nodes.select("spot", "node"), "spot", wanted, "spot"), "lines-some")
+    first = cut(some.groupBy("spot").agg(F.min("node").alias("a")), "lines-first")
+    same = some.join(first, "spot").where(F.col("node") != F.col("a")).select("a", F.col("node").alias("b"))
+    heads = first.select(F.col("spot").alias("head"), "a").join(near, "head")
+    return same.union(heads.join(first.select("spot", F.col("a").alias("b")), "spot").select("a", "b"))
 
 
 def near_nodes(nodes: DataFrame, members: DataFrame, distance: int, similarity: float) -> DataFrame:
     """Pairs ``(a, b)`` of nodes with near SimHashes and lengths, without those
     of one known group (column ``root``)."""
     one = (F.min("root") == F.max("root")) & (F.count("root") == F.count("*"))
-    known = nodes.groupBy("spot").agg(F.when(one, F.xxhash64(F.min("root"))).alias("known"), F.count("*").alias("n"))
-    at = members.join(maybe_in(known, "spot", members, "spot"), "spot")
+    known = cut(nodes.groupBy("spot").agg(F.when(one, F.xxhash64(F.min("root"))).alias("known"), F.count("*").alias("n")), "lines-known")
+    at = members.join(known.hint("shuffle_hash"), "spot")
     x, y = at.alias("x"), at.alias("y")
     differ = F.col("x.sim").bitwiseXOR(F.col("y.sim"))
     # a pair comes once: in the first of the cells that it shares
@@ -151,8 +171,11 @@ def verified(pairs: DataFrame, docs: DataFrame, lines: DataFrame, similarity: fl
     place = maybe_in(lines.select("id", "at", "node", F.col("node.n1").alias("n1")), "n1", wanted, "h").join(wanted, F.col("node") == F.col("w"))
     place = cut(place.groupBy("node").agg(F.min(F.struct("id", "at")).alias("p")).select("node", F.col("p.id").alias("pid"), "p.at"), "lines-places")
     some = maybe_in(docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text")), "id", place, "pid")
-    text = some.join(place.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("pid"))).select(
-        "node", word_codes(normalised(F.get(F.split("text", "\n"), F.col("at")))).alias("code"))
+    # only the lines that are asked for are shuffled
+    some = some.select("id", F.posexplode(F.split("text", "\n")).alias("l", "line")).withColumn("key", F.xxhash64("id", "l"))
+    some = maybe_in(some, "key", place.select(F.xxhash64("pid", "at").alias("key")), "key")
+    text = some.join(place.hint("shuffle_hash"), F.col("id").eqNullSafe(F.col("pid")) & (F.col("l") == F.col("at"))).select(
+        "node", word_codes(normalised(F.col("line"))).alias("code"))
     # rows that share an id may hold another line at that place: the larger code stands
     text = cut(text.groupBy("node").agg(F.max("code").alias("code")), "lines-near")
     a, b = text.select(F.col("node").alias("a"), F.col("code").alias("x")), text.select(F.col("node").alias("b"), F.col("code").alias("y"))
@@ -175,18 +198,22 @@ def repeats(docs: DataFrame, distance: int = 3, similarity: float = 0.8, id_col:
     # lines of that similarity differ by one band of lengths at most
     band = F.floor(F.log(F.col("words").cast("double")) / max(-math.log(similarity), 1e-9)).cast("int")
     long = long.withColumn("band", band).withColumn("spot", F.xxhash64("sim", "band"))
-    members = shared_cells(long, distance)
-    tied = links(leader_pairs(long, members, distance))
-    known = components(tied, name="lines-cc").withColumnRenamed("node", "k")
-    more = links(near_nodes(long.join(known, F.col("node") == F.col("k"), "left").drop("k"), members, distance, similarity))
-    group = components(tied.union(more), name="lines-cc").withColumnRenamed("node", "k")
+    every = spots(long)
+    several = every.where("n > 1")
+    members = shared_cells(every, distance)
+    tied = links(leader_pairs(long, members, several, distance))
+    known = cut(components(tied, name="lines-cc"), "lines-tied").withColumnRenamed("node", "k")
+    paired = maybe_in(long, "spot", members.select("spot").union(several.select("spot")), "spot")
+    more = links(near_nodes(cut(paired.join(known.hint("shuffle_hash"), F.col("node") == F.col("k"), "left").drop("k"), "lines-paired"), members, distance, similarity))
+    stars = known.select(F.col("root").alias("a"), F.col("k").alias("b"))
+    group = components(stars.union(more), name="lines-cc").withColumnRenamed("node", "k")
     # only lines that repeat, exactly or nearly, are looked at again
-    again = cut(nodes.join(group, F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(
+    again = cut(nodes.join(group.hint("shuffle_hash"), F.col("node") == F.col("k"), "left").where("n > 1 or root is not null").select(
         F.col("node").alias("k"), F.col("node.n1").alias("h"), F.coalesce("root", "node").alias("root")), "lines-groups")
     found = maybe_in(lines.select("id", "at", "node", F.col("node.n1").alias("n1")), "n1", again, "h")
     found = cut(found.join(again.hint("shuffle_hash"), F.col("node") == F.col("k")).select("id", "at", "root"), "lines-again")
     keep = found.groupBy("root").agg(F.min(F.struct("id", "at")).alias("first")).select(F.col("root").alias("r"), "first")
-    return (found.join(keep, F.col("root") == F.col("r")).where(~F.struct("id", "at").eqNullSafe(F.col("first")))
+    return (found.join(keep.hint("shuffle_hash"), F.col("root") == F.col("r")).where(~F.struct("id", "at").eqNullSafe(F.col("first")))
             .groupBy("id").agg(F.sort_array(F.collect_set("at")).alias("drop")))
 
 

@@ -1,4 +1,5 @@
 import re
+from itertools import combinations
 
 import xxhash
 from pyspark.sql import functions as F
@@ -103,3 +104,35 @@ def test_copies_do_not_overflow_the_sums(spark):
     text = " ".join(f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676)}" for k in range(1100))
     df = spark.range(2000).select(F.lit(7).cast("long").alias("doc_id"), F.lit(text).alias("text"))
     assert [(r.words, r.sim) for r in line_dedup.simhash_lines(df, "doc_id", "text").collect()] == [(1100, _sim(text))]
+
+
+def test_cells_miss_no_near_pair_and_hold_few_others():
+    for distance in range(6):
+        masks = line_dedup._masks(distance)
+        near = combinations(range(line_dedup.BITS), min(distance, 3))
+        differ = [sum(1 << b for b in some) for some in near] + [sum(1 << b for b in range(k, line_dedup.BITS, 13)[:distance]) for k in range(13)]
+        assert all(any(not m & d for m in masks) for d in differ)
+    # fewer bits are shared by more lines that aren't near, more sets are more rows
+    masks = line_dedup._masks(3)
+    assert len(masks) == 14 and min(m.bit_count() for m in masks) >= 30
+
+
+def test_ascii_lines_have_the_normal_form_of_others(spark):
+    lines = ["", " ", "\t\x0b\f\r", "A-b C1\td!\x0be\ff\rg", "\\^]['\"$1 x", "a\0b\x7f\x1f", "Ünï CÔDE №1", "Σ ΑΣ İ I", "A" * 9, "ＡＢ１！", "e\u0301 É", "1,000.5%"]
+    lines += [f"Q{chr(c)}z {chr(c)}" for c in range(1, 0x600)]
+    df = spark.createDataFrame([(k, line) for k, line in enumerate(lines)], "k INT, line STRING")
+    each = F.trim(F.translate("line", line_dedup._FROM, line_dedup._TO))
+    rows = df.select("line", line_dedup.normalised(F.col("line")).alias("norm"), each.alias("each")).collect()
+    assert [r for r in rows if r.norm != r.each] == [] and len(rows) == len(lines)
+
+
+def test_a_line_is_normalised_once(spark):
+    rows = line_dedup.simhash_lines(documents(spark), "doc_id", "text")
+    plan = rows._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("translate(") == plan.count("posexplode(") > 0
+
+
+def test_majority_at_the_edges(spark):
+    docs = [(n, " ".join(["ab"] * (n // 2) + ["cd"] * (n - n // 2))) for n in [1, 2, 3, 4, 510, 511, 512, 1023, 5000]]
+    df = spark.createDataFrame(docs, "doc_id BIGINT, text STRING")
+    assert {(r.id, r.words, r.sim) for r in line_dedup.simhash_lines(df, "doc_id", "text").collect()} == {(n, n, _sim(t)) for n, t in docs}
